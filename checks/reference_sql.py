@@ -158,8 +158,8 @@ def marts_sql(keywords) -> dict[str, str]:
             where f.sucursales_latitud + f.sucursales_longitud is not null""",
         "mart_calidad_precios": """select fecha_publicacion, count(*) as cantidad_registros,
             count(*) - count(productos_precio_lista) as cantidad_precio_nulo,
-            sum(case when productos_precio_lista = 0 then 1 else 0 end) as cantidad_precio_cero,
-            sum(case when productos_precio_lista > 0 and productos_precio_lista < 10 then 1 else 0 end)
+            count(case when productos_precio_lista = 0 then 1 end) as cantidad_precio_cero,
+            count(case when productos_precio_lista > 0 and productos_precio_lista < 10 then 1 end)
                 as cantidad_precio_menor_10,
             min(productos_precio_lista) as precio_minimo, max(productos_precio_lista) as precio_maximo,
             avg(productos_precio_lista) as precio_promedio from fact_precios group by all""",

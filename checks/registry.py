@@ -18,7 +18,7 @@ from gondola.operators import inspection
 from gondola.plans import dashboard as d
 from gondola.plans import ingest
 from gondola.plans import saved_queries as q
-from gondola.plans.build import MARTS, SHARED, MartSources, build_marts
+from gondola.plans.build import MARTS, MartSources, build_marts
 from gondola.plans.inspect import inspect_archives
 from gondola.schemas import BRANCHES, CHAINS, DATE, FACT, TABLES
 from gondola.session import configure, run_folder
@@ -30,7 +30,7 @@ from gondola.sources.tables import Warehouse, export
 KEYWORDS = ("RED", "RING", "WIDGET", "BOLT", "GEAR")
 START, END = "1999-01-01", "2000-01-01"
 TEXT, BRAND, UNIT = "ring", "Brand#12", "SMALL"
-PROVINCE, LOCALITY = "ASIA", "INDIA"
+PROVINCE, LOCALITY = "MIDDLE EAST", "NATION_9"
 MIN_ROWS = 3
 
 
@@ -50,9 +50,7 @@ class Context:
 
     @cached_property
     def resources(self) -> DataFrame:
-        return views.resources(self.spark, self.sf_dir).withColumns(
-            {"last_modified": F.col("last_modified"), "posicion": F.col("posicion")}
-        )
+        return views.resources(self.spark, self.sf_dir)
 
     @cached_property
     def texts(self) -> DataFrame:
@@ -221,11 +219,11 @@ check(
 )
 check(
     "b7_buscador_avanzado_filtros",
-    lambda c: q.find_products(c.sources.base, "r", BRAND, UNIT, PROVINCE, LOCALITY),
+    lambda c: q.find_products(c.sources.base, "r", BRAND, None, PROVINCE, LOCALITY),
     _FOUND_PRODUCT.format(
         p5=cols(P5),
         text="r",
-        more=f"and productos_marca = '{BRAND}' and productos_unidad_medida_presentacion = '{UNIT}' "
+        more=f"and productos_marca = '{BRAND}' "
         f"and sucursales_provincia = '{PROVINCE}' and sucursales_localidad = '{LOCALITY}'",
         order=_CHEAPEST.replace("fecha_p", "f.fecha_p"),
         limit=100,
@@ -478,10 +476,6 @@ _dashboard(
     _CANDIDATE,
 )
 
-# The series of one product, and of one whose brand is missing.
-_SERIES = ("Brand#12/SMALL", "red ring", "Brand#12", None, "SMALL")
-
-
 def _series(m: DataFrame) -> DataFrame:
     """The best-covered product of a search is looked up first, as a person would choose it."""
     first = d.product_candidates(m, TEXT, limit=1).select(*P5.split()).first()
@@ -594,3 +588,550 @@ _dashboard(
     "lat lon",
     "sucursales_latitud as lat, sucursales_longitud as lon",
 )
+
+
+# --- cleaning: line items published as text rows
+
+
+def _text_rows(c: Context) -> DataFrame:
+    """Text rows in the shape of the raw scan; rows with line number 7 lack their last field."""
+    named = {
+        "id_comercio": F.col("id"),
+        "id_bandera": F.col("l_orderkey").cast("string"),
+        "id_sucursal": F.col("l_linenumber").cast("string"),
+        "productos_marca": F.col("texto"),
+        "productos_precio_lista": F.col("numero"),
+        "productos_leyenda_promo1": F.col("momento"),
+    }
+    blank = F.col("id") == ""
+    fields = [F.when(blank, F.lit(" ")).otherwise(named.get(h, F.lit(""))) for h in TABLES[FACT].header]
+    whole = F.array(*fields)
+    return c.texts.select(
+        F.concat(F.lit("2001-02-30/"), "estado_linea", F.lit("/1999-12-31.zip")).alias("archivo_origen"),
+        F.lit("productos.csv").alias("csv"),
+        F.lit("fila").alias("tipo"),
+        # Generated, not projected: like the fields of a scan they are made once and then referred to.
+        F.explode(
+            F.array(F.when(F.col("l_linenumber") == 7, F.slice(whole, 1, len(fields) - 1)).otherwise(whole))
+        ).alias("campos"),
+        "*",
+    )
+
+
+_KEY = "l_orderkey l_linenumber l_suppkey"
+
+
+def _keyed(column, name):
+    return lambda c: _text_rows(c).select(*_KEY.split(), column().alias(name))
+
+
+check(
+    "c1_filas_con_contenido",
+    lambda c: _text_rows(c).where(cleaning.has_content(F.col("campos"))).select(*_KEY.split()),
+    "select * from textos where id <> ''",
+    _KEY,
+)
+check(
+    "c2_cantidad_de_campos",
+    lambda c: _text_rows(c).where(cleaning.has_size(F.col("campos"), 17)).select(*_KEY.split()),
+    "select * from textos where l_linenumber <> 7",
+    _KEY,
+)
+check(
+    "c3_pie_de_archivo",
+    lambda c: _text_rows(c).where(cleaning.is_footer(F.col("campos"))).select(*_KEY.split()),
+    "select * from textos where lower(strip_accents(id)) like 'ultima actualizacion%'",
+    _KEY,
+)
+check(
+    "c4_primera_columna_numerica",
+    lambda c: _text_rows(c).where(cleaning.is_identifier(F.col("id"))).select(*_KEY.split()),
+    r"select * from textos where regexp_full_match(id, '\s*[0-9]+\s*')",
+    _KEY,
+)
+check(
+    "c5_texto_o_nulo",
+    _keyed(lambda: cleaning.text_or_null(F.col("texto")), "valor"),
+    """select *, case when trim(texto, chr(9) || chr(10) || ' ') not in ('', 'nan', 'None')
+    then trim(texto, chr(9) || chr(10) || ' ') end as valor from textos""",
+    f"{_KEY} valor",
+)
+check(
+    "c6_numero_o_nulo",
+    _keyed(lambda: cleaning.number_or_null(F.col("numero")), "precio"),
+    """select *, case when numero like '%,%' then try_cast(replace(replace(numero, '.', ''), ',', '.') as double)
+    when numero not like '%d' and numero <> 'nan' then try_cast(trim(numero, chr(9) || ' ') as double) end as precio
+    from textos""",
+    f"{_KEY} precio",
+)
+check(
+    "c7_momento_o_nulo",
+    lambda c: _text_rows(c).select(
+        *_KEY.split(), cleaning.timestamp_or_null(F.col("momento")).cast("string").alias("instante")
+    ),
+    """select *, case when momento <> 'sin fecha'
+    then strftime(strptime(left(momento, 10), '%Y-%m-%d') + interval 7 hour, '%Y-%m-%d %H:%M:%S') end as instante
+    from textos""",
+    f"{_KEY} instante",
+)
+# The first date in the name is not a real one: the member has no date, although a later one would be valid.
+check(
+    "c8_columnas_tecnicas",
+    lambda c: _text_rows(c).select(
+        *_KEY.split(), "archivo_origen", cleaning.publication_date(F.col("archivo_origen")).alias(DATE)
+    ),
+    """select *, '2001-02-30/' || estado_linea || '/1999-12-31.zip' as archivo_origen,
+    cast(null as date) as fecha_publicacion from textos""",
+    f"{_KEY} archivo_origen fecha_publicacion",
+)
+check(
+    "c9_limpieza_completa",
+    lambda c: cleaning.clean(_text_rows(c), TABLES[FACT], "2026-05-23").select(
+        *[F.col(name) for name in TABLES[FACT].output]
+    ),
+    f"""select date '2026-05-23' as fecha_publicacion, trim(id, chr(9) || ' ') as id_comercio,
+    cast(l_orderkey as varchar) as id_bandera, cast(l_linenumber as varchar) as id_sucursal,
+    case when l_linenumber in (1, 2) then try_cast(replace(replace(numero, '.', ''), ',', '.') as double)
+         when l_linenumber in (3, 6) then try_cast(trim(numero, chr(9) || ' ') as double) end as productos_precio_lista,
+    case when texto <> 'None' then trim(texto, chr(10) || ' ') end as productos_marca,
+    momento as productos_leyenda_promo1, '2001-02-30/' || estado_linea || '/1999-12-31.zip' as archivo_origen,
+    {', '.join(
+        f"cast(null as {'double' if n in TABLES[FACT].numeric else 'varchar'}) as {n}"
+        for n in TABLES[FACT].output
+        if n not in ('fecha_publicacion', 'id_comercio', 'id_bandera', 'id_sucursal', 'productos_precio_lista',
+                     'productos_marca', 'productos_leyenda_promo1', 'archivo_origen'))}
+    from textos where l_linenumber <> 7 and regexp_full_match(id, '\\s*[0-9]+\\s*')""",
+    " ".join(TABLES[FACT].output),
+)
+
+
+# --- resource metadata: one published resource per order
+
+_RESOURCE = "id name format url created metadata_modified last_modified"
+_NORMAL = """(select posicion, id, coalesce(nullif(name, ''), description, '') as name, coalesce(format, '') as format,
+    url, created, metadata_modified, last_modified from recursos) n"""
+_STAMP = "coalesce(nullif(last_modified, ''), nullif(metadata_modified, ''), nullif(created, ''))"
+_INSTANT = f"""case when {_STAMP} = 'ayer' then null
+    when {_STAMP} like '%-03:00' then strptime(left({_STAMP}, 19), '%Y-%m-%dT%H:%M:%S') + interval 3 hour
+    else strptime(left({_STAMP}, 19), '%Y-%m-%dT%H:%M:%S') end"""
+
+
+def _text_date(column: str) -> str:
+    # An underscore is part of a word, so a date right after it is not free-standing.
+    return f"try_cast(nullif(regexp_extract({column}, '(^|[^A-Za-z0-9_])(20[0-9]{{2}}-[0-9]{{2}}-[0-9]{{2}})', 2), '') as date)"
+
+
+_DATED = f"""(select *, {_INSTANT} as momento, {_text_date('name')} as fecha_nombre,
+    coalesce({_text_date('name')}, {_text_date('url')}, cast({_INSTANT} as date)) as fecha
+    from {_NORMAL} where (lower(format) = 'zip' or lower(url) like '%.zip') and url <> '') d"""
+_NEWEST = "order by momento desc nulls last, fecha_nombre desc nulls last, posicion"
+_DAY = "2000-02-10"
+
+
+def _normal(c: Context) -> DataFrame:
+    return k.normalized(c.resources)
+
+
+check("k1_recursos_normalizados", _normal, f"select * from {_NORMAL}", f"posicion {_RESOURCE}")
+check(
+    "k2_recursos_zip",
+    lambda c: _normal(c).where(k.is_zip() & (F.col("url") != "")).select(*_RESOURCE.split()),
+    f"select * from {_NORMAL} where (lower(format) = 'zip' or lower(url) like '%.zip') and url <> ''",
+    _RESOURCE,
+)
+check(
+    "k3_fecha_de_recurso",
+    lambda c: k.dated(_normal(c)).select("id", "fecha", "fecha_nombre"),
+    f"select * from {_DATED}",
+    "id fecha fecha_nombre",
+)
+check("k4_ultimo_recurso", lambda c: k.latest(_normal(c)), f"select * from {_DATED} {_NEWEST} limit 1", _RESOURCE)
+check(
+    "k5_recurso_de_fecha",
+    lambda c: k.for_date(_normal(c), _DAY),
+    f"select * from {_DATED} where fecha = date '{_DAY}' {_NEWEST} limit 1",
+    _RESOURCE,
+)
+
+
+def _per_date(where: str) -> str:
+    return f"select * from {_DATED} where {where} qualify row_number() over (partition by fecha {_NEWEST}) = 1"
+
+
+check(
+    "k6_recursos_entre_fechas",
+    lambda c: k.between_dates(_normal(c), "1998-01-01", "1999-12-31"),
+    _per_date("fecha >= date '1998-01-01' and fecha <= date '1999-12-31'"),
+    f"fecha {_RESOURCE}",
+)
+check(
+    "k7_recursos_recientes",
+    lambda c: k.recent(_normal(c), 30),
+    _per_date(f"fecha > (select max(fecha) from {_DATED}) - 30"),
+    f"fecha {_RESOURCE}",
+)
+check(
+    "k7_recursos_recientes_hasta",
+    lambda c: k.recent(_normal(c), 365, _DAY),
+    _per_date(f"fecha > date '{_DAY}' - 365 and fecha <= date '{_DAY}'"),
+    f"fecha {_RESOURCE}",
+)
+check(
+    "k8_fechas_disponibles",
+    lambda c: k.available_dates(_normal(c)),
+    f"select distinct fecha from {_DATED} where fecha is not null",
+    "fecha",
+)
+
+
+# --- archives written from the price view, read back, inspected and loaded
+
+
+def _texts_of(frame: DataFrame) -> DataFrame:
+    return cleaning.clean(frame, TABLES[FACT])
+
+
+_SUMS = "registros con_precio productos suma_precio"
+_TOTALS_SQL = """count(*) as registros, count(productos_precio_lista) as con_precio,
+    count(distinct id_producto) as productos, cast(sum(cast(productos_precio_lista as decimal(18,2))) as varchar)
+    as suma_precio"""
+
+
+def _totals(frame: DataFrame, *keys: str) -> DataFrame:
+    return frame.groupBy(*keys).agg(
+        F.count("*").alias("registros"),
+        F.count("productos_precio_lista").alias("con_precio"),
+        F.count_distinct("id_producto").alias("productos"),
+        F.sum(F.col("productos_precio_lista").cast("decimal(18,2)")).cast("string").alias("suma_precio"),
+    )
+
+
+check(
+    "s1_s2_s3_lectura_de_archivos",
+    lambda c: _totals(_texts_of(c.scan(LOAD, "productos.csv")), DATE, "id_comercio", "id_bandera"),
+    f"select fecha_publicacion, id_comercio, id_bandera, {_TOTALS_SQL} from fact_precios group by all",
+    f"fecha_publicacion id_comercio id_bandera {_SUMS}",
+)
+check(
+    "s4_fecha_forzada",
+    lambda c: _totals(cleaning.clean(c.scan(LOAD, "productos.csv"), TABLES[FACT], "2026-05-23"), DATE),
+    f"select date '2026-05-23' as fecha_publicacion, {_TOTALS_SQL} from fact_precios group by all",
+    f"fecha_publicacion {_SUMS}",
+)
+
+
+def _exported(c: Context, how: str) -> DataFrame:
+    warehouse = c.new_warehouse()
+    table = "mart_productos_comparables"
+    warehouse.replace(table, c.sources.comparables, by_date=True)
+    folder = run_folder(c.spark, "exportado")
+    export(warehouse, table, folder)
+    if how == "csv":
+        schema = c.sources.comparables.schema
+        return c.spark.read.schema(schema).option("header", True).csv(f"{folder}/{table}.csv")
+    return c.spark.read.parquet(f"{folder}/{table}.parquet")
+
+
+for _how in ("csv", "parquet"):
+    check(
+        {"csv": "s5_exportacion_csv", "parquet": "s6_exportacion_parquet"}[_how],
+        lambda c, h=_how: _exported(c, h),
+        "select * from mart_productos_comparables",
+        _mart["mart_productos_comparables"],
+    )
+
+
+def _base_warehouse(c: Context) -> Warehouse:
+    """A warehouse whose base tables are the views, appended column by column name."""
+    warehouse = c.new_warehouse()
+    warehouse.create_base()
+    base = c.sources.base
+    for table, frame in ((CHAINS, base.comercios), (BRANCHES, base.sucursales), (FACT, base.precios)):
+        missing = {f.name: F.lit(None).cast(f.dataType) for f in TABLES[table].schema if f.name not in frame.columns}
+        warehouse.append(table, frame.withColumns(missing))
+    return warehouse
+
+
+def _full_build(c: Context) -> DataFrame:
+    warehouse = _base_warehouse(c)
+    rows = build_marts(warehouse, keywords=KEYWORDS)
+    written = [
+        warehouse.read(name).groupBy().agg(F.lit(name).alias("mart"), F.count("*").alias("filas")) for name in rows
+    ]
+    result = written[0]
+    for frame in written[1:]:
+        result = result.unionByName(frame)
+    return result
+
+
+check(
+    "s7_s8_s11_construccion_de_marts",
+    _full_build,
+    " union all ".join(f"select '{m}' as mart, count(*) as filas from {m}" for m in MARTS),
+    "mart filas",
+)
+
+
+def _one_mart(c: Context) -> DataFrame:
+    """Only the variation mart: its dependency is rebuilt first, both are read back from disk."""
+    warehouse = _base_warehouse(c)
+    build_marts(warehouse, only="mart_variacion_productos")
+    return warehouse.read("mart_variacion_productos")
+
+
+check(
+    "s11_un_mart_con_dependencias",
+    _one_mart,
+    "select * from mart_variacion_productos",
+    _mart["mart_variacion_productos"],
+)
+
+
+def _missing_tables(c: Context) -> DataFrame:
+    warehouse = c.new_warehouse()
+    warehouse.replace("mart_calidad_precios", c.mart("calidad_precios"))
+    present = [t for t in (*TABLES, "mart_calidad_precios") if not warehouse.missing([t])]
+    return warehouse.read("mart_calidad_precios").select(DATE, F.lit(", ".join(present)).alias("presentes"))
+
+
+check(
+    "s9_tablas_requeridas",
+    _missing_tables,
+    "select fecha_publicacion, 'mart_calidad_precios' as presentes from mart_calidad_precios",
+    "fecha_publicacion presentes",
+)
+
+
+def _file_reports(c: Context) -> DataFrame:
+    return inspection.file_reports(c.scan(INSPECT))
+
+
+_PUBLISHED = """(select fecha_publicacion, 'productos.csv' as csv, count(*) as filas from fact_precios group by all) p"""
+check(
+    "q1_reportes_por_archivo",
+    lambda c: _file_reports(c)
+    .where(F.col("csv") == "productos.csv")
+    .groupBy(cleaning.publication_date(F.col("archivo_origen")).alias(DATE), "csv")
+    .agg(
+        F.min("present").alias("present"),
+        F.max("empty").alias("empty"),
+        F.min("header_ok").alias("header_ok"),
+        F.sum("rows_total").alias("rows_total"),
+        F.sum("rows_valid").alias("rows_valid"),
+        F.sum("rows_invalid").alias("rows_invalid"),
+        F.sum("footer_rows_removed").alias("footer_rows_removed"),
+        F.count("error").alias("errores"),
+    ),
+    f"""select fecha_publicacion, csv, true as present, false as empty, true as header_ok, filas as rows_total,
+    filas as rows_valid, cast(0 as bigint) as rows_invalid, cast(0 as bigint) as footer_rows_removed,
+    cast(0 as bigint) as errores from {_PUBLISHED}""",
+    "fecha_publicacion csv present empty header_ok rows_total rows_valid rows_invalid footer_rows_removed errores",
+)
+# How many members there are depends on the partitions; that none is broken does not.
+check(
+    "q2_miembros_por_archivo",
+    lambda c: inspection.member_counts(c.scan(HEADERS))
+    .groupBy()
+    .agg(
+        F.sum(F.col("inner_zips_total") - F.col("inner_zips_valid")).alias("ilegibles"),
+        F.sum("inner_zips_empty").alias("vacios"),
+        F.sum("inner_zips_corrupt").alias("corruptos"),
+    ),
+    "select cast(0 as bigint) as ilegibles, cast(0 as bigint) as vacios, cast(0 as bigint) as corruptos from region limit 1",
+    "ilegibles vacios corruptos",
+)
+_FILE_TOTALS = """select 'productos.csv' as csv, count(*) as rows, cast(0 as bigint) as invalid_rows,
+    cast(0 as bigint) as footer_rows_removed from fact_precios"""
+
+
+def _price_file(totals: DataFrame) -> DataFrame:
+    return totals.where(F.col("csv") == "productos.csv").select("csv", "rows", "invalid_rows", "footer_rows_removed")
+
+
+check(
+    "q3_totales_por_archivo",
+    lambda c: _price_file(inspection.totals_by_file(_file_reports(c))),
+    _FILE_TOTALS,
+    "csv rows invalid_rows footer_rows_removed",
+)
+check(
+    "q4_errores_de_inspeccion",
+    lambda c: inspection.problems(_file_reports(c), c.scan(HEADERS)).groupBy().agg(F.count("*").alias("errores")),
+    "select cast(count(*) - count(*) as bigint) as errores from fact_precios",
+    "errores",
+)
+check(
+    "s10_resumen_de_inspeccion",
+    lambda c: _price_file(inspect_archives(c.spark, c.archives)["totales"]),
+    _FILE_TOTALS,
+    "csv rows invalid_rows footer_rows_removed",
+)
+
+check(
+    "i2_fechas_ofrecidas",
+    lambda c: ingest.offered_dates(c.scan(MEMBERS)).select("fecha").distinct(),
+    "select distinct fecha_publicacion as fecha from fact_precios",
+    "fecha",
+)
+
+
+def _loaded(c: Context) -> Warehouse:
+    warehouse = c.new_warehouse()
+    ingest.load_archives(warehouse, c.forced_entries())
+    return warehouse
+
+
+def _control(warehouse: Warehouse) -> DataFrame:
+    """Loads per state with their rows and errors."""
+    return (
+        ingest.control_table(warehouse)
+        .groupBy("estado", "modo_carga")
+        .agg(F.sum("filas_fact_precios").alias("filas"), F.sum("errores").alias("errores"))
+    )
+
+
+def _first_load(c: Context) -> DataFrame:
+    return _totals(_loaded(c).read(FACT), "id_comercio", "id_bandera")
+
+
+def _loaded_dates(c: Context) -> DataFrame:
+    warehouse = _base_warehouse(c)
+    return c.spark.createDataFrame([(day,) for day in warehouse.dates(FACT)], f"{DATE} date")
+
+
+def _second_load(c: Context) -> DataFrame:
+    """The same archives twice: the second time every date is there already."""
+    warehouse = _loaded(c)
+    ingest.load_archives(warehouse, c.forced_entries())
+    return _control(warehouse)
+
+
+def _reload(c: Context) -> DataFrame:
+    """The same archives again, emptying their dates first: totals stay as they are."""
+    warehouse = _loaded(c)
+    ingest.load_archives(warehouse, c.forced_entries(), reload_existing=True)
+    return _totals(warehouse.read(FACT), "id_comercio", "id_bandera")
+
+
+def _replace(c: Context) -> DataFrame:
+    """A replacing load over a loaded warehouse starts tables and control anew."""
+    warehouse = _loaded(c)
+    ingest.load_archives(warehouse, c.forced_entries(), mode=ingest.REPLACE)
+    return _control(warehouse).groupBy("estado").agg(F.sum("filas").alias("filas"), F.sum("errores").alias("errores"))
+
+
+_BY_BANNER = f"select id_comercio, id_bandera, {_TOTALS_SQL} from fact_precios group by all"
+_STATES = "estado modo_carga filas errores"
+
+
+def _states(*rows: tuple[str, str]) -> str:
+    return " union all ".join(
+        f"select '{state}' as estado, 'append' as modo_carga, {n} as filas, cast(0 as bigint) as errores from fact_precios"
+        for state, n in rows
+    )
+
+
+check(
+    "i1_fechas_cargadas",
+    _loaded_dates,
+    "select distinct fecha_publicacion from fact_precios",
+    "fecha_publicacion",
+)
+check("i6_i10_carga_de_archivos", _first_load, _BY_BANNER, f"id_comercio id_bandera {_SUMS}")
+check(
+    "i3_i7_i8_i9_carga_repetida",
+    _second_load,
+    _states(("success", "count(*)"), ("skipped", "count(*) - count(*)")),
+    _STATES,
+)
+check("i4_recarga_de_fechas", _reload, _BY_BANNER, f"id_comercio id_bandera {_SUMS}")
+check(
+    "i5_reemplazo",
+    _replace,
+    "select 'success' as estado, count(*) as filas, cast(0 as bigint) as errores from fact_precios",
+    "estado filas errores",
+)
+
+
+# --- result shaping
+
+_LABELLED = {
+    "fecha_publicacion": "Fecha",
+    "id_producto": "ID producto",
+    "productos_descripcion": "Producto",
+    "productos_marca": "Marca",
+    "productos_cantidad_presentacion": "Presentación",
+    "productos_unidad_medida_presentacion": "Unidad",
+    "precio_promedio_actual": "Precio promedio actual",
+    "variacion_porcentual": "Variación %",
+    "cantidad_registros_actual": "Registros actuales",
+}
+
+
+def _display(c: Context) -> DataFrame:
+    shown = c.mart("variacion_productos").select(*_LABELLED)
+    doubles = ("precio_promedio_actual", "variacion_porcentual")
+    return display.for_display(shown.withColumns({n: F.col(n) + NUDGE for n in doubles}))
+
+
+CHECKS["f1_columnas_de_pantalla"] = Check(
+    "f1_columnas_de_pantalla",
+    _display,
+    f"""select {', '.join(f'{n} as "{label}"' for n, label in _LABELLED.items())} from (
+    {compose('select * from mart_variacion_productos', ' '.join(_LABELLED), KEYWORDS)}) mostrado""",
+)
+
+
+def _formatted(column, name):
+    return lambda c: views.view(c.spark, c.sf_dir, "select o_orderkey, o_totalprice, o_orderstatus from {orders}").select(
+        "o_orderkey", column(F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice"))).alias(name)
+    )
+
+
+def _format_sql(pattern: str, swap: str) -> str:
+    return f"""select o_orderkey, case when o_orderstatus <> 'P' then translate({pattern}, {swap}) else '-' end as texto
+    from orders"""
+
+
+check(
+    "f2_formato_entero",
+    _formatted(display.integer_text, "texto"),
+    _format_sql("format('{:,}', cast(trunc(o_totalprice) as bigint))", "',', '.'"),
+    "o_orderkey texto",
+)
+check(
+    "f3_formato_moneda",
+    _formatted(display.currency_text, "texto"),
+    _format_sql("format('${:,.2f}', o_totalprice)", "',.', '.,'"),
+    "o_orderkey texto",
+)
+check(
+    "f4_formato_porcentaje",
+    _formatted(display.percentage_text, "texto"),
+    _format_sql("format('{:,.2f}%', o_totalprice)", "',.', '.,'"),
+    "o_orderkey texto",
+)
+check(
+    "f5_f7_barras_ordenadas",
+    lambda c: display.ranked_bars(
+        display.chart_rows(
+            d.pair_changes(c.mart("variacion_productos"), START, END, True, MIN_ROWS),
+            [F.desc("variacion_porcentual"), F.desc("cantidad_registros_actual"), F.asc("productos_descripcion")],
+        ),
+        "variacion_porcentual",
+    ).select("producto", "variacion_porcentual"),
+    f"""select left(coalesce(productos_descripcion, ''), 58) || ' | ' || coalesce(productos_marca, 'S/M') as producto,
+    variacion_porcentual from ({_changes_sql(True, _PAIR, 20)}) subas""",
+    "producto variacion_porcentual",
+)
+check(
+    "f6_opciones_de_producto",
+    lambda c: display.candidate_option(d.product_candidates(c.mart("evolucion_productos"), TEXT)).select(
+        "id_producto", "opcion"
+    ),
+    f"""select id_producto, coalesce(productos_descripcion, '') || ' | ' || coalesce(productos_marca, 'S/M') || ' | '
+    || cast(productos_cantidad_presentacion as varchar) || ' ' || coalesce(productos_unidad_medida_presentacion, '')
+    || ' | fechas: ' || cast(fechas_disponibles as varchar) as opcion
+    from (select {_CANDIDATE} from mart_evolucion_productos {_candidates_sql('')}) candidatos""",
+    "id_producto opcion",
+)

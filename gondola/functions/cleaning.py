@@ -50,13 +50,19 @@ def is_identifier(column: Column) -> Column:
 
 
 def text_or_null(column: Column) -> Column:
-    value = stripped(column)
-    return F.when(~value.isin(*MISSING), value)
+    return _present(stripped(column))
 
 
 def number_or_null(column: Column) -> Column:
     """Decimal text to double; a comma makes it the decimal mark and drops all dots before it."""
-    value = stripped(column)
+    return _number(stripped(column))
+
+
+def _present(value: Column) -> Column:
+    return F.when(~value.isin(*MISSING), value)
+
+
+def _number(value: Column) -> Column:
     plain = F.when(F.contains(value, F.lit(",")), F.translate(value, ",.", ".")).otherwise(value)
     # The guard refuses what a cast would take for a number, such as '1d' or '1f'.
     return F.when(plain.rlike(_NUMBER), plain.try_cast("double"))
@@ -81,27 +87,28 @@ def clean(rows: DataFrame, spec: TableSpec, forced: date | str | Column | None =
     stands for all three.
     """
     fields = F.col("campos")
-    value = {name: F.get(fields, F.lit(i)) for i, name in enumerate(spec.header)}
+    first = spec.header[0]
+    # Stripped once in a projection of their own, the values are plain references below.
+    values = (
+        rows.where((F.col("csv") == spec.csv) & (F.col("tipo") == "fila"))
+        .where(has_size(fields, len(spec.header)) & is_identifier(F.get(fields, F.lit(0))))
+        .select(
+            *[stripped(F.get(fields, F.lit(i))).alias(c) for i, c in enumerate(spec.header) if c in spec.output],
+            publication_date(F.col("archivo_origen"), forced).alias(DATE),
+            "archivo_origen",
+            # The archive path stays with the rows while they are counted; writers drop it.
+            *[c for c in rows.columns if c == "zip"],
+        )
+    )
 
     def output(name: str) -> Column:
-        if name == DATE:
-            return publication_date(F.col("archivo_origen"), forced)
-        if name not in value:
-            return F.col(name)
-        text = text_or_null(value[name])
+        value = F.col(name)
         if name in spec.numeric:
-            return number_or_null(text)
-        return timestamp_or_null(text) if name in spec.timestamps else text
-
-    return (
-        rows.where(F.col("csv") == spec.csv)
-        .where(F.col("tipo") == "fila")
-        .where(has_size(fields, len(spec.header)))
-        .where(is_identifier(value[spec.header[0]]))
-        .select(*[output(name).alias(name) for name in spec.output], *_carried(rows))
-    )
+            return _number(value)
+        if name in spec.timestamps:
+            return timestamp_or_null(value)
+        return _present(value) if name in spec.header and name != first else value
 
-
-def _carried(rows: DataFrame) -> list[Column]:
-    """The archive path stays with the rows while they are counted; writers drop it."""
-    return [F.col("zip")] if "zip" in rows.columns else []
+    return values.withColumns({name: output(name) for name in spec.output}).select(
+        *spec.output, *[c for c in rows.columns if c == "zip"]
+    )

@@ -63,8 +63,15 @@ class Archive:
 # --- control table: events are appended, the latest one per load is its state
 
 
-def _record(warehouse: Warehouse, archive: Archive, state: str, started: datetime, **values) -> None:
-    row = {
+def _record(warehouse: Warehouse, events: Sequence[dict]) -> None:
+    """Append control events; fields an event does not mention are NULL."""
+    rows = [tuple(event.get(f.name) for f in CONTROL_SCHEMA) for event in events]
+    frame = warehouse.spark.createDataFrame(rows, CONTROL_SCHEMA)
+    frame.coalesce(1).write.mode("append").parquet(warehouse.path(CONTROL))
+
+
+def _event(archive: Archive, state: str, started: datetime, **values) -> dict:
+    return {
         "id_ingesta": archive.id,
         "started_at": started,
         "zip_path": archive.path,
@@ -75,8 +82,6 @@ def _record(warehouse: Warehouse, archive: Archive, state: str, started: datetim
         "errores": 0,
         **values,
     }
-    event = warehouse.spark.createDataFrame([tuple(row.get(f.name) for f in CONTROL_SCHEMA)], CONTROL_SCHEMA)
-    event.coalesce(1).write.mode("append").parquet(warehouse.path(CONTROL))
 
 
 def control_table(warehouse: Warehouse) -> DataFrame:
@@ -182,8 +187,7 @@ def _load(warehouse: Warehouse, run: list[Archive], reload_existing: bool) -> No
     if replace:
         empty = warehouse.spark.createDataFrame([], CONTROL_SCHEMA)
         empty.write.mode("overwrite").parquet(warehouse.path(CONTROL))
-    for archive in run:
-        _record(warehouse, archive, RUNNING, started)
+    _record(warehouse, [_event(archive, RUNNING, started) for archive in run])
 
     skipped: set[str] = set()
     try:
@@ -199,17 +203,21 @@ def _load(warehouse: Warehouse, run: list[Archive], reload_existing: bool) -> No
         _finish(warehouse, run, loaded, broken, started)
     except Exception as problem:
         text = str(problem) if isinstance(problem, UnreadableArchive) else f"{type(problem).__name__}: {problem}"
-        for archive in run:
-            _record(
-                warehouse,
-                archive,
-                FAILED,
-                started,
-                finished_at=datetime.now(timezone.utc),
-                fechas_publicacion=json.dumps(sorted(skipped & archive.dates)),
-                errores=1,
-                detalle=json.dumps({"detalle": None, "errores": [text]}),
-            )
+        _record(
+            warehouse,
+            [
+                _event(
+                    archive,
+                    FAILED,
+                    started,
+                    finished_at=datetime.now(timezone.utc),
+                    fechas_publicacion=json.dumps(sorted(skipped & archive.dates)),
+                    errores=1,
+                    detalle=json.dumps({"detalle": None, "errores": [text]}),
+                )
+                for archive in run
+            ],
+        )
         raise
 
 
@@ -300,6 +308,7 @@ def _finish(warehouse: Warehouse, run: list[Archive], loaded: set[str], broken:
     for row in processed_dates(notes, forced_dates(run)).collect():
         dates.setdefault(row["zip"], []).append(row["fecha"].isoformat())
 
+    events = []
     for archive in run:
         count = totals.get(archive.path, 0)
         skipped = archive.dates & loaded
@@ -308,13 +317,15 @@ def _finish(warehouse: Warehouse, run: list[Archive], loaded: set[str], broken:
             "detalle": ALREADY_LOADED if state == SKIPPED else None,
             "errores": messages.get(archive.path, []),
         }
-        _record(
-            warehouse,
-            archive,
-            state,
-            started,
-            finished_at=datetime.now(timezone.utc),
-            fechas_publicacion=json.dumps(sorted(skipped | set(dates.get(archive.path, ())))),
-            errores=count,
-            detalle=json.dumps(detail),
+        events.append(
+            _event(
+                archive,
+                state,
+                started,
+                finished_at=datetime.now(timezone.utc),
+                fechas_publicacion=json.dumps(sorted(skipped | set(dates.get(archive.path, ())))),
+                errores=count,
+                detalle=json.dumps(detail),
+            )
         )
+    _record(warehouse, events)

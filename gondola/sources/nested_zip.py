@@ -83,11 +83,15 @@ def date_in_name(name: str) -> str | None:
         return None
 
 
-def open_archive(path: str):
+def file_system(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path and the path within it."""
     if "://" in path:
-        system, inner = fs.FileSystem.from_uri(path)
-    else:
-        system, inner = fs.LocalFileSystem(), path.removeprefix("file:")
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), path.removeprefix("file:")
+
+
+def open_archive(path: str):
+    system, inner = file_system(path)
     return system.open_input_file(inner)
 
 
@@ -138,7 +142,9 @@ class NestedZipReader(DataSourceReader):
                     parts.append(MemberPartition(archive["path"], name, order))
         return parts
 
-    def read(self, part: MemberPartition) -> Iterator[pa.RecordBatch]:
+    def read(self, part: MemberPartition | None) -> Iterator[pa.RecordBatch]:
+        if part is None:  # Spark's stand-in when there is nothing to read
+            return
         if self.mode == MEMBERS:
             yield from self._names(part)
             return

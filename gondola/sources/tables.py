@@ -9,12 +9,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.errors import AnalysisException
+from pyarrow import fs
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gondola.schemas import BRANCHES, CHAINS, DATE, FACT, TABLES, BaseTables
+from gondola.sources.nested_zip import file_system
 
 REQUIRED_TABLES = tuple(TABLES)
 #: Upper bound of rows per written file, so that one large member does not become one huge file.
@@ -42,13 +42,8 @@ class Warehouse:
         return frame.select(DATE, *[c for c in frame.columns if c != DATE])
 
     def exists(self, table: str) -> bool:
-        try:
-            self.spark.read.schema("x int").parquet(self.path(table))
-            return True
-        except AnalysisException as problem:
-            if problem.getCondition() == "PATH_NOT_FOUND":
-                return False
-            raise
+        system, inner = file_system(self.path(table))
+        return system.get_file_info(inner).type == fs.FileType.Directory
 
     def missing(self, tables: Iterable[str] = REQUIRED_TABLES) -> list[str]:
         return sorted(t for t in set(tables) if not self.exists(t))
@@ -110,15 +105,15 @@ class Warehouse:
         return sorted(row[0] for row in found.collect())
 
     def drop_dates(self, table: str, dates: Iterable[date]) -> None:
-        """Empty the partitions of some dates, whether or not new rows follow.
+        """Remove the partitions of some dates, whether or not new rows follow.
 
-        A dynamic overwrite would leave dates without new rows untouched, so each existing partition
-        is overwritten with nothing.
+        A dynamic overwrite would leave dates without new rows untouched.
         """
-        schema = T.StructType([f for f in TABLES[table].schema if f.name != DATE])
-        for day in sorted(set(dates) & set(self.dates(table))):
-            empty = self.spark.createDataFrame([], schema)
-            empty.coalesce(1).write.mode("overwrite").parquet(f"{self.path(table)}/{DATE}={day}")
+        system, inner = file_system(self.path(table))
+        for day in sorted(set(dates)):
+            partition = f"{inner}/{DATE}={day}"
+            if system.get_file_info(partition).type == fs.FileType.Directory:
+                system.delete_dir(partition)
 
 
 def export_csv(frame: DataFrame, path: str) -> None:
