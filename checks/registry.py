@@ -113,7 +113,7 @@ check(
 )
 check(
     "a2_resumen_productos",
-    lambda c: q.product_summary(c.sources.by_banner, c.sources.base.precios),
+    lambda c: q.product_summary(c.sources.comparables, c.sources.by_banner, c.sources.base.precios),
     saved_sql("a2"),
     _mart["mart_resumen_productos"],
 )
@@ -137,7 +137,7 @@ check(
 )
 check(
     "a6_mayor_dispersion",
-    lambda c: q.widest_spread(c.sources.by_banner),
+    lambda c: q.widest_spread(c.sources.comparables, c.sources.by_banner),
     saved_sql("a6"),
     _mart["mart_productos_mayor_dispersion"],
 )
@@ -823,11 +823,11 @@ check(
 def _exported(c: Context, how: str) -> DataFrame:
     warehouse = c.new_warehouse()
     table = "mart_productos_comparables"
-    warehouse.replace(table, c.sources.comparables, by_date=True)
+    warehouse.replace(table, c.mart("productos_comparables"), by_date=True)
     folder = run_folder(c.spark, "exportado")
     export(warehouse, table, folder)
     if how == "csv":
-        schema = c.sources.comparables.schema
+        schema = c.mart("productos_comparables").schema
         return c.spark.read.schema(schema).option("header", True).csv(f"{folder}/{table}.csv")
     return c.spark.read.parquet(f"{folder}/{table}.parquet")
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gondola.functions.columns import percent_change
+from gondola.functions.columns import null_safe_join, percent_change
 from gondola.schemas import BANNER_KEY, BRANCH_KEY, COMPARABLE_PRODUCT, DATE, PRICE, PRODUCT_KEY, REFERENCE_PRICE
 
 
@@ -28,7 +28,7 @@ def branch_activity(prices: DataFrame) -> DataFrame:
 
 
 def product_by_banner(prices: DataFrame) -> DataFrame:
-    """One row per date, banner and product.
+    """One row per date, banner and product: where a product is sold.
 
     Branches belong to one banner, so the distinct branches of a product are the sum of its distinct
     branches over banners. That leaves a single distinct aggregate here (no row expansion) and none of
@@ -38,12 +38,7 @@ def product_by_banner(prices: DataFrame) -> DataFrame:
     price, branch = F.col(PRICE), F.col("id_sucursal")
     priced = price.isNotNull()
     return prices.groupBy(*BANNER_KEY, "id_producto").agg(
-        F.min(F.when(priced, F.col("productos_descripcion"))).alias("productos_descripcion"),
-        F.min(F.when(priced, F.col("productos_marca"))).alias("productos_marca"),
         F.count(price).alias("filas_con_precio"),
-        F.sum(price).alias("suma_precio"),
-        F.min(price).alias("precio_minimo"),
-        F.max(price).alias("precio_maximo"),
         F.count_distinct(F.when(priced, branch)).alias("sucursales"),
         F.max(F.when(priced & branch.isNull(), 1).otherwise(0)).alias("sucursal_nula"),
     )
@@ -82,29 +77,41 @@ def spread_columns() -> list[Column]:
     ]
 
 
-def price_range_by(prices: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows, minimum, maximum and averages of the priced rows per key."""
+def comparable_products(prices: DataFrame) -> DataFrame:
+    """Price statistics per date and comparable product, from the priced rows.
+
+    ``suma_precio`` lets averages be rolled up further. Texts are keys here and never aggregated: a
+    MIN over text would turn the hash aggregation of all prices into a sort.
+    """
     price = F.col(PRICE)
     return (
         prices.where(price.isNotNull())
-        .groupBy(*keys)
+        .groupBy(DATE, *COMPARABLE_PRODUCT)
         .agg(
             F.count("*").alias("cantidad_registros"),
             F.min(price).alias("precio_minimo"),
             F.max(price).alias("precio_maximo"),
-            F.avg(price).alias("precio_promedio"),
+            F.sum(price).alias("suma_precio"),
             F.avg(REFERENCE_PRICE).alias("precio_referencia_promedio"),
         )
+        .withColumn("precio_promedio", F.col("suma_precio") / F.col("cantidad_registros"))
     )
 
 
-def comparable_products(prices: DataFrame) -> DataFrame:
-    """Price statistics per date and comparable product."""
-    return price_range_by(prices, [DATE, *COMPARABLE_PRODUCT]).select("*", *spread_columns())
+def product_ranges(comparables: DataFrame) -> DataFrame:
+    """Price range per date and product, rolled up from :func:`comparable_products`."""
+    return comparables.groupBy(*PRODUCT_KEY).agg(
+        F.min("productos_descripcion").alias("productos_descripcion"),
+        F.min("productos_marca").alias("productos_marca"),
+        F.sum("cantidad_registros").alias("cantidad_registros"),
+        F.min("precio_minimo").alias("precio_minimo"),
+        F.max("precio_maximo").alias("precio_maximo"),
+        (F.sum("suma_precio") / F.sum("cantidad_registros")).alias("precio_promedio"),
+    )
 
 
-def product_statistics(by_banner: DataFrame, null_ids_count: bool = True) -> DataFrame:
-    """Coverage and spread per date and product, rolled up from :func:`product_by_banner`.
+def product_coverage(by_banner: DataFrame, null_ids_count: bool = True) -> DataFrame:
+    """Chains and branches per date and product, rolled up from :func:`product_by_banner`.
 
     ``null_ids_count`` chooses how a branch key with a NULL part is counted: as a branch of its own
     (marts) or not at all (saved queries, which concatenate the key).
@@ -113,20 +120,20 @@ def product_statistics(by_banner: DataFrame, null_ids_count: bool = True) -> Dat
         branches = F.col("sucursales") + F.col("sucursal_nula")
     else:
         branches = F.when(F.col("id_comercio").isNotNull() & F.col("id_bandera").isNotNull(), F.col("sucursales"))
-    stats = (
+    return (
         by_banner.where(F.col("filas_con_precio") > 0)
         .groupBy(*PRODUCT_KEY)
         .agg(
-            F.min("productos_descripcion").alias("productos_descripcion"),
-            F.min("productos_marca").alias("productos_marca"),
-            F.sum("filas_con_precio").alias("cantidad_registros"),
             F.count_distinct("id_comercio").alias("cantidad_comercios"),
             F.coalesce(F.sum(branches), F.lit(0)).alias("cantidad_sucursales"),
-            F.min("precio_minimo").alias("precio_minimo"),
-            F.max("precio_maximo").alias("precio_maximo"),
-            (F.sum("suma_precio") / F.sum("filas_con_precio")).alias("precio_promedio"),
         )
     )
+
+
+def product_statistics(comparables: DataFrame, by_banner: DataFrame, null_ids_count: bool = True) -> DataFrame:
+    """Coverage, range and spread per date and product."""
+    coverage = product_coverage(by_banner, null_ids_count)
+    stats = null_safe_join(product_ranges(comparables), coverage, PRODUCT_KEY, "inner")
     return stats.select("*", *spread_columns())
 
 

@@ -73,14 +73,14 @@ MARTS: dict[str, Callable[[MartSources], DataFrame]] = {
     "mart_resumen_general": lambda s: marts.resumen_general(s.activity, s.by_banner, s.places),
     "mart_evolucion_productos": lambda s: marts.evolucion_productos(s.comparables),
     "mart_variacion_productos": lambda s: marts.variacion_productos(s.mart("mart_evolucion_productos")),
-    "mart_resumen_productos": lambda s: marts.resumen_productos(s.by_banner, s.base.precios),
+    "mart_resumen_productos": lambda s: marts.resumen_productos(s.comparables, s.by_banner, s.base.precios),
     "mart_precios_por_comercio": lambda s: marts.precios_por_comercio(s.activity, s.by_banner, s.names),
     "mart_precios_por_ubicacion": lambda s: marts.precios_por_ubicacion(s.activity, s.base.precios, s.places),
     "mart_promociones": lambda s: marts.promociones(s.base.precios),
-    "mart_productos_mayor_dispersion": lambda s: marts.productos_mayor_dispersion(s.by_banner),
+    "mart_productos_mayor_dispersion": lambda s: marts.productos_mayor_dispersion(s.comparables, s.by_banner),
     "mart_sucursales_geografia": lambda s: marts.sucursales_geografia(s.base.sucursales, s.base.comercios),
     "mart_calidad_precios": lambda s: marts.calidad_precios(s.activity),
-    "mart_productos_comparables": lambda s: s.comparables,
+    "mart_productos_comparables": lambda s: marts.productos_comparables(s.comparables),
     "mart_precios_sospechosos": lambda s: marts.precios_sospechosos(s.base.precios),
     "mart_canasta_basica_candidatos": lambda s: marts.canasta_basica_candidatos(
         s.mart("mart_evolucion_productos"), s.keywords

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gondola.functions.columns import filled, mean, null_safe_join, nulls_last
-from gondola.operators.aggregates import median_price, product_statistics, times
+from gondola.operators.aggregates import median_price, product_statistics, spread_columns, times
 from gondola.operators.topk import top_rows
 from gondola.operators.variation import against_previous_date
 from gondola.schemas import (
@@ -35,6 +35,16 @@ HIGH_PRICE = 100_000
 SUSPICIOUS_ROWS = 10_000
 MIN_DISPERSION_ROWS = 20
 
+_EVOLUTION = [
+    DATE,
+    *COMPARABLE_PRODUCT,
+    "cantidad_registros",
+    "precio_minimo",
+    "precio_maximo",
+    "precio_promedio",
+    "precio_referencia_promedio",
+]
+
 
 def resumen_general(activity: DataFrame, by_banner: DataFrame, places: DataFrame) -> DataFrame:
     """Coverage and average price per date."""
@@ -67,9 +77,14 @@ def products_per_date(by_banner: DataFrame) -> DataFrame:
     return by_banner.groupBy(DATE).agg(F.count_distinct("id_producto").alias("cantidad_productos_unicos"))
 
 
+def productos_comparables(comparables: DataFrame) -> DataFrame:
+    """Price statistics and spread per date and comparable product."""
+    return comparables.select(*_EVOLUTION, *spread_columns())
+
+
 def evolucion_productos(comparables: DataFrame) -> DataFrame:
     """Price statistics per date and comparable product."""
-    return comparables.drop("diferencia_absoluta_max_min", "diferencia_porcentual_max_min")
+    return comparables.select(*_EVOLUTION)
 
 
 def variacion_productos(evolution: DataFrame) -> DataFrame:
@@ -77,9 +92,11 @@ def variacion_productos(evolution: DataFrame) -> DataFrame:
     return against_previous_date(evolution)
 
 
-def resumen_productos(by_banner: DataFrame, prices: DataFrame, null_ids_count: bool = True) -> DataFrame:
+def resumen_productos(
+    comparables: DataFrame, by_banner: DataFrame, prices: DataFrame, null_ids_count: bool = True
+) -> DataFrame:
     """Coverage, range, average, approximate median and spread per date and product."""
-    stats = product_statistics(by_banner, null_ids_count)
+    stats = product_statistics(comparables, by_banner, null_ids_count)
     return null_safe_join(stats, median_price(prices), PRODUCT_KEY, "inner").select(
         *PRODUCT_KEY,
         "productos_descripcion",
@@ -97,10 +114,26 @@ def resumen_productos(by_banner: DataFrame, prices: DataFrame, null_ids_count: b
 
 
 def productos_mayor_dispersion(
-    by_banner: DataFrame, min_rows: int = MIN_DISPERSION_ROWS, null_ids_count: bool = True
+    comparables: DataFrame,
+    by_banner: DataFrame,
+    min_rows: int = MIN_DISPERSION_ROWS,
+    null_ids_count: bool = True,
 ) -> DataFrame:
     """Products with enough rows to judge their price spread."""
-    return product_statistics(by_banner, null_ids_count).where(F.col("cantidad_registros") >= min_rows)
+    stats = product_statistics(comparables, by_banner, null_ids_count)
+    return stats.where(F.col("cantidad_registros") >= min_rows).select(
+        *PRODUCT_KEY,
+        "productos_descripcion",
+        "productos_marca",
+        "cantidad_registros",
+        "cantidad_comercios",
+        "cantidad_sucursales",
+        "precio_minimo",
+        "precio_maximo",
+        "precio_promedio",
+        "diferencia_absoluta_max_min",
+        "diferencia_porcentual_max_min",
+    )
 
 
 def precios_por_comercio(
@@ -177,8 +210,8 @@ def precios_por_ubicacion(
 def promociones(prices: DataFrame) -> DataFrame:
     """Promotional prices and legends per date and product.
 
-    Rows are first reduced to one per legend pair, so the list of distinct legends is built from few
-    rows and the averages from exact partial sums.
+    Rows are first reduced to one per product text and legend pair with a plain hash aggregation, so
+    the list of distinct legends is built from few rows.
     """
     promo = ["productos_precio_unitario_promo1", "productos_precio_unitario_promo2"]
     legends = ["productos_leyenda_promo1", "productos_leyenda_promo2"]
@@ -188,10 +221,8 @@ def promociones(prices: DataFrame) -> DataFrame:
         prices.where(
             F.col(promo[0]).isNotNull() | F.col(promo[1]).isNotNull() | filled(legends[0]) | filled(legends[1])
         )
-        .groupBy(*PRODUCT_KEY, *legends)
+        .groupBy(*PRODUCT_KEY, "productos_descripcion", "productos_marca", *legends)
         .agg(
-            F.min("productos_descripcion").alias("productos_descripcion"),
-            F.min("productos_marca").alias("productos_marca"),
             *[F.count(column).alias(f"n_{name}") for name, column in measures.items()],
             *[F.sum(column).alias(f"suma_{name}") for name, column in measures.items()],
         )

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gondola.functions.columns import contains_text, mean, nulls_last, percent_change
-from gondola.operators.aggregates import branch_places, price_range_by, times
+from gondola.operators.aggregates import branch_places, comparable_products, times
 from gondola.operators.topk import top_rows
 from gondola.plans import marts
 from gondola.schemas import (
@@ -52,8 +52,8 @@ def general_summary(activity: DataFrame, by_banner: DataFrame, places: DataFrame
     return marts.null_safe_join(coverage, products, [DATE], "inner").orderBy(*nulls_last([DATE]))
 
 
-def product_summary(by_banner: DataFrame, prices: DataFrame) -> DataFrame:
-    frame = marts.resumen_productos(by_banner, prices, null_ids_count=False)
+def product_summary(comparables: DataFrame, by_banner: DataFrame, prices: DataFrame) -> DataFrame:
+    frame = marts.resumen_productos(comparables, by_banner, prices, null_ids_count=False)
     return frame.orderBy(*nulls_last([DATE]), F.desc("cantidad_registros"))
 
 
@@ -73,8 +73,8 @@ def promoted_products(promotions: DataFrame) -> DataFrame:
     )
 
 
-def widest_spread(by_banner: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
-    frame = marts.productos_mayor_dispersion(by_banner, min_rows, null_ids_count=False)
+def widest_spread(comparables: DataFrame, by_banner: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
+    frame = marts.productos_mayor_dispersion(comparables, by_banner, min_rows, null_ids_count=False)
     return frame.orderBy(F.col("diferencia_absoluta_max_min").desc_nulls_last(), F.desc("cantidad_registros"))
 
 
@@ -141,12 +141,15 @@ def highest_prices(prices: DataFrame, limit: int = 100) -> DataFrame:
     """Products with the highest observed price; aggregated before sorting."""
     return (
         prices.where(F.col(PRICE).isNotNull())
+        # By text first: a hash aggregation, after which few rows are left for the MIN over texts.
+        .groupBy(*PRODUCT_KEY, "productos_descripcion", "productos_marca")
+        .agg(F.max(PRICE).alias("maximo"), F.count("*").alias("filas"))
         .groupBy(*PRODUCT_KEY)
         .agg(
             F.min("productos_descripcion").alias("productos_descripcion"),
             F.min("productos_marca").alias("productos_marca"),
-            F.max(PRICE).alias("precio_maximo"),
-            F.count("*").alias("cantidad_registros"),
+            F.max("maximo").alias("precio_maximo"),
+            F.sum("filas").alias("cantidad_registros"),
         )
         .orderBy(F.col("precio_maximo").desc_nulls_last(), *nulls_last(PRODUCT_KEY))
         .limit(limit)
@@ -198,7 +201,7 @@ def summary_by_unit(prices: DataFrame) -> DataFrame:
 
 
 def comparable_summary(prices: DataFrame) -> DataFrame:
-    return price_range_by(prices, [DATE, *COMPARABLE_PRODUCT])
+    return marts.evolucion_productos(comparable_products(prices))
 
 
 def find_products(
