@@ -20,7 +20,7 @@ from gondola.functions.cleaning import clean, publication_date
 from gondola.schemas import CONTROL_SCHEMA, FACT, TABLES
 from gondola.session import run_folder
 from gondola.sources.nested_zip import HEADERS, LOAD, MEMBERS, read_archives
-from gondola.sources.tables import Warehouse, export
+from gondola.sources.tables import Warehouse, export, observed_metrics
 
 CONTROL = "control_ingestas"
 #: Archives per job; their row counts are observed one by one.
@@ -236,7 +236,7 @@ def _write_tables(warehouse: Warehouse, run: list[Archive], loaded: set[str]) ->
         seen = warehouse.append(table, clean(watched, spec, forced_dates(run)), *from_archive)
         for i, archive in enumerate(run):
             archive.counts[table] = seen.get(f"a{i}", 0)
-        broken += failures.get.get("rotos", 0)
+        broken += observed_metrics(failures).get("rotos", 0)
     return broken
 
 

@@ -20,6 +20,7 @@ import sys
 import zipfile
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date
 
@@ -90,13 +91,20 @@ def file_system(path: str) -> tuple[fs.FileSystem, str]:
     return fs.LocalFileSystem(), path.removeprefix("file:")
 
 
-def open_archive(path: str):
+@contextmanager
+def open_archive(path: str) -> Iterator[zipfile.ZipFile]:
     system, inner = file_system(path)
-    return system.open_input_file(inner)
+    with system.open_input_file(inner) as stream:
+        try:
+            outer = zipfile.ZipFile(stream)
+        except pa.ArrowInvalid as problem:  # too short to be searched for a directory
+            raise zipfile.BadZipFile("File is not a zip file") from problem
+        with outer:
+            yield outer
 
 
 def list_members(path: str) -> list[str]:
-    with open_archive(path) as stream, zipfile.ZipFile(stream) as outer:
+    with open_archive(path) as outer:
         return [name for name in outer.namelist() if name.lower().endswith(".zip")]
 
 
@@ -148,7 +156,7 @@ class NestedZipReader(DataSourceReader):
         if self.mode == MEMBERS:
             yield from self._names(part)
             return
-        with open_archive(part.zip) as stream, zipfile.ZipFile(stream) as outer:
+        with open_archive(part.zip) as outer:
             try:
                 size = outer.getinfo(part.member).compress_size
                 raw = outer.open(part.member) if size > IN_MEMORY_BYTES else io.BytesIO(outer.read(part.member))
@@ -191,7 +199,7 @@ class NestedZipReader(DataSourceReader):
 
     def _rows(self, part, inner, name, file, header, wanted):
         """Emit the rows of one file; return its state, header and error."""
-        found, waiting = None, []
+        found, batch, waiting, pending = None, [], [], 0
         try:
             with inner.open(name) as raw:
                 rows = csv.reader(io.TextIOWrapper(raw, encoding="utf-8-sig", newline=""), delimiter="|")
@@ -203,7 +211,6 @@ class NestedZipReader(DataSourceReader):
                     return "encabezado", found, f"ValueError: Encabezado inesperado: {found}"
                 if self.mode == HEADERS:
                     return "ok", found, None
-                batch, pending = [], 0
                 for row in rows:
                     if not row:
                         continue
@@ -227,8 +234,6 @@ class NestedZipReader(DataSourceReader):
             return "ok", found, None
         except zipfile.BadZipFile as problem:
             state, error = "corrupto", describe(problem)
-        except UnicodeDecodeError as problem:
-            state, error = "error", describe(problem)
         except Exception as problem:
             state, error = "error", describe(problem)
         if self.mode == INSPECT:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
 from pyarrow import fs
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -65,7 +66,7 @@ class Warehouse:
                 empty.write.mode("overwrite").partitionBy(DATE).parquet(self.path(table))
 
     def append(self, table: str, rows: DataFrame, *metrics) -> dict:
-        """Append rows to a base table; returns the number of rows and further observed metrics."""
+        """Append rows to a base table; returns ``filas`` and further metrics observed while writing."""
         observed = Observation()
         counted = rows.observe(observed, F.count(F.lit(1)).alias("filas"), *metrics)
         (
@@ -75,27 +76,25 @@ class Warehouse:
             .partitionBy(DATE)
             .parquet(self.path(table))
         )
-        return observed.get
+        return observed_metrics(observed)
 
     def replace(self, table: str, frame: DataFrame, by_date: bool = False) -> int:
-        """Create or replace a table and return its row count, taken while writing.
+        """Create or replace a table and return its row count (read from the file footers).
 
         Partitioned output is rebalanced by date first: dates with few rows share no task with others,
         dates with very many rows are split over several.
         """
-        observed = Observation()
-        counted = frame.observe(observed, F.count(F.lit(1)).alias("filas"))
-        if by_date:
-            writer = counted.hint("rebalance", F.col(DATE)).write.partitionBy(DATE)
-        else:
-            writer = counted.write
+        writer = frame.hint("rebalance", F.col(DATE)).write.partitionBy(DATE) if by_date else frame.write
         writer.mode("overwrite").option("maxRecordsPerFile", MAX_FILE_ROWS).parquet(self.path(table))
-        rows = observed.get.get("filas", 0)
-        if not rows and by_date:
+        if by_date and not self._has_partitions(table):
             # A partitioned write of nothing leaves no file to read the columns from.
             empty = self.spark.createDataFrame([], frame.schema)
             empty.write.mode("overwrite").parquet(self.path(table))
-        return rows
+        return self.read(table).count()
+
+    def _has_partitions(self, table: str) -> bool:
+        system, inner = file_system(self.path(table))
+        return any(f"{DATE}=" in entry.base_name for entry in system.get_file_info(fs.FileSelector(inner)))
 
     def dates(self, table: str) -> list[date]:
         """Distinct publication dates of a table, read from the partition values alone."""
@@ -116,6 +115,14 @@ class Warehouse:
                 system.delete_dir(partition)
 
 
+def observed_metrics(observation: Observation) -> dict:
+    """Metrics of a finished write; none if Spark found the input empty and dropped it from the plan."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return {}
+
+
 def export_csv(frame: DataFrame, path: str) -> None:
     frame.write.mode("overwrite").option("header", True).csv(path)
 
