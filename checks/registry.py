@@ -748,8 +748,9 @@ check(
 check("k4_ultimo_recurso", lambda c: k.latest(_normal(c)), f"select * from {_DATED} {_NEWEST} limit 1", _RESOURCE)
 check(
     "k5_recurso_de_fecha",
-    lambda c: k.for_date(_normal(c), _DAY),
-    f"select * from {_DATED} where fecha = date '{_DAY}' {_NEWEST} limit 1",
+    # Asking for a date without a resource is an error, so the date is one of those on offer.
+    lambda c: k.for_date(_normal(c), k.available_dates(_normal(c)).agg(F.max("fecha")).first()[0]),
+    f"select * from {_DATED} where fecha = (select max(fecha) from {_DATED}) {_NEWEST} limit 1",
     _RESOURCE,
 )
 
