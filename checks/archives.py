@@ -17,7 +17,6 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks import views
 from gondola.schemas import COMERCIO_HEADER, PRODUCTOS_HEADER, SUCURSALES_HEADER
 from gondola.session import run_folder
 
@@ -71,12 +70,11 @@ def _write_partitions(folder: str):
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def archives(spark: SparkSession, sf_dir: str) -> list[str]:
-    """Paths of the archives derived from a data folder, written once per application."""
+def archives(spark: SparkSession, sf_dir: str, prices: DataFrame) -> list[str]:
+    """Paths of the archives derived from the prices of a data folder, written once per application."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _WRITTEN:
         folder = run_folder(spark, "archivos").removeprefix("file:")
-        prices = views.view(spark, sf_dir, views.FACT_PRECIOS)
         rows = prices.withColumn("fecha_publicacion", F.col("fecha_publicacion").cast("string"))
         spread = rows.repartition(spark.sparkContext.defaultParallelism)
         written: DataFrame = spread.mapInPandas(_write_partitions(folder), "path string, miembros int")

@@ -40,25 +40,26 @@ class Context:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = configure(spark)
         self.sf_dir = sf_dir
+        self.views = views.Views(self.spark, sf_dir)
 
     @cached_property
     def sources(self) -> MartSources:
-        return MartSources(views.base_tables(self.spark, self.sf_dir), KEYWORDS)
+        return MartSources(self.views.base_tables(), KEYWORDS)
 
     def mart(self, name: str) -> DataFrame:
         return self.sources.mart("mart_" + name)
 
     @cached_property
     def resources(self) -> DataFrame:
-        return views.resources(self.spark, self.sf_dir)
+        return self.views.select(views.RECURSOS)
 
     @cached_property
     def texts(self) -> DataFrame:
-        return views.published_texts(self.spark, self.sf_dir)
+        return self.views.select(views.TEXTOS)
 
     @cached_property
     def archives(self) -> list[str]:
-        return archives.archives(self.spark, self.sf_dir)
+        return archives.archives(self.spark, self.sf_dir, self.views.select(views.FACT_PRECIOS))
 
     def scan(self, mode: str = LOAD, csv: str | None = None) -> DataFrame:
         return read_archives(self.spark, self.archives, mode, csv)
@@ -1084,7 +1085,7 @@ CHECKS["f1_columnas_de_pantalla"] = Check(
 
 
 def _formatted(column, name):
-    return lambda c: views.view(c.spark, c.sf_dir, "select o_orderkey, o_totalprice, o_orderstatus from {orders}").select(
+    return lambda c: c.views.table("orders").select(
         "o_orderkey", column(F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice"))).alias(name)
     )
 

@@ -107,22 +107,28 @@ from {{orders}}
 STAR = {"fact_precios": FACT_PRECIOS, "dim_comercios": DIM_COMERCIOS, "dim_sucursales": DIM_SUCURSALES}
 
 
-def view(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    """Run one of the SELECTs over the Parquet tables of a folder."""
-    return spark.sql(text, **{name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in SOURCES})
+class Views:
+    """The views over the Parquet tables of one folder; each table is opened once."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
-def plain(text: str) -> str:
-    """The SELECT over tables registered under their own names."""
-    return text.format(**{name: name for name in SOURCES})
+    def table(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
+    def select(self, text: str) -> DataFrame:
+        return self.spark.sql(text, **{name: self.table(name) for name in SOURCES if "{" + name + "}" in text})
 
-def base_tables(spark: SparkSession, sf_dir: str) -> BaseTables:
-    return BaseTables(*(view(spark, sf_dir, STAR[name]) for name in STAR))
+    def base_tables(self) -> BaseTables:
+        return BaseTables(*(self.select(text) for text in STAR.values()))
 
 
-def resources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return view(spark, sf_dir, RECURSOS)
+def plain(text: str) -> str:
+    """The SELECT over tables registered under their own names."""
+    return text.format(**{name: name for name in SOURCES})
 
 
 # Line items as published text rows: decimal commas, thousands dots, stray whitespace, letters,
@@ -148,7 +154,3 @@ select l_orderkey, l_linenumber, l_suppkey,
             else cast(cast(l_shipdate as date) as varchar(20)) || 'T04:00:00-0300' end as momento
 from {lineitem}
 """
-
-
-def published_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return view(spark, sf_dir, TEXTOS)

@@ -74,7 +74,7 @@ def timestamp_or_null(column: Column) -> Column:
 
 def publication_date(name: Column, forced: date | str | Column | None = None) -> Column:
     """The forced date, or the first date in the member name, or NULL."""
-    found = F.nullif(F.regexp_extract(name, r"(\d{4}-\d{2}-\d{2})", 1), F.lit("")).try_cast("date")
+    found = F.regexp_extract(name, r"(\d{4}-\d{2}-\d{2})", 1).try_cast("date")
     if forced is None:
         return found
     return F.coalesce((forced if isinstance(forced, Column) else F.lit(str(forced))).cast("date"), found)

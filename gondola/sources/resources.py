@@ -58,8 +58,8 @@ def is_zip() -> Column:
 
 def date_in_text(column: str) -> Column:
     """The first free-standing ``20yy-mm-dd``, if it is a real date."""
-    found = F.regexp_extract(F.col(column), r"(?U)\b(20\d{2}-\d{2}-\d{2})\b", 1)
-    return F.nullif(found, F.lit("")).try_cast("date")
+    # No match gives an empty text, which is no date either.
+    return F.regexp_extract(F.col(column), r"(?U)\b(20\d{2}-\d{2}-\d{2})\b", 1).try_cast("date")
 
 
 def metadata_time() -> Column:
