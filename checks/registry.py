@@ -44,7 +44,7 @@ class Context:
 
     @cached_property
     def sources(self) -> MartSources:
-        return MartSources(self.views.base_tables(), KEYWORDS)
+        return MartSources(self.views, KEYWORDS)
 
     def mart(self, name: str) -> DataFrame:
         return self.sources.mart("mart_" + name)

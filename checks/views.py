@@ -6,9 +6,9 @@ branches absent from the dimension and dimension rows listed twice are part of t
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import cached_property
 
-from gondola.schemas import BaseTables
+from pyspark.sql import DataFrame, SparkSession
 
 SOURCES = ("region", "nation", "supplier", "part", "lineitem", "orders")
 
@@ -122,8 +122,20 @@ class Views:
     def select(self, text: str) -> DataFrame:
         return self.spark.sql(text, **{name: self.table(name) for name in SOURCES if "{" + name + "}" in text})
 
-    def base_tables(self) -> BaseTables:
-        return BaseTables(*(self.select(text) for text in STAR.values()))
+    # The star schema, in the shape of ``gondola.schemas.BaseTables``; a query that reads prices only
+    # does not open the dimensions.
+
+    @cached_property
+    def precios(self) -> DataFrame:
+        return self.select(FACT_PRECIOS)
+
+    @cached_property
+    def comercios(self) -> DataFrame:
+        return self.select(DIM_COMERCIOS)
+
+    @cached_property
+    def sucursales(self) -> DataFrame:
+        return self.select(DIM_SUCURSALES)
 
 
 def plain(text: str) -> str:

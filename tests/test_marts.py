@@ -306,3 +306,30 @@ def test_dependencies():
 def test_keywords_can_be_chosen(sources):
     found = marts.canasta_basica_candidatos(sources.mart("mart_evolucion_productos"), ["ARROZ"])
     assert {r[0] for r in found.select("productos_descripcion").distinct().collect()} == {"Arroz con leche"}
+
+
+@pytest.mark.parametrize("name", ["mart_resumen_general", "mart_precios_por_ubicacion", "mart_sucursales_geografia"])
+def test_results_do_not_depend_on_broadcasting(spark, base, sources, name):
+    """Beyond the broadcast threshold the same joins run as shuffle joins."""
+    expected = sources.mart(name).collect()
+    settings = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    try:
+        for setting in settings:
+            spark.conf.set(setting, "-1")
+        found = MartSources(base).mart(name)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        key = lambda row: tuple(str(v) for v in row[:5])
+        for a, b in zip(sorted(expected, key=key), sorted(found.collect(), key=key), strict=True):
+            assert all(close(x, y) if isinstance(x, float) else x == y for x, y in zip(a, b))
+    finally:
+        for setting in settings:
+            spark.conf.unset(setting)
+
+
+def test_no_row_expansion_on_the_price_table(base):
+    """Distinct counts of single prices are planned without multiplying the rows, texts without sorting them."""
+    s = MartSources(base)
+    for frame in (s.activity, s.by_banner, s.comparables):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "Expand" not in plan and "SortAggregate" not in plan
