@@ -58,6 +58,12 @@ def is_double(column: str) -> bool:
     return column not in _TEXT and (column in _DOUBLES or column.startswith(_DOUBLE_PREFIXES))
 
 
+def two_decimals(column: str) -> str:
+    """Rounded value; a negative zero becomes zero."""
+    value = f"round({column} + {NUDGE}, 2)"
+    return f"case when {value} = 0 then cast(0 as double) else {value} end"
+
+
 def cols(text: str, alias: str = "") -> str:
     return ", ".join(f"{alias}{c}" for c in text.split())
 
@@ -216,6 +222,6 @@ def compose(body: str, columns: str, keywords) -> str:
     if "textos" in used:
         parts.append(f"textos as ({views.plain(views.TEXTOS)})")
     parts += [f"{m} as ({all_marts[m]})" for m in wanted]
-    shown = ", ".join(f"round({c} + {NUDGE}, 2) as {c}" if is_double(c) else c for c in columns.split())
+    shown = ", ".join(f"{two_decimals(c)} as {c}" if is_double(c) else c for c in columns.split())
     prefix = "with " + ",\n".join(parts) + "\n" if parts else ""
     return f"{prefix}select {shown} from ({body}) resultado"

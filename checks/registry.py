@@ -7,7 +7,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,12 +88,14 @@ def check(name: str, run: Callable[[Context], DataFrame], body: str | None = Non
 
 
 def rounded(frame: DataFrame) -> DataFrame:
-    """Doubles to two decimals: their last digits depend on the order of summation."""
+    """Doubles to two decimals, without negative zero: their last digits depend on the order of summation."""
+
+    def two_decimals(name: str) -> Column:
+        value = F.round(F.col(name) + NUDGE, 2)
+        return F.when(value == 0, F.lit(0.0)).otherwise(value).alias(name)
+
     return frame.select(
-        *[
-            F.round(F.col(f.name) + NUDGE, 2).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
-            for f in frame.schema
-        ]
+        *[two_decimals(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name) for f in frame.schema]
     )
 
 
