@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import date, timedelta
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,7 +70,7 @@ class Context:
 
     def forced_entries(self) -> list[tuple[str, str]]:
         """The archives with one made-up publication date each, so that all of them load."""
-        return [(f"2026-{1 + i // 28:02d}-{1 + i % 28:02d}", path) for i, path in enumerate(self.archives)]
+        return [(str(date(2026, 1, 1) + timedelta(i)), path) for i, path in enumerate(self.archives)]
 
 
 @dataclass(frozen=True)
