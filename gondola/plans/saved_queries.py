@@ -12,7 +12,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gondola.functions.columns import contains_text, mean, nulls_last, percent_change
+from gondola.functions.columns import contains_text, mean, null_safe_join, nulls_last, percent_change
 from gondola.operators.aggregates import branch_places, comparable_products, times
 from gondola.operators.topk import top_rows
 from gondola.plans import marts
@@ -49,7 +49,7 @@ def general_summary(activity: DataFrame, by_banner: DataFrame, places: DataFrame
         F.count_distinct("sucursales_localidad").alias("cantidad_localidades"),
     )
     products = marts.products_per_date(by_banner)
-    return marts.null_safe_join(coverage, products, [DATE], "inner").orderBy(*nulls_last([DATE]))
+    return null_safe_join(coverage, products, [DATE], "inner").orderBy(*nulls_last([DATE]))
 
 
 def product_summary(comparables: DataFrame, by_banner: DataFrame, prices: DataFrame) -> DataFrame:

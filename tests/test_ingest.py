@@ -116,14 +116,12 @@ def test_forced_date(warehouse, tmp_path):
 
 
 def test_a_date_with_dimensions_only_is_not_loaded(warehouse, tmp_path):
-    no_prices = data.member(*[data.lines(h) for h in (data.COMERCIO_HEADER, data.SUCURSALES_HEADER)], prices=None)
     with_chain = data.member(
         data.lines(data.COMERCIO_HEADER, data.chain()), data.lines(data.SUCURSALES_HEADER, data.branch()), None
     )
     ingest.load_archives(warehouse, [(None, data.write_archive(tmp_path / "a.zip", {"2026-05-23/m.zip": with_chain}))])
     ingest.load_archives(warehouse, [(None, simple(tmp_path, "b.zip"))])
     assert rows_of(warehouse) == {CHAINS: 2, BRANCHES: 2, FACT: 2}
-    assert no_prices
 
 
 def test_unreadable_archive_fails_after_the_ones_before_it(warehouse, tmp_path):
