@@ -281,7 +281,8 @@ def calidad_precios(activity: DataFrame) -> DataFrame:
 def precios_sospechosos(prices: DataFrame, limit: int = SUSPICIOUS_ROWS) -> DataFrame:
     """Price rows that break a quality rule, labelled; the first ``limit`` in a fixed order.
 
-    Which rows are kept is free in the definition; ordering by all columns makes reruns agree.
+    Which rows are kept is free in the definition: the newest dates come first, since those are looked
+    at, and ordering by all columns makes reruns agree.
     """
     price = F.col(PRICE)
     columns = [DATE, *COMPARABLE_PRODUCT, PRICE, REFERENCE_PRICE]
@@ -292,7 +293,7 @@ def precios_sospechosos(prices: DataFrame, limit: int = SUSPICIOUS_ROWS) -> Data
         .otherwise("precio_muy_alto")
         .alias("regla_calidad"),
     )
-    return top_rows(flagged, nulls_last(columns), limit)
+    return top_rows(flagged, [F.col(DATE).desc_nulls_last(), *nulls_last(columns[1:])], limit)
 
 
 def basket_category(keywords: Sequence[str] = BASKET_KEYWORDS) -> Column:
