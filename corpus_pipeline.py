@@ -9,20 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gondola.llm import bpe, mixing, ppm, simhash
-from gondola.llm.common import stage, table
+from gondola.llm.common import stage, table, unused
 from gondola.llm.queries import TOXIC_FROM, VOCABULARY, toxicity
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents in which no language can be told (no text or no letter); the trees learn from the rows that state theirs."""
-    told = ppm.predict(docs, ppm.train(docs), docs.columns)
-    return told.where(F.col("lang_pred") != ppm.NONE).select(*docs.columns)
+    lang, score = unused("lang_pred", docs.columns), unused("lang_score", docs.columns)
+    told = ppm.predict(docs, ppm.train(docs), docs.columns, (lang, score))
+    return told.where(F.col(lang) != ppm.NONE).drop(lang, score)
 
 
 def non_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the last link of the chain finds toxic."""
-    scored = toxicity(docs, table(spark, sf_dir, "labels"), docs, docs.columns)
-    return scored.where(F.col("toxic") < TOXIC_FROM).select(*docs.columns)
+    names = [unused(n, docs.columns) for n in ("insult", "contempt", "toxic")]
+    scored = toxicity(docs, table(spark, sf_dir, "labels"), docs, docs.columns, names)
+    return scored.where(F.col(names[-1]) < TOXIC_FROM).drop(*names)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +34,7 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources to their targets in whole documents; those that are taken twice are two rows."""
-    return mixing.copies(mixing.mix(docs, docs.columns, cut="documents"))
+    return mixing.mix_documents(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

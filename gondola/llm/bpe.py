@@ -34,9 +34,9 @@ PIECE = 16_384
 WINDOW = 4
 #: Splitting pattern of the vocabulary (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Whatever the text around, the pattern splits before a blank that follows an ASCII letter or digit, and before these marks that follow a
-#: letter or number; no special token has such a place in it.
-SAFE = re.compile(r"(?<=[A-Za-z0-9])(?=[ \n])|(?<=[^\W\d_])(?=[.,;:!?。，、！？])")
+#: Whatever the text around, the pattern splits before a blank that follows an ASCII letter or digit, between ASCII letters and digits, and before
+#: these marks that follow a letter or number. No special token may have such a place in it.
+SAFE = re.compile(r"(?<=[A-Za-z0-9])(?=[ \n])|(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])|(?<=[^\W\d_])(?=[.,;:!?。，、！？])")
 #: A cut inside unsplit text has so many characters of one kind on either side; windows stay within this many.
 MARGIN, REACH = 64, 1024
 
@@ -62,6 +62,8 @@ class Codec:
         merged = [vocabulary["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in content["model"]["merges"]]
         if merged != sorted(merged):
             raise ValueError("the ids of this vocabulary do not follow the order of its merges")
+        if any(SAFE.search(word) for word in special):
+            raise ValueError("a special token of this vocabulary has a place where texts are cut")
         self.coding = tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
         self.special = set(special)
         spelled = [b""] * (max([*ranks.values(), *special.values()]) + 1)

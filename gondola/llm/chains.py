@@ -122,7 +122,7 @@ def fit_chain(categories: list[str], owner: np.ndarray, feature: np.ndarray, lab
         for k in range(FOLDS):
             unseen[fold == k] = probability(x[fold == k], fit(x[fold != k], y[fold != k]))
         # The sample holds as many rows of each class; the constant goes back to the shares among all labelled rows.
-        if 0 < y.mean() < 1 and 0 < priors[c] < 1:
+        if len(y) and 0 < y.mean() < 1 and 0 < priors[c] < 1:
             shift = np.log(priors[c] / (1 - priors[c])) - np.log(y.mean() / (1 - y.mean()))
             w[-1] += shift
             odds = np.exp(shift) * unseen / np.maximum(1 - unseen, 1e-12)
@@ -168,10 +168,11 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], sample: int
     return fit_chain(categories, owner, np.concatenate([*each, np.zeros(0, np.uint64)]), table, got.fold.to_numpy(), priors)
 
 
-def predict(docs: DataFrame, chain: Chain, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` with a double for each category, its probability."""
+def predict(docs: DataFrame, chain: Chain, keep: list[str], names: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` with a double for each category, its probability, under the category's name or ``names``."""
     shared = docs.sparkSession.sparkContext.broadcast(chain)
     kept = [f"chain_keep_{c}" for c in keep]
+    results = [f"chain_{i}" for i in range(len(chain.categories))]
     rows = docs.select(*[F.col(c).alias(k) for c, k in zip(keep, kept, strict=True)], F.col("text").alias("chain_text"))
     types = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema if f.name != "chain_text")
 
@@ -186,7 +187,7 @@ def predict(docs: DataFrame, chain: Chain, keep: list[str]) -> DataFrame:
                     p = probability(x, w)
                     out[part, c] = p
                     x = np.hstack([x, p[:, None]])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *[pa.array(p) for p in out.T]], [*kept, *chain.categories])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *[pa.array(p) for p in out.T]], [*kept, *results])
 
-    out = rows.mapInArrow(run, types + ", ".join(f"`{c}` double" for c in chain.categories))
-    return out.select(*[F.col(k).alias(c) for c, k in zip(keep, kept, strict=True)], *chain.categories)
+    out = rows.mapInArrow(run, types + ", ".join(f"{c} double" for c in results))
+    return out.select(*[F.col(k).alias(c) for c, k in zip(keep, kept, strict=True)], *[F.col(r).alias(n) for r, n in zip(results, names or chain.categories, strict=True)])

@@ -1,6 +1,6 @@
 """Document quality by a factorisation machine.
 
-A text's features are its words (hashed to ``BUCKETS``, each weighted by its share of the words), a dozen structure statistics, each put into one
+A text's features are its words (hashed to ``BUCKETS``, each weighted by its share of the words), fifteen structure statistics, each put into one
 of ``BINS`` bins, and a bin for the length that the table states. The score is the logistic of
 
     constant + sum_i w_i x_i + 1/2 sum_f ((sum_i v_if x_i)^2 - sum_i v_if^2 x_i^2)
@@ -33,7 +33,7 @@ STEPS = 80
 RATE = 0.05
 RIDGE = 1e-4
 _CLASSES = {"upper": range(65, 91), "lower": range(97, 123), "digit": range(48, 58), "far": range(128, 256), "line": [10], "sentence": b".,;:?", "mark": b"!#$%&*|<>{}[]\\^~=+_@/"}
-STATISTICS = [*_CLASSES, "white", "word_length", "long_words", "distinct_words", "repeated_lines", "line_length", "marked_words"]
+STATISTICS = [*_CLASSES, "white", "word_length", "long_words", "distinct_words", "repeated_lines", "line_length", "marked_words", "repeated_words"]
 FIRST_LENGTH = BUCKETS + len(STATISTICS) * BINS
 SIZE = FIRST_LENGTH + 34
 
@@ -69,13 +69,15 @@ def statistics(texts: list[bytes], plain: Spans) -> np.ndarray:
     marks = np.zeros(256, bool)
     marks[list(_CLASSES["mark"])] = True
     i = len(_CLASSES)
-    out[:, i] = _shares(body, WHITE.astype(np.int64), plain.offsets) / size
+    out[:, i] = (_shares(body, WHITE.astype(np.int64), plain.offsets) - 1) / size
     out[:, i + 1] = np.bincount(owner, length, n) / words / 20
     out[:, i + 2] = np.bincount(owner, length > 12, n) / words
-    out[:, i + 3] = _distinct(owner, span_hashes(plain.data, plain.starts, plain.ends), n) / words
+    hashes = span_hashes(plain.data, plain.starts, plain.ends)
+    out[:, i + 3] = _distinct(owner, hashes, n) / words
     out[:, i + 4] = 1 - _distinct(line_owner, span_hashes(lines.data, lines.starts, lines.ends), n) / line_count
     out[:, i + 5] = np.log2(1 + size / line_count) / 16
     out[:, i + 6] = np.bincount(owner, marks[last], n) / words
+    out[:, i + 7] = np.bincount(owner[1:], (owner[1:] == owner[:-1]) & (hashes[1:] == hashes[:-1]), n) / words
     return np.clip(out, 0, 1)
 
 
@@ -144,7 +146,6 @@ def fit(who: np.ndarray, what: np.ndarray, value: np.ndarray, y: np.ndarray, wei
     by = np.argsort(at, kind="stable")
     cut = np.searchsorted(at[by], np.arange(len(used)))
     moments = [[np.zeros(1), np.zeros(1)], [np.zeros(len(used)), np.zeros(len(used))], [np.zeros((len(used), FACTORS)), np.zeros((len(used), FACTORS))]]
-    # Features are centred by their size, so words and statistics learn at like rates.
     for step in range(1, STEPS + 1):
         margin, sums = _margins(small, who, at, value, n)
         error = weight * (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y) / weight.sum()

@@ -8,8 +8,8 @@ over the rows of a range and one over the ranges of a source both touch at most
 of all. What passes through a single task has one row for each source.
 
 Cases: null text or a text of white space has no words and takes none; a null source is a source of its own; rows with equal id and equal
-size share a key and are interchangeable, the cut falls on one of them; null ids share one key; an empty table gives an empty mix; columns of
-the input named like those of the result are not kept unless asked for, and working columns start with an underscore and a ``mix`` prefix.
+size share a key and are interchangeable, the cut falls on one of them; null ids share one key; an empty table gives an empty mix; other columns
+may have any name, for those kept are renamed while the mix is made.
 """
 
 from __future__ import annotations
@@ -71,21 +71,36 @@ def targets(sources: DataFrame, share: float, most: float) -> DataFrame:
     return rows.withColumn("mix_target", target).select("mix_null", "mix_text", "mix_size", "mix_target")
 
 
-def mix(
-    docs: DataFrame,
-    keep: list[str],
-    share: float = 1.5,
-    most: float = 2.0,
-    weights: DataFrame | None = None,
-    cut: str = "words",
-    seed: str = "mix",
-) -> DataFrame:
-    """The columns ``keep`` of every document, with ``size``, ``source_size``, ``target`` and ``taken``.
+def mix(docs: DataFrame, keep: list[str], share: float = 1.5, most: float = 2.0, weights: DataFrame | None = None, seed: str = "mix") -> DataFrame:
+    """The columns ``keep`` of every document, with ``size``, ``source_size``, ``target`` and ``taken``; the document at the border is cut to the word.
 
     ``weights`` has ``source`` and a positive ``weight``; sources without a row there weigh nothing and get nothing. Without it the weights
-    are those of ``cycle_weights``. ``cut="words"`` cuts the document at the border to the word; ``cut="documents"`` keeps it whole if half of
-    it or more fits, so ``taken`` is a multiple of the size.
+    are those of ``cycle_weights``.
     """
+    rows = _mixed(docs, keep, share, most, weights, seed)
+    taken = F.col("mix_epochs") * F.col("mix_words") + F.greatest(F.lit(0), F.least("mix_words", F.col("mix_rest") - F.col("mix_start")))
+    return rows.select(
+        *[F.col(f"mix_keep_{c}").alias(c) for c in keep],
+        F.col("mix_words").alias("size"),
+        F.col("mix_source_size").alias("source_size"),
+        F.coalesce("mix_target", F.lit(0.0)).alias("target"),
+        taken.cast("long").alias("taken"),
+    )
+
+
+def mix_documents(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: DataFrame | None = None, seed: str = "mix") -> DataFrame:
+    """The rows of the mix, whole documents with the columns of ``docs``: a row for each time a document is taken.
+
+    The document at the border is taken if half of it or more fits. Documents without words are not taken.
+    """
+    rows = _mixed(docs, docs.columns, share, most, weights, seed)
+    last = (F.col("mix_rest") > 0) & (2 * F.col("mix_start") + F.col("mix_words") <= 2 * F.col("mix_rest"))
+    times = F.when(F.col("mix_words") > 0, F.col("mix_epochs") + last.cast("int")).otherwise(0).cast("int")
+    rows = rows.where(times > 0).withColumn("mix_time", F.explode(F.sequence(F.lit(1), times)))
+    return rows.select(*[F.col(f"mix_keep_{c}").alias(c) for c in docs.columns])
+
+
+def _mixed(docs: DataFrame, keep: list[str], share: float, most: float, weights: DataFrame | None, seed: str) -> DataFrame:
     rows = docs.select(
         *[F.col(c).alias(f"mix_keep_{c}") for c in keep],
         F.col("source").isNull().alias("mix_null"),
@@ -112,30 +127,14 @@ def mix(
     inside = Window.partitionBy(*place, "mix_range").orderBy("mix_key", "mix_id", "mix_words").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("mix_inside", F.sum("mix_words").over(inside) - F.col("mix_words")).join(ranges, [*place, "mix_range"])
     budget = F.floor(F.coalesce("mix_target", F.lit(0.0))).cast("long")
-    size, source_size = F.col("mix_words"), F.coalesce("mix_size", F.lit(0)).cast("long")
+    source_size = F.coalesce("mix_size", F.lit(0)).cast("long")
     epochs = F.when(source_size > 0, F.floor(budget / source_size)).otherwise(0).cast("long")
     rest = budget - epochs * source_size
-    start = F.col("mix_range_before") + F.col("mix_inside")
-    if cut == "words":
-        last = F.greatest(F.lit(0), F.least(size, rest - start))
-    else:
-        last = F.when((rest > 0) & (2 * start + size <= 2 * rest), size).otherwise(0)
-    return rows.select(
-        *[F.col(f"mix_keep_{c}").alias(c) for c in keep],
-        size.alias("size"),
-        source_size.alias("source_size"),
-        F.coalesce("mix_target", F.lit(0.0)).alias("target"),
-        (epochs * size + last).cast("long").alias("taken"),
+    return rows.withColumns(
+        {"mix_source_size": source_size, "mix_epochs": epochs, "mix_rest": rest, "mix_start": F.col("mix_range_before") + F.col("mix_inside")}
     )
 
 
-def copies(mixed: DataFrame) -> DataFrame:
-    """A row for each time a document of a mix cut at documents is taken, without the columns of the mix."""
-    times = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
-    rows = mixed.withColumn("mix_time", F.explode(F.when(times > 0, F.sequence(F.lit(1), times)).otherwise(F.array().cast("array<int>"))))
-    return rows.drop("mix_time", "size", "source_size", "target", "taken")
-
-
 ORACLE = r"""
 with sized as (
   select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size,

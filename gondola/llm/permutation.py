@@ -31,8 +31,8 @@ PREFIX = 64
 PIVOT_ROWS = 2048
 SHARD_ROWS = 8192
 QUERY_ROWS = 1024
-SHARE = 0.1
-LEAST = 256
+SHARE = 0.15
+LEAST = 512
 
 
 def usable(vectors: DataFrame) -> DataFrame:

@@ -151,8 +151,8 @@ def code_lengths(model: Model, texts: list[bytes]) -> np.ndarray:
     return out
 
 
-def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` with ``lang_pred`` and ``score``, from the text alone."""
+def predict(docs: DataFrame, model: Model | None, keep: list[str], names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The columns ``keep`` with the language and its score under ``names``, from the text alone."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
     kept = [f"ppm_keep_{c}" for c in keep]
@@ -170,7 +170,7 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
                 for i, (k, s) in enumerate(zip(bits.argmin(axis=1), share, strict=True), part.start):
                     if _LETTER.search(texts[i]):
                         best[i], score[i] = model.languages[k], s
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(best, pa.string()), pa.array(score)], [*kept, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(best, pa.string()), pa.array(score)], [*kept, "ppm_lang", "ppm_score"])
 
-    out = rows.mapInArrow(run, f"{types}lang_pred string, score double")
-    return out.select(*[F.col(k).alias(c) for c, k in zip(keep, kept, strict=True)], "lang_pred", "score")
+    out = rows.mapInArrow(run, f"{types}ppm_lang string, ppm_score double")
+    return out.select(*[F.col(k).alias(c) for c, k in zip(keep, kept, strict=True)], F.col("ppm_lang").alias(names[0]), F.col("ppm_score").alias(names[1]))

@@ -61,7 +61,7 @@ def weak_categories(labels: DataFrame, docs: DataFrame) -> DataFrame:
     return known.select("doc_id", *[(toxic & F.coalesce(n, F.lit(False))).cast("int").alias(n) for n in ("insult", "contempt")], F.col("toxic").cast("int").alias("toxic"))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, scored: DataFrame, keep: list[str]) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, scored: DataFrame, keep: list[str], names: list[str] | None = None) -> DataFrame:
     """Learn from the labelled rows of ``docs`` that are not held out, score ``scored``."""
     rows = docs.where(remainder("doc_id", 5) != 0).select("doc_id", "text")
     # Labels first: a bounded sample of them, then their texts and the categories these tell.
@@ -69,7 +69,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, scored: DataFrame, keep: list[s
     texts = stage(rows.join(F.broadcast(picked.select("doc_id")), "doc_id"), "toxic-sample")
     shares = labels.where("toxic is not null and toxic in (0, 1)").agg(F.avg(F.col("toxic").cast("double"))).first()[0]
     chain = chains.train(texts, weak_categories(picked, texts), ["insult", "contempt", "toxic"], prior=shares)
-    return chains.predict(scored, chain, keep)
+    return chains.predict(scored, chain, keep, names)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

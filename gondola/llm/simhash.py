@@ -221,18 +221,17 @@ def classes(docs: DataFrame, width: int, distance: int) -> tuple[DataFrame, Data
 
 def one_of_each(docs: DataFrame, width: int = 3, distance: int = 2) -> DataFrame:
     """The documents without near duplicates: of each component the row with the smallest doc_id stays (null last, then by the text's hash)."""
-    rows = docs.withColumn("simhash_text", F.xxhash64("text"))
-    named = rows.select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "simhash_text").alias("doc_id"), "text")
+    text = F.xxhash64("text")
+    named = docs.select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", text.alias("text")).alias("doc_id"), "text")
     marked, of_code = classes(named, width, distance)
-    copies = marked.groupBy("doc_id", "code").agg(F.count("*").alias("simhash_rows")).join(of_code, "code")
-    stay = copies.where(F.col("doc_id") == F.col("component_id")).select(
-        F.coalesce("doc_id.doc_id", F.lit(0)).alias("simhash_id"), F.col("doc_id.none").alias("simhash_none"), F.col("doc_id.simhash_text").alias("simhash_text"), "simhash_rows"
-    )
-    rows = rows.withColumns({"simhash_id": F.coalesce("doc_id", F.lit(0)), "simhash_none": F.col("doc_id").isNull()})
-    kept = rows.join(stay, ["simhash_id", "simhash_none", "simhash_text"])
+    copies = marked.groupBy("doc_id", "code").agg(F.count("*").alias("rows")).join(of_code, "code").where(F.col("doc_id") == F.col("component_id"))
+    stay = copies.select(F.coalesce("doc_id.doc_id", F.lit(0)).alias("id"), F.col("doc_id.none").alias("none"), F.col("doc_id.text").alias("text"), "rows")
+    key = ["id", "none", "text"]
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), text.alias("text"))
+    kept = whole.join(stay, key)
     # Only rows that repeat as a whole have to meet to leave one.
-    once = kept.where("simhash_rows = 1").select(*docs.columns)
-    twice = kept.where("simhash_rows > 1").dropDuplicates(["simhash_id", "simhash_none", "simhash_text"]).select(*docs.columns)
+    once = kept.where("rows = 1").select("row.*")
+    twice = kept.where("rows > 1").dropDuplicates(key).select("row.*")
     return once.union(twice)
 
 
