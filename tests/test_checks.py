@@ -6,11 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from checks.registry import CHECKS
 from checks.views import SOURCES
 
 FOLDER = "/root/testdata/sf0.001"
-SQL = entry_points.oracle_sql()
-QUERIES = entry_points.queries()
+SQL = {name: sql for name, sql in entry_points.oracle_sql().items() if name in CHECKS}
+QUERIES = {name: query for name, query in entry_points.queries().items() if name in CHECKS}
 
 
 @pytest.fixture(scope="module")
