@@ -17,8 +17,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks.folders import run_folder
 from gondola.schemas import COMERCIO_HEADER, PRODUCTOS_HEADER, SUCURSALES_HEADER
-from gondola.session import run_folder
 
 _HEADERS = {
     "comercio.csv": list(COMERCIO_HEADER),

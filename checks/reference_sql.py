@@ -173,9 +173,7 @@ def marts_sql(keywords) -> dict[str, str]:
         "mart_precios_sospechosos": f"""select fecha_publicacion, {cols(P5)}, productos_precio_lista,
             productos_precio_referencia, case when p >= 100000 then 'precio_muy_alto' when p > 0 then 'precio_menor_10'
                 else 'precio_menor_o_igual_cero' end as regla_calidad
-            from con_precio where p < 10 or p >= 100000
-            order by fecha_publicacion desc nulls last,
-                {asc(f'{P5} productos_precio_lista productos_precio_referencia')} limit 10000""",
+            from con_precio where p < 10 or p >= 100000""",
         "mart_canasta_basica_candidatos": f"""select * from (select {_category(keywords)} as categoria_canasta, *
             from mart_evolucion_productos) x where categoria_canasta is not null""",
     }

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks import archives, views
+from checks.folders import run_folder
 from checks.reference_sql import MART_COLUMNS, NUDGE, P5, PRODUCT, asc, cols, compose, joined, saved_sql
 from gondola.functions import cleaning, display
 from gondola.operators import inspection
@@ -22,7 +23,7 @@ from gondola.plans import saved_queries as q
 from gondola.plans.build import MARTS, MartSources, build_marts
 from gondola.plans.inspect import inspect_archives
 from gondola.schemas import BRANCHES, CHAINS, DATE, FACT, TABLES
-from gondola.session import configure, run_folder
+from gondola.session import configure
 from gondola.sources import resources as k
 from gondola.sources.nested_zip import HEADERS, INSPECT, LOAD, MEMBERS, read_archives
 from gondola.sources.tables import Warehouse, export
@@ -171,13 +172,13 @@ _PRICE_ROW = f"fecha_publicacion {P5} productos_precio_lista productos_precio_re
 check(
     "b1_precios_no_positivos",
     lambda c: q.non_positive_prices(c.sources.base.precios),
-    f"select * from con_precio where p <= 0 order by {asc(_PRICE_ROW)} limit 1000",
+    f"select * from con_precio where p <= 0",
     _PRICE_ROW,
 )
 check(
     "b2_precios_muy_bajos",
     lambda c: q.very_low_prices(c.sources.base.precios),
-    f"select * from con_precio where p > 0 and p < 10 order by {asc(_PRICE_ROW)} limit 1000",
+    f"select * from con_precio where p > 0 and p < 10",
     _PRICE_ROW,
 )
 check(
@@ -251,7 +252,7 @@ check(
     "e1_evolucion_por_texto",
     lambda c: q.evolution_of(c.mart("evolucion_productos"), TEXT),
     f"""select * from mart_evolucion_productos where {_CONTAINS}
-    order by fecha_publicacion, cantidad_registros desc, {asc(P5)} limit 200""",
+""",
     _mart["mart_evolucion_productos"],
 )
 
@@ -296,7 +297,7 @@ check(
     "e5_datos_suficientes",
     lambda c: q.comparable_enough(c.mart("variacion_productos"), MIN_ROWS),
     f"""select * from mart_variacion_productos where {_ENOUGH}
-    order by fecha_publicacion desc, cantidad_registros_actual desc, {asc(P5)} limit 200""",
+""",
     f"fecha_publicacion fecha_anterior {PRODUCT} cantidad_registros_anterior cantidad_registros_actual "
     "precio_promedio_anterior precio_promedio_actual variacion_porcentual",
 )
@@ -319,9 +320,8 @@ def _dashboard(name, mart, run, tail, columns, select="*"):
     check(name, lambda c: run(c.mart(mart)), f"select {select} from mart_{mart} {tail}", columns)
 
 
-def _choice(name, mart, run, column, where=_ON, limit=None):
-    tail = f"where {where} and {column} <> '' order by {column}" + (f" limit {limit}" if limit else "")
-    _dashboard(name, mart, run, tail, column, f"distinct {column}")
+def _choice(name, mart, run, column, where=_ON):
+    _dashboard(name, mart, run, f"where {where} and {column} <> ''", column, f"distinct {column}")
 
 
 _UNITS, _BRANDS = "productos_unidad_medida_presentacion", "productos_marca"
@@ -361,7 +361,7 @@ _dashboard(
     "d06_comercios",
     "precios_por_comercio",
     lambda m: d.chains(m, END),
-    f"where {_ON} order by cantidad_productos desc, comercio_bandera_nombre nulls last, id_comercio, id_bandera limit 100",
+    f"where {_ON}",
     "comercio_bandera_nombre cantidad_registros cantidad_productos cantidad_sucursales precio_promedio "
     "precio_minimo precio_maximo",
 )
@@ -386,10 +386,10 @@ _dashboard(
     "d09_sospechosos",
     "precios_sospechosos",
     lambda m: d.suspicious_rows(m, START),
-    f"where fecha_publicacion = date '{START}' order by {asc(_SUSPICIOUS)} limit 1000",
+    f"where fecha_publicacion = date '{START}'",
     _SUSPICIOUS,
 )
-_choice("d10_marcas", "productos_comparables", lambda m: d.brand_choices(m, END), _BRANDS, limit=1000)
+_choice("d10_marcas", "productos_comparables", lambda m: d.brand_choices(m, END), _BRANDS)
 _choice("d11_unidades", "productos_comparables", lambda m: d.unit_choices(m, END), _UNITS)
 _ADVANCED = f"{PRODUCT} cantidad_registros precio_minimo precio_maximo precio_promedio precio_referencia_promedio"
 _BEST = f"order by precio_minimo nulls last, cantidad_registros desc, {asc(P5)} limit 100"
@@ -437,7 +437,7 @@ check(
     _TWO_DATES_COLUMNS + " diferencia_precio_promedio",
 )
 _choice(
-    "d16_unidades_del_par", "variacion_productos", lambda m: d.pair_unit_choices(m, START, END), _UNITS, _PAIR, 100
+    "d16_unidades_del_par", "variacion_productos", lambda m: d.pair_unit_choices(m, START, END), _UNITS, _PAIR
 )
 for _key, _rising in (("d17_subas_del_par", True), ("d18_bajas_del_par", False)):
     check(
@@ -452,8 +452,8 @@ for _key, _rising in (("d17_subas_del_par", True), ("d18_bajas_del_par", False))
         _changes_sql(_rising, f"{_PAIR} and {_UNITS} = '{UNIT}'", 20),
         f"{PRODUCT} {_CHANGE}",
     )
-_choice("d19_marcas_del_texto", "evolucion_productos", lambda m: d.text_brand_choices(m, TEXT), _BRANDS, _CONTAINS, 200)
-_choice("d20_unidades_del_texto", "evolucion_productos", lambda m: d.text_unit_choices(m, TEXT), _UNITS, _CONTAINS, 100)
+_choice("d19_marcas_del_texto", "evolucion_productos", lambda m: d.text_brand_choices(m, TEXT), _BRANDS, _CONTAINS)
+_choice("d20_unidades_del_texto", "evolucion_productos", lambda m: d.text_unit_choices(m, TEXT), _UNITS, _CONTAINS)
 
 
 def _candidates_sql(more: str) -> str:
@@ -535,7 +535,7 @@ _dashboard(
     "d27_ubicaciones",
     "precios_por_ubicacion",
     lambda m: d.places(m, END),
-    f"where {_ON} {_BUSIEST} limit 200",
+    f"where {_ON}",
     _PLACE,
 )
 _dashboard(
@@ -581,14 +581,14 @@ _dashboard(
     "d31_sucursales",
     "sucursales_geografia",
     lambda m: d.branches_of(m, END),
-    f"where {_ON} order by {_BRANCH_ORDER} limit 5000",
+    f"where {_ON}",
     _BRANCH,
 )
 _dashboard(
     "d32_puntos_de_mapa",
     "sucursales_geografia",
     lambda m: d.map_points(d.branches_of(m, END)),
-    f"where {_ON} order by {_BRANCH_ORDER} limit 5000",
+    f"where {_ON}",
     "lat lon",
     "sucursales_latitud as lat, sucursales_longitud as lon",
 )
@@ -967,7 +967,7 @@ check(
 )
 check(
     "s10_resumen_de_inspeccion",
-    lambda c: _price_file(inspect_archives(c.spark, c.archives)["totales"]),
+    lambda c: _price_file(inspect_archives(c.spark, c.archives, run_folder(c.spark, "inspeccion"))["totales"]),
     _FILE_TOTALS,
     "csv rows invalid_rows footer_rows_removed",
 )

@@ -97,7 +97,7 @@ def clean(rows: DataFrame, spec: TableSpec, forced: date | str | Column | None =
             publication_date(F.col("archivo_origen"), forced).alias(DATE),
             "archivo_origen",
             # The archive path stays with the rows while they are counted; writers drop it.
-            *[c for c in rows.columns if c == "zip"],
+            *[c for c in rows.columns if c in ("zip", "archivo")],
         )
     )
 
@@ -110,5 +110,5 @@ def clean(rows: DataFrame, spec: TableSpec, forced: date | str | Column | None =
         return _present(value) if name in spec.header and name != first else value
 
     return values.withColumns({name: output(name) for name in spec.output}).select(
-        *spec.output, *[c for c in rows.columns if c == "zip"]
+        *spec.output, *[c for c in rows.columns if c in ("zip", "archivo")]
     )

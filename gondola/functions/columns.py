@@ -37,6 +37,11 @@ def nulls_last(columns: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in columns]
 
 
+def first_rows(frame: DataFrame, limit: int | None) -> DataFrame:
+    """All rows, or the first ``limit`` of an ordered frame."""
+    return frame if limit is None else frame.limit(limit)
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Equi-join in which NULL keys meet each other; the key columns come from the left side."""
     renamed = right.withColumnsRenamed({k: f"__{k}" for k in keys})

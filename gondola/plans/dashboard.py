@@ -1,7 +1,8 @@
 """Parameterised dashboard queries: one function per screen element, mart in, DataFrame out.
 
 Optional filters are only added when given. A date filter on a mart partitioned by date prunes the
-scan to that date; ordered, limited results plan as a bounded top-k.
+scan to that date; ordered, limited results plan as a bounded top-k. Rankings have a default length;
+listings, selection lists and series are whole unless the caller gives a limit.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gondola.functions.columns import contains_text, filled, nulls_last
+from gondola.functions.columns import contains_text, filled, first_rows, nulls_last
 from gondola.plans.marts import BASKET_KEYWORDS
 from gondola.plans.saved_queries import MIN_ROWS, change_ranking, day, enough_rows, two_dates
 from gondola.schemas import COMPARABLE_PRODUCT, DATE, PRICE, REFERENCE_PRICE
@@ -29,7 +30,7 @@ def on_date(mart: DataFrame, when: date | str) -> DataFrame:
 def choices(mart: DataFrame, column: str, limit: int | None = None) -> DataFrame:
     """Distinct non-empty values of a column in order, for a selection list."""
     values = mart.where(filled(column)).select(column).distinct().orderBy(column)
-    return values if limit is None else values.limit(limit)
+    return first_rows(values, limit)
 
 
 def _equal(frame: DataFrame, column: str, value: str | None) -> DataFrame:
@@ -73,22 +74,18 @@ def summary_of(summary: DataFrame, when: date | str) -> DataFrame:
     return on_date(summary, when)
 
 
-def chains(by_chain: DataFrame, when: date | str, limit: int = 100) -> DataFrame:
-    return (
-        on_date(by_chain, when)
-        .orderBy(
-            F.desc("cantidad_productos"), *nulls_last(["comercio_bandera_nombre", "id_comercio", "id_bandera"])
-        )
-        .limit(limit)
-        .select(
-            "comercio_bandera_nombre",
-            "cantidad_registros",
-            "cantidad_productos",
-            "cantidad_sucursales",
-            "precio_promedio",
-            "precio_minimo",
-            "precio_maximo",
-        )
+def chains(by_chain: DataFrame, when: date | str, limit: int | None = None) -> DataFrame:
+    ranked = on_date(by_chain, when).orderBy(
+        F.desc("cantidad_productos"), *nulls_last(["comercio_bandera_nombre", "id_comercio", "id_bandera"])
+    )
+    return first_rows(ranked, limit).select(
+        "comercio_bandera_nombre",
+        "cantidad_registros",
+        "cantidad_productos",
+        "cantidad_sucursales",
+        "precio_promedio",
+        "precio_minimo",
+        "precio_maximo",
     )
 
 
@@ -120,15 +117,15 @@ def quality_of(quality: DataFrame, when: date | str) -> DataFrame:
     return on_date(quality, when)
 
 
-def suspicious_rows(suspicious: DataFrame, when: date | str, limit: int = 1000) -> DataFrame:
+def suspicious_rows(suspicious: DataFrame, when: date | str, limit: int | None = None) -> DataFrame:
     columns = [DATE, "regla_calidad", *COMPARABLE_PRODUCT, PRICE, REFERENCE_PRICE]
-    return on_date(suspicious, when).select(*columns).orderBy(*nulls_last(columns)).limit(limit)
+    return first_rows(on_date(suspicious, when).select(*columns).orderBy(*nulls_last(columns)), limit)
 
 
 # --- advanced search and basket
 
 
-def brand_choices(comparables: DataFrame, when: date | str, limit: int = 1000) -> DataFrame:
+def brand_choices(comparables: DataFrame, when: date | str, limit: int | None = None) -> DataFrame:
     return choices(on_date(comparables, when), _BRAND, limit)
 
 
@@ -221,7 +218,9 @@ def date_pair(changes: DataFrame, start: date | str, end: date | str) -> DataFra
     return changes.where((F.col(DATE) == day(end)) & (F.col("fecha_anterior") == day(start)))
 
 
-def pair_unit_choices(changes: DataFrame, start: date | str, end: date | str, limit: int = 100) -> DataFrame:
+def pair_unit_choices(
+    changes: DataFrame, start: date | str, end: date | str, limit: int | None = None
+) -> DataFrame:
     return choices(date_pair(changes, start, end), _UNIT, limit)
 
 
@@ -255,11 +254,11 @@ def pair_changes(
 # --- evolution of one product
 
 
-def text_brand_choices(evolution: DataFrame, text: str, limit: int = 200) -> DataFrame:
+def text_brand_choices(evolution: DataFrame, text: str, limit: int | None = None) -> DataFrame:
     return choices(evolution.where(contains_text("productos_descripcion", text)), _BRAND, limit)
 
 
-def text_unit_choices(evolution: DataFrame, text: str, limit: int = 100) -> DataFrame:
+def text_unit_choices(evolution: DataFrame, text: str, limit: int | None = None) -> DataFrame:
     return choices(evolution.where(contains_text("productos_descripcion", text)), _UNIT, limit)
 
 
@@ -287,24 +286,20 @@ def product_series(
     brand: str | None,
     quantity: float | None,
     unit: str | None,
-    limit: int = 500,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Price series of one comparable product; NULL parts of its key match NULL."""
+    """Price series of one comparable product, over all dates; NULL parts of its key match NULL."""
     rest: Column = F.lit(True)
     for column, value in zip(_PRESENTATION, (description, brand, quantity, unit)):
         rest = rest & F.col(column).eqNullSafe(F.lit(value))
-    return (
-        evolution.where((F.col("id_producto") == product_id) & rest)
-        .orderBy(*nulls_last([DATE]))
-        .limit(limit)
-        .select(
-            DATE,
-            "cantidad_registros",
-            "precio_minimo",
-            "precio_maximo",
-            "precio_promedio",
-            "precio_referencia_promedio",
-        )
+    series = evolution.where((F.col("id_producto") == product_id) & rest).orderBy(*nulls_last([DATE]))
+    return first_rows(series, limit).select(
+        DATE,
+        "cantidad_registros",
+        "precio_minimo",
+        "precio_maximo",
+        "precio_promedio",
+        "precio_referencia_promedio",
     )
 
 
@@ -351,14 +346,11 @@ def places(
     when: date | str,
     province: str | None = None,
     locality: str | None = None,
-    limit: int = 200,
+    limit: int | None = None,
 ) -> DataFrame:
     rows = _equal(_equal(on_date(by_place, when), "sucursales_provincia", province), "sucursales_localidad", locality)
-    return (
-        rows.orderBy(F.desc("cantidad_productos"), *nulls_last(["sucursales_localidad", "sucursales_provincia"]))
-        .limit(limit)
-        .drop(DATE)
-    )
+    order = [F.desc("cantidad_productos"), *nulls_last(["sucursales_localidad", "sucursales_provincia"])]
+    return first_rows(rows.orderBy(*order), limit).drop(DATE)
 
 
 def busiest_places(shown: DataFrame, limit: int = 30) -> DataFrame:
@@ -406,7 +398,7 @@ def spread_of(dispersion: DataFrame, when: date | str, limit: int = 100) -> Data
     )
 
 
-def branches_of(geography: DataFrame, when: date | str, limit: int = 5000) -> DataFrame:
+def branches_of(geography: DataFrame, when: date | str, limit: int | None = None) -> DataFrame:
     shown = [
         "comercio_bandera_nombre",
         "sucursales_nombre",
@@ -417,7 +409,7 @@ def branches_of(geography: DataFrame, when: date | str, limit: int = 5000) -> Da
     ]
     order = ["sucursales_provincia", "sucursales_localidad", "comercio_bandera_nombre"]
     rest = [c for c in shown if c not in order]
-    return on_date(geography, when).select(*shown).orderBy(*nulls_last([*order, *rest])).limit(limit)
+    return first_rows(on_date(geography, when).select(*shown).orderBy(*nulls_last([*order, *rest])), limit)
 
 
 def map_points(shown: DataFrame) -> DataFrame:

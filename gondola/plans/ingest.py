@@ -3,6 +3,10 @@
 Archives are loaded in the given order. Neighbouring archives whose publication dates do not overlap
 cannot influence each other, so they are loaded by the same jobs: a backfill of thousands of daily
 archives keeps the cluster busy with all their members at once.
+
+A batch is read once, into a folder of the warehouse with a part for each file; all else comes from there.
+Only when it is stored are the dates emptied that it brings, the price table first: a date counts as loaded
+by its prices, which are also written last. A load that dies at any point is made good by the same call.
 """
 
 from __future__ import annotations
@@ -13,16 +17,18 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gondola.functions.cleaning import clean, publication_date
 from gondola.schemas import CONTROL_SCHEMA, FACT, TABLES
-from gondola.session import run_folder
-from gondola.sources.nested_zip import HEADERS, LOAD, MEMBERS, read_archives
-from gondola.sources.tables import Warehouse, export, observed_metrics
+from gondola.sources.nested_zip import LOAD, MEMBERS, SCHEMA, broken_members, read_archives, whole_members
+from gondola.sources.tables import Warehouse, export
 
 CONTROL = "control_ingestas"
+#: Every message of every load; the control table keeps their number and the first ones.
+ERRORS = "errores_ingesta"
+STAGING = "_carga"
 #: Archives per job; their row counts are observed one by one.
 BATCH_ARCHIVES = 32
 DETAILED_ERRORS = 100
@@ -165,86 +171,95 @@ def load_archives(
     """Load archives, given as (forced date or None, path), in order; returns rows per base table.
 
     ``replace`` starts all tables anew before the first archive. Dates already in the price table are
-    skipped, or with ``reload_existing`` emptied in all tables and loaded again.
+    skipped, or with ``reload_existing`` replaced where the archive has readable members for them. An
+    archive that fails is recorded as failed; the others are loaded, then the first problem is raised.
     """
     if mode not in (REPLACE, APPEND):
         raise ValueError(f"unknown load mode: {mode}")
     archives = plan(warehouse.spark, entries) if entries else []
     if mode == REPLACE and archives:
         archives[0].mode = REPLACE
-    for run in batches(archives):
-        _load(warehouse, run, reload_existing)
+    problems = [p for run in batches(archives) for p in _load_apart(warehouse, run, reload_existing)]
     if export_to:
         for table in TABLES:
             export(warehouse, table, export_to)
+    if problems:
+        raise problems[0]
     return {table: sum(a.counts[table] for a in archives) for table in TABLES}
 
 
+def _load_apart(warehouse: Warehouse, run: list[Archive], reload_existing: bool) -> list[Exception]:
+    """Load a batch, or if that fails its archives one by one; returns their problems."""
+    try:
+        _load(warehouse, run, reload_existing)
+        return []
+    except Exception as problem:
+        if len(run) == 1:
+            return [problem]
+        return [p for archive in run for p in _load_apart(warehouse, [archive], reload_existing)]
+
+
 def _load(warehouse: Warehouse, run: list[Archive], reload_existing: bool) -> None:
     started = datetime.now(timezone.utc)
     replace = run[0].mode == REPLACE
-    warehouse.create_base(replace)
-    if replace:
+    if replace or not warehouse.exists(CONTROL):
         empty = warehouse.spark.createDataFrame([], CONTROL_SCHEMA)
         empty.write.mode("overwrite").parquet(warehouse.path(CONTROL))
     _record(warehouse, [_event(archive, RUNNING, started) for archive in run])
 
     skipped: set[str] = set()
+    staging = f"{STAGING}/{uuid.uuid4().hex}"
     try:
         if run[0].error:
             raise UnreadableArchive(run[0].error)
         offered = set().union(*(a.dates for a in run))
+        loaded = set() if replace or not warehouse.exists(FACT) else {d.isoformat() for d in warehouse.dates(FACT)}
         if reload_existing:
-            for table in TABLES:
-                warehouse.drop_dates(table, map(date.fromisoformat, offered))
-        loaded = set() if replace else {d.isoformat() for d in warehouse.dates(FACT)}
+            loaded -= offered
         skipped = offered & loaded
-        broken = _write_tables(warehouse, run, loaded)
-        _finish(warehouse, run, loaded, broken, started)
+        stored = store(warehouse, [a.source(a.dates & loaded) for a in run], staging)
+        notes = stored.where(F.col("tipo") != "fila")
+        dates = {(r["zip"], r["fecha"]) for r in processed_dates(notes, forced_dates(run)).collect()}
+        warehouse.create_base(replace)
+        # Whatever an earlier load left of these dates goes, the prices first.
+        for table in reversed(TABLES):
+            warehouse.drop_dates(table, {day for _, day in dates})
+        _write_tables(warehouse, run, stored)
+        _finish(warehouse, run, loaded, notes, dates, started)
     except Exception as problem:
-        text = str(problem) if isinstance(problem, UnreadableArchive) else f"{type(problem).__name__}: {problem}"
-        _record(
-            warehouse,
-            [
-                _event(
-                    archive,
-                    FAILED,
-                    started,
-                    finished_at=datetime.now(timezone.utc),
-                    fechas_publicacion=json.dumps(sorted(skipped & archive.dates)),
-                    errores=1,
-                    detalle=json.dumps({"detalle": None, "errores": [text]}),
-                )
-                for archive in run
-            ],
-        )
+        if len(run) == 1:
+            text = str(problem) if isinstance(problem, UnreadableArchive) else f"{type(problem).__name__}: {problem}"
+            event = _event(
+                run[0],
+                FAILED,
+                started,
+                finished_at=datetime.now(timezone.utc),
+                fechas_publicacion=json.dumps(sorted(skipped & run[0].dates)),
+                errores=1,
+                detalle=json.dumps({"detalle": None, "errores": [text]}),
+            )
+            _record(warehouse, [event])
         raise
+    finally:
+        warehouse.drop_folder(staging)
 
 
-def _write_tables(warehouse: Warehouse, run: list[Archive], loaded: set[str]) -> int:
-    """Write the base tables, prices last: only they make a date count as loaded.
+def store(warehouse: Warehouse, sources: list[dict], name: str) -> DataFrame:
+    """Read archives once and store rows and notes, apart by kind and file."""
+    path = warehouse.path(name)
+    read_archives(warehouse.spark, sources, LOAD).write.partitionBy("tipo", "csv").parquet(path)
+    return warehouse.spark.read.schema(SCHEMA).parquet(path)
 
-    Each table scans only its own file. Row counts per archive and the number of files that broke while
-    being read are observed during the write.
-    """
-    sources = [a.source(a.dates & loaded) for a in run]
-    broken = 0
+
+def _write_tables(warehouse: Warehouse, run: list[Archive], stored: DataFrame) -> None:
+    """Write the base tables, prices last; row counts per archive are observed during the write."""
+    whole = whole_members(stored)
+    from_archive = [F.count_if(F.col("archivo") == i).alias(f"a{i}") for i in range(len(run))]
     for table, spec in TABLES.items():
-        raw = read_archives(warehouse.spark, sources, LOAD, spec.csv)
-        from_archive = [F.count_if(F.col("zip") == a.path).alias(f"a{i}") for i, a in enumerate(run)]
-        failures, watched = _watch_failures(raw)
-        seen = warehouse.append(table, clean(watched, spec, forced_dates(run)), *from_archive)
+        rows = whole.where(F.col("csv") == spec.csv)
+        seen = warehouse.append(table, clean(rows, spec, forced_dates(run)), *from_archive)
         for i, archive in enumerate(run):
             archive.counts[table] = seen.get(f"a{i}", 0)
-        broken += observed_metrics(failures).get("rotos", 0)
-    return broken
-
-
-def _watch_failures(raw: DataFrame) -> tuple[Observation, DataFrame]:
-    """Count the files that break while their rows stream past."""
-    observed = Observation()
-    failed = (F.col("tipo") == "csv") & F.col("estado").isin("error", "corrupto")
-    return observed, raw.observe(observed, F.count_if(failed).alias("rotos"))
 
 
 def load_errors(notes: DataFrame) -> DataFrame:
@@ -259,24 +274,16 @@ def load_errors(notes: DataFrame) -> DataFrame:
     )
     return (
         notes.where((F.col("tipo") != "fila") & ~state.isin("ok") & ~(~is_member & (state == "vacio")))
-        .select("zip", "orden", F.coalesce("csv", F.lit("")).alias("csv"), message.alias("mensaje"))
+        .select("zip", "archivo", "orden", F.coalesce("csv", F.lit("")).alias("csv"), message.alias("mensaje"))
     )
 
 
 def processed_dates(notes: DataFrame, forced: Column | None = None) -> DataFrame:
     """Dates of the members that were read to their end, per archive."""
-    fatal = ((F.col("tipo") == "miembro") & (F.col("estado") != "ok")) | (
-        (F.col("tipo") == "csv") & F.col("estado").isin("encabezado", "error", "corrupto")
-    )
-    return (
-        notes.where(F.col("tipo") != "fila")
-        .groupBy("zip", "archivo_origen")
-        .agg(F.max(fatal).alias("roto"))
-        .where(~F.col("roto"))
-        .select("zip", publication_date(F.col("archivo_origen"), forced).alias("fecha"))
-        .where(F.col("fecha").isNotNull())
-        .distinct()
-    )
+    members = notes.where(F.col("tipo") != "fila").select("zip", "archivo_origen").distinct()
+    whole = members.join(broken_members(notes), ["zip", "archivo_origen"], "left_anti")
+    day = publication_date(F.col("archivo_origen"), forced)
+    return whole.select("zip", day.alias("fecha")).where(F.col("fecha").isNotNull()).distinct()
 
 
 def load_state(rows: int, skipped: int, errors: int) -> str:
@@ -286,28 +293,20 @@ def load_state(rows: int, skipped: int, errors: int) -> str:
     return WITH_WARNINGS if errors else SUCCESS
 
 
-def _finish(warehouse: Warehouse, run: list[Archive], loaded: set[str], broken: int, started: datetime) -> None:
-    """Final control rows of a batch, from the notes of one more pass over its archives.
-
-    Headers tell all problems unless a file broke further in; only then the files are read again.
-    """
-    spark = warehouse.spark
-    sources = [a.source(a.dates & loaded) for a in run]
-    path = run_folder(spark, "notas")
-    read_archives(spark, sources, LOAD if broken else HEADERS).where(F.col("tipo") != "fila").write.parquet(path)
-    notes = spark.read.parquet(path)
-
+def _finish(
+    warehouse: Warehouse, run: list[Archive], loaded: set[str], notes: DataFrame, dates: set[tuple[str, date]], started: datetime
+) -> None:
+    """Final control rows of a batch, and all its messages."""
     errors = load_errors(notes)
+    ids = F.array(*[F.lit(a.id) for a in run])
+    messages_of = errors.select(F.element_at(ids, F.col("archivo") + 1).alias("id_ingesta"), "zip", "orden", "csv", "mensaje")
+    messages_of.coalesce(1).write.mode("append").parquet(warehouse.path(ERRORS))
     totals = {r["zip"]: r["n"] for r in errors.groupBy("zip").agg(F.count("*").alias("n")).collect()}
     in_order = Window.partitionBy("zip").orderBy("orden", "csv", "mensaje")
     first = errors.withColumn("puesto", F.row_number().over(in_order)).where(F.col("puesto") <= DETAILED_ERRORS)
     messages: dict[str, list[str]] = {}
     for row in first.orderBy("zip", "puesto").collect():
         messages.setdefault(row["zip"], []).append(row["mensaje"])
-    dates: dict[str, list[str]] = {}
-    for row in processed_dates(notes, forced_dates(run)).collect():
-        dates.setdefault(row["zip"], []).append(row["fecha"].isoformat())
-
     events = []
     for archive in run:
         count = totals.get(archive.path, 0)
@@ -323,7 +322,7 @@ def _finish(warehouse: Warehouse, run: list[Archive], loaded: set[str], broken:
                 state,
                 started,
                 finished_at=datetime.now(timezone.utc),
-                fechas_publicacion=json.dumps(sorted(skipped | set(dates.get(archive.path, ())))),
+                fechas_publicacion=json.dumps(sorted(skipped | {day.isoformat() for path, day in dates if path == archive.path})),
                 errores=count,
                 detalle=json.dumps(detail),
             )

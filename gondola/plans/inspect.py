@@ -6,18 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gondola.operators import inspection
-from gondola.session import run_folder
 from gondola.sources.nested_zip import HEADERS, INSPECT, read_archives
 
 
-def inspect_archives(spark: SparkSession, archives: list[str], output: str | None = None) -> dict[str, DataFrame]:
+def inspect_archives(spark: SparkSession, archives: list[str], output: str) -> dict[str, DataFrame]:
     """Frames ``archivos`` (members per archive), ``reportes`` (per member and file), ``totales`` (per
-    file name) and ``errores``; with ``output`` each is also written as a JSON folder.
+    file name) and ``errores``, each also written as a JSON folder below ``output``, a folder that all
+    executors reach.
 
     The files are parsed once: their reports are small and written before the rest is derived.
     """
-    folder = output or run_folder(spark, "inspeccion")
-    reports_path = f"{folder}/reportes"
+    reports_path = f"{output}/reportes"
     notes = read_archives(spark, archives, HEADERS)
     inspection.file_reports(read_archives(spark, archives, INSPECT)).write.mode("overwrite").json(reports_path)
 
@@ -28,9 +27,8 @@ def inspect_archives(spark: SparkSession, archives: list[str], output: str | Non
         "totales": inspection.totals_by_file(reports),
         "errores": inspection.problems(reports, notes),
     }
-    if output:
-        for name in ("archivos", "totales", "errores"):
-            result[name].write.mode("overwrite").json(f"{output}/{name}")
+    for name in ("archivos", "totales", "errores"):
+        result[name].write.mode("overwrite").json(f"{output}/{name}")
     return result
 
 

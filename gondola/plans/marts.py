@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from gondola.functions.columns import filled, mean, null_safe_join, nulls_last
 from gondola.operators.aggregates import median_price, product_statistics, spread_columns, times
-from gondola.operators.topk import top_rows
 from gondola.operators.variation import against_previous_date
 from gondola.schemas import (
     BANNER_KEY,
@@ -29,10 +28,9 @@ from gondola.schemas import (
 # Basket categories in matching order.
 BASKET_KEYWORDS = ("LECHE", "ARROZ", "FIDEO", "YERBA", "ACEITE", "AZUCAR", "HARINA", "HUEVO")
 
-# Limits of the quality rules and of the two capped marts.
+# Limits of the quality rules and of the dispersion mart.
 LOW_PRICE = 10
 HIGH_PRICE = 100_000
-SUSPICIOUS_ROWS = 10_000
 MIN_DISPERSION_ROWS = 20
 
 _EVOLUTION = [
@@ -278,22 +276,17 @@ def calidad_precios(activity: DataFrame) -> DataFrame:
     )
 
 
-def precios_sospechosos(prices: DataFrame, limit: int = SUSPICIOUS_ROWS) -> DataFrame:
-    """Price rows that break a quality rule, labelled; the first ``limit`` in a fixed order.
-
-    Which rows are kept is free in the definition: the newest dates come first, since those are looked
-    at, and ordering by all columns makes reruns agree.
-    """
+def precios_sospechosos(prices: DataFrame) -> DataFrame:
+    """Every price row that breaks a quality rule, labelled: a filter of one scan, stored by date."""
     price = F.col(PRICE)
     columns = [DATE, *COMPARABLE_PRODUCT, PRICE, REFERENCE_PRICE]
-    flagged = prices.where((price < LOW_PRICE) | (price >= HIGH_PRICE)).select(
+    return prices.where((price < LOW_PRICE) | (price >= HIGH_PRICE)).select(
         *columns,
         F.when(price <= 0, "precio_menor_o_igual_cero")
         .when(price < LOW_PRICE, "precio_menor_10")
         .otherwise("precio_muy_alto")
         .alias("regla_calidad"),
     )
-    return top_rows(flagged, [F.col(DATE).desc_nulls_last(), *nulls_last(columns[1:])], limit)
 
 
 def basket_category(keywords: Sequence[str] = BASKET_KEYWORDS) -> Column:

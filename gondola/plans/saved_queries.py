@@ -12,9 +12,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gondola.functions.columns import contains_text, mean, null_safe_join, nulls_last, percent_change
+from gondola.functions.columns import contains_text, first_rows, mean, null_safe_join, nulls_last, percent_change
 from gondola.operators.aggregates import branch_places, comparable_products, times
-from gondola.operators.topk import top_rows
 from gondola.plans import marts
 from gondola.schemas import (
     BANNER_KEY,
@@ -124,16 +123,18 @@ def located_branches(geography: DataFrame) -> DataFrame:
 # --- price quality
 
 
-def _price_rows(prices: DataFrame, condition: Column, limit: int) -> DataFrame:
+def _price_rows(prices: DataFrame, condition: Column, limit: int | None) -> DataFrame:
+    """All rows without an order of their own, or the first ``limit`` in the order of their columns."""
     columns = [DATE, *COMPARABLE_PRODUCT, PRICE, REFERENCE_PRICE]
-    return top_rows(prices.where(condition).select(*columns), nulls_last(columns), limit)
+    rows = prices.where(condition).select(*columns)
+    return rows if limit is None else rows.orderBy(*nulls_last(columns)).limit(limit)
 
 
-def non_positive_prices(prices: DataFrame, limit: int = 1000) -> DataFrame:
+def non_positive_prices(prices: DataFrame, limit: int | None = None) -> DataFrame:
     return _price_rows(prices, F.col(PRICE) <= 0, limit)
 
 
-def very_low_prices(prices: DataFrame, limit: int = 1000) -> DataFrame:
+def very_low_prices(prices: DataFrame, limit: int | None = None) -> DataFrame:
     return _price_rows(prices, (F.col(PRICE) > 0) & (F.col(PRICE) < marts.LOW_PRICE), limit)
 
 
@@ -268,12 +269,10 @@ _CHANGE = [
 ]
 
 
-def evolution_of(evolution: DataFrame, text: str, limit: int = 200) -> DataFrame:
-    return (
-        evolution.where(contains_text("productos_descripcion", text))
-        .orderBy(*nulls_last([DATE]), F.desc("cantidad_registros"), *nulls_last(COMPARABLE_PRODUCT))
-        .limit(limit)
-    )
+def evolution_of(evolution: DataFrame, text: str, limit: int | None = None) -> DataFrame:
+    found = evolution.where(contains_text("productos_descripcion", text))
+    order = [*nulls_last([DATE]), F.desc("cantidad_registros"), *nulls_last(COMPARABLE_PRODUCT)]
+    return first_rows(found.orderBy(*order), limit)
 
 
 def enough_rows(min_rows: int) -> Column:
@@ -345,21 +344,17 @@ def compare_dates(summary: DataFrame, start: date | str, end: date | str) -> Dat
     )
 
 
-def comparable_enough(changes: DataFrame, min_rows: int = MIN_ROWS, limit: int = 200) -> DataFrame:
-    return (
-        changes.where(enough_rows(min_rows))
-        .orderBy(F.desc(DATE), F.desc("cantidad_registros_actual"), *nulls_last(COMPARABLE_PRODUCT))
-        .limit(limit)
-        .select(
-            DATE,
-            "fecha_anterior",
-            *_UNIT_KEY,
-            "cantidad_registros_anterior",
-            "cantidad_registros_actual",
-            "precio_promedio_anterior",
-            "precio_promedio_actual",
-            "variacion_porcentual",
-        )
+def comparable_enough(changes: DataFrame, min_rows: int = MIN_ROWS, limit: int | None = None) -> DataFrame:
+    order = [F.desc(DATE), F.desc("cantidad_registros_actual"), *nulls_last(COMPARABLE_PRODUCT)]
+    return first_rows(changes.where(enough_rows(min_rows)).orderBy(*order), limit).select(
+        DATE,
+        "fecha_anterior",
+        *_UNIT_KEY,
+        "cantidad_registros_anterior",
+        "cantidad_registros_actual",
+        "precio_promedio_anterior",
+        "precio_promedio_actual",
+        "variacion_porcentual",
     )
 
 

@@ -1,10 +1,7 @@
-"""Session settings the jobs expect, and the shared folder for written intermediates."""
+"""Session settings the jobs expect."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import SparkSession
 
 #: Runtime settings only; everything static (memory, master, executors) belongs to spark-submit.
@@ -18,8 +15,11 @@ RUNTIME_CONF = {
     # percentile_approx and collect_set keep object buffers; with the default of 128 groups per task
     # they would sort every row first. Buffers of ordinary products are small.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
-    # A malformed line must be judged on all its columns, not only on the selected ones.
-    "spark.sql.csv.parser.columnPruning.enabled": "false",
+    # The cleaning projections make methods that the JIT compiler would leave interpreted; plans with
+    # such methods run faster as separate operators.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # A stored scan is partitioned by a few files; so many writers at once spare a sort of its rows.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
 
 
@@ -28,25 +28,3 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark
-
-
-_LOCAL_FOLDERS: dict[str, str] = {}
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
-
-    Only where the cluster names none (tests, a laptop) is a fresh local folder made, once per
-    application.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", "")
-    if not folder:
-        app = spark.sparkContext.applicationId
-        folder = _LOCAL_FOLDERS.setdefault(app, "") or tempfile.mkdtemp(prefix="gondola-")
-        _LOCAL_FOLDERS[app] = folder
-    return folder.rstrip("/")
-
-
-def run_folder(spark: SparkSession, label: str) -> str:
-    """A new folder name below the shared one, unique per run."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"

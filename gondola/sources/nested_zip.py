@@ -3,9 +3,13 @@
     spark.read.format("precios_zip").option("path", "/shared/2026-05-23.zip").load()
 
 Every inner ZIP (member) is one input partition, so a lost executor costs one member. The driver only
-reads central directories. Each task holds the compressed bytes of its member at most; the files in it
-are streamed and leave as Arrow batches. Rows come out raw, as lists of fields: which of them are valid
-is decided by Spark expressions (``gondola.functions.cleaning``).
+reads central directories. A task unpacks its member once, in memory up to ``SPOOL_BYTES`` and on the
+task's own disk beyond; the files in it are streamed and leave as Arrow batches as they are read. Rows
+come out raw, as lists of fields: which of them are valid is decided by Spark expressions
+(``gondola.functions.cleaning``).
+
+A file that breaks in the middle has its rows before the break in the output and a note that says so. A
+load takes no row of a member with such a note (``whole_members``), at whichever row the break is.
 
 Paths may carry any scheme pyarrow knows (local, ``hdfs://``, ``s3://``, ``gs://``).
 """
@@ -16,7 +20,9 @@ import csv
 import io
 import json
 import re
+import shutil
 import sys
+import tempfile
 import zipfile
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -28,6 +34,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from gondola.schemas import TABLES
@@ -38,7 +45,7 @@ FILES = [(spec.csv, list(spec.header)) for spec in TABLES.values()]
 
 SCHEMA = (
     "zip string, archivo_origen string, orden int, csv string, "
-    "tipo string, estado string, campos array<string>, error string"
+    "tipo string, estado string, campos array<string>, error string, archivo int"
 )
 ARROW_SCHEMA = pa.schema(
     [
@@ -50,14 +57,12 @@ ARROW_SCHEMA = pa.schema(
         ("estado", pa.string()),  # ok | vacio | corrupto | falta | encabezado | error
         ("campos", pa.list_(pa.string())),
         ("error", pa.string()),
+        ("archivo", pa.int32()),  # place of the outer archive in the list of the scan
     ]
 )
 
 BATCH_ROWS = 10_000
-#: A file that breaks in the middle contributes only whole blocks of this many rows.
-BLOCK_ROWS = 250_000
-#: Larger members are read through the outer archive instead of being held in memory.
-IN_MEMORY_BYTES = 256 * 1024 * 1024
+SPOOL_BYTES = 64 * 1024 * 1024
 
 #: Reading modes.
 MEMBERS = "miembros"  # names only, no member is opened
@@ -73,6 +78,7 @@ class MemberPartition(InputPartition):
     zip: str
     member: str | None
     order: int
+    archive: int = 0
 
 
 def date_in_name(name: str) -> str | None:
@@ -139,15 +145,15 @@ class NestedZipReader(DataSourceReader):
 
     def partitions(self) -> list[MemberPartition]:
         if self.mode == MEMBERS:
-            return [MemberPartition(a["path"], None, i) for i, a in enumerate(self.archives)]
+            return [MemberPartition(a["path"], None, i, i) for i, a in enumerate(self.archives)]
         with ThreadPoolExecutor(16) as pool:
             listed = list(pool.map(lambda a: list_members(a["path"]), self.archives))
         parts = []
-        for archive, names in zip(self.archives, listed):
+        for number, (archive, names) in enumerate(zip(self.archives, listed)):
             skip = set(archive.get("omitir") or ())
             for order, name in enumerate(names):
                 if (archive.get("fecha") or date_in_name(name)) not in skip:
-                    parts.append(MemberPartition(archive["path"], name, order))
+                    parts.append(MemberPartition(archive["path"], name, order, number))
         return parts
 
     def read(self, part: MemberPartition | None) -> Iterator[pa.RecordBatch]:
@@ -156,11 +162,11 @@ class NestedZipReader(DataSourceReader):
         if self.mode == MEMBERS:
             yield from self._names(part)
             return
-        with open_archive(part.zip) as outer:
+        with open_archive(part.zip) as outer, tempfile.SpooledTemporaryFile(SPOOL_BYTES) as raw:
             try:
-                size = outer.getinfo(part.member).compress_size
-                raw = outer.open(part.member) if size > IN_MEMORY_BYTES else io.BytesIO(outer.read(part.member))
-                if not raw.read(1):
+                with outer.open(part.member) as packed:
+                    shutil.copyfileobj(packed, raw, 1 << 20)
+                if not raw.tell():
                     yield note(part, "miembro", "vacio")
                     return
                 raw.seek(0)
@@ -175,7 +181,7 @@ class NestedZipReader(DataSourceReader):
     def _names(self, part: MemberPartition) -> Iterator[pa.RecordBatch]:
         try:
             for order, name in enumerate(list_members(part.zip)):
-                yield note(MemberPartition(part.zip, name, order), "miembro", "ok")
+                yield note(MemberPartition(part.zip, name, order, part.archive), "miembro", "ok")
         except Exception as problem:
             yield note(part, "miembro", "error", error=describe(problem))
 
@@ -199,7 +205,7 @@ class NestedZipReader(DataSourceReader):
 
     def _rows(self, part, inner, name, file, header, wanted):
         """Emit the rows of one file; return its state, header and error."""
-        found, batch, waiting, pending = None, [], [], 0
+        found, batch = None, []
         try:
             with inner.open(name) as raw:
                 rows = csv.reader(io.TextIOWrapper(raw, encoding="utf-8-sig", newline=""), delimiter="|")
@@ -212,35 +218,18 @@ class NestedZipReader(DataSourceReader):
                 if self.mode == HEADERS:
                     return "ok", found, None
                 for row in rows:
-                    if not row:
-                        continue
-                    batch.append(row)
-                    # Only complete, non-blank rows fill a block.
-                    pending += len(row) == len(header) and any(value.strip() for value in row)
-                    if len(batch) >= BATCH_ROWS:
-                        if wanted:
-                            waiting.append(row_batch(part, file, batch))
-                        batch = []
-                    if self.mode == INSPECT or pending >= BLOCK_ROWS:
-                        if pending >= BLOCK_ROWS and batch:
-                            if wanted:
-                                waiting.append(row_batch(part, file, batch))
+                    if row and wanted:
+                        batch.append(row)
+                        if len(batch) >= BATCH_ROWS:
+                            yield row_batch(part, file, batch)
                             batch = []
-                        yield from waiting
-                        waiting, pending = [], 0
-                if batch and wanted:
-                    waiting.append(row_batch(part, file, batch))
-                yield from waiting
-            return "ok", found, None
+            state, error = "ok", None
         except zipfile.BadZipFile as problem:
             state, error = "corrupto", describe(problem)
         except Exception as problem:
             state, error = "error", describe(problem)
-        if self.mode == INSPECT:
-            # An inspection also counts what was read before the problem.
-            yield from waiting
-            if batch and wanted:
-                yield row_batch(part, file, batch)
+        if batch:
+            yield row_batch(part, file, batch)
         return state, found, error
 
 
@@ -260,6 +249,7 @@ def note(part, kind, state, file=None, fields=None, error=None) -> pa.RecordBatc
                 "estado": state,
                 "campos": fields,
                 "error": error,
+                "archivo": part.archive,
             }
         ],
         schema=ARROW_SCHEMA,
@@ -280,11 +270,26 @@ def row_batch(part: MemberPartition, file: str, rows: list[list[str]]) -> pa.Rec
             constant(None),
             pa.array(rows, pa.list_(pa.string())),
             constant(None),
+            constant(part.archive, pa.int32()),
         ],
         schema=ARROW_SCHEMA,
     )
 
 
+def broken_members(notes: DataFrame) -> DataFrame:
+    """(zip, archivo_origen) of the members that could not be read to their end or have an unknown header."""
+    fatal = ((F.col("tipo") == "miembro") & (F.col("estado") != "ok")) | (
+        (F.col("tipo") == "csv") & F.col("estado").isin("encabezado", "error", "corrupto")
+    )
+    return notes.where(fatal).select("zip", "archivo_origen").distinct()
+
+
+def whole_members(raw: DataFrame) -> DataFrame:
+    """A scan, or a stored one, without the rows of broken members."""
+    broken = broken_members(raw.where(F.col("tipo") != "fila"))
+    return raw.where(F.col("tipo") == "fila").join(broken, ["zip", "archivo_origen"], "left_anti")
+
+
 # Workers need no installed copy of the package: the source travels with the plan.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 

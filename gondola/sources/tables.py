@@ -6,6 +6,7 @@ are partitioned by publication date, so date filters prune files.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from datetime import date
 
@@ -69,14 +70,22 @@ class Warehouse:
         """Append rows to a base table; returns ``filas`` and further metrics observed while writing."""
         observed = Observation()
         counted = rows.observe(observed, F.count(F.lit(1)).alias("filas"), *metrics)
+        # A large member is spread over tasks, and a large date over files.
         (
             counted.select(*TABLES[table].output)
+            .hint("rebalance", F.col(DATE))
             .write.mode("append")
             .option("maxRecordsPerFile", MAX_FILE_ROWS)
             .partitionBy(DATE)
             .parquet(self.path(table))
         )
-        return observed_metrics(observed)
+        try:
+            return observed.get
+        except Py4JJavaError:
+            # Spark drops the counting from a plan whose input it finds empty; nothing else may pass.
+            if not rows.isEmpty():
+                raise
+            return {}
 
     def replace(self, table: str, frame: DataFrame, by_date: bool = False) -> int:
         """Create or replace a table and return its row count (read from the file footers).
@@ -97,11 +106,20 @@ class Warehouse:
         return any(f"{DATE}=" in entry.base_name for entry in system.get_file_info(fs.FileSelector(inner)))
 
     def dates(self, table: str) -> list[date]:
-        """Distinct publication dates of a table, read from the partition values alone."""
-        if not self.exists(table):
-            return []
-        found = self.read(table).where(F.col(DATE).isNotNull()).select(DATE).distinct()
-        return sorted(row[0] for row in found.collect())
+        """Publication dates of a table with at least one file, from a listing of its folder alone."""
+        system, inner = file_system(self.path(table))
+        listed = system.get_file_info(fs.FileSelector(inner, recursive=True, allow_not_found=True))
+        days = set()
+        for entry in listed:
+            value = re.search(rf"/{DATE}=(\d{{4}}-\d{{2}}-\d{{2}})/[^/_.][^/]*$", entry.path)
+            if value and entry.size:
+                days.add(date.fromisoformat(value[1]))
+        return sorted(days)
+
+    def drop_folder(self, name: str) -> None:
+        system, inner = file_system(self.path(name))
+        if system.get_file_info(inner).type == fs.FileType.Directory:
+            system.delete_dir(inner)
 
     def drop_dates(self, table: str, dates: Iterable[date]) -> None:
         """Remove the partitions of some dates, whether or not new rows follow.
@@ -115,14 +133,6 @@ class Warehouse:
                 system.delete_dir(partition)
 
 
-def observed_metrics(observation: Observation) -> dict:
-    """Metrics of a finished write; none if Spark found the input empty and dropped it from the plan."""
-    try:
-        return observation.get
-    except Py4JJavaError:
-        return {}
-
-
 def export_csv(frame: DataFrame, path: str) -> None:
     frame.write.mode("overwrite").option("header", True).csv(path)
 

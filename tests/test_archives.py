@@ -61,7 +61,7 @@ def test_dimensions(spark, archive):
     stamp = chains.select(F.col("comercio_ultima_actualizacion").cast("string")).first()[0]
     assert stamp == "2026-05-23 07:00:00"
     branches = clean(read_archives(spark, [archive], LOAD, "sucursales.csv"), TABLES[BRANCHES])
-    assert branches.columns[:-1] == list(TABLES[BRANCHES].output)
+    assert branches.columns[:-2] == list(TABLES[BRANCHES].output)
     assert branches.select("sucursales_latitud").first()[0] == -34.6
 
 
@@ -88,31 +88,41 @@ def test_member_names(spark, archive):
     assert read_archives(spark, [archive], MEMBERS).count() == 11
 
 
-def test_a_broken_file_keeps_whole_blocks_only(tmp_path, monkeypatch):
-    """Rows before the break count in blocks; an inspection reports all rows read."""
-    monkeypatch.setattr(nested_zip, "BLOCK_ROWS", 4000)
+@pytest.mark.parametrize("before", [0, 1, 1499, 1500, 1501, 9000])
+def test_no_row_of_a_member_with_a_broken_file_is_loaded(spark, tmp_path, monkeypatch, before):
+    """Wherever the break is; an inspection reports the rows that were read."""
     monkeypatch.setattr(nested_zip, "BATCH_ROWS", 1500)
-    content = data.lines(PRODUCTOS_HEADER, *[data.price(str(i)) for i in range(9000)]) + b"\xff\r\n"
-    path = data.write_archive(tmp_path / "roto.zip", {"2026-01-01/a.zip": data.member(prices=content)})
+    content = data.lines(PRODUCTOS_HEADER, *[data.price(str(i)) for i in range(before)]) + b"\xff\r\n"
+    members = {"2026-01-01/a.zip": data.member(prices=content), "2026-01-01/b.zip": data.simple_member(data.price("b"))}
+    path = data.write_archive(tmp_path / "roto.zip", members)
+    raw = read_archives(spark, [path], LOAD)
+    loaded = nested_zip.whole_members(raw).select("archivo_origen", "csv").distinct().collect()
+    assert {r.archivo_origen for r in loaded} == {"2026-01-01/b.zip"} and len(loaded) == 3
+    notes = raw.where("tipo = 'csv' and estado = 'error'").collect()
+    assert [r.archivo_origen for r in notes] == ["2026-01-01/a.zip"]
     part = nested_zip.MemberPartition(path, "2026-01-01/a.zip", 0)
+    batches = nested_zip.NestedZipReader({"path": path, "lectura": INSPECT, "csv": "productos.csv"}).read(part)
+    kinds = [row for batch in batches for row in batch.to_pylist()]
+    seen = [r["campos"][3] for r in kinds if r["tipo"] == "fila"]
+    assert seen == [str(i) for i in range(len(seen))] and len(seen) <= before
 
-    def rows(mode):
-        batches = nested_zip.NestedZipReader({"path": path, "lectura": mode, "csv": "productos.csv"}).read(part)
-        kinds = [row for batch in batches for row in batch.to_pylist()]
-        return [r["campos"][3] for r in kinds if r["tipo"] == "fila"]
 
-    assert rows(LOAD) == [str(i) for i in range(8000)]
-    seen = rows(INSPECT)
-    assert seen == [str(i) for i in range(len(seen))] and len(seen) > 8000
+def test_batches_leave_as_they_are_read(tmp_path, monkeypatch):
+    monkeypatch.setattr(nested_zip, "BATCH_ROWS", 100)
+    content = data.lines(PRODUCTOS_HEADER, *[data.price(str(i)) for i in range(1000)])
+    path = data.write_archive(tmp_path / "a.zip", {"2026-01-01/a.zip": data.member(prices=content)})
+    part = nested_zip.MemberPartition(path, "2026-01-01/a.zip", 0)
+    sizes = [batch.num_rows for batch in nested_zip.NestedZipReader({"path": path, "csv": "productos.csv"}).read(part)]
+    assert max(sizes) == 100 and sum(sizes) == 1002
 
 
-def test_large_members_are_streamed(archive, monkeypatch):
+def test_large_members_are_spooled(archive, monkeypatch):
     def read_all():
         reader = nested_zip.NestedZipReader({"path": archive})
         return [row for part in reader.partitions() for batch in reader.read(part) for row in batch.to_pylist()]
 
     held = read_all()
-    monkeypatch.setattr(nested_zip, "IN_MEMORY_BYTES", 0)
+    monkeypatch.setattr(nested_zip, "SPOOL_BYTES", 1)
     assert read_all() == held
 
 

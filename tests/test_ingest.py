@@ -35,7 +35,8 @@ def simple(tmp_path, name, day="2026-05-23", *products, branches=1):
 def test_load_with_warnings(warehouse, tmp_path):
     archive = data.full_archive(tmp_path / "diario.zip")
     counts = ingest.load_archives(warehouse, [(None, archive)])
-    assert counts == {CHAINS: 9, BRANCHES: 8, FACT: 15} == rows_of(warehouse)
+    # Members with an unknown header or an unreadable file are left out as a whole.
+    assert counts == {CHAINS: 7, BRANCHES: 6, FACT: 15} == rows_of(warehouse)
     record = ingest.control_table(warehouse).first()
     assert record["estado"] == "success_with_warnings" and record["modo_carga"] == "append"
     assert json.loads(record["fechas_publicacion"]) == ["2026-05-23"]
@@ -84,12 +85,71 @@ def test_reload_replaces_dates_in_all_tables(warehouse, tmp_path):
     assert warehouse.read(BRANCHES).where("fecha_publicacion = '2026-05-23'").count() == 1
 
 
-def test_reload_empties_dates_without_new_rows(warehouse, tmp_path):
+def test_reload_keeps_dates_whose_new_archive_is_unreadable(warehouse, tmp_path):
     ingest.load_archives(warehouse, [(None, simple(tmp_path, "a.zip"))])
+    before = rows_of(warehouse)
     broken = data.write_archive(tmp_path / "b.zip", {"2026-05-23/m.zip": b"roto"})
     ingest.load_archives(warehouse, [(None, broken)], reload_existing=True)
-    assert rows_of(warehouse) == {CHAINS: 0, BRANCHES: 0, FACT: 0}
-    assert warehouse.dates(FACT) == []
+    assert rows_of(warehouse) == before and warehouse.dates(FACT) == [DAY]
+
+
+class Stopped(Exception):
+    pass
+
+
+@pytest.mark.parametrize("reload_existing", [False, True])
+@pytest.mark.parametrize("step", range(8))
+def test_a_plain_retry_mends_a_load_that_stops_anywhere(warehouse, tmp_path, monkeypatch, step, reload_existing):
+    if reload_existing:
+        ingest.load_archives(warehouse, [(None, simple(tmp_path, "viejo.zip", branches=3))])
+    entry = [(None, simple(tmp_path, "a.zip", "2026-05-23", "x", branches=2))]
+    calls = iter(range(100))
+
+    def stopping(function):
+        def run(*args, **kwargs):
+            if next(calls) == step:
+                raise Stopped
+            return function(*args, **kwargs)
+
+        return run
+
+    with monkeypatch.context() as patch:
+        for name in ("create_base", "drop_dates", "append"):
+            patch.setattr(Warehouse, name, stopping(getattr(Warehouse, name)))
+        if step < 7:  # once to make the tables, three times to empty them, three times to fill them
+            with pytest.raises(Stopped):
+                ingest.load_archives(warehouse, entry, reload_existing=reload_existing)
+        else:
+            ingest.load_archives(warehouse, entry, reload_existing=reload_existing)
+    ingest.load_archives(warehouse, entry, reload_existing=reload_existing)
+    assert rows_of(warehouse) == {CHAINS: 1, BRANCHES: 2, FACT: 1}
+    assert not (tmp_path / "almacen" / ingest.STAGING).exists() or not any((tmp_path / "almacen" / ingest.STAGING).iterdir())
+
+
+def test_one_failing_archive_leaves_the_others_of_its_batch(warehouse, tmp_path, monkeypatch):
+    entries = [(None, simple(tmp_path, f"{n}.zip", f"2026-05-2{n}")) for n in range(3)]
+    store = ingest.store
+
+    def failing(where, sources, name):
+        if any(s["path"].endswith("1.zip") for s in sources):
+            raise Stopped
+        return store(where, sources, name)
+
+    monkeypatch.setattr(ingest, "store", failing)
+    with pytest.raises(Stopped):
+        ingest.load_archives(warehouse, entries)
+    assert [d.day for d in warehouse.dates(FACT)] == [20, 22]
+    found = {r["zip_filename"]: r["estado"] for r in ingest.control_table(warehouse).collect()}
+    assert found == {"0.zip": "success", "1.zip": "failed", "2.zip": "success"}
+
+
+def test_all_messages_are_kept(warehouse, tmp_path, spark):
+    members = {f"2026-05-23/m{i}.zip": b"roto" for i in range(130)}
+    ingest.load_archives(warehouse, [(None, data.write_archive(tmp_path / "a.zip", members))])
+    record = ingest.control_table(warehouse).first()
+    messages = spark.read.parquet(warehouse.path(ingest.ERRORS)).where(f"id_ingesta = '{record['id_ingesta']}'")
+    assert record["errores"] == messages.select("mensaje").distinct().count() == 130
+    assert len(json.loads(record["detalle"])["errores"]) == ingest.DETAILED_ERRORS
 
 
 def test_replace_starts_anew_for_the_first_archive_only(warehouse, tmp_path):
@@ -121,18 +181,18 @@ def test_a_date_with_dimensions_only_is_not_loaded(warehouse, tmp_path):
     )
     ingest.load_archives(warehouse, [(None, data.write_archive(tmp_path / "a.zip", {"2026-05-23/m.zip": with_chain}))])
     ingest.load_archives(warehouse, [(None, simple(tmp_path, "b.zip"))])
-    assert rows_of(warehouse) == {CHAINS: 2, BRANCHES: 2, FACT: 2}
+    assert rows_of(warehouse) == {CHAINS: 1, BRANCHES: 1, FACT: 2}
 
 
-def test_unreadable_archive_fails_after_the_ones_before_it(warehouse, tmp_path):
+def test_unreadable_archive_fails_and_the_others_load(warehouse, tmp_path):
     bad = tmp_path / "mal.zip"
     bad.write_bytes(b"nada")
     entries = [(None, simple(tmp_path, "a.zip")), (None, str(bad)), (None, simple(tmp_path, "c.zip", "2026-05-24"))]
     with pytest.raises(ingest.UnreadableArchive):
         ingest.load_archives(warehouse, entries)
-    assert warehouse.dates(FACT) == [DAY]
+    assert [d.day for d in warehouse.dates(FACT)] == [23, 24]
     control = {r["zip_filename"]: r for r in ingest.control_table(warehouse).collect()}
-    assert {n: r["estado"] for n, r in control.items()} == {"a.zip": "success", "mal.zip": "failed"}
+    assert {n: r["estado"] for n, r in control.items()} == {"a.zip": "success", "mal.zip": "failed", "c.zip": "success"}
     assert json.loads(control["mal.zip"]["detalle"])["errores"][0].startswith("BadZipFile")
 
 

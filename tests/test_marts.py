@@ -9,9 +9,9 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from gondola.operators.topk import top_rows
+from checks.registry import Context
 from gondola.operators.variation import against_previous_date
-from gondola.plans import marts
+from gondola.plans import dashboard, marts
 from gondola.plans import saved_queries as q
 from gondola.plans.build import MARTS, MartSources, build_marts, marts_to_build
 from gondola.schemas import BRANCHES, CHAINS, COMPARABLE_PRODUCT, DATE, FACT, PRICE, TABLES, BaseTables
@@ -244,14 +244,33 @@ def test_suspicious_labels(sources):
     }
 
 
-@pytest.mark.parametrize("limit", [1, 7, 100, 5000])
-def test_top_rows_is_a_sorted_limit(spark, limit):
-    rng = random.Random(limit)
-    items = [(rng.randint(0, 50), i) for i in range(2000)]
-    frame = spark.createDataFrame(items, "a int, b int").repartition(9)
-    order = [F.col("a").desc(), F.col("b").asc()]
-    got = [tuple(r) for r in top_rows(frame, order, limit, groups=4).collect()]
-    assert got == sorted(items, key=lambda r: (-r[0], r[1]))[:limit]
+def test_every_date_with_a_flagged_price_is_stored(spark):
+    context = Context(spark, "/root/testdata/sf0.1")
+    price = F.col("productos_precio_lista")
+    flagged = context.sources.base.precios.where((price < 10) | (price >= 100_000)).groupBy("fecha_publicacion").count()
+    wanted = {r.fecha_publicacion: r["count"] for r in flagged.collect()}
+    mart = marts.precios_sospechosos(context.sources.base.precios)
+    found = {r.fecha_publicacion: r["count"] for r in mart.groupBy("fecha_publicacion").count().collect()}
+    assert found == wanted and sum(found.values()) > 10_000
+    for when in sorted(found)[:2] + sorted(found)[-1:]:
+        assert dashboard.suspicious_rows(mart, when).count() == found[when]
+
+
+def test_series_over_more_than_500_dates(spark):
+    dates = spark.range(501).select(
+        F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("fecha_publicacion"),
+        F.lit("1").alias("id_producto"),
+        *[F.lit(None).cast(t).alias(c) for c, t in (("productos_descripcion", "string"), ("productos_marca", "string"))],
+        F.lit(None).cast("double").alias("productos_cantidad_presentacion"),
+        F.lit(None).cast("string").alias("productos_unidad_medida_presentacion"),
+        F.lit(1).alias("cantidad_registros"),
+        *[(F.col("id") + 1.0).alias(c) for c in ("precio_minimo", "precio_maximo", "precio_promedio")],
+        F.lit(1.0).alias("precio_referencia_promedio"),
+    )
+    series = dashboard.product_series(dates, "1", None, None, None, None)
+    assert series.count() == 501 and dashboard.series_by_metric(series).count() == 1503
+    change = dashboard.series_change(series).first()
+    assert (change.promedio_inicial, change.promedio_final) == (1.0, 501.0)
 
 
 def test_find_products_weighs_the_fan_out(base):
