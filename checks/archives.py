@@ -67,9 +67,62 @@ def _write_partitions(folder: str):
     return write
 
 
+def _broken_members(day: str) -> Iterator[tuple[str, bytes]]:
+    """One member of each kind of damage for a date; the counts are those of ``BROKEN``."""
+
+    def rows(header: list[str], *ids: str) -> bytes:
+        return _file(pd.DataFrame({"id_comercio": ids, "id_bandera": "1", "id_producto": "7"}), header)
+
+    def member(**files: bytes) -> bytes:
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w") as inner:
+            for name, content in files.items():
+                inner.writestr(f"{name}.csv", content)
+        return packed.getvalue()
+
+    chain, branch, price = (_HEADERS[f"{n}.csv"] for n in ("comercio", "sucursales", "productos"))
+    footer, short = b"Ultima actualizacion: hoy\r\n", b"9|1\r\n"
+    yield f"{day}/vacio.zip", b""
+    yield f"{day}/corrupto.zip", b"esto no es un zip"
+    yield f"{day}/encabezado.zip", member(comercio=rows(chain, "1"), sucursales=rows(branch, "1"), productos=rows(["otro", *price[1:]], "1"))
+    yield f"{day}/sin_sucursales.zip", member(comercio=rows(chain, "1"), productos=rows(price, "1", "2"))
+    yield f"{day}/corto.zip", member(comercio=rows(chain, "1") + footer, sucursales=rows(branch, "1"), productos=rows(price, "1") + short + short + footer)
+
+
+#: Fixed by the members above, for each date and file: present, with its header, valid rows, invalid rows, footers.
+BROKEN = {
+    "comercio.csv": (3, 3, 3, 0, 1),
+    "sucursales.csv": (2, 2, 2, 0, 0),
+    "productos.csv": (3, 2, 4, 2, 1),
+}
+
+
+def _write_broken(folder: str):
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, root = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
+        system.create_dir(root, recursive=True)
+        for batch in batches:
+            paths = []
+            for day in batch.fecha_publicacion:
+                with system.open_output_stream(f"{root}/rotos_{day}.zip") as out, zipfile.ZipFile(out, "w") as outer:
+                    for name, content in _broken_members(day):
+                        outer.writestr(name, content)
+                paths.append(f"{folder}/rotos_{day}.zip")
+            yield pd.DataFrame({"path": paths})
+
+    return write
+
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def broken_archives(spark: SparkSession, prices: DataFrame) -> list[str]:
+    """Paths of one archive with damaged members for each date of the prices."""
+    folder = run_folder(spark, "rotos").removeprefix("file:")
+    days = prices.select(F.col("fecha_publicacion").cast("string")).where("fecha_publicacion is not null").distinct()
+    return sorted(r["path"] for r in days.mapInPandas(_write_broken(folder), "path string").collect())
+
+
 def archives(spark: SparkSession, sf_dir: str, prices: DataFrame) -> list[str]:
     """Paths of the archives derived from the prices of a data folder, written once per application."""
     key = (spark.sparkContext.applicationId, sf_dir)

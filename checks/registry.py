@@ -63,6 +63,13 @@ class Context:
     def archives(self) -> list[str]:
         return archives.archives(self.spark, self.sf_dir, self.views.select(views.FACT_PRECIOS))
 
+    @cached_property
+    def broken(self) -> list[str]:
+        return archives.broken_archives(self.spark, self.views.select(views.FACT_PRECIOS))
+
+    def scan_broken(self, mode: str) -> DataFrame:
+        return read_archives(self.spark, self.broken, mode)
+
     def scan(self, mode: str = LOAD, csv: str | None = None) -> DataFrame:
         return read_archives(self.spark, self.archives, mode, csv)
 
@@ -965,6 +972,65 @@ check(
     "select cast(count(*) - count(*) as bigint) as errores from fact_precios",
     "errores",
 )
+# Archives with one member of each kind of damage for every date of the table.
+_DAYS = "(select distinct fecha_publicacion from fact_precios where fecha_publicacion is not null) dias"
+_BROKEN = ", ".join(str((name, *counts)) for name, counts in archives.BROKEN.items())
+_BROKEN = f"(values {_BROKEN}) rotos(csv, presentes, con_encabezado, validas, invalidas, pies)"
+check(
+    "q1_reportes_de_archivos_rotos",
+    lambda c: inspection.file_reports(c.scan_broken(INSPECT))
+    .groupBy(cleaning.publication_date(F.col("archivo_origen")).alias(DATE), "csv")
+    .agg(
+        F.count_if("present").alias("presentes"),
+        F.count_if("header_ok").alias("con_encabezado"),
+        F.sum("rows_total").alias("filas"),
+        F.sum("rows_valid").alias("validas"),
+        F.sum("rows_invalid").alias("invalidas"),
+        F.sum("footer_rows_removed").alias("pies"),
+    ),
+    f"select fecha_publicacion, csv, presentes, con_encabezado, validas + invalidas as filas, validas, invalidas, pies from {_DAYS}, {_BROKEN}",
+    "fecha_publicacion csv presentes con_encabezado filas validas invalidas pies",
+)
+check(
+    "q2_miembros_de_archivos_rotos",
+    lambda c: inspection.member_counts(c.scan_broken(HEADERS)).drop("zip"),
+    f"select 5 as inner_zips_total, 3 as inner_zips_valid, 1 as inner_zips_empty, 1 as inner_zips_corrupt from {_DAYS}",
+    "inner_zips_total inner_zips_valid inner_zips_empty inner_zips_corrupt",
+)
+check(
+    "q3_s10_totales_de_archivos_rotos",
+    lambda c: inspect_archives(c.spark, c.broken, run_folder(c.spark, "inspeccion"))["totales"],
+    f"""select csv, sum(presentes) as files_present, sum(con_encabezado) as files_with_valid_header, sum(validas) as rows,
+    sum(invalidas) as invalid_rows, sum(pies) as footer_rows_removed from {_DAYS}, {_BROKEN} group by csv""",
+    "csv files_present files_with_valid_header rows invalid_rows footer_rows_removed",
+)
+check(
+    "q4_errores_de_archivos_rotos",
+    lambda c: inspection.problems(
+        inspection.file_reports(c.scan_broken(INSPECT)), c.scan_broken(HEADERS).where("tipo = 'miembro'")
+    ).select(F.regexp_extract("archivo_origen", "[^/]+$", 0).alias("miembro"), "error"),
+    f"""select miembro, error from {_DAYS}, (values ('vacio.zip', '{inspection.EMPTY_MEMBER}'),
+    ('corrupto.zip', '{inspection.CORRUPT_MEMBER}')) malos(miembro, error)""",
+    "miembro error",
+)
+
+
+def _load_with_warnings(c: Context) -> DataFrame:
+    warehouse = c.new_warehouse()
+    ingest.load_archives(warehouse, [(None, path) for path in c.broken])
+    control = ingest.control_table(warehouse)
+    columns = ["estado", "errores", *[f"filas_{t}" for t in TABLES]]
+    return control.select(*columns, F.from_json("fechas_publicacion", "array<string>")[0].cast("date").alias(DATE))
+
+
+check(
+    "i9_i10_carga_con_avisos",
+    _load_with_warnings,
+    # Of five members one is empty, one no archive, one has another header; one lacks a file and loads.
+    f"""select 'success_with_warnings' as estado, 4 as errores, 2 as filas_{CHAINS}, 1 as filas_{BRANCHES}, 3 as filas_{FACT},
+    fecha_publicacion from {_DAYS}""",
+    f"estado errores filas_{CHAINS} filas_{BRANCHES} filas_{FACT} fecha_publicacion",
+)
 check(
     "s10_resumen_de_inspeccion",
     lambda c: _price_file(inspect_archives(c.spark, c.archives, run_folder(c.spark, "inspeccion"))["totales"]),

@@ -3,17 +3,24 @@
 Three aggregates of the price table feed most marts. A full build writes them once and every mart
 reads the written tables, so a lost executor recomputes at most one aggregate and the price table is
 scanned 7 times instead of once or more per mart. A single mart is computed directly.
+
+With ``dates`` only these are computed and replaced: every mart but one depends on the prices of its own
+date, so the scans are pruned to the partitions of the dates. The comparison with a product's previous date
+also reads the (aggregated) evolution mart, and is renewed from the first of the dates on.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable, Iterable, Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from gondola.operators import aggregates
 from gondola.plans import marts
-from gondola.schemas import BaseTables
+from gondola.schemas import COMPARABLE_PRODUCT, DATE, BaseTables
 from gondola.sources.tables import Warehouse, export
 
 #: Shared aggregates: table name -> function of the base tables.
@@ -90,8 +97,7 @@ MARTS: dict[str, Callable[[MartSources], DataFrame]] = {
 #: Marts that are rebuilt before another when only that one is asked for.
 DEPENDENCIES: dict[str, tuple[str, ...]] = {"mart_variacion_productos": ("mart_evolucion_productos",)}
 
-#: Marts with at most one row per date or a fixed cap are too small to partition.
-_SMALL = {"mart_resumen_general", "mart_calidad_precios", "mart_precios_sospechosos"}
+VARIATION, EVOLUTION = "mart_variacion_productos", "mart_evolucion_productos"
 
 
 def marts_to_build(only: str | None = None) -> list[str]:
@@ -107,22 +113,51 @@ def build_marts(
     only: str | None = None,
     output: str | None = None,
     keywords: Sequence[str] = marts.BASKET_KEYWORDS,
+    dates: Iterable[date] | None = None,
 ) -> dict[str, int]:
     """Create or replace the marts from the base tables; returns rows per mart.
 
     ``only`` builds one mart after its dependencies (marts that depend on it stay as they are).
-    ``output`` also exports each mart as CSV and Parquet.
+    ``output`` also exports each mart as CSV and Parquet. ``dates`` renews these dates only, in marts that
+    a full build has made; rows without a date need a full build.
     """
-    sources = MartSources(warehouse.base(), keywords)
-    if only is None:
-        for name in SHARED:
-            table = f"{_SHARED_FOLDER}/{name}"
-            warehouse.replace(table, sources.shared(name))
-            sources.provide(name, warehouse.read(table))
+    wanted = None if dates is None else sorted(set(dates))
+    if wanted == []:
+        return {}
+    base = warehouse.base()
+    if wanted is not None:
+        warehouse.require(marts_to_build(only))
+        base = BaseTables(*[frame.where(F.col(DATE).isin(wanted)) for frame in (base.precios, base.comercios, base.sucursales)])
+    sources = MartSources(base, keywords)
+    folder = f"{_SHARED_FOLDER}/{uuid.uuid4().hex}"
     rows = {}
-    for name in marts_to_build(only):
-        rows[name] = warehouse.replace(name, MARTS[name](sources), by_date=name not in _SMALL)
-        sources.provide(name, warehouse.read(name))
-        if output:
-            export(warehouse, name, output)
+    try:
+        if only is None:
+            for name in SHARED:
+                warehouse.replace(f"{folder}/{name}", sources.shared(name))
+                sources.provide(name, warehouse.read(f"{folder}/{name}"))
+        for name in marts_to_build(only):
+            if wanted is None:
+                rows[name] = warehouse.replace(name, MARTS[name](sources), by_date=True)
+                sources.provide(name, warehouse.read(name))
+            elif name == VARIATION:
+                later = [d for d in warehouse.dates(EVOLUTION) if d >= wanted[0]]
+                renewed = variation_since(warehouse.read(EVOLUTION), wanted[0])
+                rows[name] = warehouse.replace_dates(name, renewed, {*wanted, *later, *(d for d in warehouse.dates(name) if d >= wanted[0])})
+            else:
+                rows[name] = warehouse.replace_dates(name, MARTS[name](sources), wanted)
+                sources.provide(name, warehouse.read(name).where(F.col(DATE).isin(wanted)))
+            if output:
+                export(warehouse, name, output)
+    finally:
+        warehouse.drop_folder(folder)
     return rows
+
+
+def variation_since(evolution: DataFrame, first: date) -> DataFrame:
+    """The changes at ``first`` and later dates. Of the dates before, the last one of each product is enough."""
+    columns = evolution.columns
+    before = evolution.where(F.col(DATE) < F.lit(first)).groupBy(*COMPARABLE_PRODUCT)
+    last = before.agg(F.max_by(F.struct(*columns), DATE).alias("ultima")).select("ultima.*")
+    changes = marts.variacion_productos(last.unionByName(evolution.where(F.col(DATE) >= F.lit(first))))
+    return changes.where(F.col(DATE) >= F.lit(first))

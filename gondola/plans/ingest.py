@@ -61,6 +61,7 @@ class Archive:
     mode: str = APPEND
     id: str = field(default_factory=lambda: str(uuid.uuid4()))
     counts: dict[str, int] = field(default_factory=lambda: dict.fromkeys(TABLES, 0))
+    loaded: set[date] = field(default_factory=set)
 
     def source(self, skip: Iterable[str] = ()) -> dict:
         return {"path": self.path, "fecha": self.forced, "omitir": sorted(skip)}
@@ -174,12 +175,7 @@ def load_archives(
     skipped, or with ``reload_existing`` replaced where the archive has readable members for them. An
     archive that fails is recorded as failed; the others are loaded, then the first problem is raised.
     """
-    if mode not in (REPLACE, APPEND):
-        raise ValueError(f"unknown load mode: {mode}")
-    archives = plan(warehouse.spark, entries) if entries else []
-    if mode == REPLACE and archives:
-        archives[0].mode = REPLACE
-    problems = [p for run in batches(archives) for p in _load_apart(warehouse, run, reload_existing)]
+    archives, problems = load(warehouse, entries, mode, reload_existing)
     if export_to:
         for table in TABLES:
             export(warehouse, table, export_to)
@@ -188,6 +184,19 @@ def load_archives(
     return {table: sum(a.counts[table] for a in archives) for table in TABLES}
 
 
+def load(
+    warehouse: Warehouse, entries: Sequence[tuple[date | str | None, str]], mode: str = APPEND, reload_existing: bool = False
+) -> tuple[list[Archive], list[Exception]]:
+    """The archives of a load with their counts and the dates they brought, and the problems of those that failed."""
+    if mode not in (REPLACE, APPEND):
+        raise ValueError(f"unknown load mode: {mode}")
+    archives = plan(warehouse.spark, entries) if entries else []
+    if mode == REPLACE and archives:
+        archives[0].mode = REPLACE
+    problems = [p for run in batches(archives) for p in _load_apart(warehouse, run, reload_existing)]
+    return archives, problems
+
+
 def _load_apart(warehouse: Warehouse, run: list[Archive], reload_existing: bool) -> list[Exception]:
     """Load a batch, or if that fails its archives one by one; returns their problems."""
     try:
@@ -225,6 +234,8 @@ def _load(warehouse: Warehouse, run: list[Archive], reload_existing: bool) -> No
         for table in reversed(TABLES):
             warehouse.drop_dates(table, {day for _, day in dates})
         _write_tables(warehouse, run, stored)
+        for archive in run:
+            archive.loaded = {day for path, day in dates if path == archive.path}
         _finish(warehouse, run, loaded, notes, dates, started)
     except Exception as problem:
         if len(run) == 1:

@@ -7,6 +7,7 @@ are partitioned by publication date, so date filters prune files.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterable
 from datetime import date
 
@@ -101,6 +102,23 @@ class Warehouse:
             empty.write.mode("overwrite").parquet(self.path(table))
         return self.read(table).count()
 
+    def replace_dates(self, table: str, frame: DataFrame, dates: Iterable[date]) -> int:
+        """Replace some dates of a table partitioned by date; returns the rows these have now.
+
+        The new rows are stored first, so that neither a failure while they are computed nor a frame that
+        reads the table itself can lose anything.
+        """
+        folder = f"{table}__nuevo_{uuid.uuid4().hex}"
+        try:
+            frame.hint("rebalance", F.col(DATE)).write.option("maxRecordsPerFile", MAX_FILE_ROWS).parquet(self.path(folder))
+            stored = self.spark.read.schema(frame.schema).parquet(self.path(folder))
+            rows = stored.count()
+            self.drop_dates(table, dates)
+            stored.hint("rebalance", F.col(DATE)).write.mode("append").partitionBy(DATE).parquet(self.path(table))
+        finally:
+            self.drop_folder(folder)
+        return rows
+
     def _has_partitions(self, table: str) -> bool:
         system, inner = file_system(self.path(table))
         return any(f"{DATE}=" in entry.base_name for entry in system.get_file_info(fs.FileSelector(inner)))
