@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gondola.functions.columns import null_safe_join, percent_change
+from gondola.functions.columns import percent_change
 from gondola.schemas import BANNER_KEY, BRANCH_KEY, COMPARABLE_PRODUCT, DATE, PRICE, PRODUCT_KEY, REFERENCE_PRICE
 
 
@@ -34,7 +34,11 @@ def product_by_banner(prices: DataFrame) -> DataFrame:
     branches over banners. That leaves a single distinct aggregate here (no row expansion) and none of
     the wide distincts above it. Branches are counted without NULL ids; ``sucursal_nula`` tells whether
     a NULL id occurred, so both counting rules can be derived.
+
+    The keys are nearly as fine as the prices (a row per branch), so aggregating before the shuffle would
+    save nothing: the rows are dealt out by the keys once, which serves both steps of the distinct count.
     """
+    prices = prices.select(*BANNER_KEY, "id_producto", "id_sucursal", PRICE).repartition(*BANNER_KEY, "id_producto")
     price, branch = F.col(PRICE), F.col("id_sucursal")
     priced = price.isNotNull()
     return prices.groupBy(*BANNER_KEY, "id_producto").agg(
@@ -98,42 +102,45 @@ def comparable_products(prices: DataFrame) -> DataFrame:
     )
 
 
-def product_ranges(comparables: DataFrame) -> DataFrame:
-    """Price range per date and product, rolled up from :func:`comparable_products`."""
-    return comparables.groupBy(*PRODUCT_KEY).agg(
+def product_statistics(
+    comparables: DataFrame, by_banner: DataFrame, null_ids_count: bool = True, median: DataFrame | None = None
+) -> DataFrame:
+    """Coverage, range, spread and, where given, the median per date and product.
+
+    What comes from :func:`comparable_products`, :func:`product_by_banner` and :func:`median_price` are
+    different columns of the same products, so their rows are put under one another and aggregated once:
+    NULL keys meet without a join. ``null_ids_count`` chooses how a branch key with a NULL part is counted: as
+    a branch of its own (marts) or not at all (saved queries, which concatenate the key).
+    """
+    branches = F.col("sucursales") + F.col("sucursal_nula")
+    if not null_ids_count:
+        branches = F.when(F.col("id_comercio").isNotNull() & F.col("id_bandera").isNotNull(), F.col("sucursales"))
+    ranges = comparables.select(
+        *PRODUCT_KEY,
+        "productos_descripcion",
+        "productos_marca",
+        "cantidad_registros",
+        "precio_minimo",
+        "precio_maximo",
+        "suma_precio",
+    )
+    coverage = by_banner.where(F.col("filas_con_precio") > 0).select(
+        *PRODUCT_KEY, "id_comercio", branches.alias("cantidad_sucursales")
+    )
+    parts = ranges.unionByName(coverage, allowMissingColumns=True)
+    if median is not None:
+        parts = parts.unionByName(median, allowMissingColumns=True)
+    stats = parts.groupBy(*PRODUCT_KEY).agg(
         F.min("productos_descripcion").alias("productos_descripcion"),
         F.min("productos_marca").alias("productos_marca"),
         F.sum("cantidad_registros").alias("cantidad_registros"),
         F.min("precio_minimo").alias("precio_minimo"),
         F.max("precio_maximo").alias("precio_maximo"),
         (F.sum("suma_precio") / F.sum("cantidad_registros")).alias("precio_promedio"),
+        F.count_distinct("id_comercio").alias("cantidad_comercios"),
+        F.coalesce(F.sum("cantidad_sucursales"), F.lit(0)).alias("cantidad_sucursales"),
+        *([F.max("precio_mediano_aproximado").alias("precio_mediano_aproximado")] if median is not None else []),
     )
-
-
-def product_coverage(by_banner: DataFrame, null_ids_count: bool = True) -> DataFrame:
-    """Chains and branches per date and product, rolled up from :func:`product_by_banner`.
-
-    ``null_ids_count`` chooses how a branch key with a NULL part is counted: as a branch of its own
-    (marts) or not at all (saved queries, which concatenate the key).
-    """
-    if null_ids_count:
-        branches = F.col("sucursales") + F.col("sucursal_nula")
-    else:
-        branches = F.when(F.col("id_comercio").isNotNull() & F.col("id_bandera").isNotNull(), F.col("sucursales"))
-    return (
-        by_banner.where(F.col("filas_con_precio") > 0)
-        .groupBy(*PRODUCT_KEY)
-        .agg(
-            F.count_distinct("id_comercio").alias("cantidad_comercios"),
-            F.coalesce(F.sum(branches), F.lit(0)).alias("cantidad_sucursales"),
-        )
-    )
-
-
-def product_statistics(comparables: DataFrame, by_banner: DataFrame, null_ids_count: bool = True) -> DataFrame:
-    """Coverage, range and spread per date and product."""
-    coverage = product_coverage(by_banner, null_ids_count)
-    stats = null_safe_join(product_ranges(comparables), coverage, PRODUCT_KEY, "inner")
     return stats.select("*", *spread_columns())
 
 

@@ -94,8 +94,7 @@ def resumen_productos(
     comparables: DataFrame, by_banner: DataFrame, prices: DataFrame, null_ids_count: bool = True
 ) -> DataFrame:
     """Coverage, range, average, approximate median and spread per date and product."""
-    stats = product_statistics(comparables, by_banner, null_ids_count)
-    return null_safe_join(stats, median_price(prices), PRODUCT_KEY, "inner").select(
+    return product_statistics(comparables, by_banner, null_ids_count, median_price(prices)).select(
         *PRODUCT_KEY,
         "productos_descripcion",
         "productos_marca",
