@@ -182,10 +182,5 @@ def components(edges: DataFrame, what: str = "components") -> DataFrame:
         large = both.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = stage(large, what)
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lowest, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m")), F.struct(F.col("v"), F.col("m")))).alias("e"))
-        small = small.select(F.col("e.u").alias("u"), F.col("e.m").alias("v")).where("u <> v")
+        small = large.join(lowest, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u <> v")
         links = stage(small.select(*pair).distinct(), what)
-
-
-def schema(*fields: tuple[str, T.DataType]) -> T.StructType:
-    return T.StructType([T.StructField(n, t) for n, t in fields])
