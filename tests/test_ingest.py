@@ -97,8 +97,9 @@ class Stopped(Exception):
     pass
 
 
-@pytest.mark.parametrize("reload_existing", [False, True])
-@pytest.mark.parametrize("step", range(8))
+@pytest.mark.parametrize(
+    ("step", "reload_existing"), [(0, False), (4, False), (6, False), (1, True), (2, True), (3, True), (5, True), (7, True)]
+)
 def test_a_plain_retry_mends_a_load_that_stops_anywhere(warehouse, tmp_path, monkeypatch, step, reload_existing):
     if reload_existing:
         ingest.load_archives(warehouse, [(None, simple(tmp_path, "viejo.zip", branches=3))])
