@@ -29,7 +29,7 @@ from gondola.llm.common import bounded_sample, slices, text_column
 
 ORDER = 3
 SAMPLE = 4000
-CONTEXTS = 20_000
+CONTEXTS = 10_000
 LEAST = 2
 START = 256
 NONE = "und"
@@ -79,52 +79,46 @@ def train(docs: DataFrame, order: int = ORDER, sample: int = SAMPLE, contexts: i
     )
     often = Window.partitionBy("lang").orderBy(F.desc("total"), "context")
     table = counts.withColumn("place", F.row_number().over(often)).where(F.col("place") <= contexts)
-    flat = table.select("lang", "context", F.explode("after").alias("a")).select("lang", "context", "a.symbol", "a.n").toPandas()
-    return build(flat.lang.to_numpy(), flat.context.to_numpy(np.int64), flat.symbol.to_numpy(np.int64), flat.n.to_numpy(np.int64), order, least) if len(flat) else None
+    flat = table.select("lang", "context", F.explode("after").alias("a")).select("lang", "context", "a.symbol", "a.n").toArrow()
+    if not flat.num_rows:
+        return None
+    lang = flat.column("lang").combine_chunks().dictionary_encode()
+    names = lang.dictionary.to_pylist()
+    return build(names, lang.indices.to_numpy(), *[flat.column(c).to_numpy() for c in ("context", "symbol", "n")], order, least)
 
 
-def build(lang: np.ndarray, context: np.ndarray, symbol: np.ndarray, n: np.ndarray, order: int = ORDER, least: int = LEAST) -> Model:
-    languages = sorted(set(lang.tolist()))
+def build(names: list[str], lang: np.ndarray, context: np.ndarray, symbol: np.ndarray, n: np.ndarray, order: int = ORDER, least: int = LEAST) -> Model:
+    """From the counts of each (language by its number in ``names``, context, symbol)."""
+    languages = sorted(names)
     seen = np.zeros(257, bool)
     seen[symbol] = True
     column = np.zeros(257, np.int64)
     column[seen] = np.arange(1, seen.sum() + 1)
     width = int(seen.sum()) + 2
     column[START] = width - 1
-    digits = [(context >> (9 * k)) & 511 for k in range(order)]
-    which = np.searchsorted(languages, lang)
+    digits = [column[(context >> (9 * k)) & 511] for k in range(order)]
+    which = np.argsort(np.argsort(names))[lang]
     # Contexts of each length: a number in base ``width`` of the last k symbols.
-    known: list[np.ndarray] = []
-    tables: list[np.ndarray] = []
-    for k in range(order + 1):
-        number = sum((column[digits[j]] * width**j for j in range(k)), np.zeros(len(n), np.int64))
-        values, at = np.unique(number, return_inverse=True)
-        table = np.zeros((len(values), width, len(languages)))
-        np.add.at(table, (at, column[symbol], which), n)
-        known.append(values)
-        tables.append(table)
-    below = np.full((1, width, len(languages)), 8.0)
-    below_known = np.zeros(1, np.int64)
-    first_row, rows, costs = 0, np.zeros(1, np.int64), []
+    numbers = [sum((digits[j] * width**j for j in range(k)), np.zeros(len(n), np.int64)) for k in range(order + 1)]
+    known = [np.unique(x) for x in numbers]
+    first = np.concatenate([[0], np.cumsum([len(x) for x in known])])
+    cost = np.empty((first[-1], width, len(languages)), np.float32)
     row = np.zeros(width**order, np.int32)
     for k in range(order + 1):
-        table = tables[k]
-        total = table.sum(axis=1, keepdims=True)
-        kinds = (table > 0).sum(axis=1, keepdims=True)
-        part = (total >= least) | (k == 0) & (total > 0)
-        parent = np.searchsorted(below_known, known[k] % width ** max(k - 1, 0)) if k else np.zeros(len(known[k]), np.int64)
-        lower = below[parent]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            seen_cost = -np.log2(table / (total + kinds))
-            escape = -np.log2(kinds / (total + kinds))
-        cost = np.where(part, np.where(table > 0, seen_cost, escape + lower), lower)
-        costs.append(cost)
-        step = width**k
-        for value, i in zip(known[k].tolist(), range(len(known[k])), strict=True):
-            row[value::step] = first_row + i
-        first_row += len(known[k])
-        below, below_known = cost, known[k]
-    return Model(languages, column[:256].astype(np.int64), row, np.concatenate(costs).astype(np.float32), order)
+        for i, value in enumerate(known[k].tolist(), int(first[k])):
+            row[value :: width**k] = i
+        at = np.searchsorted(known[k], numbers[k])
+        parent = first[k - 1] + np.searchsorted(known[k - 1], known[k] % width ** (k - 1)) if k else None
+        for j in range(len(languages)):
+            mine = which == j
+            table = np.bincount(at[mine] * width + column[symbol[mine]], n[mine], len(known[k]) * width).reshape(-1, width)
+            total, kinds = table.sum(axis=1, keepdims=True), (table > 0).sum(axis=1, keepdims=True)
+            part = (total >= least) | (k == 0) & (total > 0)
+            lower = cost[parent, :, j] if k else np.full(table.shape, 8.0)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                escape = lower - np.log2(kinds / (total + kinds))
+                cost[first[k] : first[k + 1], :, j] = np.where(part, np.where(table > 0, -np.log2(table / (total + kinds)), escape), lower)
+    return Model(languages, column[:256].astype(np.int64), row, cost, order)
 
 
 def code_lengths(model: Model, texts: list[bytes]) -> np.ndarray:

@@ -44,13 +44,13 @@ class Plain:
 
 def model_of(texts, order=3, least=2):
     langs, contexts, symbols, counts = [], [], [], []
-    for lang, mine in texts.items():
+    for lang, mine in enumerate(texts.values()):
         values, n = np.unique(ppm.grams(mine, order), return_counts=True)
         langs += [lang] * len(values)
         contexts += (values >> 9).tolist()
         symbols += (values & 511).tolist()
         counts += n.tolist()
-    return ppm.build(np.array(langs), np.array(contexts), np.array(symbols), np.array(counts), order, least)
+    return ppm.build(list(texts), np.array(langs), np.array(contexts), np.array(symbols), np.array(counts), order, least)
 
 
 @pytest.mark.parametrize(("order", "least"), [(3, 2), (2, 1), (3, 5)])
