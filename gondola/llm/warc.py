@@ -165,6 +165,8 @@ def marked(pages: DataFrame) -> DataFrame:
     rows = pages.select("page_id", "url", payload.alias("html")).withColumn("digest", F.sha2("html", 256))
     long = F.octet_length("html") >= REVISIT_BYTES
     first = rows.where(long).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    # Stored, so that Spark knows its size: where it is small the payloads need not be shuffled to meet it.
+    first = stage(first, "warc-first")
     refers = F.when(~F.col("first").eqNullSafe(F.col("page_id")), F.col("first"))
     return rows.join(first, "digest", "left").select("page_id", "url", "html", "digest", refers.alias("refers_to"))
 
