@@ -36,18 +36,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, what: str) -> str:
-    """A fresh folder below the shared one, deleted when the session's JVM ends."""
-    folder = f"{shared_folder(spark)}/gondola-{what}-{uuid.uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    """A fresh folder below the shared one, as a full address, deleted when the session's JVM ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/gondola-{what}-{uuid.uuid4().hex}")
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
     files.mkdirs(path)
     files.deleteOnExit(path)
-    return folder
-
-
-def drop_folder(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return re.sub("^file:/+", "file:///", files.makeQualified(path).toString())
 
 
 def stage(frame: DataFrame, what: str) -> DataFrame:
@@ -58,6 +52,13 @@ def stage(frame: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(folder)
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """A column name that is not taken."""
+    while name.lower() in {c.lower() for c in columns}:
+        name = f"_{name}"
+    return name
+
+
 def slices(texts: list[bytes], most: int = SLICE_BYTES) -> Iterator[slice]:
     """Consecutive slices of about ``most`` bytes; a longer text is a slice of its own."""
     start = size = 0
@@ -104,7 +105,7 @@ class Spans:
         return np.diff(self.first)
 
 
-_KEEP = np.array([(1 << 8 * n) - 1 for n in range(8)] + [2**64 - 1], np.uint64)
+LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(8)] + [2**64 - 1], np.uint64)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -120,12 +121,12 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     """A 64-bit hash of each span of bytes, eight bytes a step; ``data`` has eight bytes of padding."""
     lanes = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
     left = ends - starts
-    out = mixed(left.astype(np.uint64) ^ (lanes[starts] & _KEEP[np.minimum(left, 8)]))
+    out = mixed(left.astype(np.uint64) ^ (lanes[starts] & LOW_BYTES[np.minimum(left, 8)]))
     rest = np.flatnonzero(left > 8)
     at = starts[rest] + 8
     while len(rest):
         more = ends[rest] - at
-        out[rest] = mixed(out[rest] * np.uint64(0x9E3779B97F4A7C15) ^ (lanes[at] & _KEEP[np.minimum(more, 8)]))
+        out[rest] = mixed(out[rest] * np.uint64(0x9E3779B97F4A7C15) ^ (lanes[at] & LOW_BYTES[np.minimum(more, 8)]))
         going = more > 8
         rest, at = rest[going], at[going] + 8
     return out
