@@ -30,8 +30,9 @@ from gondola.llm.common import WHITE, Spans, components, shingle_hashes, slices,
 PERMUTATIONS = 128
 WIDTH = 5
 BANDS = 16
-#: Rows in a range of ids, on average.
+#: Rows in a range of ids, on average; more where there would be over MOST_RANGES ranges, whose first ids (8 bytes each) go to all tasks.
 RANGE_ROWS = 4096
+MOST_RANGES = 1_000_000
 CHUNK = 2048
 _draw = np.random.default_rng(20240229)
 FACTORS = _draw.integers(0, 2**31, PERMUTATIONS, np.uint32) * np.uint32(2) + np.uint32(1)
@@ -79,8 +80,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """One row a document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType
-    # The ids that begin ranges: 8 bytes for every RANGE_ROWS rows.
-    begins = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(RANGE_ROWS)) == 0).select("doc_id").union(docs.agg(F.min("doc_id").alias("doc_id")))
+    every = max(RANGE_ROWS, docs.count() // MOST_RANGES)
+    begins = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select("doc_id").union(docs.agg(F.min("doc_id").alias("doc_id")))
     places = np.array(sorted({r[0] for r in begins.distinct().collect() if r[0] is not None}), np.int64)
     shared = spark.sparkContext.broadcast(places)
 
