@@ -24,16 +24,20 @@ _JSON_PACKAGE = T.StructType(
     ]
 )
 
-NO_ZIP = "No se encontraron recursos ZIP disponibles."
-NO_ZIP_FOR_DATE = "No se encontro un recurso ZIP para la fecha "
-NO_DATES = "No se encontraron fechas disponibles en recursos ZIP."
+NO_ZIP = "No resource is a ZIP archive."
+NO_ZIP_FOR_DATE = "No ZIP resource for "
+NO_DATES = "No ZIP resource has a date."
 
 
 def read_package(spark: SparkSession, path: str) -> DataFrame:
-    """Resources of saved package descriptions (JSON documents), in listing order."""
+    """Resources of saved package descriptions (JSON documents), in the order of file names and listings.
+
+    The order has one row per resource in a single task: descriptions, not data.
+    """
     packages = spark.read.schema(_JSON_PACKAGE).json(path, multiLine=True)
-    listed = packages.select(F.posexplode("result.resources").alias("posicion", "r"))
-    return normalized(listed.select("posicion", "r.*"))
+    listed = packages.select(F.col("_metadata.file_path").alias("archivo"), F.posexplode("result.resources").alias("orden", "r"))
+    place = F.row_number().over(Window.orderBy("archivo", "orden")) - 1
+    return normalized(listed.select(place.alias("posicion"), "r.*"))
 
 
 def normalized(raw: DataFrame) -> DataFrame:
@@ -122,7 +126,7 @@ def _one_per_date(candidates: DataFrame) -> DataFrame:
 def between_dates(resources: DataFrame, start: date | str, end: date | str) -> DataFrame:
     """The most recent ZIP resource of every date in an inclusive range, in date order."""
     if date.fromisoformat(str(start)) > date.fromisoformat(str(end)):
-        raise ValueError("La fecha inicial no puede ser posterior a la fecha final.")
+        raise ValueError(f"the range ends ({end}) before it starts ({start})")
     first, last = (F.lit(str(d)).cast("date") for d in (start, end))
     return _one_per_date(dated(resources).where(F.col("fecha").between(first, last)))
 
@@ -130,7 +134,7 @@ def between_dates(resources: DataFrame, start: date | str, end: date | str) -> D
 def recent(resources: DataFrame, days: int, reference_date: date | str | None = None) -> DataFrame:
     """One ZIP resource per date over the last ``days`` calendar days up to the newest (or given) date."""
     if days < 1:
-        raise ValueError("La cantidad de dias debe ser mayor o igual a 1.")
+        raise ValueError(f"at least one day is needed, not {days}")
     candidates = dated(resources)
     newest = candidates.agg(F.max("fecha").alias("fin")).select(
         F.when(F.col("fin").isNull(), F.raise_error(F.lit(NO_DATES)).cast("date")).otherwise(F.col("fin"))

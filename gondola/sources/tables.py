@@ -54,7 +54,7 @@ class Warehouse:
     def require(self, tables: Iterable[str] = REQUIRED_TABLES) -> None:
         missing = self.missing(tables)
         if missing:
-            raise RuntimeError("Faltan tablas requeridas: " + ", ".join(missing))
+            raise RuntimeError(f"these tables do not exist below {self.root}: {', '.join(missing)}")
 
     def base(self) -> BaseTables:
         self.require()

@@ -59,10 +59,18 @@ def test_errors(resources):
         k.between_dates(resources, "2026-05-21", "2026-05-20")
     with pytest.raises(ValueError):
         k.recent(resources, 0)
-    with pytest.raises(Exception, match="No se encontro un recurso ZIP para la fecha 2020-01-01"):
+    with pytest.raises(Exception, match="No ZIP resource for 2020-01-01"):
         k.for_date(resources, "2020-01-01").collect()
     nothing = resources.where("id = '5'")
-    with pytest.raises(Exception, match="No se encontraron recursos ZIP disponibles"):
+    with pytest.raises(Exception, match="No resource is a ZIP archive"):
         k.latest(nothing).collect()
-    with pytest.raises(Exception, match="No se encontraron fechas disponibles"):
+    with pytest.raises(Exception, match="No ZIP resource has a date"):
         k.recent(nothing, 3).collect()
+
+
+def test_positions_follow_the_files_and_their_listings(spark, tmp_path):
+    for name, ids in (("b.json", ["x", "y"]), ("a.json", ["z"])):
+        listed = [{"id": i, "name": f"precios {i}.zip", "format": "ZIP"} for i in ids]
+        (tmp_path / name).write_text(json.dumps({"result": {"resources": listed}}))
+    rows = k.read_package(spark, str(tmp_path)).select("posicion", "id").collect()
+    assert sorted(map(tuple, rows)) == [(0, "z"), (1, "x"), (2, "y")]
