@@ -29,7 +29,8 @@ from gondola.llm.common import WHITE, Spans, components, shingle_hashes, slices,
 
 PERMUTATIONS = 128
 WIDTH = 5
-BANDS = 16
+#: A pair of likeness 0.8 shares one of the bands with a probability of 0.998.
+BANDS, ROWS = 20, 6
 #: Rows in a range of ids, on average; more where there would be over MOST_RANGES ranges, whose first ids (8 bytes each) go to all tasks.
 RANGE_ROWS = 4096
 MOST_RANGES = 1_000_000
@@ -142,42 +143,70 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
-    """(doc_id, component_id): documents joined by shingle sets with a Jaccard likeness of ``least`` or more, through bands of the signatures."""
+def _number(data: bytes, band: int = 0) -> int:
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8, person=bytes([band])).digest(), "big", signed=True)
+
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _signed(docs: DataFrame) -> DataFrame:
+    """(doc_id, class, bands): a number for the set of shingles, and one for each band of the signature."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
             for part in slices(texts):
                 mine = texts[part]
                 hashes, begin = shingles(mine)
+                classes = [_number(np.unique(hashes[a:b]).tobytes()) for a, b in zip(begin, begin[1:], strict=False)]
+                bands = [[_number(row[ROWS * k : ROWS * (k + 1)].tobytes(), k) for k in range(BANDS)] for row in signatures(mine)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(part.start, len(mine)), pa.array(classes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "class", "bands"]
+                )
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, class long, bands array<long>")
+
+
+def _sets(docs: DataFrame) -> DataFrame:
+    """(class, shingles) of documents: the sets themselves."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [(t or "").encode() for t in batch.column(0).to_pylist()]
+            for part in slices(texts):
+                hashes, begin = shingles(texts[part])
                 sets = [np.unique(hashes[a:b]) for a, b in zip(begin, begin[1:], strict=False)]
-                rows = signatures(mine).view(np.uint8).reshape(len(mine), BANDS, -1)
-                bands = [[int.from_bytes(hashlib.blake2b(x.tobytes(), digest_size=8, person=bytes([b])).digest(), "big", signed=True) for b, x in enumerate(r)] for r in rows]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(part.start, part.stop - part.start),
-                        pa.array([int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "big", signed=True) for s in sets], pa.int64()),
-                        pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
-                        pa.array(bands, pa.list_(pa.int64())),
-                    ],
-                    ["doc_id", "class", "shingles", "bands"],
+                    [pa.array([_number(x.tobytes()) for x in sets], pa.int64()), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))], ["class", "shingles"]
                 )
 
-    signed = stage(docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, class long, shingles array<long>, bands array<long>"), "minhash")
-    classes = stage(signed.groupBy("class").agg(F.any_value("shingles").alias("shingles"), F.any_value("bands").alias("bands"), F.min("doc_id").alias("first")), "minhash")
-    posted = classes.select("class", F.posexplode("bands").alias("band", "bucket"))
-    lowest = posted.groupBy("band", "bucket").agg(F.min("class").alias("other"), F.count("*").alias("n")).where("n > 1")
-    # The bucket's first, and in each band the neighbour in an order of its own.
-    star = posted.join(lowest, ["band", "bucket"]).where("class <> other").select("class", "other")
-    turn = Window.partitionBy("band", "bucket").orderBy(F.xxhash64("band", "class"), "class")
-    chain = posted.join(lowest.select("band", "bucket"), ["band", "bucket"]).select("class", F.lead("class").over(turn).alias("other")).where("other is not null")
-    pairs = star.union(chain).select(F.least("class", "other").alias("u"), F.greatest("class", "other").alias("v")).distinct()
-    sets = classes.select("class", "shingles")
+    return docs.select("text").mapInArrow(run, "class long, shingles array<long>")
+
+
+def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
+    """(doc_id, component_id): documents joined by shingle sets with a Jaccard likeness of ``least`` or more, through bands of the signatures."""
+    signed = stage(_signed(docs), "minhash")
+    classes = stage(signed.groupBy("class").agg(F.any_value("bands").alias("bands"), F.min("doc_id").alias("first")), "minhash-classes")
+    posted = classes.select("class", "first", F.explode("bands").alias("bucket"))
+    lowest = posted.groupBy("bucket").agg(F.min(F.struct("first", "class")).alias("low"), F.count("*").alias("n")).where("n > 1")
+    shared = posted.join(lowest.select("bucket", F.col("low.class").alias("low")), "bucket")
+    # In a bucket each meets the one with the smallest id, and a neighbour in an order of the bucket's own.
+    turn = Window.partitionBy("bucket").orderBy(F.xxhash64("bucket", "class"), "class")
+    met = shared.withColumn("next", F.lead("class").over(turn))
+    met = met.select("class", F.explode(F.array("low", "next")).alias("other")).where("class <> other")
+    pairs = stage(met.select(F.least("class", "other").alias("u"), F.greatest("class", "other").alias("v")).distinct(), "minhash-pairs")
+    involved = pairs.select(F.explode(F.array("u", "v")).alias("class")).distinct()
+    needed = stage(classes.select("class", "first").join(involved, "class").select(F.col("first").alias("doc_id"), "class"), "minhash-needed")
+    texts = docs.select("doc_id", "text").join(needed.select("doc_id").distinct(), "doc_id")
+    sets = stage(_sets(texts).dropDuplicates(["class"]), "minhash-sets")
     both = pairs.join(sets.toDF("u", "a"), "u").join(sets.toDF("v", "b"), "v")
     common = F.size(F.array_intersect("a", "b"))
-    links = both.where(common >= F.lit(least) * (F.size("a") + F.size("b") - common)).where("size(a) > 0").select("u", "v")
+    links = both.where((common >= F.lit(least) * (F.size("a") + F.size("b") - common)) & (F.size("a") > 0)).select("u", "v")
     roots = components(links, "minhash-links").toDF("class", "root")
     rooted = classes.select("class", "first").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     return signed.select("doc_id", "class").join(rooted.join(smallest, "root").select("class", "component_id"), "class").select("doc_id", "component_id")
+
+
+def without_near_copies(docs: DataFrame, least: float = 0.8) -> DataFrame:
+    """The documents but those of a component whose smallest id is another's. Documents with a null id stay."""
+    found = near_duplicates(docs, least).where(F.col("doc_id") != F.col("component_id"))
+    return docs.join(stage(found.select("doc_id").distinct(), "minhash-copies"), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
