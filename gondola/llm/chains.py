@@ -23,16 +23,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gondola.llm.common import _KEEP, ALNUM, Spans, bounded_sample, mixed, slices, span_hashes, text_column
+from gondola.llm.common import ALNUM, LOW_BYTES, Spans, bounded_sample, mixed, slices, span_hashes, text_column
 
-SAMPLE = 3000
-FEATURES = 400
+SAMPLE = 2000
+FEATURES = 300
 FOLDS = 3
+#: Rows of the sample that a feature must be in.
+FEW = 3
 BEGINNINGS = (4, 5, 6)
+BLOCK = 512
 
 
 def word_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(text, feature) of all words and their beginnings, lower-cased; repeats stay."""
+    """(text, 32-bit feature) of all words and their beginnings, lower-cased; repeats stay."""
     words = Spans([t.lower().encode() for t in texts], ALNUM)
     owner = np.repeat(np.arange(len(texts)), words.counts)
     lanes = np.ndarray((len(words.data) - 7,), "<u8", words.data, strides=(1,))[words.starts]
@@ -41,8 +44,8 @@ def word_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     for n in BEGINNINGS:
         some = length > n
         owners.append(owner[some])
-        features.append(mixed((lanes[some] & _KEEP[n]) ^ np.uint64(n << 56)))
-    return np.concatenate(owners), np.concatenate(features)
+        features.append(mixed((lanes[some] & LOW_BYTES[n]) ^ np.uint64(n << 56)))
+    return np.concatenate(owners), (np.concatenate(features) >> np.uint64(32)).astype(np.uint32)
 
 
 @dataclass
@@ -60,9 +63,9 @@ def presence(features: np.ndarray, texts: list[str]) -> np.ndarray:
     if not len(features):
         return out
     maybe = np.zeros(1 << 16, bool)
-    maybe[features & np.uint64(0xFFFF)] = True
+    maybe[features & np.uint32(0xFFFF)] = True
     owner, found = word_features(texts)
-    some = np.flatnonzero(maybe[found & np.uint64(0xFFFF)])
+    some = np.flatnonzero(maybe[found & np.uint32(0xFFFF)])
     owner, found = owner[some], found[some]
     at = np.minimum(np.searchsorted(features, found), len(features) - 1)
     hit = features[at] == found
@@ -71,9 +74,8 @@ def presence(features: np.ndarray, texts: list[str]) -> np.ndarray:
 
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 12) -> np.ndarray:
-    """Logistic regression by Newton steps; the last weight is the constant."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)]).astype(np.float64)
-    w = np.zeros(x.shape[1])
+    """Logistic regression by Newton steps, over blocks of rows; the last weight is the constant."""
+    w = np.zeros(x.shape[1] + 1)
     share = float(np.clip(y.mean(), 1e-3, 1 - 1e-3)) if len(y) else 0.5
     w[-1] = np.log(share / (1 - share))
     if not len(y) or y.min() == y.max():
@@ -81,12 +83,16 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 12) -> np
     penalty = np.full(len(w), ridge)
     penalty[-1] = 0
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (p - y) + penalty * w
-        curve = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty + 1e-9)
+        slope, curve = penalty * w, np.diag(penalty + 1e-9)
+        for i in range(0, len(y), BLOCK):
+            block = np.ones((len(y[i : i + BLOCK]), len(w)))
+            block[:, :-1] = x[i : i + BLOCK]
+            p = 1 / (1 + np.exp(-np.clip(block @ w, -30, 30)))
+            slope += block.T @ (p - y[i : i + BLOCK])
+            curve += (block * (p * (1 - p))[:, None]).T @ block
         step = np.linalg.solve(curve, slope)
         w -= step
-        if np.abs(step).max() < 1e-6:
+        if np.abs(step).max() < 1e-4:
             break
     return w
 
@@ -95,25 +101,29 @@ def probability(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))
 
 
-def choose(owner: np.ndarray, feature: np.ndarray, y: np.ndarray, wanted: int) -> np.ndarray:
-    """The features whose presence tells the classes apart most clearly (a two-proportion score)."""
-    names, at = np.unique(feature, return_inverse=True)
-    ones, all_ = np.bincount(at, y[owner], len(names)), np.bincount(at, minlength=len(names))
+def choose(owner: np.ndarray, at: np.ndarray, counts: np.ndarray, y: np.ndarray, wanted: int) -> np.ndarray:
+    """The features whose presence tells the classes apart most clearly (a two-proportion score), by their number."""
+    ones = np.bincount(at, y[owner], len(counts))
     n1, n = max(y.sum(), 1), max(len(y), 1)
-    p1, p0, p = ones / n1, (all_ - ones) / max(n - n1, 1), all_ / n
+    p1, p0, p = ones / n1, (counts - ones) / max(n - n1, 1), counts / n
     score = np.abs(p1 - p0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / max(n - n1, 1)) + 1e-12)
-    score[all_ < 3] = 0
-    return names[np.lexsort((names, -score))[:wanted]]
+    return np.argsort(-score, kind="stable")[:wanted]
 
 
 def fit_chain(categories: list[str], owner: np.ndarray, feature: np.ndarray, labels: np.ndarray, fold: np.ndarray, priors: np.ndarray) -> Chain:
     """``owner``/``feature``: each feature of each row once; ``labels``: a column for each category; ``priors``: shares among all labelled rows."""
-    chosen = np.unique(np.concatenate([choose(owner, feature, labels[:, c], FEATURES) for c in range(len(categories))]))
-    x = np.zeros((len(labels), len(chosen)))
+    names, at, counts = np.unique(feature, return_inverse=True, return_counts=True)
+    often = counts >= FEW
+    kept = often[at]
+    owner, at = owner[kept].astype(np.int32), (np.cumsum(often) - 1)[at[kept]].astype(np.int32)
+    names, counts = names[often], counts[often]
+    chosen = np.unique(np.concatenate([choose(owner, at, counts, labels[:, c], FEATURES) for c in range(len(categories))]))
+    x = np.zeros((len(labels), len(chosen)), np.float32)
     if len(chosen):
-        at = np.minimum(np.searchsorted(chosen, feature), len(chosen) - 1)
-        hit = chosen[at] == feature
-        x[owner[hit], at[hit]] = 1
+        place = np.minimum(np.searchsorted(chosen, at), len(chosen) - 1)
+        hit = chosen[place] == at
+        x[owner[hit], place[hit]] = 1
+    chosen = names[chosen]
     weights = []
     for c in range(len(categories)):
         y = labels[:, c]
@@ -128,7 +138,7 @@ def fit_chain(categories: list[str], owner: np.ndarray, feature: np.ndarray, lab
             odds = np.exp(shift) * unseen / np.maximum(1 - unseen, 1e-12)
             unseen = odds / (1 + odds)
         weights.append(w)
-        x = np.hstack([x, unseen[:, None]])
+        x = np.hstack([x, unseen[:, None].astype(np.float32)])
     return Chain(categories, chosen, weights)
 
 
@@ -156,16 +166,20 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], sample: int
     types = ", ".join(f"`{c}` int" for c in categories)
     rows = rows.select("text", *[F.col(c).cast("int").alias(c) for c in categories], "fold")
     # Sorted, for the rows arrive in any order and sums must not depend on it.
-    got = rows.mapInArrow(run, f"{types}, fold int, features binary").toPandas().sort_values([*categories, "fold", "features"], ignore_index=True)
+    got = rows.mapInArrow(run, f"{types}, fold int, features binary").toArrow()
+    got = got.sort_by([(c, "ascending") for c in [*categories, "fold", "features"]])
     if prior is None:
         prior = known.agg(F.avg(F.col(last).cast("double"))).first()[0] or 0.0
-    each = [np.frombuffer(b, np.uint64) for b in got.features]
-    owner = np.repeat(np.arange(len(each)), [len(e) for e in each])
-    table = got[categories].to_numpy(np.float64).reshape(len(got), len(categories))
+    found = got.column("features").to_pylist()
+    feature = np.frombuffer(b"".join(found), np.uint32)
+    owner = np.repeat(np.arange(len(found), dtype=np.int32), [len(b) // 4 for b in found])
+    table = np.stack([got.column(c).to_numpy() for c in categories], axis=1).astype(np.float64)
+    fold = got.column("fold").to_numpy()
+    del got, found
     mine = table[:, -1].mean() if len(table) else 0.0
     weight = np.where(table[:, -1] > 0, prior / mine, (1 - prior) / (1 - mine)) if 0 < mine < 1 else np.ones(len(table))
     priors = weight @ table / weight.sum() if len(table) else np.zeros(len(categories))
-    return fit_chain(categories, owner, np.concatenate([*each, np.zeros(0, np.uint64)]), table, got.fold.to_numpy(), priors)
+    return fit_chain(categories, owner, feature, table, fold, priors)
 
 
 def predict(docs: DataFrame, chain: Chain, keep: list[str], names: list[str] | None = None) -> DataFrame:

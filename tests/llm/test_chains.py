@@ -33,7 +33,7 @@ def test_later_links_see_earlier_probabilities_out_of_fold():
     rng = np.random.default_rng(10)
     n = 600
     first = rng.integers(0, 2, n)
-    names = np.array([11, 22, 33], np.uint64)
+    names = np.array([11, 22, 33], np.uint32)
     owner = np.concatenate([np.flatnonzero(first), np.arange(n)])
     feature = np.concatenate([np.full(first.sum(), names[0]), names[1 + rng.integers(0, 2, n)]])
     labels = np.stack([first, first], axis=1).astype(float)
@@ -66,4 +66,4 @@ def test_awkward_rows(spark):
 
 @pytest.mark.parametrize("text", ["", "plain words"])
 def test_presence_without_features(text):
-    assert chains.presence(np.zeros(0, np.uint64), [text]).shape == (1, 0)
+    assert chains.presence(np.zeros(0, np.uint32), [text]).shape == (1, 0)
