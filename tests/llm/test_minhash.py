@@ -74,6 +74,14 @@ def test_span_hashes_tell_words_apart():
     assert len(set(names.values())) == len(names)
 
 
+def test_long_texts_against_exact_likeness():
+    texts = [" ".join(f"{side}{i}" for i in range(120_000)) for side in "ab"]
+    texts.append(" ".join([*texts[0].split()[:60_000], *texts[1].split()[:60_000]]))
+    prints = minhash.signatures([t.encode() for t in texts])
+    for i, j in ((0, 1), (0, 2), (1, 2)):
+        assert abs(minhash.likeness(prints[[i]], prints[[j]])[0] - jaccard(texts[i], texts[j])) < 0.15
+
+
 def test_near_duplicates(spark):
     rng = np.random.default_rng(2)
     words = [f"w{i}" for i in range(2000)]
