@@ -8,8 +8,9 @@ The next document is the one that follows in the order of doc_id. Ids picked by
 range is also sent to the range before, so every range can be walked alone, with one text held over. Nothing is sorted in one task.
 
 ``near_duplicates`` joins bands of the signatures and verifies the Jaccard likeness of the shingle sets. Texts with equal shingles are one class
-and meet once. In a band's bucket classes are compared with their neighbours in a few orders and with the bucket's first, not all pairs; what
-this leaves open is caught by the other bands, and classes join to components.
+and meet once. In a band's bucket classes are first compared with a neighbour and with the bucket's first, which joins most groups. Buckets that
+still hold several parts are then compared whole: cut into blocks, each two of which meet in a group of their own, where every pair that is not
+joined yet is verified. Such a group returns at most one link for each member, so no list of pairs is ever written.
 
 Cases: null is the empty text, whose fingerprint is all f; two empty ones are alike (1), an empty and another are not (0); fewer than five words
 are one shingle; repeated ids stand in the order of their texts, each with the next as its neighbour; null ids come last; a single row is its
@@ -19,7 +20,7 @@ own neighbour; an empty table gives an empty result; other columns are not kept.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,8 @@ BANDS, ROWS = 20, 6
 RANGE_ROWS = 4096
 MOST_RANGES = 1_000_000
 CHUNK = 2048
+#: Classes, and shingles of them, in a block of a bucket on average.
+BLOCK_CLASSES, BLOCK_SHINGLES = 256, 500_000
 _draw = np.random.default_rng(20240229)
 FACTORS = _draw.integers(0, 2**31, PERMUTATIONS, np.uint32) * np.uint32(2) + np.uint32(1)
 ADDED = _draw.integers(0, 2**32, PERMUTATIONS, np.uint32)
@@ -159,21 +162,22 @@ def _number(data: bytes, band: int = 0) -> int:
 
 
 def _signed(docs: DataFrame) -> DataFrame:
-    """(doc_id, class, bands): a number for the set of shingles, and one for each band of the signature."""
+    """(doc_id, text_hash, class, size, bands): a number for the set of shingles, its size, and a number for each band of the signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
+            texts = [(t or "").encode() for t in batch.column(2).to_pylist()]
             for part in slices(texts):
                 mine = texts[part]
                 hashes, begin = shingles(mine)
-                classes = [_number(np.unique(hashes[a:b]).tobytes()) for a, b in zip(begin, begin[1:], strict=False)]
+                sets = [np.unique(hashes[a:b]) for a, b in zip(begin, begin[1:], strict=False)]
                 bands = [[_number(row[ROWS * k : ROWS * (k + 1)].tobytes(), k) for k in range(BANDS)] for row in signatures(mine)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(part.start, len(mine)), pa.array(classes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "class", "bands"]
-                )
+                same = [batch.column(i).slice(part.start, len(mine)) for i in range(2)]
+                rest = [pa.array([_number(x.tobytes()) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.array(bands, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*same, *rest], ["doc_id", "text_hash", "class", "size", "bands"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, class long, bands array<long>")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    return rows.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash long, class long, size long, bands array<long>")
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -192,11 +196,74 @@ def _sets(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "class long, shingles array<long>")
 
 
-def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
-    """(doc_id, component_id): documents joined by shingle sets with a Jaccard likeness of ``least`` or more, through bands of the signatures."""
-    signed = stage(_signed(docs), "minhash")
-    classes = stage(signed.groupBy("class").agg(F.any_value("bands").alias("bands"), F.min("doc_id").alias("first")), "minhash-classes")
-    posted = classes.select("class", "first", F.explode("bands").alias("bucket"))
+def block_links(classes: np.ndarray, roots: np.ndarray, side: np.ndarray, begin: np.ndarray, values: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Links that join all classes of different ``side`` (or all, if there is one side) with a likeness of ``least`` or more and different ``roots``.
+
+    The set of class i is ``values[begin[i]:begin[i + 1]]``. Those whose shingles are the most frequent go first, for they join the most.
+    """
+    _, label = np.unique(roots, return_inverse=True)
+    if not len(label) or not label.any():
+        return []
+    sizes, across = np.diff(begin), bool((side != side[0]).any())
+    _, at, times = np.unique(values, return_inverse=True, return_counts=True)
+    sums = np.concatenate([[0], np.cumsum(times[at])])
+    order = np.argsort(-(sums[begin[1:]] - sums[begin[:-1]]) / np.maximum(sizes, 1), kind="stable")
+    present = np.zeros(len(times), bool)
+    links = []
+    for place, i in enumerate(order):
+        other = order[place + 1 :]
+        near = (label[other] != label[i]) & (np.minimum(sizes[other], sizes[i]) >= least * np.maximum(sizes[other], sizes[i])) & (sizes[other] > 0)
+        other = other[near & (side[other] != side[i])] if across else other[near]
+        if not len(other):
+            continue
+        mine = at[begin[i] : begin[i + 1]]
+        present[mine] = True
+        ends = np.concatenate([[0], np.cumsum(sizes[other])])
+        found = np.concatenate([[0], np.cumsum(present[at[np.repeat(begin[other] - ends[:-1], sizes[other]) + np.arange(ends[-1])]])])
+        present[mine] = False
+        common = found[ends[1:]] - found[ends[:-1]]
+        for j in other[common >= least * (sizes[other] + sizes[i] - common)].tolist():
+            if label[j] != label[i]:
+                links.append((int(classes[i]), int(classes[j])))
+                label[label == label[j]] = label[i]
+    return links
+
+
+def _all_met(posted: DataFrame, sets: Callable[[DataFrame], DataFrame], least: float) -> DataFrame:
+    """Links (u, v) that join the different roots in buckets. ``posted``: class, size, bucket, root; ``sets``: those of the classes of a frame."""
+    several = posted.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n"), F.sum("size").alias("shingles")).where("a <> b")
+    blocks = F.ceil(F.greatest(F.col("n") / F.lit(BLOCK_CLASSES), F.col("shingles") / F.lit(BLOCK_SHINGLES), F.lit(1.0))).cast("int")
+    rows = stage(posted.where("size > 0").join(several.select("bucket", blocks.alias("blocks")), "bucket"), "minhash-mixed")
+    side = F.pmod(F.xxhash64("class", "bucket"), F.col("blocks").cast("long")).cast("int")
+    cells = rows.withColumn("side", side).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = cells.select("bucket", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "class", "root")
+    dealt = cells.join(sets(rows.select("class").distinct()), "class")
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        lists = group.column("shingles").combine_chunks()
+        lists = pa.concat_arrays(lists.chunks) if isinstance(lists, pa.ChunkedArray) else lists
+        begin = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+        classes, roots, side = (group.column(c).to_numpy() for c in ("class", "root", "side"))
+        links = block_links(classes, roots, side, begin, lists.flatten().to_numpy(), least)
+        return pa.table({"u": pa.array([u for u, _ in links], pa.int64()), "v": pa.array([v for _, v in links], pa.int64())})
+
+    return dealt.groupBy("bucket", "i", "j").applyInArrow(run, "u long, v long")
+
+
+def class_links(docs: DataFrame, signed: DataFrame, least: float) -> DataFrame:
+    """Links (u, v) that join all classes of the rows ``signed`` of ``docs`` that share a band and have a likeness of ``least`` or more."""
+    known = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    classes = stage(signed.groupBy("class").agg(F.any_value("bands").alias("bands"), F.any_value("size").alias("size"), F.min(known).alias("first")), "minhash-classes")
+
+    def sets(wanted: DataFrame) -> DataFrame:
+        """The sets of wanted classes, each from one text."""
+        rows = classes.join(wanted, "class").select("first.*")
+        same = F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.text_hash") == F.col("w.text_hash"))
+        texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").alias("d").join(rows.alias("w"), same).select("d.*")
+        return stage(_sets(texts).dropDuplicates(["class"]), "minhash-sets")
+
+    posted = classes.select("class", "size", "first", F.explode("bands").alias("bucket"))
     lowest = posted.groupBy("bucket").agg(F.min(F.struct("first", "class")).alias("low"), F.count("*").alias("n")).where("n > 1")
     shared = posted.join(lowest.select("bucket", F.col("low.class").alias("low")), "bucket")
     # In a bucket each meets the one with the smallest id, and a neighbour in an order of the bucket's own.
@@ -204,15 +271,22 @@ def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
     met = shared.withColumn("next", F.lead("class").over(turn))
     met = met.select("class", F.explode(F.array("low", "next")).alias("other")).where("class <> other")
     pairs = stage(met.select(F.least("class", "other").alias("u"), F.greatest("class", "other").alias("v")).distinct(), "minhash-pairs")
-    involved = pairs.select(F.explode(F.array("u", "v")).alias("class")).distinct()
-    needed = stage(classes.select("class", "first").join(involved, "class").select(F.col("first").alias("doc_id"), "class"), "minhash-needed")
-    texts = docs.select("doc_id", "text").join(needed.select("doc_id").distinct(), "doc_id")
-    sets = stage(_sets(texts).dropDuplicates(["class"]), "minhash-sets")
-    both = pairs.join(sets.toDF("u", "a"), "u").join(sets.toDF("v", "b"), "v")
+    found = sets(pairs.select(F.explode(F.array("u", "v")).alias("class")).distinct())
+    both = pairs.join(found.toDF("u", "a"), "u").join(found.toDF("v", "b"), "v")
     common = F.size(F.array_intersect("a", "b"))
     links = both.where((common >= F.lit(least) * (F.size("a") + F.size("b") - common)) & (F.size("a") > 0)).select("u", "v")
     roots = components(links, "minhash-links").toDF("class", "root")
-    rooted = classes.select("class", "first").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    # What this leaves apart in a bucket is compared pair by pair.
+    rooted = shared.select("class", "size", "bucket").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    rest = _all_met(rooted, lambda wanted: found.join(wanted, "class"), least)
+    return stage(roots.toDF("u", "v").union(rest), "minhash-joined")
+
+
+def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
+    """(doc_id, component_id): documents joined by shingle sets with a Jaccard likeness of ``least`` or more, through bands of the signatures."""
+    signed = stage(_signed(docs), "minhash")
+    roots = components(class_links(docs, signed, least), "minhash-parts").toDF("class", "root")
+    rooted = signed.groupBy("class").agg(F.min("doc_id").alias("first")).join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     return signed.select("doc_id", "class").join(rooted.join(smallest, "root").select("class", "component_id"), "class").select("doc_id", "component_id")
 

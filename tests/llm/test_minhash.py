@@ -99,3 +99,41 @@ def test_near_duplicates(spark):
     assert {found[i] for i in range(120)} == {6 * i for i in range(20)}
     assert all(found[i] == i // 6 * 6 for i in range(120)) and found[n] == found[n + 1] == n
     assert minhash.near_duplicates(documents(spark, [])).count() == 0
+
+
+def star(n, size=150, changed=10, seed=4):
+    """A base text and ``n`` copies with a run of other words in a place of their own, 0.87 like the base and less than 0.8 like most others."""
+    rng = np.random.default_rng(seed)
+    base = [f"w{i}" for i in range(size)]
+    copies = []
+    for k in range(n):
+        at = int(rng.integers(0, size - changed))
+        copies.append(" ".join([*base[:at], *(f"x{k}_{j}" for j in range(changed - 4)), *base[at + changed - 4 :]]))
+    return " ".join(base), copies
+
+
+def test_star_whose_smallest_id_is_not_the_base(spark):
+    base, copies = star(1500)
+    like = [jaccard(base, c) for c in copies]
+    assert min(like) >= 0.8 and np.median([jaccard(copies[0], c) for c in copies[1:]]) < 0.8
+    rows = [(i, t, "en", "a", 1) for i, t in enumerate([*copies, base])]
+    found = [r.component_id for r in minhash.near_duplicates(documents(spark, rows)).collect()]
+    assert found == [0] * len(rows)
+
+
+def test_block_links_join_what_all_pairs_join():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 40, rng.integers(1, 30))) for _ in range(120)]
+    begin = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    for sides in (1, 2):
+        side, roots = np.arange(120) % sides, rng.integers(0, 100, 120)
+
+        def parts(links, roots=roots):
+            label = roots.copy()
+            for i, j in links:
+                label[label == label[j]] = label[i]
+            return len(set(label.tolist())), [int(np.flatnonzero(label == x)[0]) for x in label]
+
+        pairs = [(i, j) for i in range(120) for j in range(i) if (sides == 1 or side[i] != side[j]) and len(np.intersect1d(sets[i], sets[j])) >= 0.5 * len(np.union1d(sets[i], sets[j]))]
+        got = minhash.block_links(np.arange(120), roots, side, begin, np.concatenate(sets), 0.5)
+        assert parts(got) == parts(pairs) and len(got) < 120
