@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 
 #: Texts are worked on in slices of about so many bytes, so a task's memory does not follow the batch size.
 SLICE_BYTES = 2_000_000
-#: Values (languages, labels) that a sample for learning covers at most.
-GROUPS = 1000
 _local_folder: list[str] = []
 
 
@@ -153,11 +151,11 @@ def shingle_hashes(hashes: np.ndarray, first: np.ndarray, width: int) -> tuple[n
 def bounded_sample(frame: DataFrame, by: str, wanted: int, key: str = "doc_id", seed: str = "sample") -> DataFrame:
     """About ``wanted`` rows of each value of ``by`` (all where there are fewer), the same rows at every run.
 
-    A row stays if its hash falls into the share of the hash range that its group needs, so the sample has the same bound at every size. Values
-    beyond the ``GROUPS`` most frequent have no rows in it.
+    A row stays if its hash falls into the share of the hash range that its group needs, so the sample has the same bound at every size. Every
+    value has its rows in it.
     """
     counts = frame.where(F.col(by).isNotNull()).groupBy(by).agg(F.count("*").alias("_rows"))
-    counts = F.broadcast(counts.orderBy(F.desc("_rows"), by).limit(GROUPS))
+    counts = F.broadcast(counts)
     place = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     return frame.join(counts, by).where(place < F.lit(float(wanted)) / F.col("_rows")).drop("_rows")
 

@@ -6,8 +6,8 @@ costs the escape -log2(kinds / (total + kinds)) and is looked up in the next sho
 language is that of the shortest code, and the score its share when code lengths are turned to probabilities.
 
 Counting is a Spark job over the labelled rows; a document counts as far as ``sample`` documents for each language allow (picked by hash, whole
-texts). What is collected is the table of counts, at most ``contexts`` longest contexts a language. The costs of all (context, byte) pairs are
-worked out once, so a text is scored by two table look-ups a byte.
+texts). What is collected is the whole table of counts. The costs of all (context, byte) pairs that were seen are worked out once and kept
+sparse, with the escape of each context, so a text is scored by a few table look-ups a byte.
 
 Cases: null texts and texts without a letter are ``und`` with score 0; a text before which nothing stands has a start mark as its context; with
 no labelled rows every text is ``und``; repeated rows and null ids are scored each; an empty table gives an empty result; other columns
@@ -22,14 +22,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gondola.llm.common import bounded_sample, slices, text_column
 
 ORDER = 3
 SAMPLE = 4000
-CONTEXTS = 10_000
 LEAST = 2
 START = 256
 NONE = "und"
@@ -48,14 +47,46 @@ def grams(texts: list[bytes], order: int = ORDER) -> np.ndarray:
 
 @dataclass
 class Model:
-    """``symbol``: byte to column (0: never seen); ``row``: three symbols to the row of their longest known context; ``cost``: bits by row, column and language."""
+    """Costs in bits; contexts are rows, those of a shorter length before the longer ones.
+
+    ``symbol``: byte to column (0: never seen); ``row``: three symbols to the row of their longest known context; ``shorter``: row to that of the
+    longest known context below it (-1: none); ``bits``: which columns were seen in a row, 64 to a word; ``before``: how many in all words before;
+    ``cost``: by pair seen in any language, in the order of row and column, and language; ``escape``: by row and language.
+    """
 
     languages: list[str]
+    width: int
     symbol: np.ndarray
     row: np.ndarray
+    shorter: np.ndarray
+    bits: np.ndarray
+    before: np.ndarray
     cost: np.ndarray
+    escape: np.ndarray
     order: int
 
+    def costs(self, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        """Bits of each (row, column), by language."""
+        out = np.zeros((len(rows), len(self.languages)), np.float32)
+        open_ = np.arange(len(rows))
+        for _ in range(self.order + 1):
+            word, bit = columns >> 6, (columns & 63).astype(np.uint64)
+            held = self.bits[rows, word]
+            seen = (held >> bit & np.uint64(1)).astype(bool)
+            below = held[seen] & ((np.uint64(1) << bit[seen]) - np.uint64(1))
+            out[open_[seen]] += self.cost[self.before[rows[seen], word[seen]] + np.bitwise_count(below)]
+            if seen.all():
+                return out
+            open_, rows, columns = open_[~seen], rows[~seen], columns[~seen]
+            out[open_] += self.escape[rows]
+            rows = self.shorter[rows]
+            over = rows < 0
+            out[open_[over]] += 8
+            open_, rows, columns = open_[~over], rows[~over], columns[~over]
+            if not len(open_):
+                return out
+        return out
+
 
 def counted(docs: DataFrame, order: int = ORDER, sample: int = SAMPLE) -> DataFrame:
     """(lang, gram, n) over the texts of a bounded number of documents of each language."""
@@ -72,14 +103,9 @@ def counted(docs: DataFrame, order: int = ORDER, sample: int = SAMPLE) -> DataFr
     return rows.select("text", "lang").mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, order: int = ORDER, sample: int = SAMPLE, contexts: int = CONTEXTS, least: int = LEAST) -> Model | None:
+def train(docs: DataFrame, order: int = ORDER, sample: int = SAMPLE, least: int = LEAST) -> Model | None:
     """Learn from the columns ``text`` and ``lang``; rows without either are left out. No model if nothing is left."""
-    counts = counted(docs, order, sample).groupBy("lang", F.shiftright("gram", 9).alias("context")).agg(
-        F.collect_list(F.struct(F.col("gram").bitwiseAND(F.lit(511)).alias("symbol"), F.col("n").cast("long").alias("n"))).alias("after"), F.sum("n").alias("total")
-    )
-    often = Window.partitionBy("lang").orderBy(F.desc("total"), "context")
-    table = counts.withColumn("place", F.row_number().over(often)).where(F.col("place") <= contexts)
-    flat = table.select("lang", "context", F.explode("after").alias("a")).select("lang", "context", "a.symbol", "a.n").toArrow()
+    flat = counted(docs, order, sample).select("lang", F.shiftright("gram", 9).alias("context"), F.col("gram").bitwiseAND(F.lit(511)).alias("symbol"), "n").toArrow()
     if not flat.num_rows:
         return None
     lang = flat.column("lang").combine_chunks().dictionary_encode()
@@ -96,34 +122,57 @@ def build(names: list[str], lang: np.ndarray, context: np.ndarray, symbol: np.nd
     column[seen] = np.arange(1, seen.sum() + 1)
     width = int(seen.sum()) + 2
     column[START] = width - 1
-    digits = [column[(context >> (9 * k)) & 511] for k in range(order)]
-    which = np.argsort(np.argsort(names))[lang]
-    # Contexts of each length: a number in base ``width`` of the last k symbols.
-    numbers = [sum((digits[j] * width**j for j in range(k)), np.zeros(len(n), np.int64)) for k in range(order + 1)]
-    known = [np.unique(x) for x in numbers]
-    first = np.concatenate([[0], np.cumsum([len(x) for x in known])])
-    cost = np.empty((first[-1], width, len(languages)), np.float32)
-    row = np.zeros(width**order, np.int32)
+    number = sum((column[(context >> (9 * j)) & 511] * width**j for j in range(order)), np.zeros(len(n), np.int64))
+    which, of = np.argsort(np.argsort(names))[lang].astype(np.int64), column[symbol]
+    row, rows = np.full(1, -1, np.int32), 0
+    shorter, escapes, cells, costs = [], [], [], []
     for k in range(order + 1):
-        for i, value in enumerate(known[k].tolist(), int(first[k])):
-            row[value :: width**k] = i
-        at = np.searchsorted(known[k], numbers[k])
-        parent = first[k - 1] + np.searchsorted(known[k - 1], known[k] % width ** (k - 1)) if k else None
-        for j in range(len(languages)):
-            mine = which == j
-            table = np.bincount(at[mine] * width + column[symbol[mine]], n[mine], len(known[k]) * width).reshape(-1, width)
-            total, kinds = table.sum(axis=1, keepdims=True), (table > 0).sum(axis=1, keepdims=True)
-            part = (total >= least) | (k == 0) & (total > 0)
-            lower = cost[parent, :, j] if k else np.full(table.shape, 8.0)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                escape = lower - np.log2(kinds / (total + kinds))
-                cost[first[k] : first[k + 1], :, j] = np.where(part, np.where(table > 0, -np.log2(table / (total + kinds)), escape), lower)
-    return Model(languages, column[:256].astype(np.int64), row, cost, order)
+        # Contexts of k symbols: a number in base ``width`` of the last k. Only one with ``least`` occurrences in some language takes part.
+        grams, at = np.unique((number % width**k * width + of) * len(names) + which, return_inverse=True)
+        count = np.bincount(at, n, len(grams))
+        pair, j = grams // len(names), grams % len(names)
+        own, at = np.unique(pair // width * len(names) + j, return_inverse=True)
+        total, kinds = np.bincount(at, count, len(own)), np.bincount(at, minlength=len(own))
+        part = (total >= least) | (k == 0)
+        known = np.unique(own[part] // len(names))
+        lower = row[known % width ** max(k - 1, 0)]
+        escape = np.zeros((len(known), len(names)), np.float32)
+        escape[np.searchsorted(known, own[part] // len(names)), own[part] % len(names)] = -np.log2(kinds[part] / (total + kinds)[part])
+        # A pair seen in any language that takes part has the costs of all: the escape and the shorter context's where it was not seen.
+        use = part[at]
+        pairs = np.unique(pair[use])
+        mine = np.searchsorted(known, pairs // width)
+        if k:
+            below = Model(languages, width, column, row, *_sparse(shorter, escapes, cells, costs, width), order)
+            cost = below.costs(lower[mine], pairs % width) + escape[mine]
+        else:
+            cost = 8 + escape[mine]
+        cost[np.searchsorted(pairs, pair[use]), j[use]] = -np.log2(count[use] / (total + kinds)[at[use]])
+        shorter.append(lower)
+        escapes.append(escape)
+        cells.append((mine + rows) * width + pairs % width)
+        costs.append(cost.astype(np.float32))
+        row = np.tile(row, width) if k else row.copy()
+        row[known] = np.arange(rows, rows + len(known))
+        rows += len(known)
+    return Model(languages, width, column[:256].astype(np.int64), row, *_sparse(shorter, escapes, cells, costs, width), order)
+
+
+def _sparse(shorter: list[np.ndarray], escapes: list[np.ndarray], cells: list[np.ndarray], costs: list[np.ndarray], width: int) -> tuple[np.ndarray, ...]:
+    """``shorter``, ``bits``, ``before``, ``cost`` and ``escape`` of a model, from those of each length of contexts."""
+    down, cell = np.concatenate(shorter), np.concatenate(cells)
+    words = (width + 63) // 64
+    bits = np.zeros((len(down), words), np.uint64)
+    at, column = cell // width, cell % width
+    np.bitwise_or.at(bits, (at, column >> 6), np.uint64(1) << (column & 63).astype(np.uint64))
+    held = np.bitwise_count(bits).astype(np.int64).ravel()
+    before = (np.cumsum(held) - held).reshape(bits.shape)
+    return down, bits, before, np.concatenate(costs), np.concatenate(escapes)
 
 
 def code_lengths(model: Model, texts: list[bytes]) -> np.ndarray:
     """Bits of each text in each language."""
-    width, order = model.cost.shape[1], model.order
+    width, order = model.width, model.order
     out = np.zeros((len(texts), len(model.languages)))
     sizes = np.array([len(t) for t in texts])
     if not sizes.sum():
@@ -137,7 +186,7 @@ def code_lengths(model: Model, texts: list[bytes]) -> np.ndarray:
     context = np.zeros(len(symbols), np.int64)
     for back in range(1, order + 1):
         context[back:] += symbols[:-back] * width ** (back - 1)
-    bits = model.cost[model.row[context], symbols]
+    bits = model.costs(model.row[context], symbols)
     for j in range(order):
         bits[begins + j] = 0
     some = sizes > 0

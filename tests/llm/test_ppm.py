@@ -96,3 +96,19 @@ def test_awkward_rows(spark):
     assert ppm.train(documents(spark, [])) is None
     assert [r.lang_pred for r in ppm.predict(docs.where("doc_id = 1"), None, ["doc_id"]).collect()] == ["und"]
     assert ppm.predict(documents(spark, []), None, ["doc_id"]).count() == 0
+
+
+def test_learning_keeps_all_contexts_and_languages(spark):
+    rng = np.random.default_rng(6)
+    texts = ["".join(map(chr, rng.integers(0x4E00, 0x4E00 + 20_000, 20_000))), "".join(map(chr, rng.integers(97, 123, 40_000)))]
+    rows = [(i, t, lang, "a", len(t)) for i, (t, lang) in enumerate(zip(texts, ("zh", "xx"), strict=True))]
+    model = ppm.train(documents(spark, rows))
+    probes = [texts[0][:40].encode(), texts[1][:200].encode(), "日本 text".encode()]
+    got = ppm.code_lengths(model, probes)
+    for lang, text in zip(("zh", "xx"), texts, strict=True):
+        plain = Plain([text.encode()], ppm.ORDER, ppm.LEAST)
+        assert sum(len(c) == ppm.ORDER for c in plain.after) > 10_000
+        for j, p in enumerate(probes):
+            assert got[j, model.languages.index(lang)] == pytest.approx(plain.bits(p), rel=1e-5)
+    many = documents(spark, [(i, "some words", f"l{i:04}", "a", 10) for i in range(1100)])
+    assert ppm.counted(many).select("lang").distinct().count() == 1100
