@@ -6,7 +6,8 @@ fold), and applied to those of the models fitted on the whole sample.
 
 Features are which of the chosen words and beginnings of words (four, five and six bytes, so that inflected words count as one) a text has;
 ``FEATURES`` for each category are chosen by how clearly they tell the sample's classes apart. Learning takes a sample of at most about ``SAMPLE``
-labelled documents of each class of the last category, picked by hash, whole texts; the models are a few thousand numbers.
+labelled documents of each class of the last category, picked by hash, whole texts; the models are a few thousand numbers. Features are counted by class
+in Spark; the driver gets the counts of those in ``FEW`` rows or more, and then of each row only the chosen ones.
 
 Cases: null and empty texts have no feature and get the base rates; null labels are left out of the sample; a category without rows of both
 classes gets its share everywhere; repeated rows and null ids are scored each; an empty table gives an empty result; the columns to keep are
@@ -23,10 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gondola.llm.common import ALNUM, LOW_BYTES, Spans, bounded_sample, mixed, slices, span_hashes, text_column
+from gondola.llm.common import ALNUM, LOW_BYTES, Spans, bounded_sample, mixed, slices, span_hashes, stage, text_column
 
-SAMPLE = 2000
-FEATURES = 300
+SAMPLE = 3000
+FEATURES = 400
 FOLDS = 3
 #: Rows of the sample that a feature must be in.
 FEW = 3
@@ -101,9 +102,8 @@ def probability(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))
 
 
-def choose(owner: np.ndarray, at: np.ndarray, counts: np.ndarray, y: np.ndarray, wanted: int) -> np.ndarray:
-    """The features whose presence tells the classes apart most clearly (a two-proportion score), by their number."""
-    ones = np.bincount(at, y[owner], len(counts))
+def choose(ones: np.ndarray, counts: np.ndarray, y: np.ndarray, wanted: int) -> np.ndarray:
+    """The features whose presence tells the classes apart most clearly (a two-proportion score), by their number; ``ones``: rows of class 1 with it."""
     n1, n = max(y.sum(), 1), max(len(y), 1)
     p1, p0, p = ones / n1, (counts - ones) / max(n - n1, 1), counts / n
     score = np.abs(p1 - p0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / max(n - n1, 1)) + 1e-12)
@@ -113,17 +113,24 @@ def choose(owner: np.ndarray, at: np.ndarray, counts: np.ndarray, y: np.ndarray,
 def fit_chain(categories: list[str], owner: np.ndarray, feature: np.ndarray, labels: np.ndarray, fold: np.ndarray, priors: np.ndarray) -> Chain:
     """``owner``/``feature``: each feature of each row once; ``labels``: a column for each category; ``priors``: shares among all labelled rows."""
     names, at, counts = np.unique(feature, return_inverse=True, return_counts=True)
-    often = counts >= FEW
-    kept = often[at]
-    owner, at = owner[kept].astype(np.int32), (np.cumsum(often) - 1)[at[kept]].astype(np.int32)
-    names, counts = names[often], counts[often]
-    chosen = np.unique(np.concatenate([choose(owner, at, counts, labels[:, c], FEATURES) for c in range(len(categories))]))
+    often = np.flatnonzero(counts >= FEW)
+    ones = [np.bincount(at, labels[owner, c], len(names))[often] for c in range(len(categories))]
+    chosen = names[often][chosen_of(ones, counts[often], labels)]
     x = np.zeros((len(labels), len(chosen)), np.float32)
     if len(chosen):
-        place = np.minimum(np.searchsorted(chosen, at), len(chosen) - 1)
-        hit = chosen[place] == at
+        place = np.minimum(np.searchsorted(chosen, feature), len(chosen) - 1)
+        hit = chosen[place] == feature
         x[owner[hit], place[hit]] = 1
-    chosen = names[chosen]
+    return fit_links(categories, chosen, x, labels, fold, priors)
+
+
+def chosen_of(ones: list[np.ndarray], counts: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """The numbers, sorted, of the features chosen for any category."""
+    return np.unique(np.concatenate([choose(o, counts, labels[:, c], FEATURES) for c, o in enumerate(ones)]))
+
+
+def fit_links(categories: list[str], chosen: np.ndarray, x: np.ndarray, labels: np.ndarray, fold: np.ndarray, priors: np.ndarray) -> Chain:
+    """``x``: which of the chosen features each row has."""
     weights = []
     for c in range(len(categories)):
         y = labels[:, c]
@@ -144,7 +151,7 @@ def fit_chain(categories: list[str], owner: np.ndarray, feature: np.ndarray, lab
 
 def train(docs: DataFrame, labels: DataFrame, categories: list[str], sample: int = SAMPLE, prior: float | None = None) -> Chain:
     """``labels``: doc_id and a 0/1 column for each category; the last one is what the sample is balanced by, ``prior`` its share among all rows."""
-    last = categories[-1]
+    spark, last = docs.sparkSession, categories[-1]
     known = labels.where(F.col(last).isNotNull()).select("doc_id", *categories)
     picked = bounded_sample(known, last, sample)
     # At most about two times ``sample`` rows of a few bytes.
@@ -160,26 +167,43 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], sample: int
                 fresh = np.concatenate([[True], (np.diff(owner) != 0) | (feature[1:] != feature[:-1])])[: len(owner)]
                 owner, feature = owner[fresh], feature[fresh]
                 cut = np.searchsorted(owner, np.arange(part.stop - part.start + 1))
-                found += [feature[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(found, pa.binary())], [*batch.schema.names[1:], "features"])
+                found += [feature[a:b].astype(np.int64) for a, b in zip(cut, cut[1:], strict=False)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(found, pa.list_(pa.int64()))], [*batch.schema.names[1:], "features"])
 
     types = ", ".join(f"`{c}` int" for c in categories)
     rows = rows.select("text", *[F.col(c).cast("int").alias(c) for c in categories], "fold")
+    found = stage(rows.mapInArrow(run, f"{types}, fold int, features array<long>"), "chain-features")
+    each = found.select(*categories, F.explode("features").alias("feature"))
+    ones = [F.sum(F.when(F.col(c) > 0, 1).otherwise(0)).alias(f"ones_{i}") for i, c in enumerate(categories)]
+    counts = each.groupBy("feature").agg(F.count("*").alias("n"), *ones).where(F.col("n") >= FEW).toArrow().sort_by("feature")
     # Sorted, for the rows arrive in any order and sums must not depend on it.
-    got = rows.mapInArrow(run, f"{types}, fold int, features binary").toArrow()
+    labels_ = found.select(*categories).toArrow()
+    table = np.stack([labels_.column(c).to_numpy() for c in categories], axis=1).astype(np.float64)
+    ones = [counts.column(f"ones_{i}").to_numpy() for i in range(len(categories))]
+    names = counts.column("feature").to_numpy()
+    chosen = names[chosen_of(ones, counts.column("n").to_numpy(), table)].astype(np.int64)
+    del counts, labels_, ones, names
+    wanted = spark.sparkContext.broadcast(chosen)
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [np.flatnonzero(np.isin(wanted.value, x.values.to_numpy())).astype(np.uint32).tobytes() for x in batch.column(len(categories) + 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(kept, pa.binary())], batch.schema.names)
+
+    got = found.mapInArrow(pick, f"{types}, fold int, features binary").toArrow()
     got = got.sort_by([(c, "ascending") for c in [*categories, "fold", "features"]])
     if prior is None:
         prior = known.agg(F.avg(F.col(last).cast("double"))).first()[0] or 0.0
-    found = got.column("features").to_pylist()
-    feature = np.frombuffer(b"".join(found), np.uint32)
-    owner = np.repeat(np.arange(len(found), dtype=np.int32), [len(b) // 4 for b in found])
+    x = np.zeros((got.num_rows, len(chosen)), np.float32)
+    for i, b in enumerate(got.column("features").to_pylist()):
+        x[i, np.frombuffer(b, np.uint32)] = 1
     table = np.stack([got.column(c).to_numpy() for c in categories], axis=1).astype(np.float64)
     fold = got.column("fold").to_numpy()
-    del got, found
+    del got
     mine = table[:, -1].mean() if len(table) else 0.0
     weight = np.where(table[:, -1] > 0, prior / mine, (1 - prior) / (1 - mine)) if 0 < mine < 1 else np.ones(len(table))
     priors = weight @ table / weight.sum() if len(table) else np.zeros(len(categories))
-    return fit_chain(categories, owner, feature, table, fold, priors)
+    return fit_links(categories, chosen.astype(np.uint32), x, table, fold, priors)
 
 
 def predict(docs: DataFrame, chain: Chain, keep: list[str], names: list[str] | None = None) -> DataFrame:

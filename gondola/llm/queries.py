@@ -17,7 +17,7 @@ VOCABULARY = f"{TOKENIZERS}/byte_bpe_50k.json"
 #: Words that mark a labelled toxic row as one of a category (weak labels; the labels say only toxic or not).
 INSULTS = ("idiot", "moron", "clown", "loser", "scum", "stupid")
 CONTEMPT = ("worthless", "trash", "disgusting", "pathetic")
-TOXIC_FROM = 0.3
+TOXIC_FROM = 0.5
 
 
 def remainder(doc_id: str, by: int) -> Column:

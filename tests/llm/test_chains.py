@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from gondola.llm import chains
+from gondola.llm import chains, queries
 from gondola.llm.queries import op7_toxicity, toxicity
 
 from .helpers import documents, with_clashes
@@ -67,3 +67,21 @@ def test_awkward_rows(spark):
 @pytest.mark.parametrize("text", ["", "plain words"])
 def test_presence_without_features(text):
     assert chains.presence(np.zeros(0, np.uint32), [text]).shape == (1, 0)
+
+
+def test_learning_equals_that_from_all_features_and_sees_400(spark):
+    rng = np.random.default_rng(12)
+    rows, labels = [], []
+    for i in range(1200):
+        toxic = i % 2
+        own = rng.integers(0, 400, 12) + 400 * toxic
+        rows.append((i, " ".join(f"q{k:03}" for k in own), "en", "a", 1))
+        labels.append((i, 1, toxic, "x"))
+    docs, known = documents(spark, rows), spark.createDataFrame(labels, LABELS)
+    chain = chains.train(docs, known.select("doc_id", "toxic"), ["toxic"])
+    assert (chains.SAMPLE, chains.FEATURES, queries.TOXIC_FROM) == (3000, 400, 0.5)
+    assert len(chain.features) == 400 and len(chain.weights[0]) == 401
+    owner, feature = chains.word_features([r[1] for r in rows])
+    both = np.unique(np.stack([owner, feature.astype(np.int64)], axis=1), axis=0)
+    plain = chains.fit_chain(["toxic"], both[:, 0], both[:, 1].astype(np.uint32), np.array([[x[2]] for x in labels], float), np.zeros(1200, int), np.array([0.5]))
+    assert (plain.features == chain.features).all() and np.allclose(plain.weights[0], chain.weights[0], atol=1e-6)
