@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gondola.llm import bpe, minhash, mixing, ppm, simhash
-from gondola.llm.common import stage, table, unused
+from gondola.llm.common import components, stage, table, unused
 from gondola.llm.queries import TOXIC_FROM, VOCABULARY, toxicity
 
 
@@ -28,12 +28,25 @@ def non_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, that with the smallest id.
+    """One document of each group of near duplicates stays, that with the smallest id (null last, then by the text's hash).
 
     Fingerprints within two bits find copies and the slightest edits; a document whose shingles of five words are to 0.8 those of another
-    often differs in more bits, so what is left goes through the verified bands of the fingerprints too.
+    often differs in more bits. Both kinds of links are sought among all documents of the input and joined to groups together.
     """
-    return minhash.without_near_copies(stage(simhash.one_of_each(docs), "simhash-kept"))
+    text = F.xxhash64("text").alias("text")
+    named = docs.select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", text).alias("doc_id"), "text")
+    signed = stage(minhash.signed_sets(named), "minhash")
+    codes = stage(simhash.with_fingerprints(named, 3).groupBy(F.col("doc_id.text").alias("text_hash")).agg(F.min("code").alias("code")), "simhash")
+    ends = signed.groupBy("text_hash").agg(F.min("class").alias("class")).join(codes, "text_hash")
+    # Each fingerprint is named by its smallest class: its other classes are linked to that one.
+    of_code = stage(ends.groupBy("code").agg(F.min("class").alias("class")), "simhash-classes")
+    same = ends.join(of_code.withColumnRenamed("class", "v"), "code").select(F.col("class").alias("u"), "v").where("u <> v")
+    u, v = of_code.select(F.col("code").alias("u"), F.col("class").alias("a")), of_code.select(F.col("code").alias("v"), F.col("class").alias("b"))
+    close = simhash.code_links(of_code.select("code")).join(u, "u").join(v, "v").select("a", "b")
+    links = minhash.class_links(named, signed, 0.8).union(same).union(close)
+    roots = components(links, "near-links").toDF("class", "root")
+    first = signed.groupBy("class").agg(F.min("doc_id").alias("first")).join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    return simhash.of_keys(docs, first.groupBy("root").agg(F.min("first").alias("first")).select("first"), signed)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

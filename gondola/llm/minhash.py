@@ -161,7 +161,7 @@ def _number(data: bytes, band: int = 0) -> int:
     return int.from_bytes(hashlib.blake2b(data, digest_size=8, person=bytes([band])).digest(), "big", signed=True)
 
 
-def _signed(docs: DataFrame) -> DataFrame:
+def signed_sets(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, class, size, bands): a number for the set of shingles, its size, and a number for each band of the signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,14 +284,8 @@ def class_links(docs: DataFrame, signed: DataFrame, least: float) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
     """(doc_id, component_id): documents joined by shingle sets with a Jaccard likeness of ``least`` or more, through bands of the signatures."""
-    signed = stage(_signed(docs), "minhash")
+    signed = stage(signed_sets(docs), "minhash")
     roots = components(class_links(docs, signed, least), "minhash-parts").toDF("class", "root")
     rooted = signed.groupBy("class").agg(F.min("doc_id").alias("first")).join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     return signed.select("doc_id", "class").join(rooted.join(smallest, "root").select("class", "component_id"), "class").select("doc_id", "component_id")
-
-
-def without_near_copies(docs: DataFrame, least: float = 0.8) -> DataFrame:
-    """The documents but those of a component whose smallest id is another's. Documents with a null id stay."""
-    found = near_duplicates(docs, least).where(F.col("doc_id") != F.col("component_id"))
-    return docs.join(stage(found.select("doc_id").distinct(), "minhash-copies"), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -224,10 +224,17 @@ def one_of_each(docs: DataFrame, width: int = 3, distance: int = 2) -> DataFrame
     text = F.xxhash64("text")
     named = docs.select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", text.alias("text")).alias("doc_id"), "text")
     marked, of_code = classes(named, width, distance)
-    copies = marked.groupBy("doc_id", "code").agg(F.count("*").alias("rows")).join(of_code, "code").where(F.col("doc_id") == F.col("component_id"))
-    stay = copies.select(F.coalesce("doc_id.doc_id", F.lit(0)).alias("id"), F.col("doc_id.none").alias("none"), F.col("doc_id.text").alias("text"), "rows")
+    return of_keys(docs, of_code.select(F.col("component_id").alias("first")).distinct(), marked)
+
+
+def of_keys(docs: DataFrame, first: DataFrame, marked: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each key of ``first``. Keys are structs (none, doc_id, text: hash); ``marked`` has that of every row as ``doc_id``."""
+    counts = marked.groupBy("doc_id").agg(F.count("*").alias("rows"))
     key = ["id", "none", "text"]
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), text.alias("text"))
+    keyed = [F.coalesce("key.doc_id", F.lit(0)).alias("id"), F.col("key.none").alias("none"), F.col("key.text").alias("text")]
+    stay = first.select(F.col("first").alias("key")).select(*keyed).join(counts.withColumnRenamed("doc_id", "key").select(*keyed, "rows"), key)
+    text = F.xxhash64("text").alias("text")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), text)
     kept = whole.join(stay, key)
     # Only rows that repeat as a whole have to meet to leave one.
     once = kept.where("rows = 1").select("row.*")

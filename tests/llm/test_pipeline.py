@@ -5,6 +5,7 @@ import regex
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from gondola.llm import simhash
 from gondola.llm.queries import VOCABULARY
 
 from .helpers import AWKWARD, documents
@@ -81,3 +82,51 @@ def test_awkward_and_empty_tables(spark, tmp_path):
         got = corpus_pipeline.run(spark, folder)
         assert set(got.columns) >= {"doc_id", "n_tokens", "ids", "text"}
         assert (got.count() > 0) == bool(rows)
+
+
+def groups(texts):
+    """The group of each text by brute force: fingerprints within two bits or a likeness of 0.8."""
+    codes = simhash.fingerprints([t.encode().lower() for t in texts], 3).tolist()
+    sets, label = [shingle_sets(t) for t in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            union = sets[i] | sets[j]
+            if label[i] != label[j] and ((codes[i] ^ codes[j]).bit_count() <= 2 or (union and len(sets[i] & sets[j]) >= 0.8 * len(union))):
+                label = [min(label[i], label[j]) if x in (label[i], label[j]) else x for x in label]
+    return label
+
+
+def chains_of_both_links():
+    """Texts B, B', C: the fingerprints of B and B' are within two bits, C is like B' to 0.8 or more but not like B."""
+    rng, out = np.random.default_rng(8), []
+    while len(out) < 9:
+        words = [f"w{i}" for i in rng.integers(0, 10**6, 120)]
+        second = [*words[:-4], *(f"v{i}" for i in rng.integers(0, 10**6, 4))]
+        at = int(rng.integers(0, 90))
+        third = [*second[:at], *(f"u{i}" for i in rng.integers(0, 10**6, 7)), *second[at + 7 :]]
+        texts = [" ".join(t) for t in (words, second, third)]
+        code = simhash.fingerprints([t.encode().lower() for t in texts], 3).tolist()
+        like = lambda a, b: len(shingle_sets(a) & shingle_sets(b)) / len(shingle_sets(a) | shingle_sets(b))
+        if (code[0] ^ code[1]).bit_count() <= 2 < (code[0] ^ code[2]).bit_count() and like(texts[1], texts[2]) >= 0.8 > like(texts[0], texts[2]):
+            out += texts
+    return out
+
+
+def test_groups_of_the_whole_input(spark):
+    texts = chains_of_both_links()
+    label = groups(texts)
+    assert label == [0] * 3 + [3] * 3 + [6] * 3
+    kept = corpus_pipeline.distinct(spark, documents(spark, [(i, t, "en", "a", 1) for i, t in enumerate(texts)]), "").collect()
+    assert sorted(r.doc_id for r in kept) == [0, 3, 6]
+
+
+def test_null_and_repeated_ids_keep_one_row_of_each_group(spark):
+    texts = chains_of_both_links()
+    other = "something else that is not like any of those at all"
+    # No id in the first group; the second's near copy has the id of a text of its own; the third's smallest id is not its first text's.
+    ids = [None, None, None, 1, 2, 2, 9, 8, None]
+    rows = [(i, t, "en", "a", 1) for i, t in zip([*ids, 2, 1], [*texts, other, texts[3]], strict=True)]
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.distinct(spark, documents(spark, rows), "").collect()]
+    assert len(kept) == len(set(kept)) == 4
+    assert {(1, texts[3]), (2, other), (8, texts[7])} < set(kept)
+    assert [i for i, t in kept if t in texts[:3]] == [None]
