@@ -7,12 +7,13 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gondola.llm import bpe, chains, chat, machine, minhash, mixing, permutation, ppm, simhash, warc
+from gondola.llm import bpe, chains, chat, machine, minhash, mixing, packing, permutation, phrases, ppm, repair, simhash, warc
 from gondola.llm.common import bounded_sample, stage, table
 
 #: The folder of the public vocabulary files; an argument of ``bpe.encode``.
 TOKENIZERS = os.environ.get("GONDOLA_TOKENIZERS", "/opt/tokenizers")
 VOCABULARY = f"{TOKENIZERS}/byte_bpe_50k.json"
+WORD_VOCABULARY = f"{TOKENIZERS}/word_bpe_49k.json"
 
 #: Words that mark a labelled toxic row as one of a category (weak labels; the labels say only toxic or not).
 INSULTS = ("idiot", "moron", "clown", "loser", "scum", "stupid")
@@ -98,8 +99,40 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = packing.read(*packing.write(table(spark, sf_dir, "documents"), WORD_VOCABULARY))
+    return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns with the faults that their keys' checksums name; a dropped one stays as a row that says so."""
+    blank = F.lit(" ")
+    role, text = F.coalesce("role", blank), F.coalesce("text", blank)
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), blank), F.lit(":"), F.coalesce(F.col("turn").cast("string"), blank))
+    kind = F.pmod(F.crc32(key.cast("binary")), F.lit(20))
+    return turns.select(
+        "conv_id",
+        "turn",
+        F.when(kind == 4, "user").otherwise(role).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        (kind == 0).alias("dropped"),
+        F.explode(F.when(kind == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"),
+    )
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.summaries(damaged(table(spark, sf_dir, "conversations")), "dropped")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_mixing, op2_chat, op3_fingerprints, op4_warc, op5_simhash, op6_bpe, op7_toxicity, op8_permutation_index, op9_language, op10_quality)
-}
-ORACLE_SQL = {"op1_mixing": mixing.ORACLE, "op2_chat": chat.ORACLE}
+    for f in (
+        op1_mixing, op2_chat, op3_fingerprints, op4_warc, op5_simhash, op6_bpe, op7_toxicity, op8_permutation_index, op9_language, op10_quality,
+        op11_collocations, op12_packing, op13_repair,
+    )
+}
+ORACLE_SQL = {"op1_mixing": mixing.ORACLE, "op2_chat": chat.ORACLE, "op11_collocations": phrases.ORACLE}
