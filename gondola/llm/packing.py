@@ -25,6 +25,7 @@ import struct
 import uuid
 from collections.abc import Iterator
 from functools import cache, lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,10 +43,21 @@ FILE_BYTES, SEGMENT, WORDS = 64 << 20, 1 << 20, 400_000
 MAGIC = b"GONDIDS1"
 #: Width, ids of a block, ids, documents, place of the documents, place of the block offsets.
 FOOTER = struct.Struct("<IIQQQQ8s")
+#: Marks that the splitting pattern cuts from the letters before them.
+MARKS, WORD_END = b".,;:!?", "</w>"
 _SPACE = re.compile(rb"[ \t-\r]")
 SLICE = 1 << 20
 
 
+class Known(dict):
+    """Ids of words; those of a slice that the process does not keep are in ``passing``."""
+
+    passing: dict[bytes, bytes] = {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        return self.passing[word]
+
+
 class Words:
     """The ids of texts by a tokenizer's file, as little-endian unsigned 32-bit integers."""
 
@@ -56,26 +68,70 @@ class Words:
         self.coder = Tokenizer.from_file(path)
         self.coder.no_truncation()
         self.coder.no_padding()
-        if any(_SPACE.search(t.content.encode()) for t in self.coder.get_added_tokens_decoder().values()):
+        self.special = [t.content.encode() for t in self.coder.get_added_tokens_decoder().values()]
+        if any(_SPACE.search(t) for t in self.special):
             raise ValueError("an added token of this vocabulary holds white space")
-        self.width = max(int(max(self.coder.get_vocab(with_added_tokens=True).values())).bit_length(), END.bit_length())
-        self.known: dict[bytes, bytes] = {}
-
-    def encode(self, text: str) -> Iterator[bytes]:
-        """The ids of a text, in parts."""
-        data, at = text.encode(), 0
-        while at < len(data):
-            cut = _SPACE.search(data, at + SLICE) if len(data) - at > SLICE else None
-            end = cut.start() if cut else len(data)
-            words = data[at:end].split()
-            missing = list(set(words).difference(self.known))
-            if missing:
-                if len(self.known) + len(missing) > WORDS:
-                    self.known, missing = {}, list(set(words))
-                for word, coded in zip(missing, self.coder.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False), strict=True):
-                    self.known[word] = np.array(coded.ids, "<u4").tobytes()
-            yield b"".join(map(self.known.__getitem__, words))
-            at = end
+        vocabulary = self.coder.get_vocab(with_added_tokens=True)
+        self.width = max(max(vocabulary.values()).bit_length(), END.bit_length())
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for word, i in vocabulary.items() if word.endswith(WORD_END)]] = True
+        self.known = Known()
+
+    def small(self, text: str) -> bytes:
+        """A text with small letters: they are made small in any case, but only after special tokens have been looked for."""
+        data = text.encode()
+        small = data.lower()
+        return data if any(t.lower() in small for t in self.special) else small
+
+    def encode(self, texts: list[str]) -> Iterator[tuple[int, bytes]]:
+        """The ids of texts: each text's place in the list with its ids, a long text's in parts."""
+        waiting, size = [], 0
+        for i, text in enumerate(texts):
+            data, at = self.small(text), 0
+            while at < len(data):
+                cut = _SPACE.search(data, at + SLICE) if len(data) - at > SLICE else None
+                end = cut.start() if cut else len(data)
+                waiting.append((i, data[at:end].split()))
+                size, at = size + end - at, end
+                if size >= SLICE:
+                    yield from self.together(waiting)
+                    waiting, size = [], 0
+        yield from self.together(waiting)
+
+    def together(self, parts: list[tuple[int, list[bytes]]]) -> Iterator[tuple[int, bytes]]:
+        missing = [w for w in set().union(*(words for _, words in parts)) if w not in self.known]
+        if missing:
+            self.learn(missing)
+        for i, words in parts:
+            yield i, b"".join(map(self.known.__getitem__, words))
+
+    def learn(self, words: list[bytes]) -> None:
+        """Words of letters alone, with marks behind them or without, are encoded together: each ends with the only end of a word in its ids."""
+        stems = [w.rstrip(MARKS) for w in words]
+        letters = [s.decode().isalpha() for s in stems]
+        wanted = {s for s, ok in zip(stems, letters, strict=True) if ok}
+        found = self.joined([w for w in wanted if w not in self.known])
+        marks = {w[len(s) :] for w, s in zip(words, stems, strict=True)} - {b""}
+        rest = [*(w for w in marks if w not in self.known), *(w for w, s, ok in zip(words, stems, letters, strict=True) if not (ok and (s in found or s in self.known)))]
+        for word, coded in zip(rest, self.coder.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False), strict=True):
+            found[word] = np.array(coded.ids, "<u4").tobytes()
+        self.known.passing = found
+        for word, stem in zip(words, stems, strict=True):
+            if word not in found:
+                found[word] = self.known[stem] + self.known[word[len(stem) :]] if len(stem) < len(word) else self.known[stem]
+        # The first words stay: the common ones are soon among them.
+        if len(self.known) < WORDS:
+            self.known.update(found)
+
+    def joined(self, words: list[bytes]) -> dict[bytes, bytes]:
+        if not words:
+            return {}
+        ids = np.array(self.coder.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids, "<u4")
+        borders = np.flatnonzero(self.ends[ids]) + 1
+        if len(borders) != len(words):  # some letter becomes several words
+            return {}
+        data, borders = ids.tobytes(), (4 * borders).tolist()
+        return {w: data[a:b] for w, a, b in zip(words, [0, *borders], borders, strict=False)}
 
 
 @cache
@@ -115,19 +171,21 @@ class Writer:
         self.named: list[bool] = []
         self.ends: list[int] = []
 
-    def add(self, doc_id: int | None, parts: Iterator[bytes]) -> int:
-        """A document's ids; returns how many."""
-        before = self.ids
-        for part in parts:
-            self.waiting.append(part)
-            self.filled += len(part) // 4
-            self.ids += len(part) // 4
-            if self.filled >= BLOCK:
-                self.flush(False)
+    def add(self, part: bytes) -> None:
+        """Some ids of the document at hand."""
+        self.waiting.append(part)
+        self.filled += len(part) // 4
+        self.ids += len(part) // 4
+        if self.filled >= BLOCK:
+            self.flush(False)
+
+    def end(self, doc_id: int | None, tail: bytes) -> int:
+        """Its last ids; returns how many it has."""
+        self.add(tail)
         self.docs.append(doc_id or 0)
         self.named.append(doc_id is not None)
         self.ends.append(self.ids)
-        return self.ids - before
+        return self.ids - (self.ends[-2] if len(self.ends) > 1 else 0)
 
     def flush(self, all_of_it: bool) -> None:
         data = b"".join(self.waiting)
@@ -214,13 +272,17 @@ def write(docs: DataFrame, path: str, folder: str | None = None, end: int = END,
         tail = np.array([end], "<u4").tobytes()
         for batch in batches:
             code = coder(path)
-            for doc_id, text in zip(batch.column(0).to_pylist(), text_column(batch), strict=True):
-                writer = writer or Writer(folder, number, code.width)
-                ids += writer.add(doc_id, (part for parts in (code.encode(text), (tail,)) for part in parts))
-                docs += 1
-                if ids >= segment:
-                    found.append((number, first, docs, ids))
-                    first, docs, ids = first + docs, 0, 0
+            writer = writer or Writer(folder, number, code.width)
+            doc_ids, coded, at = batch.column(0).to_pylist(), code.encode(text_column(batch)), 0
+            for place, part in chain(coded, [(len(doc_ids), b"")]):
+                for doc_id in doc_ids[at:place]:
+                    ids += writer.end(doc_id, tail)
+                    docs += 1
+                    if ids >= segment:
+                        found.append((number, first, docs, ids))
+                        first, docs, ids = first + docs, 0, 0
+                at = max(at, place)
+                writer.add(part)
         if docs:
             found.append((number, first, docs, ids))
         if writer:

@@ -346,10 +346,14 @@ def scored(counts: DataFrame, kept_percent: int, top: int) -> DataFrame:
     inner = inner.groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
     kept = best.join(inner, ["lang", "phrase"], "left").where(F.col("longer").isNull() | (100 * F.col("longer") < kept_percent * F.col("a")))
 
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    # The best of each share of a language's phrases first, so that no task has all phrases of a language.
+    shares = int((phrases.count() / top) ** 0.5) + 1
+    best_first = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    listed = kept.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score", F.pmod(F.xxhash64("phrase"), F.lit(shares)).alias("share"))
+    for by in (["lang", "share"], ["lang"]):
+        listed = listed.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*best_first))).where(F.col("rank") <= top)
     totals = counts.where("words = 0").select("lang", "n")
-    return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+    return listed.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
 ORACLE = r"""
