@@ -9,8 +9,9 @@ file and unpacked with array operations.
 Documents are in ascending order of doc_id: a range of the order is one file, so the files by number are the whole sequence. A task writes a file under a
 name of its attempt and then moves it to its final name; a repeated attempt writes the same bytes. Files go through ``pyarrow.fs``.
 
-Texts are encoded by the tokenizer's own library word by word: at ASCII white space the splitting pattern always cuts, and neither the normalisation
-nor a special token reaches across, so each word's ids are kept and put together.
+Texts are encoded by the tokenizer's own library word by word: at ASCII white space, and between an ASCII letter and a full stop or its like, the
+splitting pattern always cuts, and neither the normalisation nor a special token reaches across. So each word's ids are kept, found again by its
+hash with array operations, and put together.
 
 Cases: a null text is the empty text, which has the end id alone; null ids come first; rows of one id are in the order of a hash of the text, and rows
 that are equal throughout are one beside the other, so a repeated id is dealt to several files; very long texts are encoded in slices at white
@@ -34,28 +35,44 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gondola.llm.common import new_folder, stage, text_column
+from gondola.llm.common import LOW_BYTES, WHITE, mixed, new_folder, span_hashes, stage, text_column
 
 END = 2
 BLOCK = 1 << 16
 #: Text of a file, ids of a segment (what a reading task takes at once), and known words of a process.
-FILE_BYTES, SEGMENT, WORDS = 64 << 20, 1 << 20, 400_000
+FILE_BYTES, SEGMENT, WORDS = 64 << 20, 1 << 20, 2_000_000
 MAGIC = b"GONDIDS1"
 #: Width, ids of a block, ids, documents, place of the documents, place of the block offsets.
 FOOTER = struct.Struct("<IIQQQQ8s")
 #: Marks that the splitting pattern cuts from the letters before them.
 MARKS, WORD_END = b".,;:!?", "</w>"
 _SPACE = re.compile(rb"[ \t-\r]")
-SLICE = 1 << 20
+SLICE = 2 << 20
 
 
-class Known(dict):
-    """Ids of words; those of a slice that the process does not keep are in ``passing``."""
+class Store:
+    """Ids of the words seen so far, found by the words' hashes; ``checks`` tells words of equal hashes apart."""
 
-    passing: dict[bytes, bytes] = {}
+    def __init__(self):
+        self.hashes, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.begins, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, "<u4")
 
-    def __missing__(self, word: bytes) -> bytes:
-        return self.passing[word]
+    def places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where these hashes are or would be, and which are there."""
+        at = np.searchsorted(self.hashes, hashes)
+        there = at < len(self.hashes)
+        there[there] = self.hashes[at[there]] == hashes[there]
+        return at, there
+
+    def add(self, hashes: np.ndarray, checks: np.ndarray, coded: list[bytes]) -> None:
+        """Words whose hashes, in ascending order, are not there yet."""
+        at = np.searchsorted(self.hashes, hashes)
+        lengths = np.array([len(c) // 4 for c in coded], np.int64)
+        begins = len(self.ids) + np.cumsum(lengths) - lengths
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(coded), "<u4")])
+        for name, new in (("hashes", hashes), ("checks", checks), ("begins", begins), ("lengths", lengths)):
+            setattr(self, name, np.insert(getattr(self, name), at, new))
 
 
 class Words:
@@ -69,13 +86,13 @@ class Words:
         self.coder.no_truncation()
         self.coder.no_padding()
         self.special = [t.content.encode() for t in self.coder.get_added_tokens_decoder().values()]
-        if any(_SPACE.search(t) for t in self.special):
-            raise ValueError("an added token of this vocabulary holds white space")
+        if any(_SPACE.search(t) or set(t) & set(MARKS) for t in self.special):
+            raise ValueError("an added token of this vocabulary has a place where texts are cut")
         vocabulary = self.coder.get_vocab(with_added_tokens=True)
         self.width = max(max(vocabulary.values()).bit_length(), END.bit_length())
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for word, i in vocabulary.items() if word.endswith(WORD_END)]] = True
-        self.known = Known()
+        self.store = Store()
 
     def small(self, text: str) -> bytes:
         """A text with small letters: they are made small in any case, but only after special tokens have been looked for."""
@@ -91,47 +108,83 @@ class Words:
             while at < len(data):
                 cut = _SPACE.search(data, at + SLICE) if len(data) - at > SLICE else None
                 end = cut.start() if cut else len(data)
-                waiting.append((i, data[at:end].split()))
+                waiting.append((i, data[at:end]))
                 size, at = size + end - at, end
                 if size >= SLICE:
                     yield from self.together(waiting)
                     waiting, size = [], 0
-        yield from self.together(waiting)
-
-    def together(self, parts: list[tuple[int, list[bytes]]]) -> Iterator[tuple[int, bytes]]:
-        missing = [w for w in set().union(*(words for _, words in parts)) if w not in self.known]
-        if missing:
-            self.learn(missing)
-        for i, words in parts:
-            yield i, b"".join(map(self.known.__getitem__, words))
-
-    def learn(self, words: list[bytes]) -> None:
-        """Words of letters alone, with marks behind them or without, are encoded together: each ends with the only end of a word in its ids."""
-        stems = [w.rstrip(MARKS) for w in words]
-        letters = [s.decode().isalpha() for s in stems]
-        wanted = {s for s, ok in zip(stems, letters, strict=True) if ok}
-        found = self.joined([w for w in wanted if w not in self.known])
-        marks = {w[len(s) :] for w, s in zip(words, stems, strict=True)} - {b""}
-        rest = [*(w for w in marks if w not in self.known), *(w for w, s, ok in zip(words, stems, letters, strict=True) if not (ok and (s in found or s in self.known)))]
-        for word, coded in zip(rest, self.coder.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False), strict=True):
-            found[word] = np.array(coded.ids, "<u4").tobytes()
-        self.known.passing = found
-        for word, stem in zip(words, stems, strict=True):
-            if word not in found:
-                found[word] = self.known[stem] + self.known[word[len(stem) :]] if len(stem) < len(word) else self.known[stem]
-        # The first words stay: the common ones are soon among them.
-        if len(self.known) < WORDS:
-            self.known.update(found)
-
-    def joined(self, words: list[bytes]) -> dict[bytes, bytes]:
+        if waiting:
+            yield from self.together(waiting)
+
+    def together(self, parts: list[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]:
+        data, starts, ends, first = words_of([part for _, part in parts])
+        lanes = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+        hashes = span_hashes(data, starts, ends)
+        low = LOW_BYTES[np.minimum(ends - starts, 8)]
+        checks = mixed(lanes[starts] & low) ^ (lanes[np.maximum(ends - 8, starts)] & low) ^ (ends - starts).astype(np.uint64)
+        distinct, one, which = np.unique(hashes, return_index=True, return_inverse=True)
+        at, there = self.store.places(distinct)
+        new = one[~there]
+        if len(new):
+            if len(self.store.hashes) + len(new) > WORDS:
+                self.store, new = Store(), one
+            words = [data[a:b].tobytes() for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)]
+            self.store.add(hashes[new], checks[new], self.learned(words))
+            at, _ = self.store.places(distinct)
+        store, at = self.store, at[which]
+        if np.any(store.checks[at] != checks):  # two words of one hash
+            coded = self.coder.encode_batch_fast([part.decode() for _, part in parts], add_special_tokens=False)
+            yield from ((i, np.array(c.ids, "<u4").tobytes()) for (i, _), c in zip(parts, coded, strict=True))
+            return
+        lengths = store.lengths[at]
+        stops = np.cumsum(lengths)
+        total = int(stops[-1]) if len(stops) else 0
+        ids = store.ids[np.repeat(store.begins[at] - (stops - lengths), lengths) + np.arange(total)]
+        borders = np.concatenate([[0], stops])[first].tolist()
+        for (i, _), a, b in zip(parts, borders, borders[1:], strict=False):
+            yield i, ids[a:b].tobytes()
+
+    def learned(self, words: list[bytes]) -> list[bytes]:
+        """Words of letters alone are encoded as one text: each ends with the only end of a word in its ids."""
+        texts = [w.decode() for w in words]
+        letters = [t for t in texts if t.isalpha()]
+        found = dict(zip(letters, self.joined(letters), strict=False))
+        rest = [t for t in texts if t not in found]
+        for text, coded in zip(rest, self.coder.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            found[text] = np.array(coded.ids, "<u4").tobytes()
+        return [found[t] for t in texts]
+
+    def joined(self, words: list[str]) -> list[bytes]:
         if not words:
-            return {}
-        ids = np.array(self.coder.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids, "<u4")
+            return []
+        ids = np.array(self.coder.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
         borders = np.flatnonzero(self.ends[ids]) + 1
         if len(borders) != len(words):  # some letter becomes several words
-            return {}
+            return []
         data, borders = ids.tobytes(), (4 * borders).tolist()
-        return {w: data[a:b] for w, a, b in zip(words, [0, *borders], borders, strict=False)}
+        return [data[a:b] for a, b in zip([0, *borders], borders, strict=False)]
+
+
+_LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[97:123] = True
+_MARK[list(MARKS)] = True
+
+
+def words_of(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of all parts (padded), starts and ends of their words, and where each part's words begin.
+
+    Words end at white space, and between an ASCII letter and one of ``MARKS``, where the splitting pattern always cuts too.
+    """
+    data = np.frombuffer(b"\n".join([*parts, b"\0" * 8]), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(p) + 1 for p in parts])])
+    text = data[: offsets[-1]]
+    inside, letter, mark = ~WHITE[text], _LETTER[text], _MARK[text]
+    cut = (letter[:-1] & mark[1:]) | (mark[:-1] & letter[1:])
+    starts, ends = inside.copy(), np.zeros_like(inside)
+    starts[1:] &= ~inside[:-1] | cut
+    ends[1:] = inside[:-1] & (~inside[1:] | cut)
+    starts = np.flatnonzero(starts)
+    return data, starts, np.flatnonzero(ends), np.searchsorted(starts, offsets)
 
 
 @cache

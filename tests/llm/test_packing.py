@@ -50,6 +50,13 @@ def test_one_id_on_most_rows_goes_to_several_files(spark, library):
     check(library, frame.collect(), packing.read(folder, segments).collect())
 
 
+def test_words_of_one_hash(library, monkeypatch):
+    monkeypatch.setattr(packing, "span_hashes", lambda data, starts, ends: (ends - starts).astype(np.uint64))
+    coder, texts = packing.Words(WORD_VOCABULARY), ["one two", "six ten three", ""]
+    for i, part in coder.encode(texts):
+        assert np.frombuffer(part, "<u4").tolist() == whole(library, texts[i])[:-1]
+
+
 def test_words_give_the_librarys_ids(library, monkeypatch):
     draw = random.Random(3)
     monkeypatch.setattr(packing, "SLICE", 64)
