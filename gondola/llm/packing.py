@@ -40,7 +40,7 @@ from gondola.llm.common import LOW_BYTES, WHITE, mixed, new_folder, span_hashes,
 END = 2
 BLOCK = 1 << 16
 #: Text of a file, ids of a segment (what a reading task takes at once), and known words of a process.
-FILE_BYTES, SEGMENT, WORDS = 64 << 20, 1 << 20, 2_000_000
+FILE_BYTES, SEGMENT, WORDS = 64 << 20, 1 << 20, 1_000_000
 MAGIC = b"GONDIDS1"
 #: Width, ids of a block, ids, documents, place of the documents, place of the block offsets.
 FOOTER = struct.Struct("<IIQQQQ8s")
