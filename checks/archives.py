@@ -67,48 +67,80 @@ def _write_partitions(folder: str):
     return write
 
 
-def _broken_members(day: str) -> Iterator[tuple[str, bytes]]:
-    """One member of each kind of damage for a date; the counts are those of ``BROKEN``."""
-
-    def rows(header: list[str], *ids: str) -> bytes:
-        return _file(pd.DataFrame({"id_comercio": ids, "id_bandera": "1", "id_producto": "7"}), header)
-
-    def member(**files: bytes) -> bytes:
-        packed = io.BytesIO()
-        with zipfile.ZipFile(packed, "w") as inner:
-            for name, content in files.items():
-                inner.writestr(f"{name}.csv", content)
-        return packed.getvalue()
-
-    chain, branch, price = (_HEADERS[f"{n}.csv"] for n in ("comercio", "sucursales", "productos"))
-    footer, short = b"Ultima actualizacion: hoy\r\n", b"9|1\r\n"
-    yield f"{day}/vacio.zip", b""
-    yield f"{day}/corrupto.zip", b"esto no es un zip"
-    yield f"{day}/encabezado.zip", member(comercio=rows(chain, "1"), sucursales=rows(branch, "1"), productos=rows(["otro", *price[1:]], "1"))
-    yield f"{day}/sin_sucursales.zip", member(comercio=rows(chain, "1"), productos=rows(price, "1", "2"))
-    yield f"{day}/corto.zip", member(comercio=rows(chain, "1") + footer, sucursales=rows(branch, "1"), productos=rows(price, "1") + short + short + footer)
-
-
-#: Fixed by the members above, for each date and file: present, with its header, valid rows, invalid rows, footers.
-BROKEN = {
-    "comercio.csv": (3, 3, 3, 0, 1),
-    "sucursales.csv": (2, 2, 2, 0, 0),
-    "productos.csv": (3, 2, 4, 2, 1),
-}
+#: What is wrong with the member of a banner, by the banner's number modulo six.
+EMPTY, CORRUPT, OTHER_HEADER, NO_BRANCHES, CUT, SHORT_ROWS = range(6)
+_FOOTER, _SHORT = b"Ultima actualizacion: hoy\r\n", b"9|1\r\n"
+
+
+def _damaged_member(rows: pd.DataFrame, kind: int) -> bytes:
+    """The member of a banner and date with its damage; the checks' SQL says what is left of its rows."""
+    if kind == EMPTY:
+        return b""
+    if kind == CORRUPT:
+        return b"esto no es un zip"
+    files = {}
+    for name, header in _HEADERS.items():
+        keys = [c for c in ("id_comercio", "id_bandera", "id_sucursal") if c in header]
+        files[name] = _file(rows if name == "productos.csv" else rows[keys].drop_duplicates(), header)
+    price = files["productos.csv"]
+    if kind == OTHER_HEADER:
+        files["productos.csv"] = price.replace(b"id_comercio", b"otro", 1)
+    elif kind == NO_BRANCHES:
+        del files["sucursales.csv"]
+    elif kind == CUT:
+        # Half of the rows, then a byte that is no text in the middle of many rows. The blank lines between are more than a reader takes at
+        # once, so that all of the half are read.
+        half = _file(rows[: len(rows) // 2], _HEADERS["productos.csv"])
+        files["productos.csv"] = half + b"\r\n" * 10_000 + b"1|\xff" + price[len(half) :]
+    else:
+        files["comercio.csv"] += _FOOTER
+        files["productos.csv"] = price + _SHORT + _SHORT + _FOOTER
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as inner:
+        for name, content in files.items():
+            inner.writestr(name, content)
+    return packed.getvalue()
 
 
-def _write_broken(folder: str):
+def _write_damaged(folder: str):
+    """Rows in the order of date and banner to one archive a date; a banner's rows are held at a time."""
+
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        attempt = TaskContext.get().taskAttemptId()
         system, root = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
         system.create_dir(root, recursive=True)
+        day, stream, outer, parts, done = None, None, None, [], []
+
+        def finish_member() -> None:
+            if parts:
+                rows = pd.concat(parts)
+                banner = rows.id_bandera.iloc[0]
+                outer.writestr(f"{day}/bandera_{banner}.zip", _damaged_member(rows, int(banner) % 6))
+                parts.clear()
+
+        def finish_archive() -> None:
+            if outer:
+                finish_member()
+                outer.close()
+                stream.close()
+                system.move(f"{root}/rotos_{day}.zip.{attempt}", f"{root}/rotos_{day}.zip")
+                done.append(f"{folder}/rotos_{day}.zip")
+
         for batch in batches:
-            paths = []
-            for day in batch.fecha_publicacion:
-                with system.open_output_stream(f"{root}/rotos_{day}.zip") as out, zipfile.ZipFile(out, "w") as outer:
-                    for name, content in _broken_members(day):
-                        outer.writestr(name, content)
-                paths.append(f"{folder}/rotos_{day}.zip")
-            yield pd.DataFrame({"path": paths})
+            for (when, banner), rows in batch.groupby(["fecha_publicacion", "id_bandera"], sort=False):
+                if when != day:
+                    finish_archive()
+                    day = when
+                    stream = system.open_output_stream(f"{root}/rotos_{day}.zip.{attempt}")
+                    outer = zipfile.ZipFile(stream, "w")
+                elif parts and parts[0].id_bandera.iloc[0] != banner:
+                    finish_member()
+                parts.append(rows)
+        finish_archive()
+        if done:
+            yield pd.DataFrame({"path": done})
 
     return write
 
@@ -117,10 +149,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def broken_archives(spark: SparkSession, prices: DataFrame) -> list[str]:
-    """Paths of one archive with damaged members for each date of the prices."""
+    """Paths of one archive a date with all its prices, in a member for each banner; most members are damaged."""
     folder = run_folder(spark, "rotos").removeprefix("file:")
-    days = prices.select(F.col("fecha_publicacion").cast("string")).where("fecha_publicacion is not null").distinct()
-    return sorted(r["path"] for r in days.mapInPandas(_write_broken(folder), "path string").collect())
+    rows = prices.where("fecha_publicacion is not null").withColumn("fecha_publicacion", F.col("fecha_publicacion").cast("string"))
+    keys = ["fecha_publicacion", "id_bandera"]
+    dealt = rows.repartition("fecha_publicacion").sortWithinPartitions(*keys)
+    return sorted(r["path"] for r in dealt.mapInPandas(_write_damaged(folder), "path string").collect())
 
 
 def archives(spark: SparkSession, sf_dir: str, prices: DataFrame) -> list[str]:

@@ -137,7 +137,7 @@ check(
 )
 check(
     "a4_precios_por_ubicacion",
-    lambda c: q.price_by_place(c.sources.activity, c.sources.base.precios, c.sources.places),
+    lambda c: q.price_by_place(c.sources.activity, c.sources.branches, c.sources.places),
     saved_sql("a4"),
     _mart["mart_precios_por_ubicacion"],
 )
@@ -972,10 +972,18 @@ check(
     "select cast(count(*) - count(*) as bigint) as errores from fact_precios",
     "errores",
 )
-# Archives with one member of each kind of damage for every date of the table.
-_DAYS = "(select distinct fecha_publicacion from fact_precios where fecha_publicacion is not null) dias"
-_BROKEN = ", ".join(str((name, *counts)) for name, counts in archives.BROKEN.items())
-_BROKEN = f"(values {_BROKEN}) rotos(csv, presentes, con_encabezado, validas, invalidas, pies)"
+# Archives with all rows, in a member for each date and banner that is damaged by the banner's number: empty, no archive, another header,
+# no branches, cut in the middle of the prices, short rows and footers.
+_MEMBERS = """(select fecha_publicacion, id_bandera, cast(id_bandera as int) % 6 as clase, count(*) as filas,
+    count(distinct id_sucursal) as sucursales from fact_precios where fecha_publicacion is not null group by all) miembros"""
+_BROKEN = f"""(select fecha_publicacion, csv, count_if(presente) as presentes, count_if(presente and not (csv = 'productos.csv' and clase = 2)) as con_encabezado,
+    cast(coalesce(sum(case when presente then validas end), 0) as bigint) as validas,
+    cast(coalesce(sum(case when csv = 'productos.csv' and clase = 5 then 2 end), 0) as bigint) as invalidas,
+    count_if(csv <> 'sucursales.csv' and clase = 5) as pies
+    from (select fecha_publicacion, clase, csv, not (csv = 'sucursales.csv' and clase = 3) as presente,
+        case csv when 'comercio.csv' then 1 when 'sucursales.csv' then sucursales when 'productos.csv' then case when clase = 4 then filas // 2 else filas end end as validas
+        from {_MEMBERS}, (values ('comercio.csv'), ('sucursales.csv'), ('productos.csv')) archivos(csv) where clase >= 2) partes
+    group by all) rotos"""
 check(
     "q1_reportes_de_archivos_rotos",
     lambda c: inspection.file_reports(c.scan_broken(INSPECT))
@@ -988,30 +996,32 @@ check(
         F.sum("rows_invalid").alias("invalidas"),
         F.sum("footer_rows_removed").alias("pies"),
     ),
-    f"select fecha_publicacion, csv, presentes, con_encabezado, validas + invalidas as filas, validas, invalidas, pies from {_DAYS}, {_BROKEN}",
+    f"select fecha_publicacion, csv, presentes, con_encabezado, validas + invalidas as filas, validas, invalidas, pies from {_BROKEN}",
     "fecha_publicacion csv presentes con_encabezado filas validas invalidas pies",
 )
 check(
     "q2_miembros_de_archivos_rotos",
     lambda c: inspection.member_counts(c.scan_broken(HEADERS)).drop("zip"),
-    f"select 5 as inner_zips_total, 3 as inner_zips_valid, 1 as inner_zips_empty, 1 as inner_zips_corrupt from {_DAYS}",
+    f"""select count(*) as inner_zips_total, count_if(clase >= 2) as inner_zips_valid, count_if(clase = 0) as inner_zips_empty,
+    count_if(clase = 1) as inner_zips_corrupt from {_MEMBERS} group by fecha_publicacion""",
     "inner_zips_total inner_zips_valid inner_zips_empty inner_zips_corrupt",
 )
 check(
     "q3_s10_totales_de_archivos_rotos",
     lambda c: inspect_archives(c.spark, c.broken, run_folder(c.spark, "inspeccion"))["totales"],
     f"""select csv, sum(presentes) as files_present, sum(con_encabezado) as files_with_valid_header, sum(validas) as rows,
-    sum(invalidas) as invalid_rows, sum(pies) as footer_rows_removed from {_DAYS}, {_BROKEN} group by csv""",
+    sum(invalidas) as invalid_rows, sum(pies) as footer_rows_removed from {_BROKEN} group by csv""",
     "csv files_present files_with_valid_header rows invalid_rows footer_rows_removed",
 )
 check(
     "q4_errores_de_archivos_rotos",
     lambda c: inspection.problems(
         inspection.file_reports(c.scan_broken(INSPECT)), c.scan_broken(HEADERS).where("tipo = 'miembro'")
-    ).select(F.regexp_extract("archivo_origen", "[^/]+$", 0).alias("miembro"), "error"),
-    f"""select miembro, error from {_DAYS}, (values ('vacio.zip', '{inspection.EMPTY_MEMBER}'),
-    ('corrupto.zip', '{inspection.CORRUPT_MEMBER}')) malos(miembro, error)""",
-    "miembro error",
+    ).select("archivo_origen", "archivo_csv", "error"),
+    f"""select fecha_publicacion || '/bandera_' || id_bandera || '.zip' as archivo_origen, case clase when 4 then 'productos.csv' end as archivo_csv,
+    case clase when 0 then '{inspection.EMPTY_MEMBER}' when 1 then '{inspection.CORRUPT_MEMBER}' else '{inspection.NOT_UTF8}' end as error
+    from {_MEMBERS} where clase in (0, 1, 4)""",
+    "archivo_origen archivo_csv error",
 )
 
 
@@ -1026,9 +1036,11 @@ def _load_with_warnings(c: Context) -> DataFrame:
 check(
     "i9_i10_carga_con_avisos",
     _load_with_warnings,
-    # Of five members one is empty, one no archive, one has another header; one lacks a file and loads.
-    f"""select 'success_with_warnings' as estado, 4 as errores, 2 as filas_{CHAINS}, 1 as filas_{BRANCHES}, 3 as filas_{FACT},
-    fecha_publicacion from {_DAYS}""",
+    # Members without a file load the others; those that are cut or have another header load nothing.
+    f"""select case when count_if(clase < 5) > 0 then 'success_with_warnings' else 'success' end as estado, count_if(clase < 5) as errores,
+    count_if(clase in (3, 5)) as filas_{CHAINS}, cast(coalesce(sum(case when clase = 5 then sucursales end), 0) as bigint) as filas_{BRANCHES},
+    cast(coalesce(sum(case when clase in (3, 5) then filas end), 0) as bigint) as filas_{FACT}, fecha_publicacion
+    from {_MEMBERS} group by fecha_publicacion""",
     f"estado errores filas_{CHAINS} filas_{BRANCHES} filas_{FACT} fecha_publicacion",
 )
 check(

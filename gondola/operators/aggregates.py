@@ -27,25 +27,72 @@ def branch_activity(prices: DataFrame) -> DataFrame:
     )
 
 
-def product_by_banner(prices: DataFrame) -> DataFrame:
-    """One row per date, banner and product: where a product is sold.
+def branch_bit(branch: str = "id_sucursal") -> tuple[Column, Column, Column]:
+    """Where a branch id stands in the bit sets of its banner: number of the long, text of an id without a number, bit.
+
+    Branch ids are small numbers within a banner, so 64 neighbours share a long. An id that is no plain number is
+    a set of its own; NULL has neither number nor text.
+    """
+    number = F.col(branch).try_cast("long")
+    plain = F.coalesce((number >= 0) & (number.cast("string") == F.col(branch)), F.lit(False))
+    bit = F.expr(f"shiftleft(1L, cast(pmod(try_cast({branch} as long), 64) as int))")
+    return (
+        F.when(plain, F.expr(f"try_cast({branch} as long) div 64")),
+        F.when(~plain, F.col(branch)),
+        F.when(plain, bit).when(F.col(branch).isNotNull(), F.lit(1).cast("long")),
+    )
+
+
+def product_branches(prices: DataFrame) -> DataFrame:
+    """Where a product is sold: per date, banner and product the branches with prices, as bit sets.
+
+    Map tasks combine the bits by OR before anything is shuffled: no raw price moves, and a product with very many
+    prices is as many rows as it has longs in a map task. ``bits`` is NULL in rows without a priced, known branch.
+    """
+    word, other, bit = branch_bit()
+    priced = F.col(PRICE).isNotNull()
+    keys = [*BANNER_KEY, "id_producto"]
+    bits = prices.select(*keys, word.alias("palabra"), other.alias("otra"), F.when(priced, bit).alias("bit"), priced.cast("long").alias("con_precio"))
+    return bits.groupBy(*keys, "palabra", "otra").agg(F.sum("con_precio").alias("filas_con_precio"), F.bit_or("bit").alias("bits"))
+
+
+def product_by_banner(branches: DataFrame) -> DataFrame:
+    """One row per date, banner and product, from :func:`product_branches`.
 
     Branches belong to one banner, so the distinct branches of a product are the sum of its distinct
-    branches over banners. That leaves a single distinct aggregate here (no row expansion) and none of
-    the wide distincts above it. Branches are counted without NULL ids; ``sucursal_nula`` tells whether
+    branches over banners. Branches are counted without NULL ids; ``sucursal_nula`` tells whether
     a NULL id occurred, so both counting rules can be derived.
+    """
+    no_branch = F.col("palabra").isNull() & F.col("otra").isNull()
+    return branches.groupBy(*BANNER_KEY, "id_producto").agg(
+        F.sum("filas_con_precio").alias("filas_con_precio"),
+        F.coalesce(F.sum(F.bit_count("bits")), F.lit(0)).alias("sucursales"),
+        F.max(F.when(no_branch & (F.col("filas_con_precio") > 0), 1).otherwise(0)).alias("sucursal_nula"),
+    )
 
-    The keys are nearly as fine as the prices (a row per branch), so aggregating before the shuffle would
-    save nothing: the rows are dealt out by the keys once, which serves both steps of the distinct count.
+
+def products_at_places(branches: DataFrame, places: DataFrame) -> DataFrame:
+    """Date, location and product where a product has a price at a branch of the location; NULL location for branches without one.
+
+    The branches of each location are bit sets too, so a product's set meets all locations of its branches in one row
+    and single prices are joined to nothing.
     """
-    prices = prices.select(*BANNER_KEY, "id_producto", "id_sucursal", PRICE).repartition(*BANNER_KEY, "id_producto")
-    price, branch = F.col(PRICE), F.col("id_sucursal")
-    priced = price.isNotNull()
-    return prices.groupBy(*BANNER_KEY, "id_producto").agg(
-        F.count(price).alias("filas_con_precio"),
-        F.count_distinct(F.when(priced, branch)).alias("sucursales"),
-        F.max(F.when(priced & branch.isNull(), 1).otherwise(0)).alias("sucursal_nula"),
+    word, other, bit = branch_bit()
+    location = ["sucursales_provincia", "sucursales_localidad"]
+    # Neither a NULL id nor a NULL part of the key meets a place.
+    key = F.coalesce(F.col("palabra").cast("string"), F.concat(F.lit("="), "otra"))
+    sets = places.select(*BANNER_KEY, word.alias("palabra"), other.alias("otra"), bit.alias("bit"), *location)
+    sets = sets.groupBy(*BANNER_KEY, key.alias("conjunto"), *location).agg(F.bit_or("bit").alias("en_lugar"))
+    sets = sets.groupBy(*BANNER_KEY, "conjunto").agg(
+        F.bit_or("en_lugar").alias("en_alguno"), F.collect_list(F.struct("en_lugar", *location)).alias("lugares")
     )
+    priced = branches.where(F.col("filas_con_precio") > 0).select(*BANNER_KEY, "id_producto", key.alias("conjunto"), "bits")
+    met = priced.join(sets, [*BANNER_KEY, "conjunto"], "left")
+    here = F.filter("lugares", lambda place: place["en_lugar"].bitwiseAND(F.col("bits")) != 0)
+    nowhere = F.col("en_alguno").isNull() | (F.col("bits").bitwiseAND(F.bitwise_not("en_alguno")) != 0)
+    none = F.array(F.struct(F.lit(None).cast("long").alias("en_lugar"), *[F.lit(None).cast("string").alias(c) for c in location]))
+    found = F.concat(F.coalesce(here, F.slice(none, 1, 0)), F.when(nowhere, none).otherwise(F.slice(none, 1, 0)))
+    return met.select(DATE, "id_producto", F.explode(found).alias("lugar")).select(DATE, *[f"lugar.{c}" for c in location], "id_producto")
 
 
 def branch_places(branches: DataFrame) -> DataFrame:

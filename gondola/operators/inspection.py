@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gondola.functions.cleaning import has_content, has_size, is_footer, stripped
 from gondola.schemas import TABLES
+from gondola.sources.nested_zip import MEMBER
 
 # Messages of an inspection.
 EMPTY_MEMBER = "ZIP interno vacío."
@@ -37,7 +38,7 @@ def file_reports(raw: DataFrame) -> DataFrame:
     problem = F.when(F.col("error").startswith("UnicodeDecodeError"), F.lit(NOT_UTF8)).otherwise(F.col("error"))
     return (
         raw.where(F.col("tipo") != "miembro")
-        .groupBy("zip", "archivo_origen", "csv")
+        .groupBy(*MEMBER, "archivo_origen", "csv")
         .agg(
             F.max(note & (state != "falta")).alias("present"),
             F.max(note & (state == "vacio")).alias("empty"),
@@ -48,6 +49,7 @@ def file_reports(raw: DataFrame) -> DataFrame:
             F.count_if(filled_row & is_footer(fields)).alias("footer_rows_removed"),
             F.max(F.when(note, problem)).alias("error"),
         )
+        .drop("archivo", "orden")
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gondola.plans import ingest
-from gondola.plans.build import MARTS, build_marts
+from gondola.plans.build import renew_marts
 from gondola.plans.marts import BASKET_KEYWORDS
 from gondola.sources.tables import Warehouse
 
@@ -31,17 +31,14 @@ def run_daily(
     marts: bool = True,
     keywords: Sequence[str] = BASKET_KEYWORDS,
 ) -> dict[str, dict[str, int]]:
-    """Load archives and renew the marts: of the loaded dates, or all where the marts are not there yet.
+    """Load archives and renew the marts wherever they are not of the latest load of a date.
 
-    Archives that fail do not keep the marts of the others from being built; the first problem is raised last.
+    So a plain retry also builds what an earlier call left behind. Archives that fail do not keep the marts of the
+    others from being built; the first problem is raised last.
     """
     archives, problems = ingest.load(warehouse, entries, mode, reload_existing)
     counts = {table: sum(a.counts[table] for a in archives) for table in ingest.TABLES}
-    built: dict[str, int] = {}
-    if marts and any(counts.values()):
-        days = set().union(*(a.loaded for a in archives))
-        whole = mode == ingest.REPLACE or bool(warehouse.missing(MARTS))
-        built = build_marts(warehouse, keywords=keywords, dates=None if whole else days)
+    built = renew_marts(warehouse, keywords) if marts else {}
     if problems:
         raise problems[0]
     return {"tablas": counts, "marts": built}

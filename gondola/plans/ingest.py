@@ -5,8 +5,9 @@ cannot influence each other, so they are loaded by the same jobs: a backfill of
 archives keeps the cluster busy with all their members at once.
 
 A batch is read once, into a folder of the warehouse with a part for each file; all else comes from there.
-Only when it is stored are the dates emptied that it brings, the price table first: a date counts as loaded
-by its prices, which are also written last. A load that dies at any point is made good by the same call.
+The dates that it brings are replaced in all three tables and in the ledger of loads at once
+(:mod:`gondola.sources.replacement`): a load that dies leaves the old rows or the new ones, and the same call
+makes it good.
 """
 
 from __future__ import annotations
@@ -21,8 +22,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gondola.functions.cleaning import clean, publication_date
-from gondola.schemas import CONTROL_SCHEMA, FACT, TABLES
-from gondola.sources.nested_zip import LOAD, MEMBERS, SCHEMA, broken_members, read_archives, whole_members
+from gondola.plans import freshness
+from gondola.schemas import CONTROL_SCHEMA, DATE, FACT, TABLES
+from gondola.sources.nested_zip import LOAD, MEMBER, MEMBERS, SCHEMA, broken_members, read_archives, whole_members
+from gondola.sources.replacement import Replacement
 from gondola.sources.tables import Warehouse, export
 
 CONTROL = "control_ingestas"
@@ -210,6 +213,8 @@ def _load_apart(warehouse: Warehouse, run: list[Archive], reload_existing: bool)
 
 def _load(warehouse: Warehouse, run: list[Archive], reload_existing: bool) -> None:
     started = datetime.now(timezone.utc)
+    # What a load left behind that died counts, or does not, before dates are compared.
+    warehouse.recover()
     replace = run[0].mode == REPLACE
     if replace or not warehouse.exists(CONTROL):
         empty = warehouse.spark.createDataFrame([], CONTROL_SCHEMA)
@@ -229,11 +234,8 @@ def _load(warehouse: Warehouse, run: list[Archive], reload_existing: bool) -> No
         stored = store(warehouse, [a.source(a.dates & loaded) for a in run], staging)
         notes = stored.where(F.col("tipo") != "fila")
         dates = {(r["zip"], r["fecha"]) for r in processed_dates(notes, forced_dates(run)).collect()}
-        warehouse.create_base(replace)
-        # Whatever an earlier load left of these dates goes, the prices first.
-        for table in reversed(TABLES):
-            warehouse.drop_dates(table, {day for _, day in dates})
-        _write_tables(warehouse, run, stored)
+        warehouse.create_base()
+        _write_tables(warehouse, run, stored, dates, replace)
         for archive in run:
             archive.loaded = {day for path, day in dates if path == archive.path}
         _finish(warehouse, run, loaded, notes, dates, started)
@@ -262,15 +264,31 @@ def store(warehouse: Warehouse, sources: list[dict], name: str) -> DataFrame:
     return warehouse.spark.read.schema(SCHEMA).parquet(path)
 
 
-def _write_tables(warehouse: Warehouse, run: list[Archive], stored: DataFrame) -> None:
-    """Write the base tables, prices last; row counts per archive are observed during the write."""
+def _write_tables(warehouse: Warehouse, run: list[Archive], stored: DataFrame, dates: set[tuple[str, date]], replace: bool) -> None:
+    """Replace the dates in the base tables, or the tables, and note the loads; row counts per archive are observed during the write.
+
+    Rows without a date are added to those there are.
+    """
     whole = whole_members(stored)
     from_archive = [F.count_if(F.col("archivo") == i).alias(f"a{i}") for i in range(len(run))]
-    for table, spec in TABLES.items():
-        rows = whole.where(F.col("csv") == spec.csv)
-        seen = warehouse.append(table, clean(rows, spec, forced_dates(run)), *from_archive)
-        for i, archive in enumerate(run):
-            archive.counts[table] = seen.get(f"a{i}", 0)
+    undated = F.count_if(F.col(DATE).isNull()).alias("sin_fecha")
+    id_of = {archive.path: archive.id for archive in run}
+    entries = {day.isoformat(): id_of[path] for path, day in dates}
+    change = Replacement(warehouse.root)
+    try:
+        for table, spec in TABLES.items():
+            rows = clean(whole.where(F.col("csv") == spec.csv), spec, forced_dates(run))
+            columns = [*spec.output, "archivo"]
+            days = None if replace else {day for _, day in dates}
+            seen = change.stage(table, rows.select(columns), days, metrics=[*from_archive, undated], without=["archivo"])
+            for i, archive in enumerate(run):
+                archive.counts[table] = seen.get(f"a{i}", 0)
+            if seen.get("sin_fecha"):
+                entries[freshness.UNDATED] = run[-1].id
+        freshness.stage(change, freshness.LOADS, entries if replace else freshness.loads(warehouse) | entries)
+        change.commit()
+    finally:
+        change.discard()
 
 
 def load_errors(notes: DataFrame) -> DataFrame:
@@ -291,8 +309,8 @@ def load_errors(notes: DataFrame) -> DataFrame:
 
 def processed_dates(notes: DataFrame, forced: Column | None = None) -> DataFrame:
     """Dates of the members that were read to their end, per archive."""
-    members = notes.where(F.col("tipo") != "fila").select("zip", "archivo_origen").distinct()
-    whole = members.join(broken_members(notes), ["zip", "archivo_origen"], "left_anti")
+    members = notes.where(F.col("tipo") != "fila").select(*MEMBER, "archivo_origen").distinct()
+    whole = members.join(broken_members(notes), MEMBER, "left_anti")
     day = publication_date(F.col("archivo_origen"), forced)
     return whole.select("zip", day.alias("fecha")).where(F.col("fecha").isNotNull()).distinct()
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gondola.functions.columns import filled, mean, null_safe_join, nulls_last
-from gondola.operators.aggregates import median_price, product_statistics, spread_columns, times
+from gondola.operators.aggregates import median_price, product_statistics, products_at_places, spread_columns, times
 from gondola.operators.variation import against_previous_date
 from gondola.schemas import (
     BANNER_KEY,
@@ -168,7 +168,7 @@ def precios_por_comercio(
 
 
 def precios_por_ubicacion(
-    activity: DataFrame, prices: DataFrame, places: DataFrame, null_ids_count: bool = True
+    activity: DataFrame, branches: DataFrame, places: DataFrame, null_ids_count: bool = True
 ) -> DataFrame:
     """Activity and average price per date and location; unmatched branches form the NULL location."""
     location = [DATE, "sucursales_provincia", "sucursales_localidad"]
@@ -186,14 +186,7 @@ def precios_por_ubicacion(
             mean(F.sum(times("suma_precio")), F.sum(times("filas_con_precio"))).alias("precio_promedio"),
         )
     )
-    # The only part that needs single prices: which products occur at which location.
-    products = (
-        prices.where(F.col(PRICE).isNotNull())
-        .select(*BRANCH_KEY, "id_producto")
-        .join(places.drop("veces"), BRANCH_KEY, "left")
-        .groupBy(*location)
-        .agg(F.count_distinct("id_producto").alias("cantidad_productos"))
-    )
+    products = products_at_places(branches, places).groupBy(*location).agg(F.count_distinct("id_producto").alias("cantidad_productos"))
     return null_safe_join(totals, products, location, "inner").select(
         *location,
         "cantidad_registros",

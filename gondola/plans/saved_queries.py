@@ -61,8 +61,8 @@ def price_by_chain(activity: DataFrame, by_banner: DataFrame, names: DataFrame)
     return frame.orderBy(*nulls_last([DATE]), F.desc("cantidad_registros"))
 
 
-def price_by_place(activity: DataFrame, prices: DataFrame, places: DataFrame) -> DataFrame:
-    frame = marts.precios_por_ubicacion(activity, prices, places, null_ids_count=False)
+def price_by_place(activity: DataFrame, branches: DataFrame, places: DataFrame) -> DataFrame:
+    frame = marts.precios_por_ubicacion(activity, branches, places, null_ids_count=False)
     return frame.orderBy(*nulls_last([DATE, "sucursales_provincia", "sucursales_localidad"]))
 
 

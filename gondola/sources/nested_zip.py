@@ -31,6 +31,7 @@ from dataclasses import dataclass
 from datetime import date
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -61,7 +62,11 @@ ARROW_SCHEMA = pa.schema(
     ]
 )
 
+#: Fixed value: message of an unknown header.
+UNKNOWN_HEADER = "ValueError: Encabezado inesperado: "
 BATCH_ROWS = 10_000
+#: Bytes of lines that are split together, and of one read.
+BLOCK_BYTES, READ_BYTES = 1 << 20, 1 << 13
 SPOOL_BYTES = 64 * 1024 * 1024
 
 #: Reading modes.
@@ -109,9 +114,14 @@ def open_archive(path: str) -> Iterator[zipfile.ZipFile]:
             yield outer
 
 
+def members_of(outer: zipfile.ZipFile) -> list[zipfile.ZipInfo]:
+    """The inner ZIPs in the order of the directory; several may have one name."""
+    return [entry for entry in outer.infolist() if entry.filename.lower().endswith(".zip")]
+
+
 def list_members(path: str) -> list[str]:
     with open_archive(path) as outer:
-        return [name for name in outer.namelist() if name.lower().endswith(".zip")]
+        return [entry.filename for entry in members_of(outer)]
 
 
 class NestedZipSource(DataSource):
@@ -164,7 +174,8 @@ class NestedZipReader(DataSourceReader):
             return
         with open_archive(part.zip) as outer, tempfile.SpooledTemporaryFile(SPOOL_BYTES) as raw:
             try:
-                with outer.open(part.member) as packed:
+                # By its place: a name alone would give the last member of that name.
+                with outer.open(members_of(outer)[part.order]) as packed:
                     shutil.copyfileobj(packed, raw, 1 << 20)
                 if not raw.tell():
                     yield note(part, "miembro", "vacio")
@@ -205,34 +216,136 @@ class NestedZipReader(DataSourceReader):
 
     def _rows(self, part, inner, name, file, header, wanted):
         """Emit the rows of one file; return its state, header and error."""
-        found, batch = None, []
+        found = None
         try:
             with inner.open(name) as raw:
-                rows = csv.reader(io.TextIOWrapper(raw, encoding="utf-8-sig", newline=""), delimiter="|")
-                found = next(rows, None)
+                records = Records(raw)
+                found = records.header()
                 if found is None:
                     return "vacio", None, None
                 found = [column.strip() for column in found]
                 if self.mode != INSPECT and found != header:
-                    return "encabezado", found, f"ValueError: Encabezado inesperado: {found}"
+                    return "encabezado", found, f"{UNKNOWN_HEADER}{found}"
                 if self.mode == HEADERS:
                     return "ok", found, None
-                for row in rows:
-                    if row and wanted:
-                        batch.append(row)
-                        if len(batch) >= BATCH_ROWS:
-                            yield row_batch(part, file, batch)
-                            batch = []
+                for rows in records:
+                    if wanted and len(rows):
+                        yield row_batch(part, file, rows)
             state, error = "ok", None
         except zipfile.BadZipFile as problem:
             state, error = "corrupto", describe(problem)
         except Exception as problem:
             state, error = "error", describe(problem)
-        if batch:
-            yield row_batch(part, file, batch)
         return state, found, error
 
 
+class Records:
+    """The records of a pipe-separated file as arrays of lists of fields, without blank ones.
+
+    The standard library's reader decides what a record is. Where no field begins with a quote it does no more than split lines and
+    fields, so blocks of lines without such a field are split by array operations; others go through the reader itself, which takes
+    further blocks while a quoted field is open.
+    """
+
+    def __init__(self, raw):
+        self.texts = self._texts(raw)
+        self.first = ""
+
+    def header(self) -> list[str] | None:
+        self.first = next(self.texts, None)
+        if self.first is None:
+            return None
+        row = next(self._read(self.first), None)
+        self.first = self.source.read()
+        return row
+
+    def __iter__(self) -> Iterator[pa.ListArray]:
+        yield from self._parsed(self.first)
+        for text in self.texts:
+            yield from self._parsed(text)
+
+    @staticmethod
+    def _blocks(raw) -> Iterator[bytes]:
+        """Whole lines, a few megabytes at a time; what was read before a failure comes before it."""
+        parts, size, at_start = [], 0, True
+        while True:
+            problem = None
+            try:
+                data = raw.read(READ_BYTES)
+            except Exception as failed:
+                data, problem = b"", failed
+            if at_start and data:
+                data, at_start = data.removeprefix(b"\xef\xbb\xbf"), False
+            parts.append(data)
+            size += len(data)
+            if data and size < BLOCK_BYTES:
+                continue
+            block = b"".join(parts)
+            # A carriage return at the very end may be half of a line's end.
+            cut = max(block.rfind(b"\n"), block.rfind(b"\r", 0, -1)) + 1
+            if problem:
+                yield block[:cut]
+                raise problem
+            if not data:
+                yield block
+                return
+            yield block[:cut]
+            parts, size = [block[cut:]], len(block) - cut
+
+    def _texts(self, raw) -> Iterator[str]:
+        before = 0
+        for block in self._blocks(raw):
+            try:
+                text = block.decode()
+            except UnicodeDecodeError as problem:
+                # Bytes that are no text spoil the whole read in which they come.
+                spoiled = (before + problem.start) // READ_BYTES * READ_BYTES
+                good = block[: max(spoiled - before, 0)]
+                good = good[: max(good.rfind(b"\n"), good.rfind(b"\r", 0, -1)) + 1]
+                if good:
+                    yield good.decode()
+                raise
+            before += len(block)
+            if text:
+                yield text
+
+    def _parsed(self, text: str) -> Iterator[pa.ListArray]:
+        if '"' not in text or not (text.startswith('"') or any(mark in text for mark in ('|"', '\n"', '\r"'))):
+            lines = [line for line in text.replace("\r\n", "\n").replace("\r", "\n").split("\n") if line]
+            if lines and max(map(len, lines)) <= csv.field_size_limit():
+                for at in range(0, len(lines), BATCH_ROWS):
+                    yield pc.split_pattern(pa.array(lines[at : at + BATCH_ROWS], pa.string()), "|")
+                return
+        rows: list[list[str]] = []
+        for row in self._read(text):
+            if row:
+                rows.append(row)
+                if len(rows) >= BATCH_ROWS:
+                    yield pa.array(rows, pa.list_(pa.string()))
+                    rows = []
+        yield pa.array(rows, pa.list_(pa.string()))
+
+    def _read(self, text: str) -> Iterator[list[str]]:
+        """Records of a block by the standard reader, to the end of the one in which the block ends."""
+        self.source, inside = io.StringIO(text, newline=""), False
+
+        def lines() -> Iterator[str]:
+            nonlocal inside
+            while True:
+                line = self.source.readline()
+                if line:
+                    inside = True
+                    yield line
+                elif inside and (more := next(self.texts, None)) is not None:
+                    self.source = io.StringIO(more, newline="")
+                else:
+                    return
+
+        for row in csv.reader(lines(), delimiter="|"):
+            inside = False
+            yield row
+
+
 def describe(problem: Exception) -> str:
     return f"{type(problem).__name__}: {problem}"
 
@@ -256,7 +369,7 @@ def note(part, kind, state, file=None, fields=None, error=None) -> pa.RecordBatc
     )
 
 
-def row_batch(part: MemberPartition, file: str, rows: list[list[str]]) -> pa.RecordBatch:
+def row_batch(part: MemberPartition, file: str, rows: pa.ListArray) -> pa.RecordBatch:
     def constant(value, kind=pa.string()):
         return pa.repeat(pa.scalar(value, kind), len(rows))
 
@@ -268,7 +381,7 @@ def row_batch(part: MemberPartition, file: str, rows: list[list[str]]) -> pa.Rec
             constant(file),
             constant("fila"),
             constant(None),
-            pa.array(rows, pa.list_(pa.string())),
+            rows,
             constant(None),
             constant(part.archive, pa.int32()),
         ],
@@ -276,18 +389,22 @@ def row_batch(part: MemberPartition, file: str, rows: list[list[str]]) -> pa.Rec
     )
 
 
+#: What tells a member from all others: its archive, that one's place in the scan, and its own place in the archive.
+MEMBER = ["zip", "archivo", "orden"]
+
+
 def broken_members(notes: DataFrame) -> DataFrame:
-    """(zip, archivo_origen) of the members that could not be read to their end or have an unknown header."""
+    """``MEMBER`` of those that could not be read to their end or have an unknown header."""
     fatal = ((F.col("tipo") == "miembro") & (F.col("estado") != "ok")) | (
         (F.col("tipo") == "csv") & F.col("estado").isin("encabezado", "error", "corrupto")
     )
-    return notes.where(fatal).select("zip", "archivo_origen").distinct()
+    return notes.where(fatal).select(*MEMBER).distinct()
 
 
 def whole_members(raw: DataFrame) -> DataFrame:
     """A scan, or a stored one, without the rows of broken members."""
     broken = broken_members(raw.where(F.col("tipo") != "fila"))
-    return raw.where(F.col("tipo") == "fila").join(broken, ["zip", "archivo_origen"], "left_anti")
+    return raw.where(F.col("tipo") == "fila").join(broken, MEMBER, "left_anti")
 
 
 # Workers need no installed copy of the package: the source travels with the plan.

@@ -1,13 +1,13 @@
 """Tables in a folder: reading, creating, appending, replacing, exporting.
 
 A table is a Parquet folder below one root that all executors reach. Base tables and the larger marts
-are partitioned by publication date, so date filters prune files.
+are partitioned by publication date, so date filters prune files. Whatever replaces rows goes through
+:mod:`gondola.sources.replacement`: a failure at any point leaves the old rows or the new ones.
 """
 
 from __future__ import annotations
 
 import re
-import uuid
 from collections.abc import Iterable
 from datetime import date
 
@@ -18,10 +18,9 @@ from pyspark.sql import functions as F
 
 from gondola.schemas import BRANCHES, CHAINS, DATE, FACT, TABLES, BaseTables
 from gondola.sources.nested_zip import file_system
+from gondola.sources.replacement import MAX_FILE_ROWS, UNDATED, Agreed, Replacement, agreements, listed, recover
 
 REQUIRED_TABLES = tuple(TABLES)
-#: Upper bound of rows per written file, so that one large member does not become one huge file.
-MAX_FILE_ROWS = 20_000_000
 
 
 class Warehouse:
@@ -35,18 +34,41 @@ class Warehouse:
         return f"{self.root}/{table}"
 
     def read(self, table: str) -> DataFrame:
-        reader = self.spark.read
-        if table in TABLES:
-            reader = reader.schema(TABLES[table].schema)
-        frame = reader.parquet(self.path(table))
+        agreed = next((tables[table] for tables in agreements(self.root).values() if table in tables), None)
+        frame = self._with_agreed(table, agreed) if agreed else self._scan(table, self.path(table))
         if table in TABLES:
             return frame.select(*TABLES[table].output)
         # Reading puts a partition column last; every mart starts with the date.
         return frame.select(DATE, *[c for c in frame.columns if c != DATE])
 
+    def _scan(self, table: str, folder: str, *files: str) -> DataFrame:
+        reader = self.spark.read.option("basePath", folder)
+        if table in TABLES:
+            reader = reader.schema(TABLES[table].schema)
+        return reader.parquet(*[f"{folder}/{f}" for f in files] or [folder])
+
+    def _with_agreed(self, table: str, agreed: Agreed) -> DataFrame:
+        """A table in the middle of a replacement: what stays of it, and the new files in either place."""
+        here, waiting = listed(self.path(table)), [f for f in listed(agreed.folder) if f in set(agreed.files)]
+        parts = []
+        stays = [f for f in here if f.endswith(".parquet") and not agreed.replaces(f) and not (f in agreed.files and not f.startswith(UNDATED))]
+        moved = [f for f in here if f in set(agreed.files) and not f.startswith(UNDATED)]
+        if stays:
+            kept = F.col(DATE).isNull() | ~F.col(DATE).isin([date.fromisoformat(d) for d in agreed.dates])
+            parts.append(self._scan(table, self.path(table)).where(kept))
+        for folder, files in ((self.path(table), moved), (agreed.folder, waiting)):
+            if files:
+                parts.append(self._scan(table, folder, *files))
+        if not parts:
+            return self._scan(table, self.path(table))
+        whole = parts[0]
+        for part in parts[1:]:
+            whole = whole.unionByName(part)
+        return whole
+
     def exists(self, table: str) -> bool:
         system, inner = file_system(self.path(table))
-        return system.get_file_info(inner).type == fs.FileType.Directory
+        return system.get_file_info(inner).type == fs.FileType.Directory or any(table in a for a in agreements(self.root).values())
 
     def missing(self, tables: Iterable[str] = REQUIRED_TABLES) -> list[str]:
         return sorted(t for t in set(tables) if not self.exists(t))
@@ -89,46 +111,37 @@ class Warehouse:
             return {}
 
     def replace(self, table: str, frame: DataFrame, by_date: bool = False) -> int:
-        """Create or replace a table and return its row count (read from the file footers).
-
-        Partitioned output is rebalanced by date first: dates with few rows share no task with others,
-        dates with very many rows are split over several.
-        """
-        writer = frame.hint("rebalance", F.col(DATE)).write.partitionBy(DATE) if by_date else frame.write
-        writer.mode("overwrite").option("maxRecordsPerFile", MAX_FILE_ROWS).parquet(self.path(table))
-        if by_date and not self._has_partitions(table):
-            # A partitioned write of nothing leaves no file to read the columns from.
-            empty = self.spark.createDataFrame([], frame.schema)
-            empty.write.mode("overwrite").parquet(self.path(table))
-        return self.read(table).count()
+        """Create or replace a table and return its row count."""
+        return self._replaced(table, frame, None, by_date)
 
     def replace_dates(self, table: str, frame: DataFrame, dates: Iterable[date]) -> int:
-        """Replace some dates of a table partitioned by date; returns the rows these have now.
+        """Replace some dates of a table partitioned by date; returns the rows these have now. The frame may read the table itself."""
+        return self._replaced(table, frame, dates, True)
 
-        The new rows are stored first, so that neither a failure while they are computed nor a frame that
-        reads the table itself can lose anything.
-        """
-        folder = f"{table}__nuevo_{uuid.uuid4().hex}"
+    def _replaced(self, table: str, frame: DataFrame, dates: Iterable[date] | None, by_date: bool) -> int:
+        change = Replacement(self.root)
         try:
-            frame.hint("rebalance", F.col(DATE)).write.option("maxRecordsPerFile", MAX_FILE_ROWS).parquet(self.path(folder))
-            stored = self.spark.read.schema(frame.schema).parquet(self.path(folder))
-            rows = stored.count()
-            self.drop_dates(table, dates)
-            stored.hint("rebalance", F.col(DATE)).write.mode("append").partitionBy(DATE).parquet(self.path(table))
+            rows = change.stage(table, frame, dates, by_date)["filas"]
+            change.commit()
         finally:
-            self.drop_folder(folder)
+            change.discard()
         return rows
 
-    def _has_partitions(self, table: str) -> bool:
-        system, inner = file_system(self.path(table))
-        return any(f"{DATE}=" in entry.base_name for entry in system.get_file_info(fs.FileSelector(inner)))
+    def store(self, name: str, frame: DataFrame) -> DataFrame:
+        """Write a frame into a new folder and read it back."""
+        frame.write.option("maxRecordsPerFile", MAX_FILE_ROWS).parquet(self.path(name))
+        return self.spark.read.schema(frame.schema).parquet(self.path(name))
+
+    def recover(self) -> None:
+        """Finish or undo what a writer left that died. Every replacement begins with it."""
+        recover(self.root)
 
     def dates(self, table: str) -> list[date]:
         """Publication dates of a table with at least one file, from a listing of its folder alone."""
         system, inner = file_system(self.path(table))
-        listed = system.get_file_info(fs.FileSelector(inner, recursive=True, allow_not_found=True))
+        found = system.get_file_info(fs.FileSelector(inner, recursive=True, allow_not_found=True))
         days = set()
-        for entry in listed:
+        for entry in found:
             value = re.search(rf"/{DATE}=(\d{{4}}-\d{{2}}-\d{{2}})/[^/_.][^/]*$", entry.path)
             if value and entry.size:
                 days.add(date.fromisoformat(value[1]))
@@ -139,17 +152,6 @@ class Warehouse:
         if system.get_file_info(inner).type == fs.FileType.Directory:
             system.delete_dir(inner)
 
-    def drop_dates(self, table: str, dates: Iterable[date]) -> None:
-        """Remove the partitions of some dates, whether or not new rows follow.
-
-        A dynamic overwrite would leave dates without new rows untouched.
-        """
-        system, inner = file_system(self.path(table))
-        for day in sorted(set(dates)):
-            partition = f"{inner}/{DATE}={day}"
-            if system.get_file_info(partition).type == fs.FileType.Directory:
-                system.delete_dir(partition)
-
 
 def export_csv(frame: DataFrame, path: str) -> None:
     frame.write.mode("overwrite").option("header", True).csv(path)

@@ -5,10 +5,11 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from gondola.plans import ingest
+from gondola.plans import freshness, ingest
 from gondola.plans.build import MARTS, build_marts
 from gondola.plans.daily import load_entries, run_daily
 from gondola.schemas import FACT
+from gondola.sources import replacement
 from gondola.sources.tables import Warehouse
 from tests import archive_data as data
 
@@ -41,6 +42,60 @@ def test_daily_runs_equal_a_full_build(spark, tmp_path):
     assert rows(daily) == rows(whole)
 
 
+class Stopped(Exception):
+    pass
+
+
+def test_a_plain_retry_renews_what_a_dead_build_left_stale(spark, tmp_path, monkeypatch):
+    """A build that dies before any mart, or in the middle of replacing it, is mended by the same call, which loads nothing."""
+    first, second = (archive(tmp_path, f"{n}.zip", day, *products) for n, day, products in (("a", "2026-05-20", "leche b"), ("b", "2026-05-22", "leche")))
+    again = archive(tmp_path, "ccc.zip", "2026-05-20", "leche", "z")
+    whole = Warehouse(spark, str(tmp_path / "entero"))
+    ingest.load_archives(whole, [(None, second), (None, again)])
+    build_marts(whole)
+    wanted = rows(whole)
+    daily = Warehouse(spark, str(tmp_path / "diario"))
+    run_daily(daily, [(None, first), (None, second)])
+    stage, move = replacement.Replacement.stage, replacement.move
+    for name, moving in (("mart_evolucion_productos", (True,)), ("mart_variacion_productos", (False,))):
+        for dies_moving in moving:
+            run_daily(daily, [(None, first)], reload_existing=True)
+            in_mart = []
+
+            def stopping(self, table, *args, name=name, dies_moving=dies_moving, in_mart=in_mart, **kwargs):
+                if table == name and not dies_moving:
+                    raise Stopped
+                in_mart[:] = [table == name]
+                return stage(self, table, *args, **kwargs)
+
+            def stopping_move(system, source, target, in_mart=in_mart, dies_moving=dies_moving):
+                if dies_moving and in_mart == [True] and target.endswith(".parquet"):
+                    raise Stopped
+                move(system, source, target)
+
+            with monkeypatch.context() as patch:
+                patch.setattr(replacement.Replacement, "stage", stopping)
+                patch.setattr(replacement, "move", stopping_move)
+                with pytest.raises(Stopped):
+                    run_daily(daily, [(None, again)], reload_existing=True)
+            found = run_daily(daily, [(None, again)])
+            assert found["tablas"][FACT] == 0
+            left = list(MARTS)[list(MARTS).index(name) + dies_moving :]
+            assert set(found["marts"]) == set(left)
+            assert rows(daily) == wanted
+            assert run_daily(daily, [(None, again)])["marts"] == {}
+
+
+def test_dates_loaded_before_there_was_a_ledger_are_built(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "almacen"))
+    ingest.load_archives(warehouse, [(None, archive(tmp_path, "a.zip", "2026-05-20", "leche"))])
+    build_marts(warehouse)
+    replacement.delete_folder(warehouse.path(freshness.FOLDER))
+    assert set(freshness.stale(warehouse, MARTS)) == set(MARTS)
+    assert set(run_daily(warehouse, [])["marts"]) == set(MARTS)
+    assert freshness.stale(warehouse, MARTS) == {}
+
+
 def test_marts_of_a_date_scan_its_partition_only(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "almacen"))
     for i, day in enumerate(("2026-05-20", "2026-05-21")):

@@ -2,11 +2,14 @@
 
 import datetime
 import json
+import zipfile
 
 import pytest
 
 from gondola.plans import ingest
+from gondola.plans.inspect import inspect_archives
 from gondola.schemas import BRANCHES, CHAINS, FACT
+from gondola.sources import replacement
 from gondola.sources.tables import Warehouse
 from tests import archive_data as data
 
@@ -97,34 +100,70 @@ class Stopped(Exception):
     pass
 
 
-@pytest.mark.parametrize(
-    ("step", "reload_existing"), [(0, False), (4, False), (6, False), (1, True), (2, True), (3, True), (5, True), (7, True)]
-)
-def test_a_plain_retry_mends_a_load_that_stops_anywhere(warehouse, tmp_path, monkeypatch, step, reload_existing):
-    if reload_existing:
-        ingest.load_archives(warehouse, [(None, simple(tmp_path, "viejo.zip", branches=3))])
+@pytest.mark.parametrize("reload_existing", [False, True])
+def test_a_load_that_stops_anywhere_leaves_old_rows_or_new_ones(spark, tmp_path, monkeypatch, reload_existing):
+    """Before every step of staging, agreeing, deleting and moving: readers see the one or the other, a plain retry mends the load."""
+    other = simple(tmp_path, "otro.zip", "2026-05-22")
+    old = simple(tmp_path, "viejo.zip", branches=3)
     entry = [(None, simple(tmp_path, "a.zip", "2026-05-23", "x", branches=2))]
-    calls = iter(range(100))
-
-    def stopping(function):
-        def run(*args, **kwargs):
-            if next(calls) == step:
-                raise Stopped
-            return function(*args, **kwargs)
-
-        return run
-
-    with monkeypatch.context() as patch:
-        for name in ("create_base", "drop_dates", "append"):
-            patch.setattr(Warehouse, name, stopping(getattr(Warehouse, name)))
-        if step < 7:  # once to make the tables, three times to empty them, three times to fill them
-            with pytest.raises(Stopped):
+    kept = {CHAINS: 1, BRANCHES: 1, FACT: 2}
+    before = {CHAINS: 2, BRANCHES: 4, FACT: 4} if reload_existing else kept
+    after = {CHAINS: 2, BRANCHES: 3, FACT: 3}
+    seen = set()
+    for step in range(reload_existing, 100, 3):
+        warehouse = Warehouse(spark, str(tmp_path / f"almacen{step}"))
+        ingest.load_archives(warehouse, [(None, other)])
+        if reload_existing:
+            ingest.load_archives(warehouse, [(None, old)])
+        calls = iter(range(1000))
+
+        def stopping(function, calls=calls, step=step):
+            def run(*args, **kwargs):
+                if next(calls) == step:
+                    raise Stopped
+                return function(*args, **kwargs)
+
+            return run
+
+        with monkeypatch.context() as patch:
+            patch.setattr(replacement, "AT_ONCE", 1)
+            for name in ("remove", "move", "delete_folder"):
+                patch.setattr(replacement, name, stopping(getattr(replacement, name)))
+            for name in ("stage", "stage_file", "commit"):
+                patch.setattr(replacement.Replacement, name, stopping(getattr(replacement.Replacement, name)))
+            try:
                 ingest.load_archives(warehouse, entry, reload_existing=reload_existing)
-        else:
-            ingest.load_archives(warehouse, entry, reload_existing=reload_existing)
-    ingest.load_archives(warehouse, entry, reload_existing=reload_existing)
-    assert rows_of(warehouse) == {CHAINS: 1, BRANCHES: 2, FACT: 1}
-    assert not (tmp_path / "almacen" / ingest.STAGING).exists() or not any((tmp_path / "almacen" / ingest.STAGING).iterdir())
+                stopped = False
+            except Stopped:
+                stopped = True
+        found = rows_of(warehouse)
+        assert found in (before, after)
+        seen.add(found == after)
+        ingest.load_archives(warehouse, entry, reload_existing=reload_existing)
+        assert rows_of(warehouse) == after
+        assert warehouse.dates(FACT) == [DAY.replace(day=22), DAY]
+        left = tmp_path / f"almacen{step}" / replacement.PENDING
+        assert not left.exists() or not any(left.iterdir())
+        if not stopped:
+            break
+    assert step > 10 and seen == {True, False}
+
+
+@pytest.mark.filterwarnings("ignore:Duplicate name")
+def test_members_of_one_name_are_told_apart_by_their_place(warehouse, spark, tmp_path):
+    name = "2026-05-23/m.zip"
+    path = tmp_path / "a.zip"
+    cut = data.simple_member(data.price("roto"))[:200]
+    with zipfile.ZipFile(path, "w") as outer:
+        for content in (data.simple_member(data.price("a"), data.price("b")), cut, data.simple_member(data.price("c"))):
+            outer.writestr(name, content)
+    counts = ingest.load_archives(warehouse, [(None, str(path))])
+    assert counts == {CHAINS: 2, BRANCHES: 2, FACT: 3}
+    assert sorted(r["id_producto"] for r in warehouse.read(FACT).collect()) == ["a", "b", "c"]
+    assert states(warehouse) == ["success_with_warnings"]
+    frames = inspect_archives(spark, [str(path)], str(tmp_path / "informe"))
+    assert [tuple(r)[1:5] for r in frames["archivos"].collect()] == [(3, 2, 0, 1)]
+    assert sorted(r.rows_valid for r in frames["reportes"].where("csv = 'productos.csv'").collect()) == [1, 2]
 
 
 def test_one_failing_archive_leaves_the_others_of_its_batch(warehouse, tmp_path, monkeypatch):

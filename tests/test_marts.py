@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import Context
 from gondola.operators.variation import against_previous_date
+from gondola.operators import aggregates
 from gondola.plans import dashboard, marts
 from gondola.plans import saved_queries as q
 from gondola.plans.build import MARTS, MartSources, build_marts, marts_to_build
@@ -346,6 +347,52 @@ def test_results_do_not_depend_on_broadcasting(spark, base, sources, name):
             spark.conf.unset(setting)
 
 
+def test_branches_of_any_id_are_counted_once(spark):
+    """Numbers, numbers that are written otherwise, texts, NULL; prices or none; a product with most of all rows."""
+    ids = ["1", "01", "63", "64", "65", "128", "-3", "+4", " 7", "x", "", "9" * 18, "9" * 30, "1.0", None]
+    rows = []
+    for i in range(3000):
+        day, chain, banner = None if i % 50 == 0 else "2026-05-20", "1" if i % 3 else None, str(i % 2)
+        product = "hot" if i % 4 else None if i % 8 else f"p{i % 40}"
+        rows.append((day, chain, banner, product, ids[i * 7 % len(ids)], None if i % 5 == 0 else 1.0 + i))
+    prices = spark.createDataFrame(rows, f"{DATE} string, id_comercio string, id_bandera string, id_producto string, id_sucursal string, {PRICE} double")
+    wanted = {}
+    for *key, branch, price in rows:
+        n, seen, blank = wanted.setdefault(tuple(key), [0, set(), 0])
+        if price is not None:
+            wanted[tuple(key)] = [n + 1, seen | ({branch} - {None}), max(blank, branch is None)]
+    got = {tuple(r[:4]): tuple(r[4:]) for r in aggregates.product_by_banner(aggregates.product_branches(prices)).collect()}
+    assert got == {k: (n, len(seen), blank) for k, (n, seen, blank) in wanted.items()}
+
+
+def test_no_price_is_shuffled_before_it_is_aggregated(base):
+    s = MartSources(base)
+    for frame in (s.activity, s.branches, s.by_banner, s.comparables):
+        plan = frame._jdf.queryExecution().executedPlan().toString().splitlines()
+        # The fixture deals its few rows out itself.
+        lines = [line for line in plan if ("Exchange" in line or "Aggregate" in line) and "RoundRobin" not in line]
+        # From the leaves: the first step is a partial aggregate of the map tasks.
+        assert "HashAggregate" in lines[-1] and "partial_" in lines[-1]
+
+
+def test_products_at_places_of_any_branch(spark):
+    """Branches at several places, at none, of ids that are no numbers, with NULL parts of the key; against a plain join."""
+    ids = ["1", "01", "63", "64", "65", "x", "", "9" * 30, None]
+    day = "2026-05-20"
+    places = [(day if i % 9 else None, "1", str(i % 2), ids[i * 5 % len(ids)], f"P{i % 3}" if i % 4 else None, f"L{i % 5}", 1) for i in range(60)]
+    prices = [
+        (day if i % 40 else None, "1" if i % 30 else None, str(i % 3), f"p{i % 7}" if i % 25 else None, ids[i * 7 % len(ids)], None if i % 5 == 0 else 1.0) for i in range(700)
+    ]
+    key = f"{DATE} string, id_comercio string, id_bandera string"
+    sold = spark.createDataFrame(prices, f"{key}, id_producto string, id_sucursal string, {PRICE} double")
+    located = spark.createDataFrame(places, f"{key}, id_sucursal string, sucursales_provincia string, sucursales_localidad string, veces int")
+    columns = [DATE, "sucursales_provincia", "sucursales_localidad", "id_producto"]
+    got = aggregates.products_at_places(aggregates.product_branches(sold), located).select(columns).distinct()
+    joined_keys = [DATE, "id_comercio", "id_bandera", "id_sucursal"]
+    wanted = sold.where(F.col(PRICE).isNotNull()).join(located, joined_keys, "left").select(columns).distinct()
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in wanted.collect()}
+
+
 def test_no_row_expansion_on_the_price_table(base):
     """Distinct counts of single prices are planned without multiplying the rows, texts without sorting them."""
     s = MartSources(base)
