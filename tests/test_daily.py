@@ -1,6 +1,7 @@
 """The daily job: marts renewed date by date equal those of one full build."""
 
 import re
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -54,36 +55,36 @@ def test_a_plain_retry_renews_what_a_dead_build_left_stale(spark, tmp_path, monk
     ingest.load_archives(whole, [(None, second), (None, again)])
     build_marts(whole)
     wanted = rows(whole)
-    daily = Warehouse(spark, str(tmp_path / "diario"))
-    run_daily(daily, [(None, first), (None, second)])
+    built = Warehouse(spark, str(tmp_path / "hecho"))
+    run_daily(built, [(None, first), (None, second)])
     stage, move = replacement.Replacement.stage, replacement.move
-    for name, moving in (("mart_evolucion_productos", (True,)), ("mart_variacion_productos", (False,))):
-        for dies_moving in moving:
-            run_daily(daily, [(None, first)], reload_existing=True)
-            in_mart = []
-
-            def stopping(self, table, *args, name=name, dies_moving=dies_moving, in_mart=in_mart, **kwargs):
-                if table == name and not dies_moving:
-                    raise Stopped
-                in_mart[:] = [table == name]
-                return stage(self, table, *args, **kwargs)
-
-            def stopping_move(system, source, target, in_mart=in_mart, dies_moving=dies_moving):
-                if dies_moving and in_mart == [True] and target.endswith(".parquet"):
-                    raise Stopped
-                move(system, source, target)
-
-            with monkeypatch.context() as patch:
-                patch.setattr(replacement.Replacement, "stage", stopping)
-                patch.setattr(replacement, "move", stopping_move)
-                with pytest.raises(Stopped):
-                    run_daily(daily, [(None, again)], reload_existing=True)
-            found = run_daily(daily, [(None, again)])
-            assert found["tablas"][FACT] == 0
-            left = list(MARTS)[list(MARTS).index(name) + dies_moving :]
-            assert set(found["marts"]) == set(left)
-            assert rows(daily) == wanted
-            assert run_daily(daily, [(None, again)])["marts"] == {}
+    for name, dies_moving in (("mart_evolucion_productos", True), ("mart_variacion_productos", False)):
+        daily = Warehouse(spark, str(tmp_path / name))
+        shutil.copytree(built.root, daily.root)
+        at = []
+
+        def stopping(self, table, *args, name=name, dies_moving=dies_moving, at=at, **kwargs):
+            at[:] = [table]
+            if table == name and not dies_moving:
+                raise Stopped
+            return stage(self, table, *args, **kwargs)
+
+        def stopping_move(system, source, target, name=name, dies_moving=dies_moving, at=at):
+            if dies_moving and at == [name] and target.endswith(".parquet"):
+                raise Stopped
+            move(system, source, target)
+
+        with monkeypatch.context() as patch:
+            patch.setattr(replacement.Replacement, "stage", stopping)
+            patch.setattr(replacement, "move", stopping_move)
+            with pytest.raises(Stopped):
+                run_daily(daily, [(None, again)], reload_existing=True)
+        found = run_daily(daily, [(None, again)])
+        assert found["tablas"][FACT] == 0
+        # One that died while its files were moved is finished without being built again.
+        assert set(found["marts"]) == set(list(MARTS)[list(MARTS).index(name) + dies_moving :])
+        assert rows(daily) == wanted
+        assert freshness.stale(daily, MARTS) == {}
 
 
 def test_dates_loaded_before_there_was_a_ledger_are_built(spark, tmp_path):
