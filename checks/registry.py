@@ -25,7 +25,8 @@ from gondola.plans.inspect import inspect_archives
 from gondola.schemas import BRANCHES, CHAINS, DATE, FACT, TABLES
 from gondola.session import configure
 from gondola.sources import resources as k
-from gondola.sources.nested_zip import HEADERS, INSPECT, LOAD, MEMBERS, read_archives
+from gondola.sources.nested_zip import HEADERS, INSPECT, LOAD, MEMBERS, read_archives, whole_members
+from gondola.sources.pipe_files import read_sources
 from gondola.sources.tables import Warehouse, export
 
 # Parameters that fit the given tables: words of part names, shipping years, part brands and types.
@@ -73,6 +74,11 @@ class Context:
     def scan(self, mode: str = LOAD, csv: str | None = None) -> DataFrame:
         return read_archives(self.spark, self.archives, mode, csv)
 
+    def split_scan(self, part_bytes: int = 1 << 18) -> DataFrame:
+        """The archives unpacked and read in parts, smaller ones than by default so that parts end within the members."""
+        sources = [{"path": path} for path in self.archives]
+        return read_sources(self.spark, sources, run_folder(self.spark, "desempacado").removeprefix("file:"), True, part_bytes)
+
     def new_warehouse(self) -> Warehouse:
         return Warehouse(self.spark, run_folder(self.spark, "almacen"))
 
@@ -824,6 +830,12 @@ check(
     f"select fecha_publicacion, id_comercio, id_bandera, {_TOTALS_SQL} from fact_precios group by all",
     f"fecha_publicacion id_comercio id_bandera {_SUMS}",
 )
+check(
+    "s1_s2_lectura_por_partes",
+    lambda c: _totals(_texts_of(whole_members(c.split_scan())), DATE, "id_comercio", "id_bandera"),
+    f"select fecha_publicacion, id_comercio, id_bandera, {_TOTALS_SQL} from fact_precios group by all",
+    f"fecha_publicacion id_comercio id_bandera {_SUMS}",
+)
 check(
     "s4_fecha_forzada",
     lambda c: _totals(cleaning.clean(c.scan(LOAD, "productos.csv"), TABLES[FACT], "2026-05-23"), DATE),

@@ -30,13 +30,14 @@ def run_daily(
     reload_existing: bool = False,
     marts: bool = True,
     keywords: Sequence[str] = BASKET_KEYWORDS,
+    split_members: bool = False,
 ) -> dict[str, dict[str, int]]:
     """Load archives and renew the marts wherever they are not of the latest load of a date.
 
     So a plain retry also builds what an earlier call left behind. Archives that fail do not keep the marts of the
     others from being built; the first problem is raised last.
     """
-    archives, problems = ingest.load(warehouse, entries, mode, reload_existing)
+    archives, problems = ingest.load(warehouse, entries, mode, reload_existing, split_members)
     counts = {table: sum(a.counts[table] for a in archives) for table in ingest.TABLES}
     built = renew_marts(warehouse, keywords) if marts else {}
     if problems:

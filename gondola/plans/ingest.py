@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from gondola.functions.cleaning import clean, publication_date
 from gondola.plans import freshness
 from gondola.schemas import CONTROL_SCHEMA, DATE, FACT, TABLES
-from gondola.sources.nested_zip import LOAD, MEMBER, MEMBERS, SCHEMA, broken_members, read_archives, whole_members
+from gondola.sources.nested_zip import MEMBER, MEMBERS, SCHEMA, broken_members, read_archives, whole_members
+from gondola.sources.pipe_files import read_sources
 from gondola.sources.replacement import Replacement
 from gondola.sources.tables import Warehouse, export
 
@@ -171,14 +172,18 @@ def load_archives(
     mode: str = APPEND,
     reload_existing: bool = False,
     export_to: str | None = None,
+    split_members: bool = False,
 ) -> dict[str, int]:
     """Load archives, given as (forced date or None, path), in order; returns rows per base table.
 
+    A path may be that of a folder with unpacked files (:mod:`gondola.sources.pipe_files`), which are split over tasks. With
+    ``split_members`` archives are unpacked in the warehouse's folder first and read like that: for members too large for a task.
+
     ``replace`` starts all tables anew before the first archive. Dates already in the price table are
     skipped, or with ``reload_existing`` replaced where the archive has readable members for them. An
     archive that fails is recorded as failed; the others are loaded, then the first problem is raised.
     """
-    archives, problems = load(warehouse, entries, mode, reload_existing)
+    archives, problems = load(warehouse, entries, mode, reload_existing, split_members)
     if export_to:
         for table in TABLES:
             export(warehouse, table, export_to)
@@ -188,7 +193,11 @@ def load_archives(
 
 
 def load(
-    warehouse: Warehouse, entries: Sequence[tuple[date | str | None, str]], mode: str = APPEND, reload_existing: bool = False
+    warehouse: Warehouse,
+    entries: Sequence[tuple[date | str | None, str]],
+    mode: str = APPEND,
+    reload_existing: bool = False,
+    split_members: bool = False,
 ) -> tuple[list[Archive], list[Exception]]:
     """The archives of a load with their counts and the dates they brought, and the problems of those that failed."""
     if mode not in (REPLACE, APPEND):
@@ -196,22 +205,22 @@ def load(
     archives = plan(warehouse.spark, entries) if entries else []
     if mode == REPLACE and archives:
         archives[0].mode = REPLACE
-    problems = [p for run in batches(archives) for p in _load_apart(warehouse, run, reload_existing)]
+    problems = [p for run in batches(archives) for p in _load_apart(warehouse, run, reload_existing, split_members)]
     return archives, problems
 
 
-def _load_apart(warehouse: Warehouse, run: list[Archive], reload_existing: bool) -> list[Exception]:
+def _load_apart(warehouse: Warehouse, run: list[Archive], reload_existing: bool, split_members: bool) -> list[Exception]:
     """Load a batch, or if that fails its archives one by one; returns their problems."""
     try:
-        _load(warehouse, run, reload_existing)
+        _load(warehouse, run, reload_existing, split_members)
         return []
     except Exception as problem:
         if len(run) == 1:
             return [problem]
-        return [p for archive in run for p in _load_apart(warehouse, [archive], reload_existing)]
+        return [p for archive in run for p in _load_apart(warehouse, [archive], reload_existing, split_members)]
 
 
-def _load(warehouse: Warehouse, run: list[Archive], reload_existing: bool) -> None:
+def _load(warehouse: Warehouse, run: list[Archive], reload_existing: bool, split_members: bool) -> None:
     started = datetime.now(timezone.utc)
     # What a load left behind that died counts, or does not, before dates are compared.
     warehouse.recover()
@@ -231,7 +240,7 @@ def _load(warehouse: Warehouse, run: list[Archive], reload_existing: bool) -> No
         if reload_existing:
             loaded -= offered
         skipped = offered & loaded
-        stored = store(warehouse, [a.source(a.dates & loaded) for a in run], staging)
+        stored = store(warehouse, [a.source(a.dates & loaded) for a in run], staging, split_members)
         notes = stored.where(F.col("tipo") != "fila")
         dates = {(r["zip"], r["fecha"]) for r in processed_dates(notes, forced_dates(run)).collect()}
         warehouse.create_base()
@@ -257,10 +266,10 @@ def _load(warehouse: Warehouse, run: list[Archive], reload_existing: bool) -> No
         warehouse.drop_folder(staging)
 
 
-def store(warehouse: Warehouse, sources: list[dict], name: str) -> DataFrame:
+def store(warehouse: Warehouse, sources: list[dict], name: str, split_members: bool = False) -> DataFrame:
     """Read archives once and store rows and notes, apart by kind and file."""
-    path = warehouse.path(name)
-    read_archives(warehouse.spark, sources, LOAD).write.partitionBy("tipo", "csv").parquet(path)
+    path = warehouse.path(f"{name}/filas")
+    read_sources(warehouse.spark, sources, warehouse.path(f"{name}/desempacado"), split_members).write.partitionBy("tipo", "csv").parquet(path)
     return warehouse.spark.read.schema(SCHEMA).parquet(path)
 
 

@@ -119,7 +119,32 @@ def members_of(outer: zipfile.ZipFile) -> list[zipfile.ZipInfo]:
     return [entry for entry in outer.infolist() if entry.filename.lower().endswith(".zip")]
 
 
+def is_folder(path: str) -> bool:
+    system, inner = file_system(path)
+    return system.get_file_info(inner).type == fs.FileType.Directory
+
+
+def folder_files(path: str) -> dict[str, dict[str, tuple[str, int]]]:
+    """Of an unpacked archive: path and size of the expected files of every member, in the order of the members' names."""
+    system, inner = file_system(path)
+    root = inner.rstrip("/")
+    found: dict[str, dict[str, tuple[str, int]]] = {}
+    for entry in sorted(system.get_file_info(fs.FileSelector(root, recursive=True)), key=lambda e: e.path):
+        file = entry.base_name.lower()
+        if entry.type == fs.FileType.File and file in dict(FILES):
+            below = entry.path[: -len(entry.base_name)].rstrip("/").removeprefix(root).strip("/")
+            place = f"{path.rstrip('/')}/{below}/{entry.base_name}" if below else f"{path.rstrip('/')}/{entry.base_name}"
+            # Folders below one that is named like an inner ZIP belong to that member.
+            inside = re.match(r"(?i)(.*?\.zip)(/|$)", below)
+            member = inside.group(1) if inside else below or root.rsplit("/", 1)[-1]
+            found.setdefault(member, {})[file] = (place, entry.size)
+    return dict(sorted(found.items()))
+
+
 def list_members(path: str) -> list[str]:
+    """Names of the members of an archive, or of an unpacked one (a folder)."""
+    if is_folder(path):
+        return list(folder_files(path))
     with open_archive(path) as outer:
         return [entry.filename for entry in members_of(outer)]
 
@@ -159,7 +184,8 @@ class NestedZipReader(DataSourceReader):
         with ThreadPoolExecutor(16) as pool:
             listed = list(pool.map(lambda a: list_members(a["path"]), self.archives))
         parts = []
-        for number, (archive, names) in enumerate(zip(self.archives, listed)):
+        for i, (archive, names) in enumerate(zip(self.archives, listed)):
+            number = archive.get("lugar", i)
             skip = set(archive.get("omitir") or ())
             for order, name in enumerate(names):
                 if (archive.get("fecha") or date_in_name(name)) not in skip:
@@ -247,8 +273,8 @@ class Records:
     further blocks while a quoted field is open.
     """
 
-    def __init__(self, raw):
-        self.texts = self._texts(raw)
+    def __init__(self, raw, at_start: bool = True):
+        self.texts = self._texts(raw, at_start)
         self.first = ""
 
     def header(self) -> list[str] | None:
@@ -265,9 +291,9 @@ class Records:
             yield from self._parsed(text)
 
     @staticmethod
-    def _blocks(raw) -> Iterator[bytes]:
+    def _blocks(raw, at_start: bool) -> Iterator[bytes]:
         """Whole lines, a few megabytes at a time; what was read before a failure comes before it."""
-        parts, size, at_start = [], 0, True
+        parts, size = [], 0
         while True:
             problem = None
             try:
@@ -292,9 +318,9 @@ class Records:
             yield block[:cut]
             parts, size = [block[cut:]], len(block) - cut
 
-    def _texts(self, raw) -> Iterator[str]:
+    def _texts(self, raw, at_start: bool) -> Iterator[str]:
         before = 0
-        for block in self._blocks(raw):
+        for block in self._blocks(raw, at_start):
             try:
                 text = block.decode()
             except UnicodeDecodeError as problem:
