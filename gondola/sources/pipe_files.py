@@ -150,7 +150,7 @@ def record_ranges(files: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     long = files.where(F.col("bytes") > part_bytes)
     last = F.floor((F.col("bytes") - 1) / F.lit(part_bytes)).cast("int")
     parts = long.select("ruta", "bytes", F.lit(part_bytes).cast("long").alias("tramo"), F.explode(F.sequence(F.lit(0), last)).alias("parte"))
-    scanned = spread(parts).mapInArrow(_scan_edges, _EDGES)
+    scanned = parts.repartition(tasks_for(long, part_bytes)).mapInArrow(_scan_edges, _EDGES)
 
     in_file = Window.partitionBy("ruta").orderBy("parte")
     before = in_file.rowsBetween(Window.unboundedPreceding, -1)
@@ -166,9 +166,12 @@ def record_ranges(files: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     return whole.unionByName(cut.where("desde < hasta").select(whole.columns))
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows that each stand for much work, dealt evenly to as many tasks, up to ``MOST_TASKS``."""
-    return rows.repartition(min(max(rows.count(), 1), MOST_TASKS))
+def tasks_for(files: DataFrame, part_bytes: int) -> int:
+    """As many tasks as the files have parts' worth of bytes, but enough for all cores where there are as many files."""
+    seen = files.agg(F.count("*").alias("n"), F.sum(F.ceil(F.col("bytes") / part_bytes)).alias("parts"), F.sum("bytes").alias("bytes")).first()
+    parts = max(seen["n"], seen["parts"] or 0)
+    cores = 2 * files.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(parts, max((seen["bytes"] or 0) // part_bytes + 1, cores), MOST_TASKS))
 
 
 # --- reading
@@ -222,7 +225,7 @@ def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_files(files: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     """Rows and notes of files (``FILE_COLUMNS``), as a load takes them; the schema is that of archives."""
-    return spread(record_ranges(files, part_bytes)).mapInArrow(_read_ranges, SCHEMA)
+    return record_ranges(files, part_bytes).repartition(tasks_for(files, part_bytes)).mapInArrow(_read_ranges, SCHEMA)
 
 
 # --- unpacked archives
@@ -328,7 +331,8 @@ def unpack(spark: SparkSession, entries: list[dict], folder: str) -> tuple[DataF
     """Unpack archives into a folder that all executors reach, a task a member, as streams; the files (``FILE_COLUMNS``) and notes."""
 
     members = listed_members(spark, entries)
-    done = spread(members).mapInArrow(_unpack(f"{folder}/archivos"), f"{SCHEMA}, ruta string, bytes long")
+    tasks = max(1, min(members.count(), MOST_TASKS))
+    done = members.repartition(tasks).mapInArrow(_unpack(f"{folder}/archivos"), f"{SCHEMA}, ruta string, bytes long")
     done.write.parquet(f"{folder}/listado")
     stored = spark.read.schema(done.schema).parquet(f"{folder}/listado")
     columns = [c.split()[0] for c in FILE_COLUMNS.split(", ")]

@@ -87,7 +87,7 @@ def test_one_member_is_read_by_many_tasks(spark, tmp_path):
     files, _ = pipe_files.unpack(spark, [{"path": archive, "lugar": 0}], str(tmp_path / "des"))
     ranges = pipe_files.record_ranges(files, 2000).where("csv = 'productos.csv'").collect()
     assert len([r for r in ranges if "grande" in r["archivo_origen"]]) > 10
-    assert pipe_files.read_files(files, 2000).rdd.getNumPartitions() >= len(ranges)
+    assert pipe_files.read_files(files, 2000).rdd.getNumPartitions() > 10
 
 
 @pytest.mark.parametrize("how", ["split", "folder"])
