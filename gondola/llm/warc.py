@@ -36,6 +36,8 @@ from gondola.llm.common import new_folder, stage
 REVISIT_BYTES = 100
 FRAME_BYTES = 1 << 20
 ARCHIVE_BYTES = 32 << 20
+#: Bytes of records that a task reads back, and the most tasks of a job (beyond, tasks take more).
+READ_BYTES, MOST_TASKS = 16 << 20, 20_000
 #: Fixed values of the format.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -177,7 +179,8 @@ def write(pages: DataFrame, folder: str | None = None, archive_bytes: int = ARCH
     total = pages.agg(F.sum(F.octet_length("html").cast("long"))).first()[0] or 0
     archives = total // archive_bytes + 1
     rows = marked(pages).withColumn("archive", F.pmod(F.xxhash64("page_id", "digest"), F.lit(archives)).cast("int"))
-    dealt = rows.repartition("archive").sortWithinPartitions("archive", "page_id", "digest", "url")
+    # A task an archive: neither merged by the size of anything, nor two of them by chance in one task.
+    dealt = rows.repartitionById(min(archives, MOST_TASKS), F.col("archive")).sortWithinPartitions("archive", "page_id", "digest", "url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, writer = None, None
@@ -216,5 +219,7 @@ def read(folder: str, index: DataFrame) -> DataFrame:
             names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
-    dealt = index.select("archive", "frame", "place", "size").repartition("archive", "frame").sortWithinPartitions("archive", "frame", "place")
+    # By the bytes that rows of the index stand for: these are few themselves.
+    tasks = (index.agg(F.sum("size")).first()[0] or 0) // READ_BYTES + 1
+    dealt = index.select("archive", "frame", "place", "size").repartition(min(tasks, MOST_TASKS), "archive", "frame").sortWithinPartitions("archive", "frame", "place")
     return dealt.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
