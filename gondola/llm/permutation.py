@@ -1,12 +1,14 @@
 """Approximate nearest neighbours by a permutation index, ranked by footrule distance and reranked by cosine.
 
-A vector is represented by the order of its ``PREFIX`` nearest pivots. Vectors are dealt into shards by the hash of their id; a shard's
+A vector is represented by the order of its ``PREFIX`` nearest pivots. Vectors are dealt into shards by the hash of id and vector; a shard's
 index is an inverted file with a list for each pivot: the vectors that have it in their prefix, and where. A query adds up, over the lists of its
 own prefix, what every vector shares with it. With w = PREFIX - place for a pivot in the prefix and 0 otherwise, the footrule distance of two
 prefixes is PREFIX * (PREFIX + 1) - 2 * sum(min(w_query, w_vector)) over the shared pivots, so the largest sums are the smallest distances. The
-nearest ``SHARE`` of a shard (``LEAST`` at least, and all at the same distance as the last) are reranked by the cosine of the original vectors.
+nearest ``SHARE`` of a shard (``LEAST`` at least, and all at the same distance as the last) are reranked by the cosine of the original vectors;
+the same way leads to every result, however few vectors there are.
 
-Pivots are up to ``PIVOTS`` different vectors out of a bounded sample picked by hash. Every vector is indexed. Equal vectors are one entry of a
+Pivots are up to ``PIVOTS`` different vectors out of a bounded sample picked by hash. Every vector is indexed. Repeated rows are taken out before
+anything is grouped, so an id on a third of all rows is dealt like any other. Equal vectors are one entry of a
 shard with all their ids, so a vector that a third of all rows hold is compared once. Queries meet shards in blocks.
 
 Cases: vectors that are null, zero or hold null or non-finite components take no part, nor do those of another dimension than most, or with a null
@@ -31,8 +33,8 @@ PREFIX = 64
 PIVOT_ROWS = 2048
 SHARD_ROWS = 8192
 QUERY_ROWS = 1024
-SHARE = 0.15
-LEAST = 512
+SHARE = 0.2
+LEAST = 128
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -91,11 +93,9 @@ class Shard:
 
     def nearest(self, own: int, query: np.ndarray, prefix: np.ndarray, wanted: int, share: float, least: int) -> tuple[np.ndarray, np.ndarray]:
         n = len(self.vectors)
-        keep = max(least, math.ceil(share * n))
-        some = np.arange(n)
-        if keep < n:
-            shared = self.shared(prefix)
-            some = np.flatnonzero(shared >= np.partition(shared, n - keep)[n - keep])
+        keep = min(n, max(least, math.ceil(share * n)))
+        shared = self.shared(prefix)
+        some = np.flatnonzero(shared >= np.partition(shared, n - keep)[n - keep])
         rough = self.vectors[some] @ query / self.norms[some]
         if len(some) > wanted + 1:
             border = np.partition(rough, len(rough) - wanted - 1)[len(rough) - wanted - 1]
@@ -125,7 +125,9 @@ def search(vectors: DataFrame, queries: DataFrame, wanted: int = 5, share: float
     dimension = sizes["n"]
     rows = rows.where(F.size("embedding") == dimension)
     shards = math.ceil(sizes["count"] / shard_rows)
-    drawn = rows.orderBy(F.xxhash64(F.lit("pivot"), "vec_id"), "vec_id").limit(PIVOT_ROWS).collect()
+    rows = rows.dropDuplicates(["vec_id", "embedding"])
+    # Ordered by the vector's hash too: an id with many vectors must not decide by the order of its rows.
+    drawn = rows.orderBy(F.xxhash64(F.lit("pivot"), "vec_id", "embedding"), "vec_id", "embedding").limit(PIVOT_ROWS).collect()
     unique = list(dict.fromkeys(tuple(r.embedding) for r in drawn))[:PIVOTS]
     pivots = np.array(unique)
     pivots /= _norms(pivots)[:, None]
@@ -137,7 +139,7 @@ def search(vectors: DataFrame, queries: DataFrame, wanted: int = 5, share: float
         shard = Shard.build(ids, values, shared.value)
         return pa.table({"shard": group.column("shard").slice(0, 1), **{n: pa.array([getattr(shard, n).tobytes()], pa.binary()) for n in Shard.PARTS}})
 
-    shard = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")
+    shard = F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(shards)).cast("int")
     files = rows.select("vec_id", "embedding", shard.alias("shard")).groupBy("shard").applyInArrow(index, "shard int, " + ", ".join(f"{n} binary" for n in Shard.PARTS))
     files = stage(files, "permutation-index")
 
@@ -152,7 +154,7 @@ def search(vectors: DataFrame, queries: DataFrame, wanted: int = 5, share: float
             {"block": group.column("block").slice(0, 1), "query_ids": pa.array([group.column("vec_id").to_numpy().tobytes()], pa.binary()), "query_vectors": pa.array([values.tobytes()], pa.binary())}
         )
 
-    block = F.pmod(F.xxhash64(F.lit("query"), "vec_id"), F.lit(blocks)).cast("int")
+    block = F.pmod(F.xxhash64(F.lit("query"), "vec_id", "embedding"), F.lit(blocks)).cast("int")
     packs = asked.select("vec_id", "embedding", block.alias("block")).groupBy("block").applyInArrow(pack, "block int, query_ids binary, query_vectors binary")
     packs = packs.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
 

@@ -66,6 +66,27 @@ def test_ties_and_awkward_rows(spark):
     assert [i for i, _ in found(permutation.search(two, two))[50]] == [60]
 
 
+def test_a_third_of_the_rows_under_one_id(spark):
+    rng = np.random.default_rng(5)
+    some = [(i, [float(x) for x in v], 0, "x") for i, v in enumerate(rng.normal(size=(300, 4)))]
+    # One row over and over, and one id with many vectors: both are dealt over all shards.
+    many = [(7, some[7][1], 0, "x")] * 300 + [(900, [float(x) for x in v], 0, "x") for v in rng.normal(size=(200, 4))]
+    frame = spark.createDataFrame(some + many, VECTORS)
+    got = found(permutation.search(frame, frame.where("vec_id between 1 and 60"), share=1.0, shard_rows=50))
+    want = brute(frame.collect(), range(1, 61))
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}
+
+
+def test_few_vectors_come_through_the_index_too(monkeypatch):
+    asked = []
+    shared = permutation.Shard.shared
+    monkeypatch.setattr(permutation.Shard, "shared", lambda self, prefix: asked.append(len(self.vectors)) or shared(self, prefix))
+    vectors = np.random.default_rng(2).normal(size=(30, 5))
+    shard = permutation.Shard.build(np.arange(30), vectors, vectors[:8])
+    ids, _ = shard.nearest(0, vectors[0], permutation.prefixes(vectors[:1], vectors[:8])[0], 5, permutation.SHARE, permutation.LEAST)
+    assert asked == [30] and len(ids) == 5
+
+
 def test_shared_sum_is_the_footrule_distance():
     rng = np.random.default_rng(13)
     vectors, pivots = rng.normal(size=(50, 6)), rng.normal(size=(80, 6))
