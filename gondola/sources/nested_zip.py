@@ -2,9 +2,11 @@
 
     spark.read.format("precios_zip").option("path", "/shared/2026-05-23.zip").load()
 
-Every inner ZIP (member) is one input partition, so a lost executor costs one member. The driver only
-reads central directories. A task unpacks its member once, in memory up to ``SPOOL_BYTES`` and on the
-task's own disk beyond; the files in it are streamed and leave as Arrow batches as they are read. Rows
+Neighbouring inner ZIPs (members) make an input partition of up to ``TASK_BYTES``, a single one where there are
+few; so the number of tasks follows the bytes, and an archive's directory is read ``ARCHIVE_TASKS`` times at
+most, however many members it lists. The driver only reads central directories. A task unpacks its members one
+after the other, once, in memory up to ``SPOOL_BYTES`` and on the task's own disk beyond; the files in them are
+streamed and leave as Arrow batches as they are read. Rows
 come out raw, as lists of fields: which of them are valid is decided by Spark expressions
 (``gondola.functions.cleaning``).
 
@@ -68,6 +70,10 @@ BATCH_ROWS = 10_000
 #: Bytes of lines that are split together, and of one read.
 BLOCK_BYTES, READ_BYTES = 1 << 20, 1 << 13
 SPOOL_BYTES = 64 * 1024 * 1024
+#: Packed bytes of a task, what opening a member counts for, and the most tasks that read one archive's directory.
+TASK_BYTES, MEMBER_BYTES, ARCHIVE_TASKS = 16 * 1024 * 1024, 1 << 16, 1000
+#: Tasks below which members do not share one, where the session does not say.
+LEAST_TASKS = 16
 
 #: Reading modes.
 MEMBERS = "miembros"  # names only, no member is opened
@@ -86,6 +92,13 @@ class MemberPartition(InputPartition):
     archive: int = 0
 
 
+@dataclass
+class BundlePartition(InputPartition):
+    """Members of one archive that a task reads one after the other."""
+
+    members: list[MemberPartition]
+
+
 def date_in_name(name: str) -> str | None:
     """The first ``yyyy-mm-dd`` in a member name, if it is a real date."""
     found = re.search(r"\d{4}-\d{2}-\d{2}", name)
@@ -143,17 +156,39 @@ def folder_files(path: str) -> dict[str, dict[str, tuple[str, int]]]:
 
 def list_members(path: str) -> list[str]:
     """Names of the members of an archive, or of an unpacked one (a folder)."""
+    return [name for name, _ in sized_members(path)]
+
+
+def sized_members(path: str) -> list[tuple[str, int]]:
+    """Names of the members of an archive, or of an unpacked one (a folder), and their bytes there."""
     if is_folder(path):
-        return list(folder_files(path))
+        return [(name, sum(size for _, size in files.values())) for name, files in folder_files(path).items()]
     with open_archive(path) as outer:
-        return [entry.filename for entry in members_of(outer)]
+        return [(entry.filename, entry.compress_size) for entry in members_of(outer)]
+
+
+def bundles(sizes: list[list[int]], least_tasks: int) -> list[list[int]]:
+    """For the members' bytes of each archive: the task of each member, numbered within the archive, neighbours together."""
+    costs = [[size + MEMBER_BYTES for size in archive] for archive in sizes]
+    alone = sum(map(len, sizes)) <= least_tasks
+    share = min(TASK_BYTES, sum(map(sum, costs)) // max(least_tasks, 1))
+    found = []
+    for archive in costs:
+        most = max(share, sum(archive) // ARCHIVE_TASKS)
+        tasks, held = [], 0
+        for cost in archive:
+            fits = bool(tasks) and not alone and held + cost <= most
+            tasks.append(tasks[-1] if fits else tasks[-1] + 1 if tasks else 0)
+            held = held + cost if fits else cost
+        found.append(tasks)
+    return found
 
 
 class NestedZipSource(DataSource):
-    """Options: ``path`` or ``archivos`` (JSON list of ``{path, fecha, omitir}``), ``lectura``, ``csv``.
+    """Options: ``path`` or ``archivos`` (JSON list of ``{path, fecha, omitir}``), ``lectura``, ``csv``, ``tareas``.
 
     ``fecha`` forces the publication date of an archive, ``omitir`` lists dates whose members are not
-    opened. ``csv`` restricts the emitted rows to one file.
+    opened. ``csv`` restricts the emitted rows to one file. Members share a task only beyond ``tareas`` tasks.
     """
 
     @classmethod
@@ -175,33 +210,50 @@ class NestedZipReader(DataSourceReader):
             self.archives = [{"path": options["path"], "fecha": options.get("fecha")}]
         self.mode = options.get("lectura", LOAD)
         self.only = options.get("csv")
+        self.least_tasks = int(options.get("tareas", LEAST_TASKS))
         if self.mode not in (MEMBERS, HEADERS, LOAD, INSPECT):
             raise ValueError(f"unknown reading mode: {self.mode}")
 
-    def partitions(self) -> list[MemberPartition]:
+    def partitions(self) -> list[MemberPartition | BundlePartition]:
         if self.mode == MEMBERS:
             return [MemberPartition(a["path"], None, i, i) for i, a in enumerate(self.archives)]
         with ThreadPoolExecutor(16) as pool:
-            listed = list(pool.map(lambda a: list_members(a["path"]), self.archives))
-        parts = []
-        for i, (archive, names) in enumerate(zip(self.archives, listed)):
-            number = archive.get("lugar", i)
+            listed = list(pool.map(lambda a: sized_members(a["path"]), self.archives))
+        opened, sizes = [], []
+        for i, (archive, members) in enumerate(zip(self.archives, listed)):
             skip = set(archive.get("omitir") or ())
-            for order, name in enumerate(names):
-                if (archive.get("fecha") or date_in_name(name)) not in skip:
-                    parts.append(MemberPartition(archive["path"], name, order, number))
+            wanted = [
+                (MemberPartition(archive["path"], name, order, archive.get("lugar", i)), size)
+                for order, (name, size) in enumerate(members)
+                if (archive.get("fecha") or date_in_name(name)) not in skip
+            ]
+            opened.append([part for part, _ in wanted])
+            sizes.append([size for _, size in wanted])
+        parts = []
+        for members, tasks in zip(opened, bundles(sizes, self.least_tasks)):
+            together: dict[int, list[MemberPartition]] = {}
+            for part, task in zip(members, tasks):
+                together.setdefault(task, []).append(part)
+            parts += [BundlePartition(bundle) for bundle in together.values()]
         return parts
 
-    def read(self, part: MemberPartition | None) -> Iterator[pa.RecordBatch]:
+    def read(self, part: MemberPartition | BundlePartition | None) -> Iterator[pa.RecordBatch]:
         if part is None:  # Spark's stand-in when there is nothing to read
             return
         if self.mode == MEMBERS:
             yield from self._names(part)
             return
-        with open_archive(part.zip) as outer, tempfile.SpooledTemporaryFile(SPOOL_BYTES) as raw:
-            try:
+        members = part.members if isinstance(part, BundlePartition) else [part]
+        with open_archive(members[0].zip) as outer:
+            listed = members_of(outer)
+            for member in members:
                 # By its place: a name alone would give the last member of that name.
-                with outer.open(members_of(outer)[part.order]) as packed:
+                yield from self._member(member, outer, listed[member.order])
+
+    def _member(self, part: MemberPartition, outer: zipfile.ZipFile, entry: zipfile.ZipInfo) -> Iterator[pa.RecordBatch]:
+        with tempfile.SpooledTemporaryFile(SPOOL_BYTES) as raw:
+            try:
+                with outer.open(entry) as packed:
                     shutil.copyfileobj(packed, raw, 1 << 20)
                 if not raw.tell():
                     yield note(part, "miembro", "vacio")
@@ -217,8 +269,10 @@ class NestedZipReader(DataSourceReader):
 
     def _names(self, part: MemberPartition) -> Iterator[pa.RecordBatch]:
         try:
-            for order, name in enumerate(list_members(part.zip)):
-                yield note(MemberPartition(part.zip, name, order, part.archive), "miembro", "ok")
+            names = list_members(part.zip)
+            for at in range(0, len(names), BATCH_ROWS):
+                here = [MemberPartition(part.zip, name, at + i, part.archive) for i, name in enumerate(names[at : at + BATCH_ROWS])]
+                yield pa.Table.from_batches([note(member, "miembro", "ok") for member in here]).combine_chunks().to_batches()[0]
         except Exception as problem:
             yield note(part, "miembro", "error", error=describe(problem))
 
@@ -447,4 +501,5 @@ def read_archives(
     spark.dataSource.register(NestedZipSource)
     entries = [a if isinstance(a, dict) else {"path": str(a)} for a in archives]
     reader = spark.read.format(FORMAT).option("archivos", json.dumps(entries)).option("lectura", mode)
+    reader = reader.option("tareas", 4 * spark.sparkContext.defaultParallelism)
     return (reader.option("csv", csv_name) if csv_name else reader).load()

@@ -150,3 +150,39 @@ def test_inspection(spark, archive, tmp_path):
     assert ("2026-05-23/cadena_8.zip", "ZIP interno corrupto.") in errors
     assert len(errors) == 3
     assert spark.read.json(str(tmp_path / "salida" / "totales")).count() == 3
+
+
+def many_members(path, n: int) -> str:
+    return data.write_archive(path, {f"2026-01-01/m{i:04}.zip": data.simple_member(data.price(str(i))) for i in range(n)})
+
+
+def test_many_small_members_share_tasks(spark, tmp_path):
+    raw = read_archives(spark, [many_members(tmp_path / "a.zip", 300)], LOAD)
+    # Four tasks a core, and one more where a sum does not come out even; 300 before.
+    assert raw.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism + 1
+    notes = raw.where("tipo = 'miembro'").select("orden", "archivo_origen", "estado").collect()
+    assert sorted(notes) == [(i, f"2026-01-01/m{i:04}.zip", "ok") for i in range(300)]
+    fields = raw.where("csv = 'productos.csv' and tipo = 'fila'").select("orden", F.col("campos")[3]).collect()
+    assert sorted(map(tuple, fields)) == [(i, str(i)) for i in range(300)]
+    assert read_archives(spark, [str(tmp_path / "a.zip")], MEMBERS).count() == 300
+
+
+def test_tasks_follow_the_bytes_and_directories_are_read_a_bounded_number_of_times():
+    mb = 1 << 20
+    assert nested_zip.bundles([[mb] * 3, [], [mb]], 16) == [[0, 1, 2], [], [0]]
+    # Ten times the members of a size: ten times the tasks. A large member is alone.
+    assert [max(nested_zip.bundles([[mb] * n], 16)[0]) + 1 for n in (1500, 15_000)] == [100, 1000]
+    assert nested_zip.bundles([[mb] * 8 + [40 * mb] + [mb] * 8], 2) == [[0] * 8 + [1] + [2] * 8]
+    # Very many members in one archive: its directory, which names them all, is not read more often for it.
+    for n in (10_000, 1_000_000):
+        assert max(nested_zip.bundles([[100] * n], 16)[0]) < 1100
+
+
+def test_a_task_opens_its_archive_once(tmp_path, monkeypatch):
+    path, opened = many_members(tmp_path / "a.zip", 200), []
+    plain = nested_zip.members_of
+    monkeypatch.setattr(nested_zip, "members_of", lambda outer: opened.append(1) or plain(outer))
+    reader = nested_zip.NestedZipReader({"path": path})
+    parts = reader.partitions()
+    assert sum(batch.num_rows for part in parts for batch in reader.read(part)) >= 200
+    assert len(opened) == 1 + len(parts) < 20
