@@ -21,6 +21,7 @@ import sys
 import zipfile
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -35,21 +36,22 @@ from gondola.sources.nested_zip import (
     UNKNOWN_HEADER,
     MemberPartition,
     Records,
+    bundles,
     date_in_name,
     describe,
     file_system,
     folder_files,
     is_folder,
-    list_members,
     members_of,
     note,
     open_archive,
     read_archives,
     row_batch,
+    sized_members,
 )
 
 PART_BYTES = 32 * 1024 * 1024
-#: Most tasks of one job; a task takes several members or parts where there are more.
+#: Most tasks of one job; a task takes several parts where there are more.
 MOST_TASKS = 20_000
 #: Bytes of one search for the end of a line.
 WINDOW_BYTES = 1 << 16
@@ -167,11 +169,14 @@ def record_ranges(files: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
 
 
 def tasks_for(files: DataFrame, part_bytes: int) -> int:
-    """As many tasks as the files have parts' worth of bytes, but enough for all cores where there are as many files."""
+    """As many tasks as the files have ``PART_BYTES``, or larger parts, but enough for all cores where there are as many parts.
+
+    Smaller parts share tasks, and so do small files.
+    """
     seen = files.agg(F.count("*").alias("n"), F.sum(F.ceil(F.col("bytes") / part_bytes)).alias("parts"), F.sum("bytes").alias("bytes")).first()
     parts = max(seen["n"], seen["parts"] or 0)
-    cores = 2 * files.sparkSession.sparkContext.defaultParallelism
-    return max(1, min(parts, max((seen["bytes"] or 0) // part_bytes + 1, cores), MOST_TASKS))
+    cores = 4 * files.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(parts, max((seen["bytes"] or 0) // max(part_bytes, PART_BYTES) + 1, cores), MOST_TASKS))
 
 
 # --- reading
@@ -233,15 +238,19 @@ def read_files(files: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
 
 def listed_members(spark: SparkSession, entries: list[dict]) -> DataFrame:
     """``MEMBER_COLUMNS`` of the members of archives whose dates are not left out."""
+    return spark.createDataFrame([row for archive in wanted_members(entries) for row, _ in archive], MEMBER_COLUMNS)
+
+
+def wanted_members(entries: list[dict]) -> list[list[tuple[tuple, int]]]:
+    """The rows of ``listed_members`` for each archive, and their bytes there."""
     with ThreadPoolExecutor(16) as pool:
-        listed = list(pool.map(lambda e: list_members(e["path"]), entries))
-    rows = [
-        (entry["path"], name, order, entry["lugar"])
-        for entry, names in zip(entries, listed, strict=True)
-        for order, name in enumerate(names)
-        if (entry.get("fecha") or date_in_name(name)) not in set(entry.get("omitir") or ())
-    ]
-    return spark.createDataFrame(rows, MEMBER_COLUMNS)
+        listed = list(pool.map(lambda e: sized_members(e["path"]), entries))
+    found = []
+    for entry, members in zip(entries, listed, strict=True):
+        skip = set(entry.get("omitir") or ())
+        rows = [((entry["path"], name, order, entry["lugar"]), size) for order, (name, size) in enumerate(members)]
+        found.append([row for row in rows if (entry.get("fecha") or date_in_name(row[0][1])) not in skip])
+    return found
 
 
 def folder_listing(spark: SparkSession, entries: list[dict]) -> tuple[DataFrame, DataFrame]:
@@ -279,7 +288,7 @@ def _noted(kind: str, state: str) -> list:
 
 
 def _unpack(folder: str):
-    def unpack_member(row: dict) -> Iterator[pa.RecordBatch]:
+    def unpack_member(row: dict, outer: zipfile.ZipFile, listed: list[zipfile.ZipInfo]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = MemberPartition(row["zip"], row["archivo_origen"], row["orden"], row["archivo"])
@@ -288,7 +297,7 @@ def _unpack(folder: str):
         system.create_dir(root, recursive=True)
         state, error, file = "ok", None, None
         try:
-            with open_archive(part.zip) as outer, outer.open(members_of(outer)[part.order]) as packed:
+            with outer.open(listed[part.order]) as packed:
                 if not packed.read(1):
                     yield note(part, "miembro", "vacio")
                     return
@@ -317,9 +326,11 @@ def _unpack(folder: str):
         yield note(part, "csv" if file else "miembro", state, file, None, error)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                for made in unpack_member(row):
+        # Members of one archive follow each other: its directory is read once for them.
+        for path, rows in groupby((row for batch in batches for row in batch.to_pylist()), key=lambda row: row["zip"]):
+            with open_archive(path) as outer:
+                listed = members_of(outer)
+                for made in (made for row in rows for made in unpack_member(row, outer, listed)):
                     if made.num_columns < len(_UNPACKED):
                         made = made.append_column("ruta", pa.nulls(1, pa.string())).append_column("bytes", pa.nulls(1, pa.int64()))
                     yield made.cast(_UNPACKED)
@@ -328,11 +339,19 @@ def _unpack(folder: str):
 
 
 def unpack(spark: SparkSession, entries: list[dict], folder: str) -> tuple[DataFrame, DataFrame]:
-    """Unpack archives into a folder that all executors reach, a task a member, as streams; the files (``FILE_COLUMNS``) and notes."""
+    """Unpack archives into a folder that all executors reach, as streams; the files (``FILE_COLUMNS``) and notes.
 
-    members = listed_members(spark, entries)
-    tasks = max(1, min(members.count(), MOST_TASKS))
-    done = members.repartition(tasks).mapInArrow(_unpack(f"{folder}/archivos"), f"{SCHEMA}, ruta string, bytes long")
+    A task takes neighbouring members like the tasks that read archives, a single one where there are few.
+    """
+    archives = wanted_members(entries)
+    tasks = bundles([[size for _, size in archive] for archive in archives], 4 * spark.sparkContext.defaultParallelism)
+    rows, before = [], 0
+    for archive, numbers in zip(archives, tasks, strict=True):
+        rows += [(*row, before + number) for (row, _), number in zip(archive, numbers, strict=True)]
+        before += numbers[-1] + 1 if numbers else 0
+    members = spark.createDataFrame(rows, f"{MEMBER_COLUMNS}, tarea int")
+    dealt = members.repartitionById(max(before, 1), "tarea").drop("tarea")
+    done = dealt.mapInArrow(_unpack(f"{folder}/archivos"), f"{SCHEMA}, ruta string, bytes long")
     done.write.parquet(f"{folder}/listado")
     stored = spark.read.schema(done.schema).parquet(f"{folder}/listado")
     columns = [c.split()[0] for c in FILE_COLUMNS.split(", ")]

@@ -6,6 +6,7 @@ import random
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from gondola.plans import ingest
 from gondola.schemas import PRODUCTOS_HEADER, TABLES
@@ -133,3 +134,15 @@ def test_a_break_in_any_part_breaks_the_member(spark, tmp_path):
         scan = pipe_files.read_sources(spark, [{"path": str(tmp_path / name)}], part_bytes=1000)
         assert rows(scan) == []
         assert [r["estado"] for r in scan.where("tipo = 'csv' and error is not null").collect()] == ["error"]
+
+
+def test_small_members_and_parts_share_tasks(spark, tmp_path):
+    members = {f"{DAY}/m{i:03}.zip": data.simple_member(data.price(str(i))) for i in range(150)}
+    path = data.write_archive(tmp_path / "a.zip", members)
+    files, notes = pipe_files.unpack(spark, [{"path": path, "lugar": 0}], str(tmp_path / "des"))
+    most = 4 * spark.sparkContext.defaultParallelism
+    assert len(list((tmp_path / "des" / "listado").glob("*.parquet"))) <= most + 1
+    assert files.count() == 450 and notes.where("estado = 'ok'").count() == 150
+    scan = pipe_files.read_files(files, 10)
+    assert scan.rdd.getNumPartitions() <= most
+    assert sorted(r[0] for r in scan.where("csv = 'productos.csv' and tipo = 'fila'").select(F.col("campos")[3]).collect()) == sorted(map(str, range(150)))
