@@ -240,7 +240,8 @@ def _load(warehouse: Warehouse, run: list[Archive], reload_existing: bool, split
         if reload_existing:
             loaded -= offered
         skipped = offered & loaded
-        stored = store(warehouse, [a.source(a.dates & loaded) for a in run], staging, split_members)
+        how = {"split_members": True} if split_members else {}
+        stored = store(warehouse, [a.source(a.dates & loaded) for a in run], staging, **how)
         notes = stored.where(F.col("tipo") != "fila")
         dates = {(r["zip"], r["fecha"]) for r in processed_dates(notes, forced_dates(run)).collect()}
         warehouse.create_base()
