@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Texts are worked on in slices of about so many bytes, so a task's memory does not follow the batch size.
 SLICE_BYTES = 2_000_000
+#: Bytes of a batch that goes to Python: texts are long, and a batch is held in several forms at a time.
+BATCH_BYTES = 4 * 1024 * 1024
 _local_folder: list[str] = []
 
 
@@ -21,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """From now on batches have no more than ``BATCH_BYTES``; Spark's own bound is 64 MB, or ten thousand rows of any length."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``. Where it is unset, a local session gets a temporary folder; on a cluster it is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None)

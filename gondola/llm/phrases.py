@@ -32,7 +32,7 @@ LONGEST = 3
 #: Occurrences of a hash partition, and of a summary that a task sends.
 PARTITION_MASS, FLUSH = 6_000_000, 4_000_000
 FILTER_BITS = 28
-SLICE, ENTRIES = 4_000_000, 200_000
+SLICE, ENTRIES = 1_000_000, 100_000
 
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -108,8 +108,8 @@ def partition_keys(hashes: np.ndarray, partitions: int) -> np.ndarray:
 
 
 def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct values in order, and how often each occurs."""
-    keys = np.sort(keys)
+    """Distinct values in order, and how often each occurs; the given values are sorted where they are."""
+    keys.sort()
     begin = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
     return keys[begin], np.diff(np.append(begin, len(keys)))
 
@@ -174,7 +174,9 @@ def summaries(docs: DataFrame, partitions: int) -> DataFrame:
         waiting, n = [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            keys, counts = counted(np.concatenate(waiting))
+            together = np.concatenate(waiting)
+            waiting.clear()
+            keys, counts = counted(together)
             places = np.searchsorted(keys, np.arange(partitions + 1, dtype=np.uint64) << np.uint64(32))
             sums = np.concatenate([[0], np.cumsum(counts)])
             used = np.flatnonzero(np.diff(places))
@@ -193,7 +195,7 @@ def summaries(docs: DataFrame, partitions: int) -> DataFrame:
                     n += len(waiting[-1])
                 if n >= FLUSH:
                     yield from flush()
-                    waiting, n = [], 0
+                    n = 0
         if n:
             yield from flush()
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gondola.llm import bpe, chains, chat, machine, minhash, mixing, packing, permutation, phrases, ppm, repair, simhash, warc
-from gondola.llm.common import bounded_sample, stage, table
+from gondola.llm.common import bounded_batches, bounded_sample, stage, table
 
 #: The folder of the public vocabulary files; an argument of ``bpe.encode``.
 TOKENIZERS = os.environ.get("GONDOLA_TOKENIZERS", "/opt/tokenizers")
@@ -100,6 +100,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 

@@ -3,6 +3,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gondola.llm import phrases
@@ -118,3 +119,17 @@ def test_query_equals_sql(spark):
     connection.execute(f"create view documents as select * from '{SMALL}/documents.parquet'")
     sql = connection.execute(f"select {', '.join(COLUMNS)} from ({phrases.ORACLE})").fetchall()
     assert got(op11_collocations(spark, SMALL)) == sorted(sql) and len(sql) > 100
+
+
+def test_batches_of_long_texts_are_bounded(spark, tmp_path):
+    from gondola.llm.common import BATCH_BYTES, bounded_batches, table
+
+    spark.range(4000, numPartitions=1).selectExpr("id as doc_id", "repeat(sha2(cast(id as string), 256), 50) as text").write.parquet(str(tmp_path / "documents.parquet"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]})
+
+    bounded_batches(spark)
+    found = table(spark, str(tmp_path), "documents").mapInArrow(sizes, "n long").collect()
+    assert max(r.n for r in found) < 1.2 * BATCH_BYTES and len(found) > 2
