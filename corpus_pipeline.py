@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gondola.llm import bpe, minhash, mixing, ppm, simhash
-from gondola.llm.common import components, stage, table, unused
+from gondola.llm.common import bounded_batches, components, stage, table, unused
 from gondola.llm.queries import TOXIC_FROM, VOCABULARY, toxicity
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents in which no language can be told (no text or no letter); the trees learn from the rows that state theirs."""
+    bounded_batches(spark)
     lang, score = unused("lang_pred", docs.columns), unused("lang_score", docs.columns)
     told = ppm.predict(docs, ppm.train(docs), docs.columns, (lang, score))
     return told.where(F.col(lang) != ppm.NONE).drop(lang, score)
@@ -22,6 +23,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def non_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the last link of the chain finds toxic."""
+    bounded_batches(spark)
     names = [unused(n, docs.columns) for n in ("insult", "contempt", "toxic")]
     scored = toxicity(docs, table(spark, sf_dir, "labels"), docs, docs.columns, names)
     return scored.where(F.col(names[-1]) < TOXIC_FROM).drop(*names)
@@ -33,6 +35,7 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Fingerprints within two bits find copies and the slightest edits; a document whose shingles of five words are to 0.8 those of another
     often differs in more bits. Both kinds of links are sought among all documents of the input and joined to groups together.
     """
+    bounded_batches(spark)
     text = F.xxhash64("text").alias("text")
     named = docs.select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", text).alias("doc_id"), "text")
     signed = stage(minhash.signed_sets(named), "minhash")
@@ -56,6 +59,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids (binary, little-endian unsigned 32-bit) and the text that these decode to."""
+    bounded_batches(spark)
     rows = bpe.encode(docs, ["doc_id", "lang", "source"], VOCABULARY)
     return rows.withColumnRenamed("decoded", "text")
 
