@@ -33,12 +33,16 @@ def file_reports(raw: DataFrame) -> DataFrame:
         header_ok = F.when(is_file, titles == F.array(*[F.lit(c) for c in header])).otherwise(header_ok)
         complete = F.when(is_file, has_size(fields, len(header))).otherwise(complete)
 
-    filled_row = row & has_content(fields)
-    counted = filled_row & ~is_footer(fields)
     problem = F.when(F.col("error").startswith("UnicodeDecodeError"), F.lit(NOT_UTF8)).otherwise(F.col("error"))
-    return (
+    keys = [*MEMBER, "archivo_origen", "csv"]
+    filled, footer = F.col("lleno"), F.col("pie")
+    counted = filled & ~footer
+    # The message is a key first: as an argument, a text would have all rows of the scan sorted.
+    parts = (
         raw.where(F.col("tipo") != "miembro")
-        .groupBy(*MEMBER, "archivo_origen", "csv")
+        .withColumns({"lleno": row & has_content(fields), "problema": F.when(note, problem)})
+        .withColumn("pie", filled & is_footer(fields))
+        .groupBy(*keys, "problema")
         .agg(
             F.max(note & (state != "falta")).alias("present"),
             F.max(note & (state == "vacio")).alias("empty"),
@@ -46,8 +50,15 @@ def file_reports(raw: DataFrame) -> DataFrame:
             F.count_if(counted).alias("rows_total"),
             F.count_if(counted & complete).alias("rows_valid"),
             F.count_if(counted & ~complete).alias("rows_invalid"),
-            F.count_if(filled_row & is_footer(fields)).alias("footer_rows_removed"),
-            F.max(F.when(note, problem)).alias("error"),
+            F.count_if(footer).alias("footer_rows_removed"),
+        )
+    )
+    return (
+        parts.groupBy(*keys)
+        .agg(
+            *[F.max(name).alias(name) for name in ("present", "empty", "header_ok")],
+            *[F.sum(name).alias(name) for name in ("rows_total", "rows_valid", "rows_invalid", "footer_rows_removed")],
+            F.max("problema").alias("error"),
         )
         .drop("archivo", "orden")
     )
