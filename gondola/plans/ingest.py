@@ -279,7 +279,7 @@ def _write_tables(warehouse: Warehouse, run: list[Archive], stored: DataFrame, d
 
     Rows without a date are added to those there are.
     """
-    whole = whole_members(stored)
+    whole = whole_members(stored, stored.where(F.col("tipo") != "fila"))
     from_archive = [F.count_if(F.col("archivo") == i).alias(f"a{i}") for i in range(len(run))]
     undated = F.count_if(F.col(DATE).isNull()).alias("sin_fecha")
     id_of = {archive.path: archive.id for archive in run}

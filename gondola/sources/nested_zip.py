@@ -69,6 +69,8 @@ UNKNOWN_HEADER = "ValueError: Encabezado inesperado: "
 BATCH_ROWS = 10_000
 #: Bytes of lines that are split together, and of one read.
 BLOCK_BYTES, READ_BYTES = 1 << 20, 1 << 13
+#: Bytes up to which short batches leave a task as one, of ``BATCH_ROWS`` rows at most.
+MERGED_BYTES = 4 << 20
 SPOOL_BYTES = 64 * 1024 * 1024
 #: Packed bytes of a task, what opening a member counts for, and the most tasks that read one archive's directory.
 TASK_BYTES, MEMBER_BYTES, ARCHIVE_TASKS = 16 * 1024 * 1024, 1 << 16, 1000
@@ -243,7 +245,9 @@ class NestedZipReader(DataSourceReader):
         if self.mode == MEMBERS:
             yield from self._names(part)
             return
-        members = part.members if isinstance(part, BundlePartition) else [part]
+        yield from merged(self._bundle(part.members if isinstance(part, BundlePartition) else [part]))
+
+    def _bundle(self, members: list[MemberPartition]) -> Iterator[pa.RecordBatch]:
         with open_archive(members[0].zip) as outer:
             listed = members_of(outer)
             for member in members:
@@ -299,7 +303,8 @@ class NestedZipReader(DataSourceReader):
         found = None
         try:
             with inner.open(name) as raw:
-                records = Records(raw)
+                # Of a file whose header alone counts no more is read than one.
+                records = Records(raw, block_bytes=READ_BYTES if self.mode == HEADERS else None)
                 found = records.header()
                 if found is None:
                     return "vacio", None, None
@@ -327,8 +332,8 @@ class Records:
     further blocks while a quoted field is open.
     """
 
-    def __init__(self, raw, at_start: bool = True):
-        self.texts = self._texts(raw, at_start)
+    def __init__(self, raw, at_start: bool = True, block_bytes: int | None = None):
+        self.texts = self._texts(raw, at_start, block_bytes or BLOCK_BYTES)
         self.first = ""
 
     def header(self) -> list[str] | None:
@@ -345,8 +350,8 @@ class Records:
             yield from self._parsed(text)
 
     @staticmethod
-    def _blocks(raw, at_start: bool) -> Iterator[bytes]:
-        """Whole lines, a few megabytes at a time; what was read before a failure comes before it."""
+    def _blocks(raw, at_start: bool, block_bytes: int) -> Iterator[bytes]:
+        """Whole lines, ``block_bytes`` or a little more at a time; what was read before a failure comes before it."""
         parts, size = [], 0
         while True:
             problem = None
@@ -358,7 +363,7 @@ class Records:
                 data, at_start = data.removeprefix(b"\xef\xbb\xbf"), False
             parts.append(data)
             size += len(data)
-            if data and size < BLOCK_BYTES:
+            if data and size < block_bytes:
                 continue
             block = b"".join(parts)
             # A carriage return at the very end may be half of a line's end.
@@ -372,9 +377,9 @@ class Records:
             yield block[:cut]
             parts, size = [block[cut:]], len(block) - cut
 
-    def _texts(self, raw, at_start: bool) -> Iterator[str]:
+    def _texts(self, raw, at_start: bool, block_bytes: int) -> Iterator[str]:
         before = 0
-        for block in self._blocks(raw, at_start):
+        for block in self._blocks(raw, at_start, block_bytes):
             try:
                 text = block.decode()
             except UnicodeDecodeError as problem:
@@ -449,6 +454,19 @@ def note(part, kind, state, file=None, fields=None, error=None) -> pa.RecordBatc
     )
 
 
+def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in fewer batches: members of few rows and single notes would each cost a batch on its way to Spark."""
+    held, rows, size = [], 0, 0
+    for batch in batches:
+        if held and (rows + batch.num_rows > BATCH_ROWS or size + batch.nbytes > MERGED_BYTES):
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, rows, size = [], 0, 0
+        held.append(batch)
+        rows, size = rows + batch.num_rows, size + batch.nbytes
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def row_batch(part: MemberPartition, file: str, rows: pa.ListArray) -> pa.RecordBatch:
     def constant(value, kind=pa.string()):
         return pa.repeat(pa.scalar(value, kind), len(rows))
@@ -481,9 +499,13 @@ def broken_members(notes: DataFrame) -> DataFrame:
     return notes.where(fatal).select(*MEMBER).distinct()
 
 
-def whole_members(raw: DataFrame) -> DataFrame:
-    """A scan, or a stored one, without the rows of broken members."""
-    broken = broken_members(raw.where(F.col("tipo") != "fila"))
+def whole_members(raw: DataFrame, notes: DataFrame | None = None) -> DataFrame:
+    """A scan, or a stored one, without the rows of broken members.
+
+    ``notes`` are those of a stored scan: there the broken members, no more than the driver has listed, are read at once and go to all
+    tasks, and its rows stay where they are. Other scans are read to their end for them.
+    """
+    broken = broken_members(raw.where(F.col("tipo") != "fila")) if notes is None else F.broadcast(broken_members(notes))
     return raw.where(F.col("tipo") == "fila").join(broken, MEMBER, "left_anti")
 
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gondola.functions.cleaning import clean
+from gondola.operators.inspection import file_reports
 from gondola.plans.inspect import inspect_archives
 from gondola.schemas import BRANCHES, CHAINS, FACT, PRODUCTOS_HEADER, TABLES
 from gondola.sources import nested_zip
@@ -186,3 +187,52 @@ def test_a_task_opens_its_archive_once(tmp_path, monkeypatch):
     parts = reader.partitions()
     assert sum(batch.num_rows for part in parts for batch in reader.read(part)) >= 200
     assert len(opened) == 1 + len(parts) < 20
+
+
+def test_short_batches_leave_a_task_as_one(archive):
+    reader = nested_zip.NestedZipReader({"path": archive, "lectura": LOAD, "tareas": "1"})
+    (part,) = reader.partitions()
+    batches = list(reader.read(part))
+    assert len(part.members) == 11 and len(batches) == 1
+    assert batches[0].column("tipo").to_pylist().count("miembro") == 11
+
+
+def test_merged_batches_are_bounded(monkeypatch):
+    part = nested_zip.MemberPartition("z", "m", 0)
+    notes = [nested_zip.note(part, "miembro", "ok")] * 25
+    monkeypatch.setattr(nested_zip, "BATCH_ROWS", 10)
+    assert [b.num_rows for b in nested_zip.merged(iter(notes))] == [10, 10, 5]
+    monkeypatch.setattr(nested_zip, "MERGED_BYTES", notes[0].nbytes * 4)
+    assert [b.num_rows for b in nested_zip.merged(iter(notes))] == [4] * 6 + [1]
+    assert list(nested_zip.merged(iter([]))) == []
+
+
+def test_a_header_alone_reads_no_more(tmp_path, monkeypatch):
+    many = data.lines(PRODUCTOS_HEADER, *[data.price(f"p{i}") for i in range(5000)])
+    path = data.write_archive(tmp_path / "largo.zip", {"2026-05-23/a.zip": data.member(None, None, many)})
+    read, texts = [], nested_zip.Records._texts
+    monkeypatch.setattr(nested_zip.Records, "_texts", lambda self, *a: (read.append(len(t)) or t for t in texts(self, *a)))
+    reader = nested_zip.NestedZipReader({"path": path, "lectura": HEADERS})
+    (part,) = reader.partitions()
+    states = [(r["csv"], r["estado"]) for b in reader.read(part) for r in b.to_pylist()]
+    assert states == [("comercio.csv", "falta"), ("sucursales.csv", "falta"), ("productos.csv", "ok"), (None, "ok")]
+    assert sum(read) <= nested_zip.READ_BYTES
+
+
+def test_reports_hash_the_rows(spark, archive):
+    plan = file_reports(read_archives(spark, [archive], INSPECT))._jdf.queryExecution().executedPlan().toString()
+    lowest = [line for line in plan.split("BatchScan")[0].splitlines() if "Aggregate" in line or " Sort " in line][-1]
+    assert "HashAggregate" in lowest and "problema" in lowest
+
+
+def test_rows_of_a_stored_scan_are_not_moved_for_broken_members(spark, archive, tmp_path):
+    raw = read_archives(spark, [archive], LOAD)
+    raw.write.parquet(str(tmp_path / "filas"))
+    stored = spark.read.schema(raw.schema).parquet(str(tmp_path / "filas"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        whole = nested_zip.whole_members(stored, stored.where("tipo <> 'fila'"))
+        assert "BroadcastHashJoin" in whole._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, whole.collect())) == sorted(map(str, nested_zip.whole_members(stored).collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
