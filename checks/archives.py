@@ -12,6 +12,7 @@ import shutil
 import sys
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -32,6 +33,9 @@ _HEADERS = {
 _KEYS = {name: [c for c in ("id_comercio", "id_bandera", "id_sucursal") if c in header] for name, header in _HEADERS.items()}
 #: Rows of an archive; below, there are as many archives as cores.
 ARCHIVE_ROWS = 1_000_000
+#: Rows of the prices for each partition with which their joins begin.
+JOIN_ROWS = 100_000
+_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 _WRITTEN: dict[tuple[str, str], list[str]] = {}
 
 
@@ -56,8 +60,15 @@ def _lines(rows: pa.RecordBatch | pa.Table, header: list[str]) -> pa.Array:
     return pc.binary_join_element_wise(*fields, "|", null_handling="replace", null_replacement="")
 
 
-def _joined(lines: pa.Array) -> bytes:
-    return "".join([f"{line}\r\n" for line in lines.to_pylist()]).encode()
+def _joined(lines: pa.Array | pa.ChunkedArray) -> bytes:
+    # Lines with their ends follow each other in the array's bytes.
+    end, nothing = (pa.scalar(text, pa.large_string()) for text in ("\r\n", ""))
+    ended = pc.binary_join_element_wise(pc.cast(lines, pa.large_string()), end, nothing)
+    ended = ended.combine_chunks() if isinstance(ended, pa.ChunkedArray) else ended
+    if not len(ended):
+        return b""
+    offsets = memoryview(ended.buffers()[1]).cast("q")
+    return ended.buffers()[2][offsets[ended.offset] : offsets[ended.offset + len(ended)]].to_pybytes()
 
 
 def _distinct(rows: pa.RecordBatch | pa.Table, keys: list[str]) -> pa.Table:
@@ -192,6 +203,23 @@ def _put_together(folder: str, pieces: str):
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+@contextmanager
+def joins_by_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Joins within it begin with a partition for ``JOIN_ROWS`` rows, or the session's number if that is more; Spark merges small ones.
+
+    So what a task sorts is bounded by the size up to which they are merged, however large the tables are.
+    """
+    before = spark.conf.get(_PARTITIONS, None)
+    spark.conf.set(_PARTITIONS, max(int(before or spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // JOIN_ROWS)))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_PARTITIONS)
+        else:
+            spark.conf.set(_PARTITIONS, before)
+
+
 def broken_archives(spark: SparkSession, prices: DataFrame) -> list[str]:
     """Paths of one archive a date with all its prices, in a member for each banner; most members are damaged."""
     folder = run_folder(spark, "rotos").removeprefix("file:")
@@ -204,7 +232,8 @@ def broken_archives(spark: SparkSession, prices: DataFrame) -> list[str]:
     place = spark.createDataFrame([(*row, i) for i, row in enumerate(sorted(counts))], "fecha_publicacion string, id_bandera string, filas long, lugar int")
     dealt = rows.join(F.broadcast(place), keys).repartitionById(len(counts), "lugar").drop("lugar")
     pieces = f"{folder}/miembros"
-    written = dealt.mapInArrow(_write_damaged(pieces), "fecha_publicacion string, id_bandera string").collect()
+    with joins_by_rows(spark, sum(row["filas"] for row in counts)):
+        written = dealt.mapInArrow(_write_damaged(pieces), "fecha_publicacion string, id_bandera string").collect()
     days: dict[str, list[str]] = {}
     for row in sorted(written):
         days.setdefault(row["fecha_publicacion"], []).append(row["id_bandera"])
@@ -221,7 +250,9 @@ def archives(spark: SparkSession, sf_dir: str, prices: DataFrame) -> list[str]:
     if key not in _WRITTEN:
         folder = run_folder(spark, "archivos").removeprefix("file:")
         rows = prices.withColumn("fecha_publicacion", F.col("fecha_publicacion").cast("string"))
-        number = max(spark.sparkContext.defaultParallelism, -(-prices.count() // ARCHIVE_ROWS))
+        count = prices.count()
+        number = max(spark.sparkContext.defaultParallelism, -(-count // ARCHIVE_ROWS))
         written: DataFrame = rows.repartition(number).mapInArrow(_write_partitions(folder), "path string, miembros int")
-        _WRITTEN[key] = sorted(r["path"] for r in written.collect())
+        with joins_by_rows(spark, count):
+            _WRITTEN[key] = sorted(r["path"] for r in written.collect())
     return _WRITTEN[key]

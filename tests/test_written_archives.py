@@ -83,3 +83,29 @@ def test_damaged_archives_a_task_a_member_and_an_archive_a_date(spark):
     reports = inspection.file_reports(read_archives(spark, paths, INSPECT)).where("csv = 'productos.csv'")
     found = {r["archivo_origen"][-5]: (r["rows_valid"], r["rows_invalid"], r["header_ok"]) for r in reports.collect()}
     assert found == {"2": (200, 0, False), "3": (200, 0, True), "4": (100, 0, True), "5": (200, 2, True)}
+
+
+def test_joins_of_the_prices_begin_with_partitions_by_rows(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for rows, partitions in ((950 * archives.JOIN_ROWS, 950), (10, 4)):
+            with archives.joins_by_rows(spark, rows):
+                joined = spark.range(10).join(spark.range(10), "id")
+                plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert f", {partitions})" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert spark.conf.get(archives._PARTITIONS, None) is None
+
+
+def test_written_archives_join_by_rows(spark, monkeypatch):
+    asked, made = [], archives.joins_by_rows
+    monkeypatch.setattr(archives, "joins_by_rows", lambda session, rows: asked.append(rows) or made(session, rows))
+    archives.archives(spark, "test-joins", prices(spark, 600))
+    archives.broken_archives(spark, prices(spark, 1200))
+    assert asked == [600, 1200]
+
+
+@pytest.mark.parametrize("lines", [pa.array([], pa.string()), pa.array(["x", "a", "", "ñ|b"]).slice(1), pa.chunked_array([["a"], ["", "ñ|b"]])])
+def test_lines_joined(lines):
+    assert archives._joined(lines) == "".join(f"{line}\r\n" for line in lines.to_pylist()).encode()
