@@ -49,11 +49,14 @@ def new_folder(spark: SparkSession, what: str) -> str:
     return re.sub("^file:/+", "file:///", files.makeQualified(path).toString())
 
 
-def stage(frame: DataFrame, what: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back: computed once, and no lineage for a lost executor to recompute."""
+def stage(frame: DataFrame, what: str, file_rows: int = 0) -> DataFrame:
+    """Write a frame to the shared folder and read it back: computed once, and no lineage for a lost executor to recompute.
+
+    ``file_rows`` bounds the rows of a file: for a few very long rows that tasks are to share.
+    """
     spark = frame.sparkSession
     folder = f"{new_folder(spark, what)}/table"
-    frame.write.parquet(folder)
+    frame.write.option("maxRecordsPerFile", file_rows).parquet(folder)
     return spark.read.schema(frame.schema).parquet(folder)
 
 

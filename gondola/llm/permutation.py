@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from gondola.llm.common import stage
@@ -114,6 +114,23 @@ class Shard:
         return ids[order], scores[order]
 
 
+def _drawn(rows: DataFrame, count: int) -> list[Row]:
+    """The ``PIVOT_ROWS`` different rows with the smallest hashes, of ``count`` that may repeat.
+
+    Only rows with hashes below a bound are compared, so each task sends the driver few of them, however many tasks there are. The bound rises
+    while repeated rows leave too few.
+    """
+    # Ordered by the vector's hash too: an id with many vectors must not decide by the order of its rows.
+    place = F.xxhash64(F.lit("pivot"), "vec_id", "embedding")
+    share = 4 * PIVOT_ROWS / count
+    while True:
+        some = rows if share >= 1 else rows.where(place < F.lit(int(share * 2**64) - 2**63))
+        drawn = some.dropDuplicates(["vec_id", "embedding"]).orderBy(place, "vec_id", "embedding").limit(PIVOT_ROWS).collect()
+        if share >= 1 or len(drawn) == PIVOT_ROWS:
+            return drawn
+        share *= 8
+
+
 def search(vectors: DataFrame, queries: DataFrame, wanted: int = 5, share: float = SHARE, least: int = LEAST, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``wanted`` nearest of ``vectors`` found for each row of ``queries`` but itself."""
     spark = vectors.sparkSession
@@ -125,10 +142,7 @@ def search(vectors: DataFrame, queries: DataFrame, wanted: int = 5, share: float
     dimension = sizes["n"]
     rows = rows.where(F.size("embedding") == dimension)
     shards = math.ceil(sizes["count"] / shard_rows)
-    rows = rows.dropDuplicates(["vec_id", "embedding"])
-    # Ordered by the vector's hash too: an id with many vectors must not decide by the order of its rows.
-    drawn = rows.orderBy(F.xxhash64(F.lit("pivot"), "vec_id", "embedding"), "vec_id", "embedding").limit(PIVOT_ROWS).collect()
-    unique = list(dict.fromkeys(tuple(r.embedding) for r in drawn))[:PIVOTS]
+    unique = list(dict.fromkeys(tuple(r.embedding) for r in _drawn(rows, sizes["count"])))[:PIVOTS]
     pivots = np.array(unique)
     pivots /= _norms(pivots)[:, None]
     shared = spark.sparkContext.broadcast(pivots)
@@ -140,8 +154,9 @@ def search(vectors: DataFrame, queries: DataFrame, wanted: int = 5, share: float
         return pa.table({"shard": group.column("shard").slice(0, 1), **{n: pa.array([getattr(shard, n).tobytes()], pa.binary()) for n in Shard.PARTS}})
 
     shard = F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(shards)).cast("int")
+    rows = rows.dropDuplicates(["vec_id", "embedding"])
     files = rows.select("vec_id", "embedding", shard.alias("shard")).groupBy("shard").applyInArrow(index, "shard int, " + ", ".join(f"{n} binary" for n in Shard.PARTS))
-    files = stage(files, "permutation-index")
+    files = stage(files.drop("shard"), "permutation-index", 1)
 
     asked = usable(queries).where(F.size("embedding") == dimension).dropDuplicates(["vec_id", "embedding"])
     n_asked = asked.count()
@@ -156,7 +171,7 @@ def search(vectors: DataFrame, queries: DataFrame, wanted: int = 5, share: float
 
     block = F.pmod(F.xxhash64(F.lit("query"), "vec_id", "embedding"), F.lit(blocks)).cast("int")
     packs = asked.select("vec_id", "embedding", block.alias("block")).groupBy("block").applyInArrow(pack, "block int, query_ids binary, query_vectors binary")
-    packs = packs.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    packs = stage(packs.drop("block"), "permutation-queries", 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = {"ids": np.int64, "cuts": np.int64, "vectors": np.float64, "starts": np.int64, "members": np.int32, "weights": np.int16}
@@ -173,8 +188,9 @@ def search(vectors: DataFrame, queries: DataFrame, wanted: int = 5, share: float
                     ["query_id", "vec_id", "score"],
                 )
 
-    # One shard and one block of queries make a unit of work; units are dealt out, so a batch holds few of them.
-    units = packs.join(files, "shard").drop("shard", "block").repartition(max(1, min(shards * blocks, 20_000)))
+    # One shard and one block of queries make a unit of work. A task reads some files of both and takes all units of these, so nothing is
+    # copied for every unit; stored one a file, shards and blocks are dealt to tasks by their bytes.
+    units = files.crossJoin(packs.hint("shuffle_replicate_nl"))
     found = units.mapInArrow(run, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= wanted).select("query_id", "rank", "vec_id", "score")

@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gondola.llm import permutation
 from gondola.llm.queries import op8_permutation_index
@@ -100,3 +101,38 @@ def test_shared_sum_is_the_footrule_distance():
         for v in range(50):
             far = sum(abs(place[q].get(p, n) - place[v].get(p, n)) for p in set(place[q]) | set(place[v]))
             assert far == n * (n + 1) - 2 * shared[order[tuple(vectors[v])]]
+
+
+def test_what_the_driver_gets_does_not_follow_the_number_of_tasks(spark):
+    named, unit = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}, F.lit(1.0)
+    frame = spark.range(0, 40_000, 1, 40).select(F.col("id").alias("vec_id"), F.transform(F.sequence(F.lit(1), F.lit(64)), lambda k: F.sin(F.col("id") * k) + unit).alias("embedding"))
+    before = {name: spark.conf.get(name) for name in named}
+    limits = spark.sparkContext._jsc.sc().conf()
+    for name, value in named.items():
+        spark.conf.set(name, value)
+    # 40 tasks with a thousand vectors each, or 20 MB.
+    limits.set("spark.driver.maxResultSize", "8m")
+    try:
+        got = found(permutation.search(frame, frame.where("vec_id < 3")))
+    finally:
+        limits.remove("spark.driver.maxResultSize")
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert [len(got[q]) for q in range(3)] == [5, 5, 5]
+
+
+@pytest.mark.parametrize("repeats", [1, 400])
+def test_drawn_rows_are_those_with_the_smallest_hashes(spark, monkeypatch, repeats):
+    monkeypatch.setattr(permutation, "PIVOT_ROWS", 20)
+    once = spark.range(2000).select(F.col("id").alias("vec_id"), F.array(F.col("id").cast("double"), F.lit(1.0)).alias("embedding"))
+    # Repeated rows of one vector leave few others below the first bound.
+    rows = once.union(once.where("vec_id = 7").crossJoin(spark.range(repeats * 100)).drop("id"))
+    want = once.orderBy(F.xxhash64(F.lit("pivot"), "vec_id", "embedding")).limit(20).collect()
+    assert permutation._drawn(rows, rows.count()) == want
+
+
+def test_shards_are_not_shuffled_for_every_block_of_queries(spark, monkeypatch):
+    monkeypatch.setattr(permutation, "QUERY_ROWS", 100)
+    frame = spark.read.parquet(f"{SMALL}/embeddings.parquet")
+    plan = permutation.search(frame, frame, shard_rows=90)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and not [line for line in plan.splitlines() if "Exchange" in line and "vectors" in line]
