@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +21,8 @@ WHITESPACE = (
 # Texts that stand for a missing value, and the start of a publication's last line.
 MISSING = ("", "nan", "None")
 FOOTER = "ultima actualizacion"
+#: Stored rows have their fields in columns of this name and the field's place.
+FIELD = "campo_"
 
 _DIGITS = r"(?U)\A\d+\z"
 _NUMBER = r"\A[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z"
@@ -87,18 +92,42 @@ def clean(rows: DataFrame, spec: TableSpec, forced: date | str | Column | None =
     stands for all three.
     """
     fields = F.col("campos")
+    whole = rows.where((F.col("csv") == spec.csv) & (F.col("tipo") == "fila")).where(
+        has_size(fields, len(spec.header)) & is_identifier(F.get(fields, F.lit(0)))
+    )
+    return _typed(whole, spec, forced, [stripped(F.get(fields, F.lit(i))) for i in range(len(spec.header))])
+
+
+def in_columns(rows: DataFrame, specs: Iterable[TableSpec]) -> DataFrame:
+    """Notes, and rows with as many fields as their file has columns, with the fields in columns of their own (``FIELD`` and their place).
+
+    Places that no table takes are left out.
+    """
+    specs = list(specs)
+    is_row = F.col("tipo") == "fila"
+    sized = reduce(or_, [(F.col("csv") == spec.csv) & has_size(F.col("campos"), len(spec.header)) for spec in specs])
+    places = sorted({i for spec in specs for i, c in enumerate(spec.header) if c in spec.output})
+    fields = [F.when(is_row, F.get("campos", F.lit(i))).alias(f"{FIELD}{i}") for i in places]
+    return rows.where(~is_row | sized).select(*[c for c in rows.columns if c != "campos"], *fields)
+
+
+def clean_columns(rows: DataFrame, spec: TableSpec, forced: date | str | Column | None = None) -> DataFrame:
+    """As ``clean``, for rows of ``in_columns`` whose fields came stripped."""
+    fields = [F.col(f"{FIELD}{i}") if c in spec.output else None for i, c in enumerate(spec.header)]
+    whole = rows.where((F.col("csv") == spec.csv) & (F.col("tipo") == "fila")).where(fields[0].rlike(_DIGITS))
+    return _typed(whole, spec, forced, fields)
+
+
+def _typed(rows: DataFrame, spec: TableSpec, forced: date | str | Column | None, fields: list[Column | None]) -> DataFrame:
+    """Rows of the table of valid rows, whose stripped fields are given in the order of the header."""
     first = spec.header[0]
     # Stripped once in a projection of their own, the values are plain references below.
-    values = (
-        rows.where((F.col("csv") == spec.csv) & (F.col("tipo") == "fila"))
-        .where(has_size(fields, len(spec.header)) & is_identifier(F.get(fields, F.lit(0))))
-        .select(
-            *[stripped(F.get(fields, F.lit(i))).alias(c) for i, c in enumerate(spec.header) if c in spec.output],
-            publication_date(F.col("archivo_origen"), forced).alias(DATE),
-            "archivo_origen",
-            # The archive path stays with the rows while they are counted; writers drop it.
-            *[c for c in rows.columns if c in ("zip", "archivo")],
-        )
+    values = rows.select(
+        *[field.alias(c) for field, c in zip(fields, spec.header, strict=True) if c in spec.output],
+        publication_date(F.col("archivo_origen"), forced).alias(DATE),
+        "archivo_origen",
+        # The archive path stays with the rows while they are counted; writers drop it.
+        *[c for c in rows.columns if c in ("zip", "archivo")],
     )
 
     def output(name: str) -> Column:

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections import Counter
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
@@ -21,10 +22,10 @@ from datetime import date, datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gondola.functions.cleaning import clean, publication_date
+from gondola.functions.cleaning import clean_columns, in_columns, publication_date
 from gondola.plans import freshness
 from gondola.schemas import CONTROL_SCHEMA, DATE, FACT, TABLES
-from gondola.sources.nested_zip import MEMBER, MEMBERS, SCHEMA, broken_members, read_archives, whole_members
+from gondola.sources.nested_zip import MEMBER, MEMBERS, broken_members, read_archives, whole_members
 from gondola.sources.pipe_files import read_sources
 from gondola.sources.replacement import Replacement
 from gondola.sources.tables import Warehouse, export
@@ -268,17 +269,21 @@ def _load(warehouse: Warehouse, run: list[Archive], reload_existing: bool, split
 
 
 def store(warehouse: Warehouse, sources: list[dict], name: str, split_members: bool = False) -> DataFrame:
-    """Read archives once and store rows and notes, apart by kind and file."""
+    """Read archives once and store rows and notes, apart by kind and file, fields in columns of their own."""
     path = warehouse.path(f"{name}/filas")
-    read_sources(warehouse.spark, sources, warehouse.path(f"{name}/desempacado"), split_members).write.partitionBy("tipo", "csv").parquet(path)
-    return warehouse.spark.read.schema(SCHEMA).parquet(path)
+    scan = read_sources(warehouse.spark, sources, warehouse.path(f"{name}/desempacado"), split_members, trimmed=True)
+    stored = in_columns(scan, TABLES.values())
+    stored.write.partitionBy("tipo", "csv").parquet(path)
+    return warehouse.spark.read.schema(stored.schema).parquet(path)
 
 
 def _write_tables(warehouse: Warehouse, run: list[Archive], stored: DataFrame, dates: set[tuple[str, date]], replace: bool) -> None:
     """Replace the dates in the base tables, or the tables, and note the loads; row counts per archive are observed during the write.
 
-    Rows without a date are added to those there are.
+    Rows without a date are added to those there are. A task that read an archive of one date stored its rows in files of their own, so they
+    come together by date.
     """
+    together = max(Counter(path for path, _ in dates).values(), default=0) <= 1
     whole = whole_members(stored, stored.where(F.col("tipo") != "fila"))
     from_archive = [F.count_if(F.col("archivo") == i).alias(f"a{i}") for i in range(len(run))]
     undated = F.count_if(F.col(DATE).isNull()).alias("sin_fecha")
@@ -287,10 +292,10 @@ def _write_tables(warehouse: Warehouse, run: list[Archive], stored: DataFrame, d
     change = Replacement(warehouse.root)
     try:
         for table, spec in TABLES.items():
-            rows = clean(whole.where(F.col("csv") == spec.csv), spec, forced_dates(run))
+            rows = clean_columns(whole, spec, forced_dates(run))
             columns = [*spec.output, "archivo"]
             days = None if replace else {day for _, day in dates}
-            seen = change.stage(table, rows.select(columns), days, metrics=[*from_archive, undated], without=["archivo"])
+            seen = change.stage(table, rows.select(columns), days, metrics=[*from_archive, undated], without=["archivo"], together=together)
             for i, archive in enumerate(run):
                 archive.counts[table] = seen.get(f"a{i}", 0)
             if seen.get("sin_fecha"):

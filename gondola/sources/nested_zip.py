@@ -31,6 +31,7 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date
+from itertools import chain
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -40,6 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from gondola.functions.cleaning import WHITESPACE
 from gondola.schemas import TABLES
 
 FORMAT = "precios_zip"
@@ -187,10 +189,11 @@ def bundles(sizes: list[list[int]], least_tasks: int) -> list[list[int]]:
 
 
 class NestedZipSource(DataSource):
-    """Options: ``path`` or ``archivos`` (JSON list of ``{path, fecha, omitir}``), ``lectura``, ``csv``, ``tareas``.
+    """Options: ``path`` or ``archivos`` (JSON list of ``{path, fecha, omitir}``), ``lectura``, ``csv``, ``tareas``, ``recorte``.
 
     ``fecha`` forces the publication date of an archive, ``omitir`` lists dates whose members are not
-    opened. ``csv`` restricts the emitted rows to one file. Members share a task only beyond ``tareas`` tasks.
+    opened. ``csv`` restricts the emitted rows to one file. Members share a task only beyond ``tareas`` tasks. With ``recorte`` (true)
+    the fields of rows come without surrounding whitespace.
     """
 
     @classmethod
@@ -213,6 +216,7 @@ class NestedZipReader(DataSourceReader):
         self.mode = options.get("lectura", LOAD)
         self.only = options.get("csv")
         self.least_tasks = int(options.get("tareas", LEAST_TASKS))
+        self.trimmed = options.get("recorte") == "true"
         if self.mode not in (MEMBERS, HEADERS, LOAD, INSPECT):
             raise ValueError(f"unknown reading mode: {self.mode}")
 
@@ -304,7 +308,7 @@ class NestedZipReader(DataSourceReader):
         try:
             with inner.open(name) as raw:
                 # Of a file whose header alone counts no more is read than one.
-                records = Records(raw, block_bytes=READ_BYTES if self.mode == HEADERS else None)
+                records = Records(raw, block_bytes=READ_BYTES if self.mode == HEADERS else None, trimmed=self.trimmed)
                 found = records.header()
                 if found is None:
                     return "vacio", None, None
@@ -329,12 +333,13 @@ class Records:
 
     The standard library's reader decides what a record is. Where no field begins with a quote it does no more than split lines and
     fields, so blocks of lines without such a field are split by array operations; others go through the reader itself, which takes
-    further blocks while a quoted field is open.
+    further blocks while a quoted field is open. ``trimmed`` fields are without surrounding whitespace.
     """
 
-    def __init__(self, raw, at_start: bool = True, block_bytes: int | None = None):
+    def __init__(self, raw, at_start: bool = True, block_bytes: int | None = None, trimmed: bool = False):
         self.texts = self._texts(raw, at_start, block_bytes or BLOCK_BYTES)
         self.first = ""
+        self.trimmed = trimmed
 
     def header(self) -> list[str] | None:
         self.first = next(self.texts, None)
@@ -345,9 +350,9 @@ class Records:
         return row
 
     def __iter__(self) -> Iterator[pa.ListArray]:
-        yield from self._parsed(self.first)
-        for text in self.texts:
-            yield from self._parsed(text)
+        for text in chain([self.first], self.texts):
+            for rows in self._parsed(text):
+                yield trimmed(rows) if self.trimmed else rows
 
     @staticmethod
     def _blocks(raw, at_start: bool, block_bytes: int) -> Iterator[bytes]:
@@ -431,6 +436,11 @@ class Records:
             yield row
 
 
+def trimmed(rows: pa.ListArray) -> pa.ListArray:
+    """The same lists with fields as ``cleaning.stripped`` leaves them."""
+    return pa.ListArray.from_arrays(rows.offsets, pc.utf8_trim(rows.values, characters=WHITESPACE))
+
+
 def describe(problem: Exception) -> str:
     return f"{type(problem).__name__}: {problem}"
 
@@ -518,10 +528,11 @@ def read_archives(
     archives: list[str] | list[dict],
     mode: str = LOAD,
     csv_name: str | None = None,
+    trimmed: bool = False,
 ) -> DataFrame:
-    """Raw rows and notes of one or more archives (paths, or ``{path, fecha, omitir}`` entries)."""
+    """Raw rows and notes of one or more archives (paths, or ``{path, fecha, omitir}`` entries); ``trimmed``: without surrounding whitespace."""
     spark.dataSource.register(NestedZipSource)
     entries = [a if isinstance(a, dict) else {"path": str(a)} for a in archives]
     reader = spark.read.format(FORMAT).option("archivos", json.dumps(entries)).option("lectura", mode)
-    reader = reader.option("tareas", 4 * spark.sparkContext.defaultParallelism)
+    reader = reader.option("tareas", 4 * spark.sparkContext.defaultParallelism).option("recorte", trimmed)
     return (reader.option("csv", csv_name) if csv_name else reader).load()

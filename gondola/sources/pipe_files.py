@@ -194,14 +194,14 @@ class ByteRange:
         return data
 
 
-def _read_range(row: dict) -> Iterator[pa.RecordBatch]:
+def _read_range(row: dict, trimmed: bool) -> Iterator[pa.RecordBatch]:
     part = MemberPartition(row["zip"], row["archivo_origen"], row["orden"], row["archivo"])
     file, found = row["csv"], None
     system, inner = file_system(row["ruta"])
     with system.open_input_file(inner) as stream:
         try:
             at_start = row["desde"] == 0
-            records = Records(ByteRange(stream, row["desde"], row["hasta"]), at_start)
+            records = Records(ByteRange(stream, row["desde"], row["hasta"]), at_start, trimmed=trimmed)
             if at_start:
                 found = records.header()
                 if found is None:
@@ -222,15 +222,18 @@ def _read_range(row: dict) -> Iterator[pa.RecordBatch]:
             yield note(part, "csv", "error", file, found, describe(problem))
 
 
-def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            yield from _read_range(row)
+def _read_ranges(trimmed: bool):
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield from _read_range(row, trimmed)
+
+    return read
 
 
-def read_files(files: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
+def read_files(files: DataFrame, part_bytes: int = PART_BYTES, trimmed: bool = False) -> DataFrame:
     """Rows and notes of files (``FILE_COLUMNS``), as a load takes them; the schema is that of archives."""
-    return record_ranges(files, part_bytes).repartition(tasks_for(files, part_bytes)).mapInArrow(_read_ranges, SCHEMA)
+    return record_ranges(files, part_bytes).repartition(tasks_for(files, part_bytes)).mapInArrow(_read_ranges(trimmed), SCHEMA)
 
 
 # --- unpacked archives
@@ -362,9 +365,14 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def read_sources(
-    spark: SparkSession, sources: list[dict], folder: str | None = None, split_members: bool = False, part_bytes: int = PART_BYTES
+    spark: SparkSession,
+    sources: list[dict],
+    folder: str | None = None,
+    split_members: bool = False,
+    part_bytes: int = PART_BYTES,
+    trimmed: bool = False,
 ) -> DataFrame:
-    """Rows and notes of archives and unpacked archives, as a load takes them.
+    """Rows and notes of archives and unpacked archives, as a load takes them; ``trimmed``: fields without surrounding whitespace.
 
     With ``split_members`` archives are unpacked into ``folder`` first, so that many tasks read one member.
     """
@@ -373,13 +381,13 @@ def read_sources(
     archives = [e for e in entries if e not in folders]
     scans = []
     if archives and not split_members or not entries:
-        scans.append(read_archives(spark, archives, LOAD))
+        scans.append(read_archives(spark, archives, LOAD, trimmed=trimmed))
     elif archives:
         files, notes = unpack(spark, archives, folder)
-        scans += [read_files(files, part_bytes), notes]
+        scans += [read_files(files, part_bytes, trimmed), notes]
     if folders:
         files, notes = folder_listing(spark, folders)
-        scans += [read_files(files, part_bytes), notes]
+        scans += [read_files(files, part_bytes, trimmed), notes]
     whole = scans[0]
     for scan in scans[1:]:
         whole = whole.unionByName(scan)

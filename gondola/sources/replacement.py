@@ -142,17 +142,20 @@ class Replacement:
         by_date: bool = True,
         metrics: Iterable[Column] = (),
         without: Iterable[str] = (),
+        together: bool = False,
     ) -> dict:
         """Write new rows of a table; returns ``filas`` and further metrics observed while writing.
 
         With ``dates`` these are replaced, else the whole table. Columns named in ``without`` serve the metrics only. Partitioned output
-        is rebalanced by date first: dates with few rows share no task with others, dates with very many rows are split over several.
+        is rebalanced by date first: dates with few rows share no task with others, dates with very many rows are split over several. Where
+        the rows of a date come ``together`` that is spared: a task writes a file for each of the few dates it reads.
         """
         path = f"{self.folder}/{table}"
         days = None if dates is None else sorted({str(day) for day in dates})
         observed = Observation()
         counted = frame.observe(observed, F.count(F.lit(1)).alias("filas"), *metrics).drop(*without)
-        writer = (counted.hint("rebalance", F.col(DATE)).write.partitionBy(DATE) if by_date else counted.write).option("maxRecordsPerFile", MAX_FILE_ROWS)
+        dealt = counted if together or not by_date else counted.hint("rebalance", F.col(DATE))
+        writer = (dealt.write.partitionBy(DATE) if by_date else dealt.write).option("maxRecordsPerFile", MAX_FILE_ROWS)
         writer.parquet(path)
         files = [f for f in listed(path) if is_data(f)]
         if days is not None:

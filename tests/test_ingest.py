@@ -9,7 +9,7 @@ import pytest
 
 from gondola.plans import ingest
 from gondola.plans.inspect import inspect_archives
-from gondola.schemas import BRANCHES, CHAINS, FACT
+from gondola.schemas import BRANCHES, CHAINS, DATE, FACT
 from gondola.sources import replacement
 from gondola.sources.tables import Warehouse
 from tests import archive_data as data
@@ -250,3 +250,19 @@ def test_exports(warehouse, tmp_path, spark):
     ingest.load_archives(warehouse, [(None, simple(tmp_path, "a.zip"))], export_to=str(tmp_path / "salida"))
     exported = spark.read.option("header", True).csv(str(tmp_path / "salida" / "fact_precios.csv"))
     assert exported.count() == 2 and exported.columns == warehouse.read(FACT).columns
+
+
+def test_rows_of_archives_of_one_date_are_stored_in_columns_and_written_without_a_shuffle(warehouse, tmp_path, monkeypatch):
+    stored, seen = [], []
+    store, stage = ingest.store, ingest.Replacement.stage
+    monkeypatch.setattr(ingest, "store", lambda *a, **b: stored.append(store(*a, **b)) or stored[-1])
+    monkeypatch.setattr(ingest.Replacement, "stage", lambda self, table, *a, **b: seen.append((table, b.get("together"))) or stage(self, table, *a, **b))
+    ingest.load_archives(warehouse, [(None, simple(tmp_path, f"{n}.zip", f"2026-05-2{n}", "　 a\x85")) for n in range(2)])
+    assert "campos" not in stored[0].columns and "campo_16" in stored[0].columns and "campo_17" not in stored[0].columns
+    assert {r["id_producto"] for r in warehouse.read(FACT).collect()} == {"a"}
+    two = {f"2026-05-2{n}/m.zip": data.simple_member(data.price(str(n))) for n in (5, 6)}
+    ingest.load_archives(warehouse, [(None, data.write_archive(tmp_path / "two.zip", two))])
+    assert [together for table, together in seen if table == FACT] == [True, False]
+    assert sorted((str(r[DATE]), r["id_producto"]) for r in warehouse.read(FACT).collect()) == [
+        ("2026-05-20", "a"), ("2026-05-21", "a"), ("2026-05-25", "5"), ("2026-05-26", "6")
+    ]

@@ -6,7 +6,10 @@ import random
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
+from gondola.functions import cleaning
+from gondola.functions.cleaning import WHITESPACE
 from gondola.sources import nested_zip
 from gondola.sources.nested_zip import Records
 
@@ -72,3 +75,14 @@ def test_rows_before_a_break_are_kept(monkeypatch, size):
         for rows in records:
             found += rows.to_pylist()
     assert found == [line.split("|") for line in lines]
+
+
+def test_trimmed_fields_are_as_the_cleaning_leaves_them(spark):
+    marks = [*WHITESPACE, "\x00", "\u200b", "\ufeff", "ñ", "\U0001f600"]
+    fields = [f"{a}{b}x y{b}{a}" for a in marks for b in marks if not {a, b} & {"\n", "\r"}] + ["", " ", "\u3000\t", "a"]
+    # Lines split by array operations, and quoted ones that the reader takes.
+    for made in ("|".join(fields), "|".join(f'"{field}"' for field in fields)):
+        found = [row for part in Records(io.BytesIO(f"{made}\n|\n".encode()), trimmed=True) for row in part.to_pylist()]
+        want = spark.createDataFrame(list(enumerate(fields)), "i int, value string").select("i", cleaning.stripped(F.col("value"))).sort("i").collect()
+        assert found == [[r[1] for r in want], ["", ""]]
+    assert [part.to_pylist() for part in Records(io.BytesIO(b""), trimmed=True)] in ([], [[]])
